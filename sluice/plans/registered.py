@@ -279,7 +279,7 @@ def latest_then_required(spark, sf_dir):
 @register(
     "map_column_coalesce",
     """
-WITH m AS (SELECT 'N' || CAST(n_nationkey AS VARCHAR) AS code, n_name AS label FROM nation WHERE n_nationkey % 2 = 0),
+WITH m AS (SELECT 'N' || CAST(n_nationkey AS VARCHAR) AS code, n_name AS label FROM nation WHERE n_regionkey IN (0, 1, 3)),
      c AS (SELECT c_custkey, c_name, c_acctbal, 'N' || CAST(c_nationkey AS VARCHAR) AS nation FROM customer)
 SELECT c.c_custkey, c.c_name, c.c_acctbal, coalesce(m.label, c.nation) AS nation
 FROM c LEFT JOIN m ON c.nation = m.code
@@ -287,7 +287,7 @@ FROM c LEFT JOIN m ON c.nation = m.code
 )
 def map_column_coalesce(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
-    mapping = n.where(F.col("n_nationkey") % 2 == 0).select(
+    mapping = n.where(F.col("n_regionkey").isin(0, 1, 3)).select(
         F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"), F.col("n_name").alias("label")
     )
     c = table(spark, sf_dir, "customer").select(

@@ -20,6 +20,10 @@ LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.speculation": "false",
+    # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; a whole-stage method
+    # that large (hundreds of row checks) would run interpreted. Above this size Spark falls back
+    # to per-expression code generation, which splits the work into small compiled methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
