@@ -19,7 +19,7 @@ def map_column(
     key_col: str,
     value_col: str,
     *,
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
     unique_keys: bool = False,
 ) -> DataFrame:
     """``df.column`` replaced by ``mapping.value_col`` where ``df.column = mapping.key_col``.
@@ -27,6 +27,11 @@ def map_column(
     Left join, ``coalesce(mapped, original)``; unmapped and NULL codes keep their value. All other
     columns are kept in order and the mapped column is moved last. As with any left join, a code
     listed twice in the mapping duplicates the row; ``unique_keys=True`` raises instead.
+
+    The mapping is broadcast after a bounded row count proves it holds at most
+    ``broadcast_max_rows`` rows. ``None`` skips the count (useful when the mapping is itself derived
+    from a big scan, which the count would run twice): the planner then decides from statistics,
+    and AQE from the measured size of the mapping's shuffle.
     """
     (column,) = resolve_names(df.columns, [column])
     key_col, value_col = resolve_names(mapping.columns, [key_col, value_col])
@@ -36,7 +41,7 @@ def map_column(
         dup = lookup.groupBy(key_col).count().where(F.col("count") > 1).limit(1).collect()
         if dup:
             raise ValueError(f"mapping key {dup[0][0]!r} occurs {dup[0][1]} times")
-    if has_at_most(lookup, broadcast_max_rows):
+    if broadcast_max_rows is not None and has_at_most(lookup, broadcast_max_rows):
         lookup = F.broadcast(lookup)
     others = [c for c in df.columns if c != column]
     return (

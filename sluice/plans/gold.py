@@ -23,6 +23,7 @@ def build_gold(
     column: str = "city",
     map_key: str = "city_abb",
     map_value: str = "city",
+    broadcast_max_rows: int | None = 1_000_000,
 ) -> DataFrame:
     """Latest row per key, then rows with all ``required`` fields, then ``column`` mapped.
 
@@ -30,7 +31,9 @@ def build_gold(
     lacks a required field, the key is dropped rather than falling back to an older version.
     """
     latest = latest_per_key(src, key, order_by, tie_break)
-    return map_column(require_fields(latest, required), mapping, column, map_key, map_value)
+    return map_column(
+        require_fields(latest, required), mapping, column, map_key, map_value, broadcast_max_rows=broadcast_max_rows
+    )
 
 
 def rejected_gold_rows(src: DataFrame, *, key="id", order_by="effective_date", tie_break=None, required=("id", "name"), messages=None) -> DataFrame:

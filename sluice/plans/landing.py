@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from .._util import broadcast_if_small
 from ..operators.contract import contract_breaches, quarantine_files, write_move_log
+from ..session import cut_lineage
 from ..sources.landing import LandingArea
 
 # The customer contract of the landing demo (bronze layer schema).
@@ -45,6 +47,9 @@ def apply_data_contract(
     """Verify the area's files from ``start`` on, quarantine breaching ones and return this run's
     movement log (``old_file_path, new_file_path, corrupted_message, inserted_at, move_status``)."""
     breaches = contract_breaches(spark, area, contract, start, ignore_nullable=ignore_nullable, deep=deep)
+    # Materialise the breach list first: a retried move task must not re-scan landing files that
+    # an earlier attempt already moved away (the listing scan stats every file it lists).
+    breaches = cut_lineage(breaches)
     log = write_move_log(quarantine_files(area, breaches), log_path, uuid.uuid4().hex)
     if raise_on_failed_moves:
         failed = log.where(F.col("move_status") != "OK").limit(1).collect()
@@ -67,9 +72,10 @@ def write_customer_drops(
     the ``break_day`` drop carries an extra ``city`` column, breaking the contract.
 
     ``id, name, age, country`` = custkey as text, name, ``18 + k % 53``, nation name.
-    Written with ``partitionBy(year, month, day)`` so each task writes its own day directories.
+    Written with ``partitionBy(year, month, day)`` so each task writes its own day directories;
+    dynamic partition overwrite makes a re-run replace its days instead of adding copies.
     """
-    nations = F.broadcast(nation.select("n_nationkey", F.col("n_name").alias("country"), "n_regionkey"))
+    nations = broadcast_if_small(nation.select("n_nationkey", F.col("n_name").alias("country"), "n_regionkey"), 100_000)
     rows = customer.join(nations, customer["c_nationkey"] == nations["n_nationkey"], "left").select(
         F.col("c_custkey").cast("string").alias("id"),
         F.col("c_name").alias("name"),
@@ -81,9 +87,11 @@ def write_customer_drops(
         (F.col("c_custkey") % days + 1).cast("int").alias("day"),
     )
     keep = ["id", "name", "age", "country", "year", "month", "day"]
-    writer_opts = dict(mode="append", format=area.fmt, partitionBy=["year", "month", "day"])
-    rows.where(F.col("day") != break_day).select(*keep).write.save(area.object_dir, **writer_opts)
-    rows.where(F.col("day") == break_day).select(*keep[:4], "city", *keep[4:]).write.save(area.object_dir, **writer_opts)
+    writer_opts = dict(mode="overwrite", format=area.fmt, partitionBy=["year", "month", "day"])
+    good = rows.where(F.col("day") != break_day).select(*keep)
+    broken = rows.where(F.col("day") == break_day).select(*keep[:4], "city", *keep[4:])
+    for part in (good, broken):
+        part.write.option("partitionOverwriteMode", "dynamic").save(area.object_dir, **writer_opts)
 
 
 def load_conforming(spark: SparkSession, area: LandingArea, contract: StructType, start=None) -> DataFrame:

@@ -335,7 +335,11 @@ def gold_frame(spark, sf_dir) -> DataFrame:
         )
         .distinct()
     )
-    return build_gold(events_as_users(spark, sf_dir), mapping, key="id", order_by="effective_date", tie_break="event_id")
+    # the mapping comes out of a full events scan: no separate size count, AQE sizes it at runtime
+    return build_gold(
+        events_as_users(spark, sf_dir), mapping, key="id", order_by="effective_date", tie_break="event_id",
+        broadcast_max_rows=None,
+    )
 
 
 @register("gold_publish", _GOLD_SQL)
@@ -357,7 +361,7 @@ def gold_merge_publish(spark, sf_dir):
         .select(F.substring("event_type", 1, 2).alias("city_abb"), F.concat(F.initcap("event_type"), F.lit(" City")).alias("city"))
         .distinct()
     )
-    publish(build_gold(first, mapping, tie_break="event_id"), path=path, mode="overwrite")
+    publish(build_gold(first, mapping, tie_break="event_id", broadcast_max_rows=None), path=path, mode="overwrite")
     publish(gold_frame(spark, sf_dir), path=path, mode="merge", on="id")
     return spark.read.parquet(path)
 
