@@ -245,9 +245,12 @@ class MergeBuilder:
         if t.join(s, cond, "left").count() != target.count():
             raise MergeConflictError("several source rows match the same target row")
 
-    def execute(self) -> DataFrame:
-        """Compute the new content and publish it over the table/path (frames: just return it)."""
-        result = self.result()
+    def execute(self, *, check_duplicates: bool = True) -> DataFrame:
+        """Compute the new content and publish it over the table/path (frames: just return it).
+
+        ``check_duplicates=False`` skips the duplicate-match check when the source is unique on the
+        merge keys by construction (e.g. the output of a ``groupBy`` on them)."""
+        result = self.result(check_duplicates=check_duplicates)
         tgt = self._target
         if tgt.name is None and tgt.path is None:
             return result

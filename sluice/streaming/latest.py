@@ -60,7 +60,8 @@ def upsert_latest(
         except Exception:
             batch.write.mode("overwrite").format(fmt).save(target_path)
             return
-        target.merge(batch, on=keys).whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
+        # one row per key by construction (grouped state), so no duplicate-match check is needed
+        target.merge(batch, on=keys).whenMatchedUpdateAll().whenNotMatchedInsertAll().execute(check_duplicates=False)
 
     return (
         latest.writeStream.outputMode("update")
