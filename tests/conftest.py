@@ -15,7 +15,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from sluice.session import local_session
 
-    session = local_session("local[4]", "sluice-tests")
+    warehouse = tempfile.mkdtemp(prefix="sluice-test-wh-")
+    session = local_session("local[4]", "sluice-tests", **{"spark.sql.warehouse.dir": warehouse})
     session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sluice-test-ckpt-"))
     yield session
     session.stop()
