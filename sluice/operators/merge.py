@@ -14,6 +14,9 @@ How it runs (no full outer join, which Spark can neither broadcast nor split whe
 * inserted rows: ``source LEFT ANTI JOIN target``. With equality keys (``on=``) the target side is
   first reduced to its distinct keys (partial aggregation before the shuffle), so a hot key
   arrives as one row per map task.
+* a source proven small (bounded row count, ``source_broadcast_max_rows``) is broadcast explicitly,
+  and the target keys are first semi-joined with the broadcast source keys: the target is then only
+  scanned, never shuffled, by either join.
 
 Plain parquet has no in-place update, so publishing rewrites the target: the result is first
 checkpointed into the shared checkpoint folder (which also cuts the lineage back to the table
@@ -29,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .._util import as_list, qcol, resolve_names, temp_name
+from .._util import as_list, has_at_most, qcol, resolve_names, temp_name
 from ..session import cut_lineage
 
 
@@ -40,6 +43,10 @@ class _Clause:
     assignments: dict = field(default_factory=dict)
 
 
+# Largest source (rows) that is broadcast explicitly; beyond it the planner/AQE choose the join.
+SOURCE_BROADCAST_MAX_ROWS = 2_000_000
+
+
 class MergeConflictError(ValueError):
     """More than one source row matched the same target row."""
 
@@ -93,12 +100,20 @@ class MergeTarget:
     def toDF(self) -> DataFrame:
         return self._df
 
-    def merge(self, source: DataFrame, condition=None, *, on=None, source_alias: str | None = None) -> "MergeBuilder":
-        return MergeBuilder(self, source, condition, on, source_alias)
+    def merge(
+        self,
+        source: DataFrame,
+        condition=None,
+        *,
+        on=None,
+        source_alias: str | None = None,
+        source_broadcast_max_rows: int | None = SOURCE_BROADCAST_MAX_ROWS,
+    ) -> "MergeBuilder":
+        return MergeBuilder(self, source, condition, on, source_alias, source_broadcast_max_rows)
 
 
 class MergeBuilder:
-    def __init__(self, target: MergeTarget, source: DataFrame, condition, on, source_alias):
+    def __init__(self, target: MergeTarget, source: DataFrame, condition, on, source_alias, source_broadcast_max_rows=None):
         if condition is None and not on:
             raise ValueError("merge needs a condition or equality keys (on=)")
         self._target = target
@@ -107,6 +122,7 @@ class MergeBuilder:
         self._on = as_list(on)
         self._source_alias = source_alias or _frame_alias(source) or "source"
         self._clauses: list[_Clause] = []
+        self._broadcast_max_rows = source_broadcast_max_rows
 
     # clause surface, in call order
     def whenMatchedUpdate(self, condition=None, set=None) -> "MergeBuilder":
@@ -163,11 +179,13 @@ class MergeBuilder:
 
         matched_clauses = [c for c in self._clauses if c.kind in ("update", "update_all", "delete")]
         insert_clauses = [c for c in self._clauses if c.kind in ("insert", "insert_all")]
+        small = self._broadcast_max_rows is not None and has_at_most(self._source, self._broadcast_max_rows)
+        s_build = F.broadcast(s) if small else s
 
         if matched_clauses:
             if check_duplicates:
-                self._check_single_match(target, cond, t, s)
-            joined = t.join(s, cond, "left")
+                self._check_single_match(target, cond, t, s, small)
+            joined = t.join(s_build, cond, "left")
             matched = qcol(sa, flag).isNotNull()
             act = temp_name(list(target.columns) + [flag], "act")
             action = F.when(~matched, F.lit(0))
@@ -201,8 +219,18 @@ class MergeBuilder:
 
         if self._on and self._condition is None:
             renamed = [temp_name(target, f"tk{i}") for i in range(len(self._on))]
-            tkeys = target.select(*[F.col(k).alias(r) for k, r in zip(resolve_names(cols, self._on), renamed)]).distinct()
-            unmatched = s.join(tkeys, [qcol(sa, k) == F.col(r) for k, r in zip(self._on, renamed)], "left_anti")
+            tkeys = target.select(*[F.col(k).alias(r) for k, r in zip(resolve_names(cols, self._on), renamed)])
+            if small:
+                # keep only target keys the source has: a broadcast semi join, no target shuffle
+                src_names = resolve_names(self._source.columns, self._on)
+                skeys = self._source.select(*[F.col(k).alias(r + "_s") for k, r in zip(src_names, renamed)]).distinct()
+                tkeys = tkeys.join(F.broadcast(skeys), [F.col(r) == F.col(r + "_s") for r in renamed], "left_semi")
+            tkeys = tkeys.distinct()
+            unmatched = s.join(
+                F.broadcast(tkeys) if small else tkeys,
+                [qcol(sa, k) == F.col(r) for k, r in zip(self._on, renamed)],
+                "left_anti",
+            )
         else:
             unmatched = s.join(t, cond, "left_anti")
         unmatched = unmatched.alias(sa)
@@ -225,7 +253,7 @@ class MergeBuilder:
         inserted = unmatched.select(*out_cols)
         return changed.unionByName(inserted)
 
-    def _check_single_match(self, target: DataFrame, cond: Column, t: DataFrame, s: DataFrame) -> None:
+    def _check_single_match(self, target: DataFrame, cond: Column, t: DataFrame, s: DataFrame, small: bool) -> None:
         if self._on:
             # Exact for equality merges; bounded by the source: only duplicated source keys that
             # also exist in the target (the semi join reads target keys only).
@@ -235,6 +263,8 @@ class MergeBuilder:
                 return
             renamed = [temp_name(target, f"dk{i}") for i in range(len(keys))]
             dups = dups.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)])
+            if small:  # a subset of a proven-small source
+                dups = F.broadcast(dups)
             probe = t.join(dups, [qcol(self._target._alias, k) == F.col(r) for k, r in zip(self._on, renamed)], "left_semi")
             if self._condition is not None:
                 probe = t.join(s, cond, "inner").join(dups, [qcol(self._source_alias, k) == F.col(r) for k, r in zip(self._on, renamed)], "left_semi")
@@ -242,7 +272,7 @@ class MergeBuilder:
                 raise MergeConflictError("several source rows match the same target row")
             return
         # General condition: a left join keeps every target row once unless it matched twice.
-        if t.join(s, cond, "left").count() != target.count():
+        if t.join(F.broadcast(s) if small else s, cond, "left").count() != target.count():
             raise MergeConflictError("several source rows match the same target row")
 
     def execute(self, *, check_duplicates: bool = True) -> DataFrame:
