@@ -18,7 +18,7 @@ import json
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
@@ -30,6 +30,7 @@ from .compare import schema_breaches
 cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
 
 BREACH_SCHEMA = "path string, reason string"
+NAMED_KEYS = 20  # unexpected JSON keys named per file in a breach reason (all are counted)
 MOVE_SCHEMA = "old_file_path string, new_file_path string, corrupted_message string, move_status string"
 
 LOG_SCHEMA = StructType(
@@ -173,19 +174,31 @@ def json_breaches(lines: DataFrame, contract: StructType) -> DataFrame:
     per_file = parsed.groupBy("path").agg(*aggs)
 
     known = F.array(*[F.lit(f.name) for f in contract.fields])
-    extra = (
+    # one row per (file, unexpected key); a file may hold any number of them, so the reason names
+    # the count and the first NAMED_KEYS in key order (a top-k per file, no unbounded list)
+    extra_keys = (
         parsed.where(F.col(v).isNotNull())
         .select("path", F.explode(F.array_except(F.json_object_keys("value"), known)).alias("key"))
         .groupBy("path", "key")
         .count()
+    )
+    rn = temp_name(["path", "key", "count"], "rn")
+    first_keys = (
+        extra_keys.withColumn(rn, F.row_number().over(Window.partitionBy("path").orderBy("key")))
+        .where(F.col(rn) <= NAMED_KEYS)
         .groupBy("path")
         .agg(F.array_sort(F.collect_list("key")).alias("extra"))
     )
+    n_extra = extra_keys.groupBy("path").agg(F.count("*").alias("n_extra"))
+    extra = n_extra.join(first_keys, "path")
     reason = F.concat_ws(
         "; ",
         F.when(F.col("n_malformed") > 0, F.format_string("%d malformed lines", F.col("n_malformed"))),
         *parts,
-        F.when(F.col("extra").isNotNull(), F.concat(F.lit("unexpected columns: "), F.array_join("extra", ", "))),
+        F.when(
+            F.col("n_extra") > NAMED_KEYS,
+            F.format_string(f"%d unexpected columns, first {NAMED_KEYS}: %s", F.col("n_extra"), F.array_join("extra", ", ")),
+        ).when(F.col("extra").isNotNull(), F.concat(F.lit("unexpected columns: "), F.array_join("extra", ", "))),
     )
     return (
         per_file.join(extra, "path", "left")

@@ -120,3 +120,15 @@ def test_log_written_once(spark, tmp_dir):
     area = LandingArea(tmp_dir, "customer", "parquet")
     log = write_move_log(quarantine_files(area, contract_breaches(spark, area, CUSTOMER_CONTRACT)), f"{tmp_dir}/_log", "r1")
     assert log.count() == 1 and log.count() == 1
+
+
+def test_json_many_unexpected_keys_are_counted_not_listed(spark, tmp_dir):
+    d = f"{tmp_dir}/object=customer/year=2025/month=10/day=01/x"
+    os.makedirs(d)
+    with open(f"{d}/a.json", "w") as f:
+        for i in range(50):
+            f.write('{"id": "%d", "k%02d": 1}\n' % (i, i))
+    area = LandingArea(tmp_dir, "customer", "json")
+    (reason,) = [r["reason"] for r in contract_breaches(spark, area, CUSTOMER_CONTRACT).collect()]
+    assert reason.startswith("50 unexpected columns, first 20: k00, k01")
+    assert "k19" in reason and "k20" not in reason
