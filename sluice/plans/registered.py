@@ -22,10 +22,11 @@ from ..operators.merge import MergeTarget
 from ..plans.gold import build_gold, publish
 from ..plans.landing import CUSTOMER_CONTRACT, apply_data_contract, load_conforming, write_customer_drops
 from ..operators.contract import contract_breaches
-from ..session import shared_dir
+from ..session import cut_lineage, shared_dir
 from ..sources.config import load_data_checks
 from ..sources.landing import LandingArea
 from ..streaming.checks import read_checked, stream_checks
+from ..streaming.gold import upsert_gold_stream
 from ..streaming.latest import upsert_latest
 
 REPO_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -325,9 +326,10 @@ _GOLD_MERGE_SQL = (
 )
 
 
-def gold_frame(spark, sf_dir) -> DataFrame:
+def city_mapping(spark, sf_dir) -> DataFrame:
+    """City names for two event-type codes, derived from the events table."""
     e = table(spark, sf_dir, "events")
-    mapping = (
+    return (
         e.where(F.col("event_type").isin("click", "purchase"))
         .select(
             F.substring("event_type", 1, 2).alias("city_abb"),
@@ -335,6 +337,10 @@ def gold_frame(spark, sf_dir) -> DataFrame:
         )
         .distinct()
     )
+
+
+def gold_frame(spark, sf_dir) -> DataFrame:
+    mapping = city_mapping(spark, sf_dir)
     # the mapping comes out of a full events scan: no separate size count, AQE sizes it at runtime
     return build_gold(
         events_as_users(spark, sf_dir), mapping, key="id", order_by="effective_date", tie_break="event_id",
@@ -355,12 +361,7 @@ def gold_merge_publish(spark, sf_dir):
     path = shared_dir(spark, "gold-users-merge")
     src = events_as_users(spark, sf_dir)
     first = src.where(F.col("effective_date") < F.lit("2024-01-15").cast("timestamp_ntz"))
-    e = table(spark, sf_dir, "events")
-    mapping = (
-        e.where(F.col("event_type").isin("click", "purchase"))
-        .select(F.substring("event_type", 1, 2).alias("city_abb"), F.concat(F.initcap("event_type"), F.lit(" City")).alias("city"))
-        .distinct()
-    )
+    mapping = city_mapping(spark, sf_dir)
     publish(build_gold(first, mapping, tie_break="event_id", broadcast_max_rows=None), path=path, mode="overwrite")
     publish(gold_frame(spark, sf_dir), path=path, mode="merge", on="id")
     return spark.read.parquet(path)
@@ -594,3 +595,21 @@ def stream_latest_query(spark, sf_dir):
     q = upsert_latest(stream, "user_id", "ts", target, shared_dir(spark, "stream-latest-ckpt"), tie_break="event_id")
     q.awaitTermination()
     return spark.read.parquet(target)
+
+
+@register("stream_gold", _GOLD_SQL)
+def stream_gold_query(spark, sf_dir):
+    """The gold flow over the events stream (5 micro-batches), merged into a parquet target."""
+    stream = _event_stream_source(spark, sf_dir).select(
+        "event_id",
+        F.col("user_id").alias("id"),
+        F.nullif(F.col("event_type"), F.lit("error")).alias("name"),
+        F.substring("event_type", 1, 2).alias("city"),
+        F.col("ts").alias("effective_date"),
+    )
+    target = shared_dir(spark, "stream-gold-target")
+    # the mapping comes from a full events scan: compute it once, not in every micro-batch
+    mapping = cut_lineage(city_mapping(spark, sf_dir))
+    q = upsert_gold_stream(stream, mapping, target, shared_dir(spark, "stream-gold-ckpt"), tie_break="event_id")
+    q.awaitTermination()
+    return spark.read.parquet(target)

@@ -12,6 +12,7 @@ merges them into a target path (update all matched, insert the rest).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,6 +38,21 @@ def latest_state(stream: DataFrame, keys, order_by, tie_break=None) -> DataFrame
     )
 
 
+def reused_batch(fn):
+    """Run a ``foreachBatch`` function on the micro-batch persisted, because it acts on it more
+    than once (size check, merge) and each action would otherwise re-run the batch's stateful plan.
+    A lost cached block is recomputed from the batch's lineage."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fn(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
+
+
 def upsert_latest(
     stream: DataFrame,
     keys,
@@ -52,6 +68,7 @@ def upsert_latest(
     keys = as_list(keys)
     latest = latest_state(stream, keys, order_by, tie_break)
 
+    @reused_batch
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         try:
