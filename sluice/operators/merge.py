@@ -18,9 +18,10 @@ How it runs (no full outer join, which Spark can neither broadcast nor split whe
   and the target keys are first semi-joined with the broadcast source keys: the target is then only
   scanned, never shuffled, by either join.
 
-Plain parquet has no in-place update, so publishing rewrites the target: the result is first
-checkpointed into the shared checkpoint folder (which also cuts the lineage back to the table
-being overwritten), then written over the target.
+Plain parquet has no in-place update, so publishing rewrites the target. A path target gets the
+result written once into a sibling folder that is then switched in (:func:`replace_path`); a catalog
+table gets the result checkpointed into the shared checkpoint folder (cutting the lineage back to
+the table being overwritten), then written over the table.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 
 from .._util import as_list, has_at_most, qcol, resolve_names, temp_name
 from ..session import cut_lineage
+from .publish import replace_path
 
 
 @dataclass
@@ -284,10 +286,8 @@ class MergeBuilder:
         tgt = self._target
         if tgt.name is None and tgt.path is None:
             return result
+        if tgt.path is not None:
+            return replace_path(result, tgt.path, tgt.format)
         result = cut_lineage(result)
-        writer = result.write.mode("overwrite")
-        if tgt.name is not None:
-            writer.saveAsTable(tgt.name)
-        else:
-            writer.format(tgt.format).save(tgt.path)
+        result.write.mode("overwrite").saveAsTable(tgt.name)
         return result

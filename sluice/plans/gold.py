@@ -9,6 +9,7 @@ from ..operators.checks import apply_data_checks
 from ..operators.conform import map_column
 from ..operators.latest import latest_per_key, require_fields, required_field_checks
 from ..operators.merge import MergeTarget
+from ..operators.publish import path_exists, replace_path
 from ..session import cut_lineage
 
 
@@ -53,19 +54,23 @@ def publish(
 ) -> None:
     """Write ``df`` to a table or path.
 
-    ``overwrite`` replaces the content (lineage is cut first when ``df`` reads the target itself);
+    ``overwrite`` replaces the content (when ``df`` reads the target itself: a path is replaced by
+    writing a sibling folder and switching it in, a table after cutting the lineage);
     ``merge`` upserts by the key columns ``on`` (update all matched, insert all others).
     """
     if (table is None) == (path is None):
         raise ValueError("give exactly one of table= or path=")
     spark: SparkSession = df.sparkSession
-    exists = spark.catalog.tableExists(table) if table else _path_exists(spark, path)
+    exists = spark.catalog.tableExists(table) if table else path_exists(spark, path)
     if mode == "merge" and exists:
         target = MergeTarget.forName(spark, table) if table else MergeTarget.forPath(spark, path, fmt)
         target.merge(df, on=as_list(on)).whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
         return
     if mode not in ("overwrite", "merge"):
         raise ValueError("mode must be 'overwrite' or 'merge'")
+    if path and exists and _reads(df, table, path):
+        replace_path(df, path, fmt)
+        return
     if exists and _reads(df, table, path):
         df = cut_lineage(df)
     writer = df.write.mode("overwrite")
@@ -75,12 +80,6 @@ def publish(
         writer.format(fmt).save(path)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _norm(p: str) -> str:
     if p.startswith("file:"):
         p = "/" + p[len("file:"):].lstrip("/")
