@@ -27,6 +27,12 @@ from ..functions.paths import (
 )
 
 
+FILES_SCHEMA = (
+    "path string, year int, month int, day int, date_key int, length bigint, "
+    "modification_time timestamp, is_stray boolean"
+)
+
+
 @dataclass(frozen=True)
 class LandingArea:
     root: str
@@ -43,9 +49,17 @@ class LandingArea:
         cond = F.lit(True) if start is None else key >= F.lit(start)
         return (cond | key.isNull()) if include_strays else (key.isNotNull() & cond)
 
+    def exists(self, spark: SparkSession) -> bool:
+        from ..operators.publish import path_exists
+
+        return path_exists(spark, self.object_dir)
+
     def files(self, spark: SparkSession, start=None, *, include_strays: bool = False) -> DataFrame:
         """One row per landing file of this format on or after ``start``:
-        ``path, year, month, day, date_key, length, modification_time, is_stray``."""
+        ``path, year, month, day, date_key, length, modification_time, is_stray``
+        (empty when the object folder does not exist yet)."""
+        if not self.exists(spark):
+            return spark.createDataFrame([], FILES_SCHEMA)
         listing = (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", glob_for(self.fmt))
@@ -67,6 +81,8 @@ class LandingArea:
 
     def lines(self, spark: SparkSession, start=None, *, include_strays: bool = False) -> DataFrame:
         """Text lines of the in-scope files: ``path, value`` (for JSON/CSV contract checks)."""
+        if not self.exists(spark):
+            return spark.createDataFrame([], "path string, value string")
         text = (
             spark.read.option("pathGlobFilter", glob_for(self.fmt))
             .option("recursiveFileLookup", "true")

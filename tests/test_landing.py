@@ -132,3 +132,29 @@ def test_json_many_unexpected_keys_are_counted_not_listed(spark, tmp_dir):
     (reason,) = [r["reason"] for r in contract_breaches(spark, area, CUSTOMER_CONTRACT).collect()]
     assert reason.startswith("50 unexpected columns, first 20: k00, k01")
     assert "k19" in reason and "k20" not in reason
+
+
+def test_missing_area_lists_nothing(spark, tmp_dir):
+    area = LandingArea(tmp_dir, "nothing_here", "parquet")
+    assert area.files(spark).count() == 0
+    assert contract_breaches(spark, area, CUSTOMER_CONTRACT).count() == 0
+    assert contract_breaches(spark, LandingArea(tmp_dir, "nothing_here", "json"), CUSTOMER_CONTRACT).count() == 0
+
+
+def test_csv_header_contract(spark, tmp_dir):
+    make_drops(spark, tmp_dir, "csv", days=[1, 6])
+    # make_drops writes csv without a header; rewrite both drops with headers
+    for day, with_city in ((2, False), (7, True)):
+        rows = spark.createDataFrame([("1", "a", 20, "X", "c")], WITH_CITY) if with_city else spark.createDataFrame(
+            [("1", "a", 20, "X")], CUSTOMER_CONTRACT
+        )
+        rows.coalesce(1).write.option("header", "true").csv(f"{tmp_dir}/object=customer/year=2025/month=10/day={day:02d}/h")
+    area = LandingArea(tmp_dir, "customer", "csv")
+    out = {r["path"].split("/day=")[1][:2]: r["reason"] for r in contract_breaches(spark, area, CUSTOMER_CONTRACT).collect()}
+    assert set(out) == {"01", "06", "07"}  # headerless drops and the drop with an extra column
+    assert "city" in out["07"]
+
+
+def test_avro_is_reported_unavailable(spark, tmp_dir):
+    with pytest.raises(NotImplementedError):
+        contract_breaches(spark, LandingArea(tmp_dir, "customer", "avro"), CUSTOMER_CONTRACT)
