@@ -18,10 +18,8 @@ How it runs (no full outer join, which Spark can neither broadcast nor split whe
   and the target keys are first semi-joined with the broadcast source keys: the target is then only
   scanned, never shuffled, by either join.
 
-Plain parquet has no in-place update, so publishing rewrites the target. A path target gets the
-result written once into a sibling folder that is then switched in (:func:`replace_path`); a catalog
-table gets the result checkpointed into the shared checkpoint folder (cutting the lineage back to
-the table being overwritten), then written over the table.
+Plain parquet has no in-place update, so publishing rewrites the target: the result is written
+once to a fresh folder or staging table that is then switched in (:mod:`.publish`).
 """
 
 from __future__ import annotations
@@ -34,8 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .._util import as_list, has_at_most, qcol, resolve_names, temp_name
-from ..session import cut_lineage
-from .publish import replace_path
+from .publish import replace_path, replace_table
 
 
 @dataclass
@@ -288,6 +285,4 @@ class MergeBuilder:
             return result
         if tgt.path is not None:
             return replace_path(result, tgt.path, tgt.format)
-        result = cut_lineage(result)
-        result.write.mode("overwrite").saveAsTable(tgt.name)
-        return result
+        return replace_table(result, tgt.name)

@@ -1,10 +1,12 @@
-"""Replacing the content of a path that the new content is computed from.
-
-Spark cannot overwrite a path it is reading. Instead of materialising the result twice (checkpoint,
-then overwrite), the result is written once into a fresh sibling folder, then the folders are
-switched with two renames on the driver (metadata only; atomic per rename on HDFS and local
-file systems). Readers never see a half-written target, only, for the instant between the two
-renames, no target. The previous content is deleted last.
+"""Replacing the content of a path or table that the new content may be computed from.
+
+Spark cannot overwrite a location it is reading. Instead of materialising the result twice
+(checkpoint, then overwrite), the result is written once to a fresh location that is then switched
+in: a hidden sibling folder and two renames on the driver for paths (metadata only; atomic per
+rename on HDFS and local file systems), a staging table and a rename for catalog tables. Readers
+never see a half-written target, only, for the instant of the switch, no target. The previous
+content is deleted last. Whether the frame reads its target does not need to be known, so no
+input-file list is ever pulled to the driver.
 """
 
 from __future__ import annotations
@@ -47,3 +49,15 @@ def replace_path(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     if had_target:
         fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
     return spark.read.format(fmt).load(base)
+
+
+def replace_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as the new content of catalog table ``name`` (which ``df`` may read): into a
+    staging table first, then drop the old table and rename the staging table in its place."""
+    spark = df.sparkSession
+    token = uuid.uuid4().hex[:12]
+    staging = f"{name}__next_{token}"
+    df.write.mode("errorifexists").saveAsTable(staging)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    return spark.table(name)

@@ -9,8 +9,7 @@ from ..operators.checks import apply_data_checks
 from ..operators.conform import map_column
 from ..operators.latest import latest_per_key, require_fields, required_field_checks
 from ..operators.merge import MergeTarget
-from ..operators.publish import path_exists, replace_path
-from ..session import cut_lineage
+from ..operators.publish import path_exists, replace_path, replace_table
 
 
 def build_gold(
@@ -54,8 +53,8 @@ def publish(
 ) -> None:
     """Write ``df`` to a table or path.
 
-    ``overwrite`` replaces the content (when ``df`` reads the target itself: a path is replaced by
-    writing a sibling folder and switching it in, a table after cutting the lineage);
+    ``overwrite`` replaces the content: an existing target is written anew and switched in, so
+    ``df`` may read the target itself;
     ``merge`` upserts by the key columns ``on`` (update all matched, insert all others).
     """
     if (table is None) == (path is None):
@@ -68,35 +67,13 @@ def publish(
         return
     if mode not in ("overwrite", "merge"):
         raise ValueError("mode must be 'overwrite' or 'merge'")
-    if path and exists and _reads(df, table, path):
-        replace_path(df, path, fmt)
-        return
-    if exists and _reads(df, table, path):
-        df = cut_lineage(df)
-    writer = df.write.mode("overwrite")
-    if table:
-        writer.saveAsTable(table)
+    if exists:
+        # the frame may read its own target: write anew, then switch (one write either way)
+        if table:
+            replace_table(df, table)
+        else:
+            replace_path(df, path, fmt)
+    elif table:
+        df.write.saveAsTable(table)
     else:
-        writer.format(fmt).save(path)
-
-
-def _norm(p: str) -> str:
-    if p.startswith("file:"):
-        p = "/" + p[len("file:"):].lstrip("/")
-    return p
-
-
-def _reads(df: DataFrame, table: str | None, path: str | None) -> bool:
-    """Whether ``df`` scans the target (then overwriting it in place would destroy its input)."""
-    try:
-        files = df.inputFiles()
-    except Exception:
-        return True
-    if path:
-        return any(_norm(f).startswith(_norm(path).rstrip("/") + "/") for f in files)
-    try:
-        location = df.sparkSession.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
-        loc = location[0]["data_type"] if location else None
-    except Exception:
-        return True
-    return loc is None or any(_norm(f).startswith(_norm(loc).rstrip("/") + "/") for f in files)
+        df.write.format(fmt).save(path)
