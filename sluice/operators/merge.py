@@ -178,12 +178,21 @@ class MergeBuilder:
 
         matched_clauses = [c for c in self._clauses if c.kind in ("update", "update_all", "delete")]
         insert_clauses = [c for c in self._clauses if c.kind in ("insert", "insert_all")]
-        small = self._broadcast_max_rows is not None and has_at_most(self._source, self._broadcast_max_rows)
+        max_multiplicity = None
+        if matched_clauses and check_duplicates and self._on:
+            # one pass over the source gives both its size and its largest key multiplicity
+            keys = resolve_names(self._source.columns, self._on)
+            n_rows, max_multiplicity = (
+                self._source.groupBy(*keys).count().agg(F.sum("count"), F.max("count")).collect()[0]
+            )
+            small = self._broadcast_max_rows is not None and (n_rows or 0) <= self._broadcast_max_rows
+        else:
+            small = self._broadcast_max_rows is not None and has_at_most(self._source, self._broadcast_max_rows)
         s_build = F.broadcast(s) if small else s
 
         if matched_clauses:
             if check_duplicates:
-                self._check_single_match(target, cond, t, s, small)
+                self._check_single_match(target, cond, t, s, small, max_multiplicity)
             joined = t.join(s_build, cond, "left")
             matched = qcol(sa, flag).isNotNull()
             act = temp_name(list(target.columns) + [flag], "act")
@@ -252,14 +261,16 @@ class MergeBuilder:
         inserted = unmatched.select(*out_cols)
         return changed.unionByName(inserted)
 
-    def _check_single_match(self, target: DataFrame, cond: Column, t: DataFrame, s: DataFrame, small: bool) -> None:
+    def _check_single_match(
+        self, target: DataFrame, cond: Column, t: DataFrame, s: DataFrame, small: bool, max_multiplicity
+    ) -> None:
         if self._on:
             # Exact for equality merges; bounded by the source: only duplicated source keys that
             # also exist in the target (the semi join reads target keys only).
+            if (max_multiplicity or 0) <= 1:
+                return
             keys = resolve_names(self._source.columns, self._on)
             dups = self._source.groupBy(*keys).count().where(F.col("count") > 1).drop("count")
-            if dups.isEmpty():
-                return
             renamed = [temp_name(target, f"dk{i}") for i in range(len(keys))]
             dups = dups.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)])
             if small:  # a subset of a proven-small source
@@ -270,8 +281,12 @@ class MergeBuilder:
             if not probe.isEmpty():
                 raise MergeConflictError("several source rows match the same target row")
             return
-        # General condition: a left join keeps every target row once unless it matched twice.
-        if t.join(F.broadcast(s) if small else s, cond, "left").count() != target.count():
+        # General condition: one job over the matched pairs only. Target rows get an id that is
+        # fixed by their scan position, so a target row matched twice shows up as a repeated id.
+        rid = temp_name(list(target.columns) + list(self._source.columns), "rid")
+        tagged = target.withColumn(rid, F.monotonically_increasing_id()).alias(self._target._alias)
+        pairs = tagged.join(F.broadcast(s) if small else s, cond, "inner")
+        if not pairs.groupBy(rid).count().where(F.col("count") > 1).limit(1).isEmpty():
             raise MergeConflictError("several source rows match the same target row")
 
     def execute(self, *, check_duplicates: bool = True) -> DataFrame:
