@@ -8,6 +8,7 @@ to record. A check that evaluates to NULL counts as passed (three-valued logic),
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
@@ -72,6 +73,11 @@ def _plain(message: str) -> bool:
     return "'" not in message and "\\" not in message
 
 
+def _inlinable(sql: str) -> bool:
+    """Check SQL that can be embedded in a larger SQL text (a comment would swallow the rest)."""
+    return "--" not in sql and "/*" not in sql and "\n" not in sql
+
+
 def fail_messages(cfg) -> Column:
     """``array<string>`` of the messages of all checks that are TRUE, in configuration order.
 
@@ -83,7 +89,7 @@ def fail_messages(cfg) -> Column:
     clauses = clauses_of(cfg)
     if not clauses:
         return empty_messages()
-    if all(_plain(c.message) for c in clauses):
+    if all(_plain(c.message) and _inlinable(c.sql) for c in clauses):
         parts = ", ".join(f"CASE WHEN ({c.sql}) THEN array('{c.message}') ELSE {_EMPTY_SQL} END" for c in clauses)
         return F.expr(f"concat({_EMPTY_SQL}, {parts})")
     parts = [
@@ -102,7 +108,9 @@ def any_failed(cfg) -> Column:
     clauses = clauses_of(cfg)
     if not clauses:
         return F.lit(False)
-    return F.expr(" OR ".join(f"({c.sql})" for c in clauses))
+    if all(_inlinable(c.sql) for c in clauses):
+        return F.expr(" OR ".join(f"({c.sql})" for c in clauses))
+    return reduce(lambda a, b: a | b, (check_condition(c) for c in clauses))
 
 
 def validate_checks(df: DataFrame, cfg) -> None:

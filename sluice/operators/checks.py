@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .._util import as_list, resolve_names, temp_name, to_col
-from ..functions.checks import _plain, any_failed, clauses_of, empty_messages, fail_messages, validate_checks
+from ..functions.checks import _inlinable, _plain, any_failed, clauses_of, empty_messages, fail_messages, validate_checks
 
 FAIL_COLUMN = "fail_messages"
 
@@ -98,7 +98,10 @@ def check_report(df: DataFrame, cfg, *, validate: bool = True) -> DataFrame:
         validate_checks(df, clauses)
     if not clauses:
         return df.sparkSession.createDataFrame([], "check_no int, message string, failed_rows bigint")
-    counts = df.selectExpr(*[f"count_if({c.sql}) AS n{i}" for i, c in enumerate(clauses)])
+    if all(_inlinable(c.sql) for c in clauses):
+        counts = df.selectExpr(*[f"count_if({c.sql}) AS n{i}" for i, c in enumerate(clauses)])
+    else:
+        counts = df.select(*[F.count_if(F.expr(c.sql)).alias(f"n{i}") for i, c in enumerate(clauses)])
     if all(_plain(c.message) for c in clauses):
         rows = ", ".join(f"{i + 1}, '{c.message}', n{i}" for i, c in enumerate(clauses))
         return counts.selectExpr(f"stack({len(clauses)}, {rows}) AS (check_no, message, failed_rows)")
