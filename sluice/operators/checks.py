@@ -6,6 +6,8 @@ which is one anti join against the distinct bad keys.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,20 @@ from .._util import as_list, resolve_names, temp_name, to_col
 from ..functions.checks import _inlinable, _plain, any_failed, clauses_of, empty_messages, fail_messages, validate_checks
 
 FAIL_COLUMN = "fail_messages"
+WIDE_CHECK_SET = 50
+
+
+def _warn_if_wide(df: DataFrame, clauses) -> None:
+    """Hundreds of checks make one whole-stage method too large for the JIT; say how to fix it."""
+    if len(clauses) < WIDE_CHECK_SET:
+        return
+    limit = df.sparkSession.conf.get("spark.sql.codegen.hugeMethodLimit", "65535")
+    if int(limit) > 8000:
+        warnings.warn(
+            f"{len(clauses)} checks: set spark.sql.codegen.hugeMethodLimit=8000 so that an oversized "
+            "generated method falls back to split per-expression code instead of running interpreted",
+            stacklevel=3,
+        )
 
 
 def apply_data_checks(df: DataFrame, cfg, *, column: str = FAIL_COLUMN, validate: bool = True) -> DataFrame:
@@ -25,6 +41,7 @@ def apply_data_checks(df: DataFrame, cfg, *, column: str = FAIL_COLUMN, validate
     clauses = clauses_of(cfg)
     if validate:
         validate_checks(df, clauses)
+    _warn_if_wide(df, clauses)
     if not clauses:
         return df.where(F.lit(False)).withColumn(column, empty_messages())
     return df.where(any_failed(clauses)).withColumn(column, fail_messages(clauses))

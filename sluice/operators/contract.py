@@ -251,7 +251,15 @@ def _mover(batches):
                 fs.move(src, dst)
                 status.append("OK")
             except Exception as e:
-                status.append(f"{type(e).__name__}: {e}")
+                # a concurrent attempt of this task may have moved the file meanwhile
+                try:
+                    done = (
+                        fs.get_file_info(src).type == pafs.FileType.NotFound
+                        and fs.get_file_info(dst).type != pafs.FileType.NotFound
+                    )
+                except Exception:
+                    done = False
+                status.append("OK" if done else f"{type(e).__name__}: {e}")
         yield pa.RecordBatch.from_arrays(
             [pa.array(olds, pa.string()), pa.array(news, pa.string()), pa.array(msgs, pa.string()), pa.array(status, pa.string())],
             names=["old_file_path", "new_file_path", "corrupted_message", "move_status"],
