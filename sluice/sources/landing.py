@@ -6,10 +6,15 @@ only emits path, size and modification time. The listing is recursive, so files
 layout are listed too and reported as strays instead of being dropped silently or breaking
 partition discovery. Text-format reads use the same path predicate on ``_metadata.file_path``,
 which Spark applies to the file index: files before the start date are never opened.
+
+Spark's file index lists every file below its root paths before any filter applies, so with a start
+date the roots are narrowed first: the driver lists only the ``year=`` folders and the ``month=``
+folders of the start year (a few dozen names), and Spark lists just the in-scope folders.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,17 +59,42 @@ class LandingArea:
 
         return path_exists(spark, self.object_dir)
 
+    def roots(self, spark: SparkSession, start=None, include_strays: bool = False) -> list[str]:
+        """Folders to list: the object folder, or with a start date only the year folders after
+        the start year and the month folders of the start year from the start month on."""
+        start = date_key(start)
+        if start is None or include_strays:
+            return [self.object_dir]
+        from ..operators.publish import _fs
+
+        y0, m0 = start // 10000, start // 100 % 100
+        fs, obj = _fs(spark, self.object_dir)
+        out = []
+        for year_dir in fs.listStatus(obj):
+            ym = re.fullmatch(r"year=(\d{4})", year_dir.getPath().getName())
+            if not (year_dir.isDirectory() and ym) or int(ym.group(1)) < y0:
+                continue
+            if int(ym.group(1)) > y0:
+                out.append(year_dir.getPath().toString())
+                continue
+            for month_dir in fs.listStatus(year_dir.getPath()):
+                mm = re.fullmatch(r"month=(\d{1,2})", month_dir.getPath().getName())
+                if month_dir.isDirectory() and mm and int(mm.group(1)) >= m0:
+                    out.append(month_dir.getPath().toString())
+        return out
+
     def files(self, spark: SparkSession, start=None, *, include_strays: bool = False) -> DataFrame:
         """One row per landing file of this format on or after ``start``:
         ``path, year, month, day, date_key, length, modification_time, is_stray``
         (empty when the object folder does not exist yet)."""
-        if not self.exists(spark):
+        roots = self.roots(spark, start, include_strays) if self.exists(spark) else []
+        if not roots:
             return spark.createDataFrame([], FILES_SCHEMA)
         listing = (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", glob_for(self.fmt))
             .option("recursiveFileLookup", "true")
-            .load(self.object_dir)
+            .load(roots)
             .select("path", "length", F.col("modificationTime").alias("modification_time"))
         )
         p = F.col("path")
@@ -81,12 +111,13 @@ class LandingArea:
 
     def lines(self, spark: SparkSession, start=None, *, include_strays: bool = False) -> DataFrame:
         """Text lines of the in-scope files: ``path, value`` (for JSON/CSV contract checks)."""
-        if not self.exists(spark):
+        roots = self.roots(spark, start, include_strays) if self.exists(spark) else []
+        if not roots:
             return spark.createDataFrame([], "path string, value string")
         text = (
             spark.read.option("pathGlobFilter", glob_for(self.fmt))
             .option("recursiveFileLookup", "true")
-            .text(self.object_dir)
+            .text(roots)
         )
         path = F.col("_metadata.file_path")
         return text.where(self._in_scope(path, start, include_strays)).select(path.alias("path"), "value")
@@ -99,7 +130,7 @@ class LandingArea:
         )
         if schema is not None:
             reader = reader.schema(schema)
-        df = reader.load(self.object_dir)
+        df = reader.load(self.roots(spark, start))
         path = F.col("_metadata.file_path")
         return df.where(self._in_scope(path, start, False)).select(
             *df.columns,

@@ -158,3 +158,18 @@ def test_csv_header_contract(spark, tmp_dir):
 def test_avro_is_reported_unavailable(spark, tmp_dir):
     with pytest.raises(NotImplementedError):
         contract_breaches(spark, LandingArea(tmp_dir, "customer", "avro"), CUSTOMER_CONTRACT)
+
+
+def test_start_date_narrows_the_listed_folders(spark, tmp_dir):
+    for year, month, day in [(2023, 12, 31), (2024, 6, 1), (2025, 9, 30), (2025, 10, 2), (2025, 10, 3), (2025, 11, 1), (2026, 1, 1)]:
+        d = f"{tmp_dir}/object=customer/year={year}/month={month:02d}/day={day:02d}/x"
+        os.makedirs(d)
+        with open(f"{d}/a.json", "w") as f:
+            f.write('{"id": "1"}\n')
+    area = LandingArea(tmp_dir, "customer", "json")
+    roots = sorted(r.split("object=customer/")[1] for r in area.roots(spark, (2025, 10, 3)))
+    assert roots == ["year=2025/month=10", "year=2025/month=11", "year=2026"]
+    days = sorted((r["year"], r["month"], r["day"]) for r in area.files(spark, (2025, 10, 3)).collect())
+    assert days == [(2025, 10, 3), (2025, 11, 1), (2026, 1, 1)]
+    assert area.lines(spark, (2025, 10, 3)).count() == 3
+    assert area.files(spark).count() == 7
