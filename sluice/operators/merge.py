@@ -277,7 +277,7 @@ class MergeBuilder:
                 dups = F.broadcast(dups)
             probe = t.join(dups, [qcol(self._target._alias, k) == F.col(r) for k, r in zip(self._on, renamed)], "left_semi")
             if self._condition is not None:
-                probe = t.join(s, cond, "inner").join(dups, [qcol(self._source_alias, k) == F.col(r) for k, r in zip(self._on, renamed)], "left_semi")
+                probe = t.join(F.broadcast(s) if small else s, cond, "inner").join(dups, [qcol(self._source_alias, k) == F.col(r) for k, r in zip(self._on, renamed)], "left_semi")
             if not probe.isEmpty():
                 raise MergeConflictError("several source rows match the same target row")
             return

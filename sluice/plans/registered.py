@@ -20,6 +20,7 @@ from ..operators.conform import map_column
 from ..operators.latest import latest_per_key, require_fields
 from ..operators.merge import MergeTarget
 from ..plans.gold import build_gold, publish
+from ..plans.quality import check_table_from_config
 from ..plans.landing import CUSTOMER_CONTRACT, apply_data_contract, load_conforming, write_customer_drops
 from ..operators.contract import contract_breaches
 from ..session import cut_lineage, shared_dir
@@ -199,6 +200,29 @@ def checks_config_good_keys(spark, sf_dir):
     return good_rows(_orders_checked(spark, sf_dir), cfg, by="key", key="o_custkey")
 
 
+@register(
+    "checks_publish_split",
+    """
+WITH s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders),
+     bad AS (SELECT * FROM s WHERE o_totalprice > 400000 OR o_orderstatus = 'P'
+                                 OR (o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'))
+SELECT *, 'bad' AS status FROM bad
+UNION ALL
+SELECT *, 'good' AS status FROM s
+WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.o_custkey IS NOT DISTINCT FROM s.o_custkey)
+""",
+)
+def checks_publish_split(spark, sf_dir):
+    """The reference's check flow: config → bad rows → key-level good rows, both published."""
+    out = shared_dir(spark, "checked-orders")
+    good, bad = check_table_from_config(
+        spark, _orders_checked(spark, sf_dir), "tpch", "silver", "tpch", "orders", config_root=CONFIG_ROOT,
+        good_path=f"{out}/good", bad_path=f"{out}/bad", by="key", key="o_custkey",
+    )
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    return bad.select(*cols, F.lit("bad").alias("status")).unionByName(good.select(*cols, F.lit("good").alias("status")))
+
+
 # ---------------------------------------------------------------- latest per key (O-8, O-9)
 
 
