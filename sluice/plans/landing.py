@@ -97,3 +97,46 @@ def write_customer_drops(
 def load_conforming(spark: SparkSession, area: LandingArea, contract: StructType, start=None) -> DataFrame:
     """Rows of the files left after quarantine, read with the contract schema."""
     return area.read(spark, contract, start)
+
+
+def generate_drops(
+    spark: SparkSession,
+    area: LandingArea,
+    *,
+    year: int = 2025,
+    month: int = 10,
+    days: int = 9,
+    rows_per_day: int = 10,
+    break_day: int = 6,
+    seed: int = 0,
+    names: list[str] | None = None,
+    countries: list[str] | None = None,
+    cities: list[str] | None = None,
+) -> None:
+    """Random landing drops for demos and tests: ``days`` drops of ``rows_per_day`` rows with a uuid
+    ``id``, a name, an age 18–70 and a country drawn with seeded ``rand``; the ``break_day`` drop
+    also carries a ``city`` column. Each drop gets its own ``drop=<id>`` folder below its day.
+    """
+    names = names or [f"name_{i}" for i in range(10)]
+    countries = countries or [f"country_{i}" for i in range(10)]
+    cities = cities or [f"city_{i}" for i in range(10)]
+
+    def pick(values, s):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (F.floor(F.rand(s) * len(values)) + 1).cast("int"))
+
+    rows = spark.range(days * rows_per_day).select(
+        F.expr("uuid()").alias("id"),
+        pick(names, seed).alias("name"),
+        (F.lit(18) + F.floor(F.rand(seed + 1) * 53)).cast("int").alias("age"),
+        pick(countries, seed + 2).alias("country"),
+        pick(cities, seed + 3).alias("city"),
+        F.lit(year).alias("year"),
+        F.lit(month).alias("month"),
+        (F.col("id") % days + 1).cast("int").alias("day"),
+    ).withColumn("drop", F.substring(F.sha2(F.concat_ws("/", F.lit(seed), "year", "month", "day"), 256), 1, 16))
+    keep = ["id", "name", "age", "country", "year", "month", "day", "drop"]
+    writer_opts = dict(mode="overwrite", format=area.fmt, partitionBy=["year", "month", "day", "drop"])
+    good = rows.where(F.col("day") != break_day).select(*keep)
+    broken = rows.where(F.col("day") == break_day).select(*keep[:4], "city", *keep[4:])
+    for part in (good, broken):
+        part.write.option("partitionOverwriteMode", "dynamic").save(area.object_dir, **writer_opts)

@@ -173,3 +173,15 @@ def test_start_date_narrows_the_listed_folders(spark, tmp_dir):
     assert days == [(2025, 10, 3), (2025, 11, 1), (2026, 1, 1)]
     assert area.lines(spark, (2025, 10, 3)).count() == 3
     assert area.files(spark).count() == 7
+
+
+def test_generated_drops_break_on_one_day(spark, tmp_dir):
+    from sluice.plans.landing import generate_drops
+
+    area = LandingArea(tmp_dir, "customer", "parquet")
+    generate_drops(spark, area, seed=7)
+    rows = area.read(spark, CUSTOMER_CONTRACT).collect()
+    assert len(rows) == 90 and all(18 <= r["age"] <= 70 for r in rows)
+    log = apply_data_contract(spark, area, CUSTOMER_CONTRACT, f"{tmp_dir}/_log")
+    assert [r["old_file_path"].split("/day=")[1][:1] for r in log.collect()] == ["6"] * log.count()
+    assert load_conforming(spark, area, CUSTOMER_CONTRACT).count() == 80
