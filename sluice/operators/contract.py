@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from .._util import temp_name
+from ..session import cut_lineage
 from ..sources.landing import LandingArea
 from .compare import schema_breaches
 
@@ -145,21 +146,27 @@ def file_schema_breaches(
 
 
 def json_breaches(lines: DataFrame, contract: StructType) -> DataFrame:
-    """``path, reason`` for JSON-lines files breaking the contract (see module doc)."""
+    """``path, reason`` for JSON-lines files breaking the contract (see module doc).
+
+    One scan of the lines feeds one ``(path, unexpected key)`` aggregation that also carries the
+    per-line counts (each line is counted once, in the group of its first unexpected key); it is
+    checkpointed, and the per-file totals and the first unexpected keys are both read from it.
+    """
     v = temp_name(lines, "v")
     nonblank = F.trim(F.col("value")) != ""
     parsed = lines.select("path", "value", F.try_parse_json("value").alias(v), nonblank.alias("nb"))
-    aggs = [
-        F.count_if(F.col("nb")).alias("n_lines"),
-        F.count_if(F.col("nb") & F.col(v).isNull()).alias("n_malformed"),
-    ]
+    known = F.array(*[F.lit(f.name) for f in contract.fields])
+    metrics = {
+        "n_lines": F.col("nb"),
+        "n_malformed": F.col("nb") & F.col(v).isNull(),
+    }
     parts = []
     for i, f in enumerate(contract.fields):
         jpath = "$['" + f.name.replace("\\", "\\\\").replace("'", "\\'") + "']"
         raw = F.try_variant_get(F.col(v), jpath, "variant")
         present = raw.isNotNull() & ~F.is_variant_null(raw)
         typed = F.try_variant_get(F.col(v), jpath, f.dataType.simpleString())
-        aggs.append(F.count_if(present & typed.isNull()).alias(f"bad{i}"))
+        metrics[f"bad{i}"] = present & typed.isNull()
         parts.append(
             F.when(
                 F.col(f"bad{i}") > 0,
@@ -167,30 +174,32 @@ def json_breaches(lines: DataFrame, contract: StructType) -> DataFrame:
             )
         )
         if not f.nullable:
-            aggs.append(F.count_if(F.col(v).isNotNull() & ~present).alias(f"abs{i}"))
+            metrics[f"abs{i}"] = F.col(v).isNotNull() & ~present
             parts.append(
                 F.when(F.col(f"abs{i}") > 0, F.format_string(f"column {f.name}: NULL or absent on %d lines", F.col(f"abs{i}")))
             )
-    per_file = parsed.groupBy("path").agg(*aggs)
-
-    known = F.array(*[F.lit(f.name) for f in contract.fields])
-    # one row per (file, unexpected key); a file may hold any number of them, so the reason names
-    # the count and the first NAMED_KEYS in key order (a top-k per file, no unbounded list)
-    extra_keys = (
-        parsed.where(F.col(v).isNotNull())
-        .select("path", F.explode(F.array_except(F.json_object_keys("value"), known)).alias("key"))
-        .groupBy("path", "key")
-        .count()
+    extra_keys = F.when(F.col(v).isNotNull(), F.array_except(F.json_object_keys("value"), known))
+    per_line = parsed.select(
+        "path", *[c.alias(name) for name, c in metrics.items()], F.posexplode_outer(extra_keys).alias("pos", "key")
+    )
+    first_row_of_line = F.col("pos").isNull() | (F.col("pos") == 0)
+    # small (one row per file and unexpected key) and read twice below: materialise it once in the
+    # shared checkpoint folder, so the JSON text is scanned once
+    per_key = cut_lineage(
+        per_line.groupBy("path", "key").agg(*[F.count_if(first_row_of_line & F.col(name)).alias(name) for name in metrics])
+    )
+    per_file = per_key.groupBy("path").agg(
+        *[F.sum(name).alias(name) for name in metrics], F.count("key").alias("n_extra")
     )
-    rn = temp_name(["path", "key", "count"], "rn")
+    # the first NAMED_KEYS unexpected keys per file: a top-k (partial limit before the shuffle)
+    rn = temp_name(["path", "key", *metrics], "rn")
+    # the NULL key of lines without unexpected keys ranks last and collect_list skips it
     first_keys = (
-        extra_keys.withColumn(rn, F.row_number().over(Window.partitionBy("path").orderBy("key")))
+        per_key.withColumn(rn, F.row_number().over(Window.partitionBy("path").orderBy(F.col("key").asc_nulls_last())))
         .where(F.col(rn) <= NAMED_KEYS)
         .groupBy("path")
         .agg(F.array_sort(F.collect_list("key")).alias("extra"))
     )
-    n_extra = extra_keys.groupBy("path").agg(F.count("*").alias("n_extra"))
-    extra = n_extra.join(first_keys, "path")
     reason = F.concat_ws(
         "; ",
         F.when(F.col("n_malformed") > 0, F.format_string("%d malformed lines", F.col("n_malformed"))),
@@ -198,10 +207,10 @@ def json_breaches(lines: DataFrame, contract: StructType) -> DataFrame:
         F.when(
             F.col("n_extra") > NAMED_KEYS,
             F.format_string(f"%d unexpected columns, first {NAMED_KEYS}: %s", F.col("n_extra"), F.array_join("extra", ", ")),
-        ).when(F.col("extra").isNotNull(), F.concat(F.lit("unexpected columns: "), F.array_join("extra", ", "))),
+        ).when(F.col("n_extra") > 0, F.concat(F.lit("unexpected columns: "), F.array_join("extra", ", "))),
     )
     return (
-        per_file.join(extra, "path", "left")
+        per_file.join(first_keys, "path", "left")
         .select("path", F.when(reason != "", reason).alias("reason"))
         .where(F.col("reason").isNotNull())
     )
