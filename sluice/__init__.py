@@ -5,6 +5,8 @@ key, mapping enrichment, publish and MERGE, the same over Structured Streaming,
 equality — all as DataFrame plans.
 """
 
-from .functions import DataCheck, DataCheckClause, fail_messages
+from .functions import DataCheck, DataCheckClause, any_failed, fail_messages
 from .operators import *  # noqa: F401,F403
-from .sources import load_data_checks, read_check_configs
+from .plans import *  # noqa: F401,F403
+from .sources import LandingArea, detect_files, load_data_checks, read_check_configs
+from .streaming import *  # noqa: F401,F403
