@@ -52,3 +52,10 @@ def test_upsert_latest_stream_equals_batch(spark, tmp_dir):
     target = f"{tmp_dir}/latest"
     upsert_latest(stream, "user_id", "ts", target, f"{tmp_dir}/ckpt2", tie_break="event_id").awaitTermination()
     assert_frames_equal(spark.read.parquet(target), latest_per_key(events, "user_id", "ts", tie_break="event_id"))
+
+
+def test_micro_batch_persist_is_released(spark, tmp_dir):
+    events, stream = _source(spark, tmp_dir, parts=2)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    upsert_latest(stream, "user_id", "ts", f"{tmp_dir}/t", f"{tmp_dir}/c", tie_break="event_id").awaitTermination()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
