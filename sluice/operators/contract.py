@@ -248,6 +248,7 @@ def _mover(batches):
         olds, news, msgs = (batch.column(i).to_pylist() for i in range(3))
         status = []
         for old, new in zip(olds, news):
+            fs = src = dst = None
             try:
                 fs, src = _arrow_fs(old)
                 _, dst = _arrow_fs(new)
@@ -262,7 +263,7 @@ def _mover(batches):
             except Exception as e:
                 # a concurrent attempt of this task may have moved the file meanwhile
                 try:
-                    done = (
+                    done = fs is not None and dst is not None and (
                         fs.get_file_info(src).type == pafs.FileType.NotFound
                         and fs.get_file_info(dst).type != pafs.FileType.NotFound
                     )
