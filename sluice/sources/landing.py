@@ -130,7 +130,15 @@ class LandingArea:
         )
         if schema is not None:
             reader = reader.schema(schema)
-        df = reader.load(self.roots(spark, start))
+        roots = self.roots(spark, start) if self.exists(spark) else []
+        if not roots:
+            if schema is None:
+                raise FileNotFoundError(f"no {self.fmt} files in scope below {self.object_dir}")
+            empty = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+            return spark.createDataFrame([], empty).select(
+                "*", *[F.lit(None).cast("int").alias(c) for c in ("year", "month", "day")]
+            )
+        df = reader.load(roots)
         path = F.col("_metadata.file_path")
         return df.where(self._in_scope(path, start, False)).select(
             *df.columns,

@@ -185,3 +185,11 @@ def test_generated_drops_break_on_one_day(spark, tmp_dir):
     log = apply_data_contract(spark, area, CUSTOMER_CONTRACT, f"{tmp_dir}/_log")
     assert [r["old_file_path"].split("/day=")[1][:1] for r in log.collect()] == ["6"] * log.count()
     assert load_conforming(spark, area, CUSTOMER_CONTRACT).count() == 80
+
+
+def test_read_with_nothing_in_scope(spark, tmp_dir):
+    area = LandingArea(tmp_dir, "customer", "parquet")
+    assert area.read(spark, CUSTOMER_CONTRACT).count() == 0
+    make_drops(spark, tmp_dir, "parquet", days=[1])
+    assert area.read(spark, CUSTOMER_CONTRACT, (2030, 1, 1)).count() == 0
+    assert area.read(spark, CUSTOMER_CONTRACT, (2025, 10, 1)).count() == 10
