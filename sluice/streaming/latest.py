@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .._util import as_list, temp_name, to_col
 from ..operators.merge import MergeTarget
+from ..operators.publish import path_exists
 from .checks import _trigger_kwargs
 
 
@@ -71,12 +72,10 @@ def upsert_latest(
     @reused_batch
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            target = MergeTarget.forPath(spark, target_path, fmt)
-            target.toDF().schema  # raises when nothing was written yet
-        except Exception:
-            batch.write.mode("overwrite").format(fmt).save(target_path)
+        if not path_exists(spark, target_path):
+            batch.write.mode("errorifexists").format(fmt).save(target_path)
             return
+        target = MergeTarget.forPath(spark, target_path, fmt)
         # one row per key by construction (grouped state), so no duplicate-match check is needed
         target.merge(batch, on=keys).whenMatchedUpdateAll().whenNotMatchedInsertAll().execute(check_duplicates=False)
 
