@@ -61,3 +61,13 @@ def replace_table(df: DataFrame, name: str) -> DataFrame:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
     return spark.table(name)
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists and holds any entry Spark would read (not ``_``/``.`` hidden)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return False
+    if not fs.getFileStatus(p).isDirectory():
+        return True
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))

@@ -9,7 +9,7 @@ from ..operators.checks import apply_data_checks
 from ..operators.conform import map_column
 from ..operators.latest import latest_per_key, require_fields, required_field_checks
 from ..operators.merge import MergeTarget
-from ..operators.publish import path_exists, replace_path, replace_table
+from ..operators.publish import has_data, replace_path, replace_table
 
 
 def build_gold(
@@ -60,7 +60,7 @@ def publish(
     if (table is None) == (path is None):
         raise ValueError("give exactly one of table= or path=")
     spark: SparkSession = df.sparkSession
-    exists = spark.catalog.tableExists(table) if table else path_exists(spark, path)
+    exists = spark.catalog.tableExists(table) if table else has_data(spark, path)
     if mode == "merge" and exists:
         target = MergeTarget.forName(spark, table) if table else MergeTarget.forPath(spark, path, fmt)
         target.merge(df, on=as_list(on)).whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
@@ -76,4 +76,4 @@ def publish(
     elif table:
         df.write.saveAsTable(table)
     else:
-        df.write.format(fmt).save(path)
+        df.write.mode("overwrite").format(fmt).save(path)  # nothing to read there: plain write

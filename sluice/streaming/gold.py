@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .._util import as_list, broadcast_if_small, quote
 from ..operators.conform import BROADCAST_MAX_ROWS, map_column
 from ..operators.merge import MergeTarget
-from ..operators.publish import path_exists
+from ..operators.publish import has_data
 from .checks import _trigger_kwargs
 from .latest import latest_state, reused_batch
 
@@ -45,8 +45,8 @@ def upsert_gold_stream(
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         enriched = map_column(batch, lookup, column, map_key, map_value, broadcast_max_rows=None)
-        if not path_exists(spark, target_path):
-            enriched.alias("src").where(f"NOT ({missing})").write.mode("errorifexists").format(fmt).save(target_path)
+        if not has_data(spark, target_path):
+            enriched.alias("src").where(f"NOT ({missing})").write.mode("overwrite").format(fmt).save(target_path)
             return
         target = MergeTarget.forPath(spark, target_path, fmt)
         (

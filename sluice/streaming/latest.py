@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .._util import as_list, temp_name, to_col
 from ..operators.merge import MergeTarget
-from ..operators.publish import path_exists
+from ..operators.publish import has_data
 from .checks import _trigger_kwargs
 
 
@@ -72,8 +72,8 @@ def upsert_latest(
     @reused_batch
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if not path_exists(spark, target_path):
-            batch.write.mode("errorifexists").format(fmt).save(target_path)
+        if not has_data(spark, target_path):
+            batch.write.mode("overwrite").format(fmt).save(target_path)
             return
         target = MergeTarget.forPath(spark, target_path, fmt)
         # one row per key by construction (grouped state), so no duplicate-match check is needed

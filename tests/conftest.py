@@ -17,7 +17,8 @@ def spark():
 
     warehouse = tempfile.mkdtemp(prefix="sluice-test-wh-")
     session = local_session("local[4]", "sluice-tests", **{"spark.sql.warehouse.dir": warehouse})
-    session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sluice-test-ckpt-"))
+    # spark.checkpoint.dir is taken from the configuration; only when it is unset does
+    # checkpoint_root create a local folder (local master only)
     yield session
     session.stop()
 
