@@ -10,6 +10,7 @@ from ..operators.conform import map_column
 from ..operators.latest import latest_per_key, require_fields, required_field_checks
 from ..operators.merge import MergeTarget
 from ..operators.publish import has_data, replace_path, replace_table
+from ..session import cut_lineage
 
 
 def build_gold(
@@ -62,8 +63,11 @@ def publish(
     spark: SparkSession = df.sparkSession
     exists = spark.catalog.tableExists(table) if table else has_data(spark, path)
     if mode == "merge" and exists:
+        # the merge reads its source twice (size and key multiplicity, then the merge itself):
+        # materialise it once instead of running its whole lineage twice
+        source = cut_lineage(df)
         target = MergeTarget.forName(spark, table) if table else MergeTarget.forPath(spark, path, fmt)
-        target.merge(df, on=as_list(on)).whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
+        target.merge(source, on=as_list(on)).whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
         return
     if mode not in ("overwrite", "merge"):
         raise ValueError("mode must be 'overwrite' or 'merge'")
