@@ -102,3 +102,12 @@ def test_property_frame_diff_is_multiset_difference(spark, left, right):
         elif d < 0:
             expected[(*row, "right_only")] = -d
     assert got == expected
+
+
+def test_key_split_with_few_bad_keys_never_shuffles_the_input(spark):
+    from sluice.operators import good_rows
+
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    plan = physical(spark, good_rows(li, [("l_quantity > 49.5", "q")], by="key", key="l_orderkey"))
+    assert "Exchange hashpartitioning" not in plan
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan

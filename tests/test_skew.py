@@ -74,3 +74,10 @@ def test_hot_duplicate_rows_diff(spark, skewed):
     b = skewed.where("k <> 0 OR id % 2 = 0").select("k")
     rows = frame_diff(a, b).collect()
     assert [(r["k"], r["_side"], r["_count"]) for r in rows] == [(0, "left_only", N // 3 // 2)]
+
+
+def test_hot_key_good_rows_by_key_shuffle_path(spark, skewed):
+    # the same split with the bounded broadcast disabled: shuffle anti join, skew split by AQE
+    out = good_rows(skewed, [("v = 96 AND k <> 0", "bad")], by="key", key="k", broadcast_max_keys=None)
+    ref = good_rows(skewed, [("v = 96 AND k <> 0", "bad")], by="key", key="k")
+    assert out.count() == ref.count()
