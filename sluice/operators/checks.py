@@ -11,7 +11,7 @@ import warnings
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .._util import as_list, resolve_names, temp_name, to_col
+from .._util import as_list, has_at_most, resolve_names, temp_name, to_col
 from ..session import cut_lineage
 from ..functions.checks import _inlinable, _plain, any_failed, clauses_of, empty_messages, fail_messages, validate_checks
 
@@ -88,20 +88,21 @@ def good_rows(
 def drop_keys_of(df: DataFrame, bad: DataFrame, keys, *, broadcast_max_keys: int | None = BROADCAST_MAX_KEYS) -> DataFrame:
     """``df`` without the rows whose key also occurs in ``bad`` (NULL-safe key equality).
 
-    The bad side is reduced to distinct keys (partial aggregation before its shuffle). At most
-    ``broadcast_max_keys + 1`` of them are materialised in the shared checkpoint folder; when that
-    proves there are no more than ``broadcast_max_keys``, the checkpoint is broadcast and ``df`` is
-    streamed through a broadcast anti join without any shuffle. Otherwise the join is a shuffle
-    join, where AQE splits a skewed left partition (one hot key).
+    The bad side is reduced to distinct keys (partial aggregation before its shuffle) and
+    materialised once in the shared checkpoint folder. When its count proves at most
+    ``broadcast_max_keys`` keys, the checkpoint is broadcast and ``df`` is streamed through a
+    broadcast anti join without any shuffle. Otherwise the join is a shuffle join, where AQE splits
+    a skewed left partition (one hot key).
     """
     keys = as_list(keys)
     renamed = [temp_name(df, f"bk{i}") for i in range(len(keys))]
     bad_keys = bad.select(*[to_col(k).alias(r) for k, r in zip(keys, renamed)]).distinct()
     cond = [to_col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)]
-    if broadcast_max_keys is not None:
-        bounded = cut_lineage(bad_keys.limit(broadcast_max_keys + 1))
-        if bounded.count() <= broadcast_max_keys:
-            return df.join(F.broadcast(bounded), cond, "left_anti")
+    if broadcast_max_keys is None:
+        return df.join(bad_keys, cond, "left_anti")
+    bad_keys = cut_lineage(bad_keys)  # computed once, read by the count and by the join
+    if has_at_most(bad_keys, broadcast_max_keys):
+        bad_keys = F.broadcast(bad_keys)
     return df.join(bad_keys, cond, "left_anti")
 
 

@@ -28,7 +28,7 @@ def map_column(
     columns are kept in order and the mapped column is moved last. As with any left join, a code
     listed twice in the mapping duplicates the row; ``unique_keys=True`` raises instead.
 
-    The mapping is broadcast after a bounded row count proves it holds at most
+    The mapping is broadcast after a row count proves it holds at most
     ``broadcast_max_rows`` rows. ``None`` skips the count (useful when the mapping is itself derived
     from a big scan, which the count would run twice): the planner then decides from statistics,
     and AQE from the measured size of the mapping's shuffle.

@@ -14,7 +14,7 @@ How it runs (no full outer join, which Spark can neither broadcast nor split whe
 * inserted rows: ``source LEFT ANTI JOIN target``. With equality keys (``on=``) the target side is
   first reduced to its distinct keys (partial aggregation before the shuffle), so a hot key
   arrives as one row per map task.
-* a source proven small (bounded row count, ``source_broadcast_max_rows``) is broadcast explicitly,
+* a source proven small (row count, ``source_broadcast_max_rows``) is broadcast explicitly,
   and the target keys are first semi-joined with the broadcast source keys: the target is then only
   scanned, never shuffled, by either join.
 
