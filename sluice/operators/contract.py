@@ -145,20 +145,30 @@ def file_schema_breaches(
     return files.select("path").mapInArrow(checker, BREACH_SCHEMA).where(F.col("reason").isNotNull())
 
 
-def json_breaches(lines: DataFrame, contract: StructType) -> DataFrame:
-    """``path, reason`` for JSON-lines files breaking the contract (see module doc).
-
-    One scan of the lines feeds one ``(path, unexpected key)`` aggregation that also carries the
-    per-line counts (each line is counted once, in the group of its first unexpected key); it is
-    checkpointed, and the per-file totals and the first unexpected keys are both read from it.
+def json_breaches(lines: DataFrame, contract: StructType, *, multiline: bool = False) -> DataFrame:
+    """``path, reason`` for JSON files breaking the contract (see module doc).
+
+    Records are JSON lines, or with ``multiline`` the documents of whole files (an array document
+    contributes one record per element). Each record is parsed once into a variant; its keys, the
+    presence and the type fit of every contract field all come from that variant. One scan feeds one
+    ``(path, unexpected key)`` aggregation that also carries the per-record counts (each record is
+    counted once, in the group of its first unexpected key); it is checkpointed, and the per-file
+    totals and the first unexpected keys are both read from it.
     """
     v = temp_name(lines, "v")
     nonblank = F.trim(F.col("value")) != ""
-    parsed = lines.select("path", "value", F.try_parse_json("value").alias(v), nonblank.alias("nb"))
+    doc = F.try_parse_json("value")
+    if multiline:
+        record = F.explode(F.coalesce(F.try_variant_get(doc, "$", "array<variant>"), F.array(doc)))
+    else:
+        record = doc
+    parsed = lines.select("path", record.alias(v), nonblank.alias("nb"))
+    keys = F.map_keys(F.try_variant_get(F.col(v), "$", "map<string,variant>"))
+    unit = "records" if multiline else "lines"
     known = F.array(*[F.lit(f.name) for f in contract.fields])
     metrics = {
         "n_lines": F.col("nb"),
-        "n_malformed": F.col("nb") & F.col(v).isNull(),
+        "n_malformed": F.col("nb") & keys.isNull(),  # unparsable, or not a JSON object
     }
     parts = []
     for i, f in enumerate(contract.fields):
@@ -174,11 +184,11 @@ def json_breaches(lines: DataFrame, contract: StructType) -> DataFrame:
             )
         )
         if not f.nullable:
-            metrics[f"abs{i}"] = F.col(v).isNotNull() & ~present
+            metrics[f"abs{i}"] = keys.isNotNull() & ~present
             parts.append(
-                F.when(F.col(f"abs{i}") > 0, F.format_string(f"column {f.name}: NULL or absent on %d lines", F.col(f"abs{i}")))
+                F.when(F.col(f"abs{i}") > 0, F.format_string(f"column {f.name}: NULL or absent on %d {unit}", F.col(f"abs{i}")))
             )
-    extra_keys = F.when(F.col(v).isNotNull(), F.array_except(F.json_object_keys("value"), known))
+    extra_keys = F.array_except(keys, known)
     per_line = parsed.select(
         "path", *[c.alias(name) for name, c in metrics.items()], F.posexplode_outer(extra_keys).alias("pos", "key")
     )
@@ -202,7 +212,7 @@ def json_breaches(lines: DataFrame, contract: StructType) -> DataFrame:
     )
     reason = F.concat_ws(
         "; ",
-        F.when(F.col("n_malformed") > 0, F.format_string("%d malformed lines", F.col("n_malformed"))),
+        F.when(F.col("n_malformed") > 0, F.format_string(f"%d malformed {unit}", F.col("n_malformed"))),
         *parts,
         F.when(
             F.col("n_extra") > NAMED_KEYS,
@@ -228,7 +238,7 @@ def contract_breaches(
     """Breaching files of a landing area from ``start`` on: ``path, reason``."""
     fmt = area.fmt.lower()
     if fmt == "json":
-        return json_breaches(area.lines(spark, start), contract)
+        return json_breaches(area.lines(spark, start), contract, multiline=area.multiline)
     if fmt in ("parquet", "orc", "csv"):
         return file_schema_breaches(
             area.files(spark, start), fmt, contract, ignore_nullable=ignore_nullable, deep=deep

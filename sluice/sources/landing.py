@@ -43,6 +43,7 @@ class LandingArea:
     root: str
     object_name: str
     fmt: str = "parquet"
+    multiline: bool = False  # JSON files holding one document (object or array) over many lines
 
     @property
     def object_dir(self) -> str:
@@ -110,14 +111,15 @@ class LandingArea:
         )
 
     def lines(self, spark: SparkSession, start=None, *, include_strays: bool = False) -> DataFrame:
-        """Text lines of the in-scope files: ``path, value`` (for JSON/CSV contract checks)."""
+        """Text of the in-scope files: ``path, value``, one row per line (one per file for a
+        ``multiline`` area); used by the JSON contract checks."""
         roots = self.roots(spark, start, include_strays) if self.exists(spark) else []
         if not roots:
             return spark.createDataFrame([], "path string, value string")
         text = (
             spark.read.option("pathGlobFilter", glob_for(self.fmt))
             .option("recursiveFileLookup", "true")
-            .text(roots)
+            .text(roots, wholetext=self.multiline)
         )
         path = F.col("_metadata.file_path")
         return text.where(self._in_scope(path, start, include_strays)).select(path.alias("path"), "value")
@@ -128,6 +130,8 @@ class LandingArea:
         reader = spark.read.format(self.fmt).option("recursiveFileLookup", "true").option(
             "pathGlobFilter", glob_for(self.fmt)
         )
+        if self.multiline:
+            reader = reader.option("multiLine", "true")
         if schema is not None:
             reader = reader.schema(schema)
         roots = self.roots(spark, start) if self.exists(spark) else []

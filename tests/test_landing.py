@@ -193,3 +193,22 @@ def test_read_with_nothing_in_scope(spark, tmp_dir):
     make_drops(spark, tmp_dir, "parquet", days=[1])
     assert area.read(spark, CUSTOMER_CONTRACT, (2030, 1, 1)).count() == 0
     assert area.read(spark, CUSTOMER_CONTRACT, (2025, 10, 1)).count() == 10
+
+
+def test_multiline_json_documents(spark, tmp_dir):
+    d = f"{tmp_dir}/object=customer/year=2025/month=10/day=01/x"
+    os.makedirs(d)
+    with open(f"{d}/arr.json", "w") as f:  # an array document over several lines
+        f.write('[\n  {"id": "1", "name": "a", "age": 30, "country": "X"},\n  {"id": "2", "age": "old", "city": "Y"}\n]\n')
+    with open(f"{d}/obj.json", "w") as f:  # one pretty-printed object: conforming
+        f.write('{\n  "id": "3",\n  "name": "b",\n  "age": 40\n}\n')
+    with open(f"{d}/empty.json", "w") as f:
+        f.write("[]\n")
+    with open(f"{d}/bad.json", "w") as f:
+        f.write('{"id": "4",\n')
+    area = LandingArea(tmp_dir, "customer", "json", multiline=True)
+    out = {r["path"].rsplit("/", 1)[1]: r["reason"] for r in contract_breaches(spark, area, CUSTOMER_CONTRACT).collect()}
+    assert set(out) == {"arr.json", "bad.json"}, out
+    assert "column age: 1 values do not fit int" in out["arr.json"] and "unexpected columns: city" in out["arr.json"]
+    assert out["bad.json"] == "1 malformed records"
+    assert area.read(spark, CUSTOMER_CONTRACT).where("id = '3'").count() == 1
