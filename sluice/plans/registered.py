@@ -616,7 +616,10 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, eve
 def stream_latest_query(spark, sf_dir):
     stream = _event_stream_source(spark, sf_dir)
     target = shared_dir(spark, "stream-latest-target")
-    q = upsert_latest(stream, "user_id", "ts", target, shared_dir(spark, "stream-latest-ckpt"), tie_break="event_id")
+    q = upsert_latest(
+        stream, "user_id", "ts", target, shared_dir(spark, "stream-latest-ckpt"), tie_break="event_id",
+        state_partitions=spark.sparkContext.defaultParallelism,  # one state partition per core
+    )
     q.awaitTermination()
     return spark.read.parquet(target)
 
@@ -634,6 +637,9 @@ def stream_gold_query(spark, sf_dir):
     target = shared_dir(spark, "stream-gold-target")
     # the mapping comes from a full events scan: compute it once, not in every micro-batch
     mapping = cut_lineage(city_mapping(spark, sf_dir))
-    q = upsert_gold_stream(stream, mapping, target, shared_dir(spark, "stream-gold-ckpt"), tie_break="event_id")
+    q = upsert_gold_stream(
+        stream, mapping, target, shared_dir(spark, "stream-gold-ckpt"), tie_break="event_id",
+        state_partitions=spark.sparkContext.defaultParallelism,  # one state partition per core
+    )
     q.awaitTermination()
     return spark.read.parquet(target)

@@ -25,6 +25,24 @@ def _trigger_kwargs(trigger) -> dict:
     return {"processingTime": trigger}
 
 
+def start_query(writer, spark, state_partitions: int | None = None):
+    """``writer.start()``; with ``state_partitions``, the query's shuffle/state partition count.
+
+    A streaming query copies the session configuration when it starts and keeps its state partition
+    count for its whole life (it is stored with the checkpoint), so the setting is applied only
+    around ``start()`` and the session is left as it was.
+    """
+    if state_partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
+
+
 def stream_checks(
     stream: DataFrame,
     cfg,

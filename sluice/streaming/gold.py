@@ -15,7 +15,7 @@ from .._util import as_list, broadcast_if_small, quote
 from ..operators.conform import BROADCAST_MAX_ROWS, map_column
 from ..operators.merge import MergeTarget
 from ..operators.publish import has_data
-from .checks import _trigger_kwargs
+from .checks import _trigger_kwargs, start_query
 from .latest import latest_state, reused_batch
 
 
@@ -34,6 +34,7 @@ def upsert_gold_stream(
     map_value: str = "city",
     trigger="availableNow",
     fmt: str = "parquet",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     keys = as_list(key)
     latest = latest_state(stream, keys, order_by, tie_break)
@@ -58,10 +59,10 @@ def upsert_gold_stream(
             .execute(check_duplicates=False)  # one row per key by construction
         )
 
-    return (
+    writer = (
         latest.writeStream.outputMode("update")
         .foreachBatch(merge_batch)
         .option("checkpointLocation", checkpoint_location)
         .trigger(**_trigger_kwargs(trigger))
-        .start()
     )
+    return start_query(writer, stream.sparkSession, state_partitions)

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .._util import as_list, temp_name, to_col
 from ..operators.merge import MergeTarget
 from ..operators.publish import has_data
-from .checks import _trigger_kwargs
+from .checks import _trigger_kwargs, start_query
 
 
 def latest_state(stream: DataFrame, keys, order_by, tie_break=None) -> DataFrame:
@@ -64,6 +64,7 @@ def upsert_latest(
     tie_break=None,
     trigger="availableNow",
     fmt: str = "parquet",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep ``target_path`` equal to the newest row per key of everything the stream has seen."""
     keys = as_list(keys)
@@ -79,10 +80,10 @@ def upsert_latest(
         # one row per key by construction (grouped state), so no duplicate-match check is needed
         target.merge(batch, on=keys).whenMatchedUpdateAll().whenNotMatchedInsertAll().execute(check_duplicates=False)
 
-    return (
+    writer = (
         latest.writeStream.outputMode("update")
         .foreachBatch(merge_batch)
         .option("checkpointLocation", checkpoint_location)
         .trigger(**_trigger_kwargs(trigger))
-        .start()
     )
+    return start_query(writer, stream.sparkSession, state_partitions)
