@@ -7,7 +7,9 @@
   one aggregation counting malformed lines, values that do not fit the contract type and lines
   missing a NOT NULL field, plus the set of keys the contract does not know. Field order is not
   part of a JSON contract.
-* CSV: the header line (read by the task, first block only) against the contract's names.
+* CSV: the header line (read by the task, first block only) against the contract's names, and one
+  Spark CSV scan with the contract schema in PERMISSIVE mode counting, per file, the rows whose values
+  do not fit it.
 * Quarantine: the new path is computed as a Column; the move itself runs in executor tasks and is
   idempotent (source gone + target present = done), so a retried task is harmless.
 """
@@ -226,6 +228,50 @@ def json_breaches(lines: DataFrame, contract: StructType, *, multiline: bool = F
     )
 
 
+def csv_value_breaches(spark: SparkSession, area: LandingArea, contract: StructType, start=None) -> DataFrame:
+    """``path, reason`` for CSV files with rows that do not fit the contract's types or width."""
+    roots = area.roots(spark, start) if area.exists(spark) else []
+    if not roots:
+        return spark.createDataFrame([], BREACH_SCHEMA)
+    corrupt = temp_name([f.name for f in contract.fields], "corrupt")
+    schema = StructType([StructField(f.name, f.dataType, True) for f in contract.fields] + [StructField(corrupt, StringType(), True)])
+    rows = (
+        spark.read.schema(schema)
+        .option("header", "true")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", corrupt)
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.csv")
+        .csv(roots)
+    )
+    path = F.col("_metadata.file_path")
+    per_file = (
+        rows.where(area._in_scope(path, start, False))
+        .groupBy(path.alias("path"))
+        .agg(
+            # The CSV parser converts only the columns a query reads (and refuses to read only the
+            # corrupt-record column), so every contract column is referenced through an always-true
+            # test the optimizer cannot fold: all values are then converted and checked.
+            F.count_if(
+                F.col(corrupt).isNotNull()
+                & (
+                    F.coalesce(F.length(F.concat_ws(",", *[F.col(f"`{f.name}`").cast("string") for f in contract.fields])), F.lit(0))
+                    >= 0
+                )
+            ).alias("n_bad"),
+            F.count("*").alias("n_rows"),
+        )
+    )
+    return per_file.where(F.col("n_bad") > 0).select(
+        "path", F.format_string("%d of %d rows do not fit the contract", F.col("n_bad"), F.col("n_rows")).alias("reason")
+    )
+
+
+def _combine(breaches: DataFrame) -> DataFrame:
+    """One row per file with its reasons joined (at most one reason per check kind per file)."""
+    return breaches.groupBy("path").agg(F.concat_ws("; ", F.array_sort(F.collect_list("reason"))).alias("reason"))
+
+
 def contract_breaches(
     spark: SparkSession,
     area: LandingArea,
@@ -240,9 +286,10 @@ def contract_breaches(
     if fmt == "json":
         return json_breaches(area.lines(spark, start), contract, multiline=area.multiline)
     if fmt in ("parquet", "orc", "csv"):
-        return file_schema_breaches(
-            area.files(spark, start), fmt, contract, ignore_nullable=ignore_nullable, deep=deep
-        )
+        found = file_schema_breaches(area.files(spark, start), fmt, contract, ignore_nullable=ignore_nullable, deep=deep)
+        if fmt == "csv":
+            found = _combine(found.unionByName(csv_value_breaches(spark, area, contract, start)))
+        return found
     if fmt == "avro":
         raise NotImplementedError(
             "avro contracts need the spark-avro data source on the class path; it is not installed here"

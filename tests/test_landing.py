@@ -212,3 +212,15 @@ def test_multiline_json_documents(spark, tmp_dir):
     assert "column age: 1 values do not fit int" in out["arr.json"] and "unexpected columns: city" in out["arr.json"]
     assert out["bad.json"] == "1 malformed records"
     assert area.read(spark, CUSTOMER_CONTRACT).where("id = '3'").count() == 1
+
+
+def test_csv_values_must_fit_the_contract(spark, tmp_dir):
+    d = f"{tmp_dir}/object=customer/year=2025/month=10/day=01/x"
+    os.makedirs(d)
+    with open(f"{d}/a.csv", "w") as f:
+        f.write("id,name,age,country\n1,a,30,X\n2,b,old,Y\n3,c,40,Z,extra\n")
+    with open(f"{d}/b.csv", "w") as f:
+        f.write("id,name,age,country\n4,d,50,W\n")
+    area = LandingArea(tmp_dir, "customer", "csv")
+    out = {r["path"].rsplit("/", 1)[1]: r["reason"] for r in contract_breaches(spark, area, CUSTOMER_CONTRACT).collect()}
+    assert out == {"a.csv": "2 of 3 rows do not fit the contract"}, out
