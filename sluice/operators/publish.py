@@ -53,11 +53,18 @@ def replace_path(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
 
 def replace_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as the new content of catalog table ``name`` (which ``df`` may read): into a
-    staging table first, then drop the old table and rename the staging table in its place."""
+    staging table first (created ``LIKE`` the table when the columns are the same, so format,
+    partitioning and properties stay), then drop the old table and rename the staging table."""
     spark = df.sparkSession
     token = uuid.uuid4().hex[:12]
     staging = f"{name}__next_{token}"
-    df.write.mode("errorifexists").saveAsTable(staging)
+    current = spark.table(name).columns if spark.catalog.tableExists(name) else None
+    if current is not None and sorted(c.lower() for c in current) == sorted(c.lower() for c in df.columns):
+        # same columns: keep the table's format, partitioning and properties
+        spark.sql(f"CREATE TABLE {staging} LIKE {name}")
+        df.select(*[f"`{c}`" for c in current]).write.insertInto(staging)
+    else:
+        df.write.mode("errorifexists").saveAsTable(staging)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
     return spark.table(name)
