@@ -72,11 +72,14 @@ def _frame_alias(df: DataFrame) -> str | None:
 class MergeTarget:
     """Merge target. Create with :meth:`forName`, :meth:`forPath` or :meth:`forFrame`."""
 
-    def __init__(self, df: DataFrame, name: str | None = None, path: str | None = None, fmt: str = "parquet"):
+    def __init__(
+        self, df: DataFrame, name: str | None = None, path: str | None = None, fmt: str = "parquet", partition_by=None
+    ):
         self._df = df
         self.name = name
         self.path = path
         self.format = fmt
+        self.partition_by = partition_by
         self._alias = "target"
 
     @classmethod
@@ -84,8 +87,9 @@ class MergeTarget:
         return cls(spark.table(name), name=name)
 
     @classmethod
-    def forPath(cls, spark: SparkSession, path: str, fmt: str = "parquet") -> "MergeTarget":
-        return cls(spark.read.format(fmt).load(path), path=path, fmt=fmt)
+    def forPath(cls, spark: SparkSession, path: str, fmt: str = "parquet", partition_by=None) -> "MergeTarget":
+        """``partition_by``: the folder layout to keep when the merged content is written back."""
+        return cls(spark.read.format(fmt).load(path), path=path, fmt=fmt, partition_by=partition_by)
 
     @classmethod
     def forFrame(cls, df: DataFrame) -> "MergeTarget":
@@ -299,5 +303,5 @@ class MergeBuilder:
         if tgt.name is None and tgt.path is None:
             return result
         if tgt.path is not None:
-            return replace_path(result, tgt.path, tgt.format)
+            return replace_path(result, tgt.path, tgt.format, tgt.partition_by)
         return replace_table(result, tgt.name)

@@ -27,16 +27,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def replace_path(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
-    """Write ``df`` as the new content of ``path`` (which ``df`` may read) and return a frame
-    reading the new content."""
+def replace_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> DataFrame:
+    """Write ``df`` as the new content of ``path`` (which ``df`` may read), laid out by the
+    ``partition_by`` columns if given, and return a frame reading the new content."""
     spark = df.sparkSession
     token = uuid.uuid4().hex[:12]
     base = path.rstrip("/")
     parent, name = base.rsplit("/", 1)
     # leading underscore: hidden from Spark readers of the parent folder while it exists
     fresh, old = f"{parent}/_{name}.next-{token}", f"{parent}/_{name}.prev-{token}"
-    df.write.format(fmt).mode("errorifexists").save(fresh)
+    writer = df.write.format(fmt).mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    writer.save(fresh)
     jvm = spark.sparkContext._jvm
     fs, target = _fs(spark, base)
     had_target = fs.exists(target)

@@ -51,6 +51,7 @@ def publish(
     fmt: str = "parquet",
     mode: str = "overwrite",
     on=None,
+    partition_by=None,
 ) -> None:
     """Write ``df`` to a table or path.
 
@@ -66,7 +67,7 @@ def publish(
         # the merge reads its source twice (size and key multiplicity, then the merge itself):
         # materialise it once instead of running its whole lineage twice
         source = cut_lineage(df)
-        target = MergeTarget.forName(spark, table) if table else MergeTarget.forPath(spark, path, fmt)
+        target = MergeTarget.forName(spark, table) if table else MergeTarget.forPath(spark, path, fmt, partition_by)
         target.merge(source, on=as_list(on)).whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
         return
     if mode not in ("overwrite", "merge"):
@@ -76,8 +77,12 @@ def publish(
         if table:
             replace_table(df, table)
         else:
-            replace_path(df, path, fmt)
-    elif table:
-        df.write.saveAsTable(table)
+            replace_path(df, path, fmt, partition_by)
+        return
+    writer = df.write.mode("overwrite").format(fmt)  # nothing to read there: plain write
+    if partition_by:
+        writer = writer.partitionBy(*as_list(partition_by))
+    if table:
+        writer.saveAsTable(table)
     else:
-        df.write.mode("overwrite").format(fmt).save(path)  # nothing to read there: plain write
+        writer.save(path)

@@ -136,3 +136,15 @@ def test_schema_breaches():
     assert schema_breaches(swapped, CONTRACT, check_order=False) == []
     with pytest.raises(AssertionError):
         assert_schema_equal(extra, CONTRACT)
+
+
+def test_execute_keeps_path_partitioning(spark, tmp_dir):
+    t = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, p string")
+    path = f"{tmp_dir}/parted"
+    t.write.partitionBy("p").parquet(path)
+    s = spark.createDataFrame([(2, "B", "y"), (3, "c", "z")], "k int, v string, p string")
+    MergeTarget.forPath(spark, path, partition_by="p").merge(s, on="k").whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
+    import os
+
+    assert sorted(d for d in os.listdir(path) if d.startswith("p=")) == ["p=x", "p=y", "p=z"]
+    assert sorted((r["k"], r["v"], r["p"]) for r in spark.read.parquet(path).collect()) == [(1, "a", "x"), (2, "B", "y"), (3, "c", "z")]
