@@ -243,6 +243,11 @@ class MergeBuilder:
                 [qcol(sa, k) == F.col(r) for k, r in zip(self._on, renamed)],
                 "left_anti",
             )
+        elif small:
+            # target rows matching any source row (broadcast semi join: target streamed, not
+            # shuffled); the anti join then builds on that subset instead of the whole target
+            matched_targets = t.join(F.broadcast(s), cond, "left_semi").alias(ta)
+            unmatched = s.join(matched_targets, cond, "left_anti")
         else:
             unmatched = s.join(t, cond, "left_anti")
         unmatched = unmatched.alias(sa)
