@@ -3,7 +3,7 @@ import uuid
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sluice.operators.contract import LOG_SCHEMA, contract_breaches, quarantine_files, write_move_log
 from sluice.plans.landing import CUSTOMER_CONTRACT, MoveError, apply_data_contract, load_conforming

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from sluice.operators import apply_data_checks, assert_frames_equal, latest_per_key
 from sluice.streaming.checks import read_checked, stream_checks
