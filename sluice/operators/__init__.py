@@ -10,5 +10,13 @@ from .compare import (
 from .conform import map_column
 from .latest import deduplicate_df, latest_per_key, not_null, require_fields, required_field_checks
 from .merge import MergeBuilder, MergeConflictError, MergeTarget
-from .contract import contract_breaches, file_schema_breaches, json_breaches, quarantine_files, write_move_log
+from .contract import (
+    contract_breaches,
+    csv_value_breaches,
+    file_schema_breaches,
+    json_breaches,
+    json_unexpected_keys,
+    quarantine_files,
+    write_move_log,
+)
 from .publish import replace_path, replace_table

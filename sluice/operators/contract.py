@@ -33,7 +33,8 @@ from .compare import schema_breaches
 cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
 
 BREACH_SCHEMA = "path string, reason string"
-NAMED_KEYS = 20  # unexpected JSON keys named per file in a breach reason (all are counted)
+NAMED_KEYS = 20  # unexpected JSON keys named per file in a breach reason (all are counted; the
+# complete list is json_unexpected_keys)
 MOVE_SCHEMA = "old_file_path string, new_file_path string, corrupted_message string, move_status string"
 
 LOG_SCHEMA = StructType(
@@ -272,6 +273,23 @@ def _combine(breaches: DataFrame) -> DataFrame:
     return breaches.groupBy("path").agg(F.concat_ws("; ", F.array_sort(F.collect_list("reason"))).alias("reason"))
 
 
+def json_unexpected_keys(lines: DataFrame, contract: StructType, *, multiline: bool = False) -> DataFrame:
+    """Every key the contract does not know, per file: ``path, key, records`` (the full detail
+    behind the count and the first keys named in :func:`json_breaches`' reasons)."""
+    doc = F.try_parse_json("value")
+    if multiline:
+        doc = F.explode(F.coalesce(F.try_variant_get(doc, "$", "array<variant>"), F.array(doc)))
+    v = temp_name(lines, "v")
+    keys = F.map_keys(F.try_variant_get(F.col(v), "$", "map<string,variant>"))
+    known = F.array(*[F.lit(f.name) for f in contract.fields])
+    return (
+        lines.select("path", doc.alias(v))
+        .select("path", F.explode(F.array_except(keys, known)).alias("key"))
+        .groupBy("path", "key")
+        .agg(F.count("*").alias("records"))
+    )
+
+
 def contract_breaches(
     spark: SparkSession,
     area: LandingArea,

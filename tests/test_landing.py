@@ -224,3 +224,17 @@ def test_csv_values_must_fit_the_contract(spark, tmp_dir):
     area = LandingArea(tmp_dir, "customer", "csv")
     out = {r["path"].rsplit("/", 1)[1]: r["reason"] for r in contract_breaches(spark, area, CUSTOMER_CONTRACT).collect()}
     assert out == {"a.csv": "2 of 3 rows do not fit the contract"}, out
+
+
+def test_json_unexpected_keys_full_list(spark, tmp_dir):
+    from sluice.operators.contract import json_unexpected_keys
+
+    d = f"{tmp_dir}/object=customer/year=2025/month=10/day=01/x"
+    os.makedirs(d)
+    with open(f"{d}/a.json", "w") as f:
+        for i in range(50):
+            f.write('{"id": "%d", "k%02d": 1, "shared": 2}\n' % (i, i))
+    area = LandingArea(tmp_dir, "customer", "json")
+    rows = json_unexpected_keys(area.lines(spark), CUSTOMER_CONTRACT).collect()
+    got = {r["key"]: r["records"] for r in rows}
+    assert len(got) == 51 and got["shared"] == 50 and got["k49"] == 1
