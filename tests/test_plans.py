@@ -111,3 +111,20 @@ def test_key_split_with_few_bad_keys_never_shuffles_the_input(spark):
     plan = physical(spark, good_rows(li, [("l_quantity > 49.5", "q")], by="key", key="l_orderkey"))
     assert "Exchange hashpartitioning" not in plan
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_small_mapping_is_broadcast_without_exchange(spark):
+    from sluice.operators import map_column
+
+    c = spark.read.parquet(f"{SF01}/customer.parquet")
+    n = spark.read.parquet(f"{SF01}/nation.parquet")
+    plan = physical(spark, map_column(c, n, "c_nationkey", "n_nationkey", "n_regionkey"))
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_frame_diff_is_one_pre_aggregated_exchange(spark):
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_quantity")
+    plan = physical(spark, frame_diff(li, li.where("l_quantity > 10")))
+    assert plan.count("Exchange hashpartitioning") == 1
+    # the partial (map-side) aggregation sits below the exchange
+    assert plan.index("Exchange hashpartitioning") < plan.rindex("HashAggregate")
