@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ._tables import table
+from .line_dedup import line_dedup
 from .near_dup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,23 @@ def register(name: str, sql: str | None = None):
 @register("op9_minhash_near_dup")
 def op9(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+OP10_SQL = r"""
+WITH l AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+h AS (SELECT doc_id, text, l, list_transform(l, lambda x: CAST('0x' || substr(md5(x), 1, 8) AS BIGINT)) AS h FROM l),
+line AS (SELECT doc_id, i, l[i] AS line, (h[i] + 31 * coalesce(CASE WHEN i > 1 THEN h[i - 1] END, 0)) % 4 = 0 AS last
+         FROM (SELECT doc_id, l, h, unnest(range(1, len(l) + 1)) AS i FROM h)),
+part AS (SELECT doc_id, i, line, coalesce(sum(CAST(last AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS idx FROM line),
+chunk AS (SELECT doc_id, idx, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n,
+                 count(*) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]')) AS visible FROM part GROUP BY doc_id, idx),
+ranked AS (SELECT *, visible > 1 AND row_number() OVER (PARTITION BY visible > 1, chunk ORDER BY doc_id, idx) > 1 AS gone FROM chunk)
+SELECT r.doc_id, any_value(len(h.l)) AS n_lines, CAST(sum(CASE WHEN gone THEN n ELSE 0 END) AS BIGINT) AS n_removed,
+       coalesce(string_agg(chunk, chr(10) ORDER BY idx) FILTER (NOT gone), '') AS text
+FROM ranked r JOIN h USING (doc_id) GROUP BY r.doc_id
+"""
+
+
+@register("op10_line_chunk_dedup", OP10_SQL)
+def op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs, counts=("n_lines", "n_removed"))
