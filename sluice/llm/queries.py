@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ._tables import table
 from .line_dedup import line_dedup
 from .near_dup import near_duplicates
+from .substring_dedup import remove_repeated_passages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -47,3 +49,21 @@ FROM ranked r JOIN h USING (doc_id) GROUP BY r.doc_id
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup(docs, counts=("n_lines", "n_removed"))
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+least AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM win JOIN least USING (s), range(13) r(j) WHERE m < doc_id),
+word AS (SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS kept FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@register("op8_repeated_phrase_automata", OP8_SQL)
+def op8(spark, sf_dir):
+    out = remove_repeated_passages(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
