@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._tables import table
+from ._tables import stored, table
 from .line_dedup import line_dedup
+from .mixing import mix_sources, word_count
 from .near_dup import near_duplicates
 from .substring_dedup import remove_repeated_passages
 
@@ -67,3 +68,10 @@ FROM d LEFT JOIN kept USING (doc_id)
 def op8(spark, sf_dir):
     out = remove_repeated_passages(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op3_subset_sum_mixing")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    mixed = mix_sources(stored(docs, "sizes"), "size")
+    return mixed.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
