@@ -11,6 +11,7 @@ from ._tables import stored, table
 from .line_dedup import line_dedup
 from .mixing import mix_sources, word_count
 from .near_dup import near_duplicates
+from .outliers import robust_outliers
 from .substring_dedup import remove_repeated_passages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +76,8 @@ def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     mixed = mix_sources(stored(docs, "sizes"), "size")
     return mixed.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@register("op5_robust_outliers")
+def op5(spark, sf_dir):
+    return robust_outliers(table(spark, sf_dir, "documents"))
