@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from .mixing import mix_sources, word_count
 from .near_dup import near_duplicates
 from .outliers import robust_outliers
 from .substring_dedup import remove_repeated_passages
+from .token_store import build_index, crc32, find, key_rows, read_ids, shard_starts, write_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -81,3 +83,13 @@ def op3(spark, sf_dir):
 @register("op5_robust_outliers")
 def op5(spark, sf_dir):
     return robust_outliers(table(spark, sf_dir, "documents"))
+
+
+@register("op2_token_id_files")
+def op2(spark, sf_dir, tokenizer: str = "byte_bpe_50k.json"):
+    docs = table(spark, sf_dir, "documents")
+    written = write_ids(docs, public_tokenizers.path(tokenizer))
+    index, parts = build_index(written)
+    places = find(key_rows(docs), index, parts)
+    read = read_ids(places, shard_starts(written), crc32, "long", "ids_crc32")
+    return read.select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
