@@ -33,7 +33,7 @@ from .components import components
 SHINGLE = 5
 HALVES = 7
 PER_HALF = 2
-BLOCK = 256
+BLOCK = 1024
 
 _SKETCH = "doc_id long, class_a long, class_b long, n_shingles long, halves array<long>"
 
