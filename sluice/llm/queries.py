@@ -14,6 +14,7 @@ from .mixing import mix_sources, word_count
 from .near_dup import near_duplicates
 from .outliers import robust_outliers
 from .substring_dedup import remove_repeated_passages
+from .toxicity import toxicity_scores, train
 from .token_store import build_index, crc32, find, key_rows, read_ids, shard_starts, write_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +94,9 @@ def op2(spark, sf_dir, tokenizer: str = "byte_bpe_50k.json"):
     places = find(key_rows(docs), index, parts)
     read = read_ids(places, shard_starts(written), crc32, "long", "ids_crc32")
     return read.select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+
+
+@register("op6_weak_supervision_toxicity")
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_scores(docs, train(docs, table(spark, sf_dir, "labels")))
