@@ -15,6 +15,7 @@ from .near_dup import near_duplicates
 from .outliers import robust_outliers
 from .substring_dedup import remove_repeated_passages
 from .toxicity import toxicity_scores, train
+from .unigram import decoded, sampled_ids, token_counts
 from .token_store import build_index, crc32, find, key_rows, read_ids, shard_starts, write_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +101,15 @@ def op2(spark, sf_dir, tokenizer: str = "byte_bpe_50k.json"):
 def op6(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity_scores(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op4_viterbi_token_counts")
+def op4(spark, sf_dir, model: str = "piece_bpe_32k.model"):
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(model))
+
+
+@register("op7_sampled_segmentation")
+def op7(spark, sf_dir, model: str = "piece_bpe_32k.model"):
+    path = public_tokenizers.path(model)
+    rows = decoded(sampled_ids(table(spark, sf_dir, "documents"), path), path)
+    return rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.sha2("text", 256).alias("text_sha256"))
