@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._tables import stored, table
+from .ann import nearest
 from .line_dedup import line_dedup
 from .mixing import mix_sources, word_count
 from .near_dup import near_duplicates
@@ -113,3 +114,9 @@ def op7(spark, sf_dir, model: str = "piece_bpe_32k.model"):
     path = public_tokenizers.path(model)
     rows = decoded(sampled_ids(table(spark, sf_dir, "documents"), path), path)
     return rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@register("op1_collision_counting_search")
+def op1(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest(rows, rows.where("vec_id % 20 = 0"))
