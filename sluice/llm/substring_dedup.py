@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from array import array
 
 import ahocorasick
 import numpy as np
@@ -63,9 +64,15 @@ class Passages:
         self.anchors = runs[self.first, place[begin] - self.first] if len(begin) else np.zeros(0, np.uint64)
         self.doc = doc[self.first]
 
-    def segment(self, k: int) -> bytes:
-        """The words of a segment, joined by one space."""
-        return self.bytes[self.at[self.first[k]] : self.at[self.last[k] + self.window] - 1].tobytes()
+    def segments(self, which: np.ndarray) -> list[bytes]:
+        """The words of these segments, each joined by one space."""
+        data = self.bytes.tobytes()
+        begin, end = self.at[self.first[which]], self.at[self.last[which] + self.window] - 1
+        return [data[i:j] for i, j in zip(begin.tolist(), end.tolist())]
+
+
+def _key(segment: bytes) -> bytes:
+    return hashlib.blake2b(segment, digest_size=16).digest()
 
 
 def _member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -147,11 +154,16 @@ def _segments(shards: int, window: int, anchor: int):
             texts = pa.concat_arrays(left["text"].chunks)
             for lo, hi in chunk_bounds(texts):
                 p = Passages(texts.slice(lo, hi - lo), window, anchor)
-                own = ids[lo:hi][p.doc] if len(p.doc) else p.doc
-                for k in np.flatnonzero(_member(p.anchors, known)):
-                    doc = own[k]
-                    had = found.setdefault(p.segment(k), [int(p.anchors[k]), doc, doc])
-                    had[1], had[2] = min(had[1], doc), max(had[2], doc)
+                flagged = np.flatnonzero(_member(p.anchors, known))
+                own = ids[lo + p.doc[flagged]].tolist()
+                for x, anchor_of, doc in zip(p.segments(flagged), p.anchors[flagged].tolist(), own):
+                    had = found.get(x)
+                    if had is None:
+                        found[x] = [anchor_of, doc, doc]
+                    elif doc < had[1]:
+                        had[1] = doc
+                    elif doc > had[2]:
+                        had[2] = doc
         blk = left["blk"][0].as_py() if left.num_rows else 0
         anchors = np.array([x[0] for x in found.values()], np.uint64)
         return pa.table(
@@ -176,32 +188,43 @@ def _stream(window: int):
         np.minimum.at(low, which, table["low"].to_numpy())
         np.maximum.at(high, which, table["high"].to_numpy())
         letters: dict[bytes, int] = {}
-        texts = [tuple(letters.setdefault(w, len(letters)) for w in x.split(b" ")) for x in coded.dictionary.to_pylist()]
-        seen: dict[tuple, list] = {}
+        segments = coded.dictionary.to_pylist()
+        texts = [tuple([letters.setdefault(w, len(letters)) for w in x.split(b" ")]) for x in segments]
+        first: dict[tuple, int] = {}  # smallest id of each window
+        recurs: set[tuple] = set()  # windows of two documents or more
         for text, a, b in zip(texts, low.tolist(), high.tolist()):
             for i in range(len(text) - window + 1):
-                had = seen.setdefault(text[i : i + window], [a, b])
-                if a < had[0]:
-                    had[0] = a
-                if b > had[1]:
-                    had[1] = b
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for passage, (a, b) in seen.items():
-            if a < b:
-                automaton.add_word(passage, a)
-        del seen
+                passage = text[i : i + window]
+                had = first.get(passage)
+                if had is None:
+                    first[passage] = a
+                    if a < b:
+                        recurs.add(passage)
+                elif a != had or a < b:
+                    recurs.add(passage)
+                    if a < had:
+                        first[passage] = a
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        ids = sorted({first[x] for x in recurs})
+        number = {x: k for k, x in enumerate(ids)}
+        for passage in recurs:
+            automaton.add_word(passage, number[first[passage]])
+        del first, recurs
         least: list[bytes | None] = []
+        none = int(NONE)
         if len(automaton):
             automaton.make_automaton()
             for text in texts:
-                mins = np.full(len(text) - window + 1, NONE)
-                for end, a in automaton.iter(text):
-                    mins[end - window + 1] = a
-                least.append(_blob(mins) if (mins != NONE).any() else None)
+                mins = [none] * (len(text) - window + 1)
+                any_ = False
+                for end, k in automaton.iter(text):
+                    mins[end - window + 1] = ids[k]
+                    any_ = True
+                least.append(array("q", mins).tobytes() if any_ else None)
         else:
             least = [None] * len(texts)
         rows = [k for k, w in enumerate(which) if least[w] is not None]
-        keys = [hashlib.blake2b(x, digest_size=16).digest() for x in coded.dictionary.to_pylist()]
+        keys = [_key(x) for x in segments]
         pick = pa.array(rows, pa.int64())
         return pa.table(
             {
@@ -224,14 +247,17 @@ def _mark(window: int, anchor: int):
             texts = pa.concat_arrays(left["text"].chunks)
             for lo, hi in chunk_bounds(texts):
                 p = Passages(texts.slice(lo, hi - lo), window, anchor)
-                edge = np.zeros(len(p.words.starts) + 1, np.int32)
-                for k in np.flatnonzero(_member(p.anchors, known)):
-                    least = found.get(hashlib.blake2b(p.segment(k), digest_size=16).digest())
-                    if least is not None:
-                        hit = np.flatnonzero(np.frombuffer(least, np.int64) < ids[lo + p.doc[k]]) + p.first[k]
-                        np.add.at(edge, hit, 1)
-                        np.add.at(edge, hit + window, -1)
-                gone = np.cumsum(edge[:-1]) > 0
+                n = len(p.words.starts)
+                flagged = np.flatnonzero(_member(p.anchors, known))
+                blobs = [found.get(_key(x)) for x in p.segments(flagged)]
+                flagged = flagged[np.array([x is not None for x in blobs], bool)] if blobs else flagged
+                least = _concat([x for x in blobs if x is not None], np.int64)
+                runs = p.last[flagged] - p.first[flagged] + 1
+                ends = np.cumsum(runs)
+                at = np.repeat(p.first[flagged] - (ends - runs), runs) + np.arange(len(least))
+                hit = at[least < np.repeat(ids[lo + p.doc[flagged]], runs)]
+                edge = np.bincount(hit, minlength=n + window + 1) - np.bincount(hit + window, minlength=n + window + 1)
+                gone = np.cumsum(edge)[:n] > 0
                 size = np.diff(p.at)
                 stays = p.bytes[np.repeat(~gone, size)] if gone.any() else p.bytes
                 words_to = np.concatenate(([0], np.cumsum(gone)))
