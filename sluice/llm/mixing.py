@@ -10,6 +10,7 @@ which the count runs out is ranked.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,7 +104,13 @@ def _plan(frame: pd.DataFrame) -> pd.DataFrame:
     rest = round(target - whole * total) if total and whole < MOST else 0
     take = fit(counts, rest) if rest > 0 else {}
     sizes = list(counts)
-    return pd.DataFrame({"source": [frame["source"].iloc[0]] * len(sizes), "size": sizes, "whole": whole, "take": [take.get(s, 0) for s in sizes]})
+    n = len(sizes)
+    return pd.DataFrame(
+        {
+            "source": np.array([frame["source"].iloc[0]] * n, object), "size": np.array(sizes, np.int64),
+            "whole": np.full(n, whole, np.int32), "take": np.array([take.get(s, 0) for s in sizes], np.int64),
+        }
+    )
 
 
 def mix_sources(docs: DataFrame, size_col: str, id_col: str = "doc_id", source_col: str = "source", seed: int = 11, out: tuple[str, str, str] = ("source_size", "target", "copies")) -> DataFrame:

@@ -210,7 +210,7 @@ class Classifier:
 
     def fit(self, docs: list[np.ndarray], masks: np.ndarray, target: np.ndarray, rounds: int = 150, decay: float = 2e-3):
         n = len(docs)
-        sizes = np.array([len(x) for x in docs])
+        sizes = np.array([len(x) for x in docs], np.int64)
         column = np.concatenate(docs) if n else np.zeros(0, np.int64)
         row = np.repeat(np.arange(n), sizes)
         scale = 1 / np.sqrt(np.maximum(sizes, 1))
