@@ -33,7 +33,7 @@ from ._text import chunk_bounds, mix
 SHARD_BYTES = 32 << 20
 PART_KEYS = 20_000
 END_ID = 0
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 GAMMA = 2.0
 
 
@@ -44,9 +44,20 @@ def open_fs(uri: str):
 
 
 class Encoder:
-    """Ids of whole texts. A text is cut before each single space between two visible characters: the
-    byte-level pattern always begins a token there, so pieces are encoded each on its own, and a piece
-    that occurs again is looked up. Bytes that could be part of other white space are never cut at."""
+    """Ids of whole texts. A text is cut where the byte-level pattern always begins a token: before a
+    single space or line feed between visible characters, after such a line feed, and between an ASCII
+    letter and a mark. The pieces are encoded each on its own, once for each distinct one; the new ones
+    that begin with a space are encoded as one text, whose tokens fall apart at the same places.
+    Bytes that could be part of other white space are never cut at."""
+
+    _made: dict[str, Encoder] = {}
+
+    @classmethod
+    def get(cls, path: str) -> Encoder:
+        """One encoder for each worker process: what it has looked up serves later tasks."""
+        if path not in cls._made:
+            cls._made[path] = cls(path)
+        return cls._made[path]
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,8 +65,27 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.known: dict[str, np.ndarray] = {}
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.width = 2 if size <= 1 << 16 else 4
+        #: bytes of each token: byte-level tokens are written with one character a byte
+        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
+        self.known: dict[str, bytes] = {}
+
+    def _learn(self, new: list[str]) -> None:
+        encode, known = self.tokenizer.encode_batch_fast, self.known
+        plain = [x for x in new if len(x) > 1 and x[0] == " " and "!" <= x[1] <= "~" and "!" <= x[-1] <= "~"]
+        for lo in range(0, len(plain), 65536):
+            part = plain[lo : lo + 65536]
+            texts = ["".join(part[i : i + 512]) for i in range(0, len(part), 512)]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in encode(texts, add_special_tokens=False)])
+            ends = np.cumsum(self.bytes_of[ids])
+            cut = np.searchsorted(ends, np.cumsum([len(x.encode()) for x in part])) + 1
+            data, at = ids.tobytes(), [0, *(4 * cut).tolist()]
+            known.update(zip(part, [data[i:j] for i, j in zip(at, at[1:])]))
+        rest = [x for x in new if x not in known]
+        for lo in range(0, len(rest), 4096):
+            part = rest[lo : lo + 4096]
+            known.update(zip(part, [np.array(e.ids, np.uint32).tobytes() for e in encode(part, add_special_tokens=False)]))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and the number of ids of each text."""
@@ -68,10 +98,16 @@ class Encoder:
         at = at - at[0]
         wide = (data >= 0xC3) & (data <= 0xDF)
         plain = (data >= 0x21) & (data <= 0x7E)
-        before = plain.copy()
+        letter = ((data | 32) >= 97) & ((data | 32) <= 122)
+        before, after = plain.copy(), plain | wide
         before[1:] |= (data[1:] >= 0x80) & (data[1:] <= 0xBF) & wide[:-1]
+        line = data == 10
+        lone = np.zeros(size, bool)  # a space or line feed between two visible characters
+        lone[1:-1] = ((data == 32) | line)[1:-1] & before[:-2] & after[2:]
         cut = np.zeros(size + 1, bool)
-        cut[1 : size - 1] = (data[1:-1] == 32) & before[:-2] & (plain | wide)[2:]
+        cut[:-1] = lone
+        cut[1:] |= lone & line
+        cut[1:-1] |= np.isin(data[1:], np.frombuffer(b",.;:!?", np.uint8)) & letter[:-1]
         cut[at] = True
         cuts = np.flatnonzero(cut)
         pieces = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
@@ -79,14 +115,11 @@ class Encoder:
         names, which = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
         if len(self.known) > CACHE_WORDS:
             self.known = {}
-        new = [x for x in names if x not in self.known]
-        for lo in range(0, len(new), 4096):
-            part = new[lo : lo + 4096]
-            for x, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[x] = np.array(e.ids, np.uint32)
-        ids = [self.known[x] for x in names]
-        lengths = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate(ids)
+        known = self.known
+        self._learn([x for x in names if x not in known])
+        ids = [known[x] for x in names]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.uint32)
         first = np.cumsum(lengths) - lengths
         n = lengths[which]
         ends = np.cumsum(n)
@@ -100,7 +133,7 @@ def _write(base: str, path: str, end_id: int):
     def run(batches):
         from pyarrow import fs
 
-        encoder, out, at, last, seen = Encoder(path), None, 0, None, 0
+        encoder, out, at, last, seen = Encoder.get(path), None, 0, None, 0
         shard = TaskContext.get().partitionId()
         name = f"{base}/shard-{shard:06d}-{uuid.uuid4().hex[:12]}.ids"
         kind = "<u2" if encoder.width == 2 else "<u4"
