@@ -32,15 +32,9 @@ def latest_per_key(df: DataFrame, keys, order_by, tie_break=None) -> DataFrame:
     return df.withColumn(rn, F.row_number().over(window)).where(F.col(rn) == 1).drop(rn)
 
 
-def deduplicate_df(
-    df: DataFrame, partition_by_cols=None, order_by_cols=None, tie_break=None, *, partiton_by_cols=None
-) -> DataFrame:
-    """Drop-in name for :func:`latest_per_key` (``partiton_by_cols`` is accepted as a spelling
-    of ``partition_by_cols`` too)."""
-    keys = partition_by_cols if partition_by_cols is not None else partiton_by_cols
-    if keys is None or order_by_cols is None:
-        raise TypeError("deduplicate_df needs partition_by_cols and order_by_cols")
-    return latest_per_key(df, keys, order_by_cols, tie_break)
+def deduplicate_df(df: DataFrame, partition_by_cols, order_by_cols, tie_break=None) -> DataFrame:
+    """:func:`latest_per_key` under its short name."""
+    return latest_per_key(df, partition_by_cols, order_by_cols, tie_break)
 
 
 def not_null(*columns) -> Column:
