@@ -44,23 +44,6 @@ def temp_name(df_or_columns, base: str = "tmp") -> str:
             return name
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows: the size proof required before a broadcast.
-
-    An exact distributed count: each task ships one partial count. (``limit(n + 1).count()`` would
-    look cheaper but plans as a per-task local limit followed by an exchange into a single partition,
-    funnelling up to tasks x (n + 1) rows into one task when the frame is large.) Counting a plain
-    parquet scan reads row-group metadata only.
-    """
-    return df.count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a row-count check; otherwise leave the choice
-    to the planner (AQE may still switch to a broadcast from runtime shuffle statistics)."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def same_names(a: Iterable[str], b: Iterable[str]) -> bool:
     return sorted(x.lower() for x in a) == sorted(x.lower() for x in b)
 

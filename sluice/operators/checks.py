@@ -11,12 +11,10 @@ import warnings
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .._util import as_list, has_at_most, resolve_names, temp_name, to_col
-from ..session import cut_lineage
+from .._util import as_list, resolve_names, temp_name, to_col
 from ..functions.checks import _inlinable, _plain, any_failed, clauses_of, empty_messages, fail_messages, validate_checks
 
 FAIL_COLUMN = "fail_messages"
-BROADCAST_MAX_KEYS = 1_000_000  # distinct bad keys broadcast in the key-level split
 WIDE_CHECK_SET = 50
 
 
@@ -60,9 +58,7 @@ def tag_rows(df: DataFrame, cfg, *, column: str = FAIL_COLUMN, validate: bool =
     return df.withColumn(column, fail_messages(clauses))
 
 
-def good_rows(
-    df: DataFrame, cfg, *, by: str = "row", key=None, validate: bool = True, broadcast_max_keys: int | None = BROADCAST_MAX_KEYS
-) -> DataFrame:
+def good_rows(df: DataFrame, cfg, *, by: str = "row", key=None, validate: bool = True) -> DataFrame:
     """Rows to keep.
 
     ``by="row"``: rows on which no check is TRUE (a pure filter, no join).
@@ -82,27 +78,20 @@ def good_rows(
     keys = resolve_names(df.columns, as_list(key))
     if not keys:
         raise ValueError("by='key' needs key columns")
-    return drop_keys_of(df, df.where(any_failed(clauses)), keys, broadcast_max_keys=broadcast_max_keys)
+    return drop_keys_of(df, df.where(any_failed(clauses)), keys)
 
 
-def drop_keys_of(df: DataFrame, bad: DataFrame, keys, *, broadcast_max_keys: int | None = BROADCAST_MAX_KEYS) -> DataFrame:
+def drop_keys_of(df: DataFrame, bad: DataFrame, keys) -> DataFrame:
     """``df`` without the rows whose key also occurs in ``bad`` (NULL-safe key equality).
 
-    The bad side is reduced to distinct keys (partial aggregation before its shuffle) and
-    materialised once in the shared checkpoint folder. When its count proves at most
-    ``broadcast_max_keys`` keys, the checkpoint is broadcast and ``df`` is streamed through a
-    broadcast anti join without any shuffle. Otherwise the join is a shuffle join, where AQE splits
-    a skewed left partition (one hot key).
+    The bad side is reduced to distinct keys (partial aggregation before its shuffle); only key
+    columns are joined. Adaptive execution broadcasts them when their measured bytes are few, and
+    otherwise splits a skewed left partition (one hot key).
     """
     keys = as_list(keys)
     renamed = [temp_name(df, f"bk{i}") for i in range(len(keys))]
     bad_keys = bad.select(*[to_col(k).alias(r) for k, r in zip(keys, renamed)]).distinct()
     cond = [to_col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)]
-    if broadcast_max_keys is None:
-        return df.join(bad_keys, cond, "left_anti")
-    bad_keys = cut_lineage(bad_keys)  # computed once, read by the count and by the join
-    if has_at_most(bad_keys, broadcast_max_keys):
-        bad_keys = F.broadcast(bad_keys)
     return df.join(bad_keys, cond, "left_anti")
 
 

@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .._util import has_at_most, qcol, resolve_names, temp_name
-
-# Largest mapping table that is broadcast; beyond it the join is a shuffle join (AQE may still
-# convert it at runtime from measured sizes, and splits a skewed source partition).
-BROADCAST_MAX_ROWS = 1_000_000
+from .._util import qcol, resolve_names, temp_name
 
 
 def map_column(
@@ -19,7 +15,6 @@ def map_column(
     key_col: str,
     value_col: str,
     *,
-    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
     unique_keys: bool = False,
 ) -> DataFrame:
     """``df.column`` replaced by ``mapping.value_col`` where ``df.column = mapping.key_col``.
@@ -28,10 +23,9 @@ def map_column(
     columns are kept in order and the mapped column is moved last. As with any left join, a code
     listed twice in the mapping duplicates the row; ``unique_keys=True`` raises instead.
 
-    The mapping is broadcast after a row count proves it holds at most
-    ``broadcast_max_rows`` rows. ``None`` skips the count (useful when the mapping is itself derived
-    from a big scan, which the count would run twice): the planner then decides from statistics,
-    and AQE from the measured size of the mapping's shuffle.
+    How the mapping is joined is left to the planner: it broadcasts a mapping whose size in bytes is
+    known to be small, adaptive execution one whose measured size is, and otherwise splits a skewed
+    partition of ``df``.
     """
     (column,) = resolve_names(df.columns, [column])
     key_col, value_col = resolve_names(mapping.columns, [key_col, value_col])
@@ -41,8 +35,6 @@ def map_column(
         dup = lookup.groupBy(key_col).count().where(F.col("count") > 1).limit(1).collect()
         if dup:
             raise ValueError(f"mapping key {dup[0][0]!r} occurs {dup[0][1]} times")
-    if broadcast_max_rows is not None and has_at_most(lookup, broadcast_max_rows):
-        lookup = F.broadcast(lookup)
     others = [c for c in df.columns if c != column]
     return (
         df.alias(src)

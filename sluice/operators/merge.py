@@ -14,9 +14,9 @@ How it runs (no full outer join, which Spark can neither broadcast nor split whe
 * inserted rows: ``source LEFT ANTI JOIN target``. With equality keys (``on=``) the target side is
   first reduced to its distinct keys (partial aggregation before the shuffle), so a hot key
   arrives as one row per map task.
-* a source proven small (row count, ``source_broadcast_max_rows``) is broadcast explicitly,
-  and the target keys are first semi-joined with the broadcast source keys: the target is then only
-  scanned, never shuffled, by either join.
+* no side is broadcast by a hint: the planner and adaptive execution decide by bytes.
+* a condition made of ``a.x = b.x`` terms alone is the same as ``on=``; a condition without any
+  equality between the sides would compare all pairs and is refused.
 
 Plain parquet has no in-place update, so publishing rewrites the target: the result is written
 once to a fresh folder or staging table that is then switched in (:mod:`.publish`).
@@ -25,13 +25,14 @@ once to a fresh folder or staging table that is then switched in (:mod:`.publish
 from __future__ import annotations
 
 import copy
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .._util import as_list, has_at_most, qcol, resolve_names, temp_name
+from .._util import as_list, qcol, resolve_names, temp_name
 from .publish import replace_path, replace_table
 
 
@@ -42,10 +43,6 @@ class _Clause:
     assignments: dict = field(default_factory=dict)
 
 
-# Largest source (rows) that is broadcast explicitly; beyond it the planner/AQE choose the join.
-SOURCE_BROADCAST_MAX_ROWS = 2_000_000
-
-
 class MergeConflictError(ValueError):
     """More than one source row matched the same target row."""
 
@@ -110,13 +107,12 @@ class MergeTarget:
         *,
         on=None,
         source_alias: str | None = None,
-        source_broadcast_max_rows: int | None = SOURCE_BROADCAST_MAX_ROWS,
     ) -> "MergeBuilder":
-        return MergeBuilder(self, source, condition, on, source_alias, source_broadcast_max_rows)
+        return MergeBuilder(self, source, condition, on, source_alias)
 
 
 class MergeBuilder:
-    def __init__(self, target: MergeTarget, source: DataFrame, condition, on, source_alias, source_broadcast_max_rows=None):
+    def __init__(self, target: MergeTarget, source: DataFrame, condition, on, source_alias):
         if condition is None and not on:
             raise ValueError("merge needs a condition or equality keys (on=)")
         self._target = target
@@ -125,7 +121,22 @@ class MergeBuilder:
         self._on = as_list(on)
         self._source_alias = source_alias or _frame_alias(source) or "source"
         self._clauses: list[_Clause] = []
-        self._broadcast_max_rows = source_broadcast_max_rows
+        names = None if self._on else self._equal_names()
+        if names:
+            self._on, self._condition = names, None
+
+    def _equal_names(self) -> list[str] | None:
+        """Column names of a text condition that is nothing but ``a.x = b.x`` terms joined by AND."""
+        if not isinstance(self._condition, str):
+            return None
+        sides = {self._target._alias.lower(), self._source_alias.lower()}
+        names = []
+        for term in re.split(r"\s+and\s+", self._condition.strip(), flags=re.IGNORECASE):
+            m = re.fullmatch(r"(\w+)\.(\w+)\s*=\s*(\w+)\.(\w+)", term.strip())
+            if not m or {m[1].lower(), m[3].lower()} != sides or m[2].lower() != m[4].lower():
+                return None
+            names.append(m[2])
+        return names
 
     # clause surface, in call order
     def whenMatchedUpdate(self, condition=None, set=None) -> "MergeBuilder":
@@ -183,21 +194,16 @@ class MergeBuilder:
         matched_clauses = [c for c in self._clauses if c.kind in ("update", "update_all", "delete")]
         insert_clauses = [c for c in self._clauses if c.kind in ("insert", "insert_all")]
         max_multiplicity = None
+        if "NestedLoopJoin" in (plan := t.join(s, cond)._jdf.queryExecution().sparkPlan().toString()) or "CartesianProduct" in plan:
+            raise ValueError("a merge condition needs an equality between target and source")
         if matched_clauses and check_duplicates and self._on:
-            # one pass over the source gives both its size and its largest key multiplicity
             keys = resolve_names(self._source.columns, self._on)
-            n_rows, max_multiplicity = (
-                self._source.groupBy(*keys).count().agg(F.sum("count"), F.max("count")).collect()[0]
-            )
-            small = self._broadcast_max_rows is not None and (n_rows or 0) <= self._broadcast_max_rows
-        else:
-            small = self._broadcast_max_rows is not None and has_at_most(self._source, self._broadcast_max_rows)
-        s_build = F.broadcast(s) if small else s
+            max_multiplicity = self._source.groupBy(*keys).count().agg(F.max("count")).collect()[0][0]
 
         if matched_clauses:
             if check_duplicates:
-                self._check_single_match(target, cond, t, s, small, max_multiplicity)
-            joined = t.join(s_build, cond, "left")
+                self._check_single_match(target, cond, s, max_multiplicity)
+            joined = t.join(s, cond, "left")
             matched = qcol(sa, flag).isNotNull()
             act = temp_name(list(target.columns) + [flag], "act")
             action = F.when(~matched, F.lit(0))
@@ -232,22 +238,7 @@ class MergeBuilder:
         if self._on and self._condition is None:
             renamed = [temp_name(target, f"tk{i}") for i in range(len(self._on))]
             tkeys = target.select(*[F.col(k).alias(r) for k, r in zip(resolve_names(cols, self._on), renamed)])
-            if small:
-                # keep only target keys the source has: a broadcast semi join, no target shuffle
-                src_names = resolve_names(self._source.columns, self._on)
-                skeys = self._source.select(*[F.col(k).alias(r + "_s") for k, r in zip(src_names, renamed)]).distinct()
-                tkeys = tkeys.join(F.broadcast(skeys), [F.col(r) == F.col(r + "_s") for r in renamed], "left_semi")
-            tkeys = tkeys.distinct()
-            unmatched = s.join(
-                F.broadcast(tkeys) if small else tkeys,
-                [qcol(sa, k) == F.col(r) for k, r in zip(self._on, renamed)],
-                "left_anti",
-            )
-        elif small:
-            # target rows matching any source row (broadcast semi join: target streamed, not
-            # shuffled); the anti join then builds on that subset instead of the whole target
-            matched_targets = t.join(F.broadcast(s), cond, "left_semi").alias(ta)
-            unmatched = s.join(matched_targets, cond, "left_anti")
+            unmatched = s.join(tkeys.distinct(), [qcol(sa, k) == F.col(r) for k, r in zip(self._on, renamed)], "left_anti")
         else:
             unmatched = s.join(t, cond, "left_anti")
         unmatched = unmatched.alias(sa)
@@ -270,32 +261,21 @@ class MergeBuilder:
         inserted = unmatched.select(*out_cols)
         return changed.unionByName(inserted)
 
-    def _check_single_match(
-        self, target: DataFrame, cond: Column, t: DataFrame, s: DataFrame, small: bool, max_multiplicity
-    ) -> None:
+    def _check_single_match(self, target: DataFrame, cond: Column, s: DataFrame, max_multiplicity) -> None:
+        """Raise when a target row has several matches under the whole condition. Target rows get an
+        id by their place in the scan, so one matched twice shows as a repeated id; with equality
+        keys only source rows whose key repeats can do that."""
         if self._on:
-            # Exact for equality merges; bounded by the source: only duplicated source keys that
-            # also exist in the target (the semi join reads target keys only).
             if (max_multiplicity or 0) <= 1:
                 return
             keys = resolve_names(self._source.columns, self._on)
             dups = self._source.groupBy(*keys).count().where(F.col("count") > 1).drop("count")
             renamed = [temp_name(target, f"dk{i}") for i in range(len(keys))]
             dups = dups.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)])
-            if small:  # a subset of a proven-small source
-                dups = F.broadcast(dups)
-            probe = t.join(dups, [qcol(self._target._alias, k) == F.col(r) for k, r in zip(self._on, renamed)], "left_semi")
-            if self._condition is not None:
-                probe = t.join(F.broadcast(s) if small else s, cond, "inner").join(dups, [qcol(self._source_alias, k) == F.col(r) for k, r in zip(self._on, renamed)], "left_semi")
-            if not probe.isEmpty():
-                raise MergeConflictError("several source rows match the same target row")
-            return
-        # General condition: one job over the matched pairs only. Target rows get an id that is
-        # fixed by their scan position, so a target row matched twice shows up as a repeated id.
+            s = s.join(dups, [qcol(self._source_alias, k) == F.col(r) for k, r in zip(keys, renamed)], "left_semi").alias(self._source_alias)
         rid = temp_name(list(target.columns) + list(self._source.columns), "rid")
         tagged = target.withColumn(rid, F.monotonically_increasing_id()).alias(self._target._alias)
-        pairs = tagged.join(F.broadcast(s) if small else s, cond, "inner")
-        if not pairs.groupBy(rid).count().where(F.col("count") > 1).limit(1).isEmpty():
+        if not tagged.join(s, cond, "inner").groupBy(rid).count().where(F.col("count") > 1).isEmpty():
             raise MergeConflictError("several source rows match the same target row")
 
     def execute(self, *, check_duplicates: bool = True) -> DataFrame:

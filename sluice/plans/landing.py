@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from .._util import broadcast_if_small
 from ..operators.contract import contract_breaches, quarantine_files, write_move_log
 from ..session import cut_lineage
 from ..sources.landing import LandingArea
@@ -75,7 +74,7 @@ def write_customer_drops(
     Written with ``partitionBy(year, month, day)`` so each task writes its own day directories;
     dynamic partition overwrite makes a re-run replace its days instead of adding copies.
     """
-    nations = broadcast_if_small(nation.select("n_nationkey", F.col("n_name").alias("country"), "n_regionkey"), 100_000)
+    nations = nation.select("n_nationkey", F.col("n_name").alias("country"), "n_regionkey")
     rows = customer.join(nations, customer["c_nationkey"] == nations["n_nationkey"], "left").select(
         F.col("c_custkey").cast("string").alias("id"),
         F.col("c_name").alias("name"),

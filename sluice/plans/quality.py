@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.checks import clauses_of, validate_checks
-from ..operators.checks import FAIL_COLUMN, apply_data_checks, good_rows
+from .._util import as_list, resolve_names
+from ..operators.checks import FAIL_COLUMN, apply_data_checks, drop_keys_of, good_rows
 from ..sources.config import load_data_checks
 from .gold import publish
 
@@ -24,18 +25,23 @@ def check_and_publish(
 ) -> tuple[DataFrame, DataFrame]:
     """Publish the bad rows (with ``fail_messages``) and the good rows (by row or NULL-safe key).
 
-    Each output is one scan of the input with the checks' disjunction pushed to the scan (bad rows)
-    or its negation (good rows by row); the key-level split adds one anti join against the distinct
-    bad keys. Returns frames reading the published outputs.
+    Two scans of the input: one for the bad rows, with the checks' disjunction pushed to the scan
+    where it can be, one for the good rows. The key-level split takes the bad keys from the
+    published bad rows. Returns frames reading the published outputs.
     """
     clauses = clauses_of(cfg)
     validate_checks(df, clauses)
     spark: SparkSession = df.sparkSession
-    bad = apply_data_checks(df, clauses, column=FAIL_COLUMN, validate=False)
-    good = good_rows(df, clauses, by=by, key=key, validate=False)
-    publish(bad, table=bad_table, path=bad_path, fmt=fmt)
-    publish(good, table=good_table, path=good_path, fmt=fmt)
     read = (lambda t, p: spark.table(t) if t else spark.read.format(fmt).load(p))
+    publish(apply_data_checks(df, clauses, column=FAIL_COLUMN, validate=False), table=bad_table, path=bad_path, fmt=fmt)
+    if by == "key" and clauses:
+        keys = resolve_names(df.columns, as_list(key))
+        if not keys:
+            raise ValueError("by='key' needs key columns")
+        good = drop_keys_of(df, read(bad_table, bad_path), keys)
+    else:
+        good = good_rows(df, clauses, by=by, key=key, validate=False)
+    publish(good, table=good_table, path=good_path, fmt=fmt)
     return read(good_table, good_path), read(bad_table, bad_path)
 
 

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from .._util import as_list, broadcast_if_small, quote
-from ..operators.conform import BROADCAST_MAX_ROWS, map_column
+from .._util import as_list, quote
+from ..operators.conform import map_column
 from ..operators.merge import MergeTarget
 from ..operators.publish import has_data
 from .checks import _trigger_kwargs, start_query
@@ -38,14 +38,12 @@ def upsert_gold_stream(
 ) -> StreamingQuery:
     keys = as_list(key)
     latest = latest_state(stream, keys, order_by, tie_break)
-    # the mapping is static: size-check it once here, not in every micro-batch
-    lookup = broadcast_if_small(mapping, BROADCAST_MAX_ROWS)
     missing = " OR ".join(f"src.{quote(c)} IS NULL" for c in as_list(required))
 
     @reused_batch
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        enriched = map_column(batch, lookup, column, map_key, map_value, broadcast_max_rows=None)
+        enriched = map_column(batch, mapping, column, map_key, map_value)
         if not has_data(spark, target_path):
             enriched.alias("src").where(f"NOT ({missing})").write.mode("overwrite").format(fmt).save(target_path)
             return

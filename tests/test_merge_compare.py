@@ -148,3 +148,30 @@ def test_execute_keeps_path_partitioning(spark, tmp_dir):
 
     assert sorted(d for d in os.listdir(path) if d.startswith("p=")) == ["p=x", "p=y", "p=z"]
     assert sorted((r["k"], r["v"], r["p"]) for r in spark.read.parquet(path).collect()) == [(1, "a", "x"), (2, "B", "y"), (3, "c", "z")]
+
+
+def test_one_match_under_the_whole_condition_is_no_conflict(spark):
+    target = spark.createDataFrame([(1, "old"), (2, "keep")], "id int, v string")
+    source = spark.createDataFrame([(1, "a", "U"), (1, "b", "X"), (3, "n", "U")], "id int, v string, op string")
+
+    def merge(condition):
+        return MergeTarget.forFrame(target).alias("t").merge(source.alias("s"), condition, on="id").whenMatchedUpdate(set={"v": "s.v"})
+
+    assert sorted(tuple(r) for r in merge("s.op = 'U'").result().collect()) == [(1, "a"), (2, "keep")]
+    with pytest.raises(MergeConflictError):
+        merge("s.op IN ('U', 'X')").result()
+
+
+def test_condition_of_equalities_alone_counts_as_keys(spark):
+    target = spark.createDataFrame([(1, 1, "old"), (2, 1, "keep")], "a int, b int, v string")
+    source = spark.createDataFrame([(1, 1, "new"), (2, 2, "added")], "a int, b int, v string")
+    builder = MergeTarget.forFrame(target).alias("t").merge(source.alias("s"), "t.a = s.a AND s.b=t.b")
+    assert builder._on == ["a", "b"] and builder._condition is None
+    out = builder.whenMatchedUpdateAll().whenNotMatchedInsertAll().result()
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 1, "new"), (2, 1, "keep"), (2, 2, "added")]
+
+
+def test_condition_without_equality_is_refused(spark):
+    target = spark.createDataFrame([(1, "x")], "id int, v string")
+    with pytest.raises(ValueError, match="equality"):
+        MergeTarget.forFrame(target).alias("t").merge(target.alias("s"), "t.id < s.id").whenMatchedUpdateAll().result()

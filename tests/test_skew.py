@@ -51,7 +51,7 @@ def test_hot_key_good_rows_by_key(spark, skewed):
 
 def test_hot_key_mapping(spark, skewed):
     mapping = spark.range(0, 1001, 2).select(F.col("id").alias("code"), (F.col("id") * 10).alias("label"))
-    out = map_column(skewed, mapping, "k", "code", "label", broadcast_max_rows=None)
+    out = map_column(skewed, mapping, "k", "code", "label")
     assert out.count() == N
     assert out.where("k = 0").count() == N // 3
 
@@ -60,7 +60,7 @@ def test_hot_key_merge(spark, skewed):
     target = skewed.select("id", "k", "v")
     source = skewed.where("k = 0 AND id < 3000").select("id", "k", (F.col("v") + 1000).alias("v"))
     out = (
-        MergeTarget.forFrame(target).alias("t").merge(source.alias("s"), on="id", source_broadcast_max_rows=None)
+        MergeTarget.forFrame(target).alias("t").merge(source.alias("s"), on="id")
         .whenMatchedUpdateAll()
         .whenNotMatchedInsertAll()
         .result()
@@ -74,10 +74,3 @@ def test_hot_duplicate_rows_diff(spark, skewed):
     b = skewed.where("k <> 0 OR id % 2 = 0").select("k")
     rows = frame_diff(a, b).collect()
     assert [(r["k"], r["_side"], r["_count"]) for r in rows] == [(0, "left_only", N // 3 // 2)]
-
-
-def test_hot_key_good_rows_by_key_shuffle_path(spark, skewed):
-    # the same split with the bounded broadcast disabled: shuffle anti join, skew split by AQE
-    out = good_rows(skewed, [("v = 96 AND k <> 0", "bad")], by="key", key="k", broadcast_max_keys=None)
-    ref = good_rows(skewed, [("v = 96 AND k <> 0", "bad")], by="key", key="k")
-    assert out.count() == ref.count()
