@@ -20,12 +20,25 @@ SIDE = "_side"
 COUNT = "_count"
 
 
+def type_differences(left: DataFrame, right: DataFrame) -> list[str]:
+    """Columns of the same name whose types differ (nullability aside)."""
+    other = {f.name.lower(): f for f in right.schema.fields}
+    out = []
+    for f in left.schema.fields:
+        g = other.get(f.name.lower())
+        if g is not None and _strip_nullability(f.dataType) != _strip_nullability(g.dataType):
+            out.append(f"{f.name}: {f.dataType.simpleString()} vs {g.dataType.simpleString()}")
+    return out
+
+
 def frame_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows whose multiplicity differs: the columns, ``_side`` ('left_only'/'right_only') and
     ``_count`` = how many more copies that side holds. Empty when the frames are equal as multisets
-    (NULLs compare equal, like EXCEPT ALL)."""
+    (NULLs compare equal, like EXCEPT ALL). Frames of different types are refused, not coerced."""
     if not same_names(left.columns, right.columns):
         raise ValueError(f"column sets differ: {sorted(left.columns)} vs {sorted(right.columns)}")
+    if differ := type_differences(left, right):
+        raise ValueError(f"column types differ: {'; '.join(differ)}")
     cols = list(left.columns)
     right = right.select(*[F.col(quote(c)).alias(c) for c in resolve_names(right.columns, cols)])
     n = temp_name(cols, "n")
@@ -41,13 +54,15 @@ def frame_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def frames_equal(left: DataFrame, right: DataFrame) -> bool:
-    return same_names(left.columns, right.columns) and frame_diff(left, right).isEmpty()
+    return same_names(left.columns, right.columns) and not type_differences(left, right) and frame_diff(left, right).isEmpty()
 
 
 def assert_frames_equal(actual: DataFrame, expected: DataFrame, *, show: int = 10) -> None:
     """Raise AssertionError listing (at most ``show``) differing rows."""
     if not same_names(actual.columns, expected.columns):
         raise AssertionError(f"column sets differ: {sorted(actual.columns)} vs {sorted(expected.columns)}")
+    if differ := type_differences(actual, expected):
+        raise AssertionError(f"column types differ (actual vs expected): {'; '.join(differ)}")
     sample = frame_diff(actual, expected).limit(show).collect()
     if sample:
         lines = "\n".join(str(r.asDict()) for r in sample)
@@ -69,12 +84,6 @@ class SchemaBreach:
         return f"{self.kind} of {self.column}: expected {self.expected}, got {self.actual}"
 
 
-def _type_string(dt, ignore_nullable: bool) -> str:
-    if ignore_nullable:
-        dt = _strip_nullability(dt)
-    return dt.simpleString()
-
-
 def _strip_nullability(dt):
     if isinstance(dt, StructType):
         return StructType([type(f)(f.name, _strip_nullability(f.dataType), True) for f in dt.fields])
@@ -107,13 +116,15 @@ def schema_breaches(
             out.append(SchemaBreach("missing", f.name, expected=f.dataType.simpleString()))
             continue
         j, g = got[k]
-        et, at = _type_string(f.dataType, ignore_nullable), _type_string(g.dataType, ignore_nullable)
+        et, at = f.dataType.simpleString(), g.dataType.simpleString()
         if et != at:
             out.append(SchemaBreach("type", f.name, expected=et, actual=at))
         if check_order and i != j:
             out.append(SchemaBreach("position", f.name, expected=str(i), actual=str(j)))
         if not ignore_nullable and f.nullable != g.nullable:
             out.append(SchemaBreach("nullability", f.name, expected=str(f.nullable), actual=str(g.nullable)))
+        elif not ignore_nullable and et == at and f.dataType != g.dataType:  # inside a nested type
+            out.append(SchemaBreach("nullability", f.name, expected=f.dataType.json(), actual=g.dataType.json()))
     for k, (j, g) in got.items():
         if k not in want:
             out.append(SchemaBreach("unexpected", g.name, actual=g.dataType.simpleString()))

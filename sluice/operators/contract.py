@@ -4,12 +4,12 @@
   pyarrow (``mapInArrow`` over the file listing, one output row per file) and compares the schema
   Spark would see with the contract. ``deep=True`` also decodes every row group.
 * JSON: no Python at all. One text scan of the in-scope files; per line ``try_parse_json``; per file
-  one aggregation counting malformed lines, values that do not fit the contract type and lines
+  one aggregation counting malformed lines, values that the loader would turn into NULL and lines
   missing a NOT NULL field, plus the set of keys the contract does not know. Field order is not
   part of a JSON contract.
-* CSV: the header line (read by the task, first block only) against the contract's names, and one
-  Spark CSV scan with the contract schema in PERMISSIVE mode counting, per file, the rows whose values
-  do not fit it.
+* CSV: the header record against the contract's names, and one Spark CSV scan with the contract schema
+  in PERMISSIVE mode counting, per file, the rows whose values do not fit it; both use the reader options
+  of the landing area, as the load does.
 * Quarantine: the new path is computed as a Column; the move itself runs in executor tasks and is
   idempotent (source gone + target present = done), so a retried task is harmless.
 """
@@ -20,12 +20,11 @@ import json
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from .._util import temp_name
-from ..session import cut_lineage
 from ..sources.landing import LandingArea
 from .compare import schema_breaches
 
@@ -33,10 +32,9 @@ from .compare import schema_breaches
 cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
 
 BREACH_SCHEMA = "path string, reason string"
-NAMED_KEYS = 20  # unexpected JSON keys named per file in a breach reason (all are counted; the
-# complete list is json_unexpected_keys)
 MOVE_SCHEMA = "old_file_path string, new_file_path string, corrupted_message string, move_status string"
 
+# The log's five columns, read by whoever watches the landing area.
 LOG_SCHEMA = StructType(
     [
         StructField("old_file_path", StringType(), True),
@@ -93,14 +91,29 @@ def _footer_schema(path: str, fmt: str, deep: bool) -> StructType:
     raise ValueError(f"no footer reader for {fmt}")
 
 
-def _csv_header(path: str, sep: str) -> list[str]:
+def _csv_header(path: str, options: dict) -> list[str]:
+    """The first record of a CSV file, read with the options the loader reads it with."""
+    import csv
+    import io
+
     fs, local = _arrow_fs(path)
+    encoding = options.get("encoding", "utf-8")
     with fs.open_input_stream(local) as fh:
-        first = fh.read(1 << 20).split(b"\n", 1)[0].decode("utf-8").rstrip("\r")
-    return [h.strip().strip('"') for h in first.split(sep)] if first else []
+        text = io.TextIOWrapper(fh, encoding="utf-8-sig" if encoding.lower() in ("utf-8", "utf8") else encoding, newline="")
+        found = csv.reader(text, delimiter=options.get("sep", ","), quotechar=options.get("quote", '"'))
+        return [h.strip() for h in next(found, [])]
+
 
+def _format_errors() -> tuple:
+    """Errors that say the file is not what it should be; any other error fails the task."""
+    import csv
+
+    import pyarrow as pa
 
-def _file_checker(fmt: str, contract_json: str, ignore_nullable: bool, check_order: bool, deep: bool, sep: str):
+    return (pa.ArrowInvalid, pa.ArrowNotImplementedError, UnicodeDecodeError, csv.Error)
+
+
+def _file_checker(fmt: str, contract_json: str, ignore_nullable: bool, check_order: bool, deep: bool, options: dict):
     def run(batches):
         import pyarrow as pa
 
@@ -112,7 +125,7 @@ def _file_checker(fmt: str, contract_json: str, ignore_nullable: bool, check_ord
             for p in paths:
                 try:
                     if fmt == "csv":
-                        header = _csv_header(p, sep)
+                        header = _csv_header(p, options)
                         if header == names or (not check_order and sorted(header) == sorted(names)):
                             reasons.append(None)
                         else:
@@ -122,7 +135,7 @@ def _file_checker(fmt: str, contract_json: str, ignore_nullable: bool, check_ord
                         _footer_schema(p, fmt, deep), contract, ignore_nullable=ignore_nullable, check_order=check_order
                     )
                     reasons.append("; ".join(str(b) for b in found) or None)
-                except Exception as e:  # unreadable file: the error is the reason
+                except _format_errors() as e:
                     reasons.append(f"cannot read file: {type(e).__name__}: {e}")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(paths, pa.string()), pa.array(reasons, pa.string())], names=["path", "reason"]
@@ -139,21 +152,24 @@ def file_schema_breaches(
     ignore_nullable: bool = True,
     check_order: bool = True,
     deep: bool = False,
-    sep: str = ",",
+    options: dict | None = None,
 ) -> DataFrame:
     """``path, reason`` for each listed file of a self-describing format (or CSV) that breaks the
     contract. Runs as one ``mapInArrow`` over the listing's partitions: no driver loop, no per-file
-    job, only footers (or CSV first blocks) are read."""
-    checker = _file_checker(fmt, contract.json(), ignore_nullable, check_order, deep, sep)
+    job, only footers (or the first CSV record) are read. A file that cannot be decoded is a breach;
+    a file that cannot be fetched fails the task, so that a short outage quarantines nothing."""
+    checker = _file_checker(fmt, contract.json(), ignore_nullable, check_order, deep, dict(options or {}))
     return files.select("path").mapInArrow(checker, BREACH_SCHEMA).where(F.col("reason").isNotNull())
 
 
-def json_breaches(lines: DataFrame, contract: StructType, *, multiline: bool = False) -> DataFrame:
+def json_breaches(lines: DataFrame, contract: StructType, *, multiline: bool = False, ignore_nullable: bool = True) -> DataFrame:
     """``path, reason`` for JSON files breaking the contract (see module doc).
 
     Records are JSON lines, or with ``multiline`` the documents of whole files (an array document
-    contributes one record per element). Each record is parsed once into a variant; its keys, the
-    presence and the type fit of every contract field all come from that variant. One scan feeds one
+    contributes one record per element). Each record is parsed once into a variant, from which its keys
+    and the presence of every contract field come, and once with the contract schema by the loader's own
+    rule (``from_json``): a present value that the loader would turn into NULL does not fit. NOT NULL
+    fields are enforced only with ``ignore_nullable=False``, as in the other formats. One scan feeds one
     ``(path, unexpected key)`` aggregation that also carries the per-record counts (each record is
     counted once, in the group of its first unexpected key); it is checkpointed, and the per-file
     totals and the first unexpected keys are both read from it.
@@ -165,7 +181,10 @@ def json_breaches(lines: DataFrame, contract: StructType, *, multiline: bool = F
         record = F.explode(F.coalesce(F.try_variant_get(doc, "$", "array<variant>"), F.array(doc)))
     else:
         record = doc
-    parsed = lines.select("path", record.alias(v), nonblank.alias("nb"))
+    parsed = lines.select("path", "value", record.alias(v), nonblank.alias("nb"))
+    loaded = temp_name(parsed, "loaded")
+    nullable = StructType([StructField(f.name, f.dataType, True) for f in contract.fields])
+    parsed = parsed.withColumn(loaded, F.from_json(F.to_json(v) if multiline else F.col("value"), nullable))
     keys = F.map_keys(F.try_variant_get(F.col(v), "$", "map<string,variant>"))
     unit = "records" if multiline else "lines"
     known = F.array(*[F.lit(f.name) for f in contract.fields])
@@ -178,15 +197,14 @@ def json_breaches(lines: DataFrame, contract: StructType, *, multiline: bool = F
         jpath = "$['" + f.name.replace("\\", "\\\\").replace("'", "\\'") + "']"
         raw = F.try_variant_get(F.col(v), jpath, "variant")
         present = raw.isNotNull() & ~F.is_variant_null(raw)
-        typed = F.try_variant_get(F.col(v), jpath, f.dataType.simpleString())
-        metrics[f"bad{i}"] = present & typed.isNull()
+        metrics[f"bad{i}"] = present & F.col(loaded).getField(f.name).isNull()
         parts.append(
             F.when(
                 F.col(f"bad{i}") > 0,
                 F.format_string(f"column {f.name}: %d values do not fit {f.dataType.simpleString()}", F.col(f"bad{i}")),
             )
         )
-        if not f.nullable:
+        if not f.nullable and not ignore_nullable:
             metrics[f"abs{i}"] = keys.isNotNull() & ~present
             parts.append(
                 F.when(F.col(f"abs{i}") > 0, F.format_string(f"column {f.name}: NULL or absent on %d {unit}", F.col(f"abs{i}")))
@@ -196,37 +214,18 @@ def json_breaches(lines: DataFrame, contract: StructType, *, multiline: bool = F
         "path", *[c.alias(name) for name, c in metrics.items()], F.posexplode_outer(extra_keys).alias("pos", "key")
     )
     first_row_of_line = F.col("pos").isNull() | (F.col("pos") == 0)
-    # small (one row per file and unexpected key) and read twice below: materialise it once in the
-    # shared checkpoint folder, so the JSON text is scanned once
-    per_key = cut_lineage(
-        per_line.groupBy("path", "key").agg(*[F.count_if(first_row_of_line & F.col(name)).alias(name) for name in metrics])
-    )
+    # one row per file and unexpected key; the record counts ride on each record's first one
+    per_key = per_line.groupBy("path", "key").agg(*[F.count_if(first_row_of_line & F.col(name)).alias(name) for name in metrics])
     per_file = per_key.groupBy("path").agg(
-        *[F.sum(name).alias(name) for name in metrics], F.count("key").alias("n_extra")
-    )
-    # the first NAMED_KEYS unexpected keys per file: a top-k (partial limit before the shuffle)
-    rn = temp_name(["path", "key", *metrics], "rn")
-    # the NULL key of lines without unexpected keys ranks last and collect_list skips it
-    first_keys = (
-        per_key.withColumn(rn, F.row_number().over(Window.partitionBy("path").orderBy(F.col("key").asc_nulls_last())))
-        .where(F.col(rn) <= NAMED_KEYS)
-        .groupBy("path")
-        .agg(F.array_sort(F.collect_list("key")).alias("extra"))
+        *[F.sum(name).alias(name) for name in metrics], F.array_sort(F.collect_list("key")).alias("extra")
     )
     reason = F.concat_ws(
         "; ",
         F.when(F.col("n_malformed") > 0, F.format_string(f"%d malformed {unit}", F.col("n_malformed"))),
         *parts,
-        F.when(
-            F.col("n_extra") > NAMED_KEYS,
-            F.format_string(f"%d unexpected columns, first {NAMED_KEYS}: %s", F.col("n_extra"), F.array_join("extra", ", ")),
-        ).when(F.col("n_extra") > 0, F.concat(F.lit("unexpected columns: "), F.array_join("extra", ", "))),
-    )
-    return (
-        per_file.join(first_keys, "path", "left")
-        .select("path", F.when(reason != "", reason).alias("reason"))
-        .where(F.col("reason").isNotNull())
+        F.when(F.size("extra") > 0, F.concat(F.lit("unexpected columns: "), F.array_join("extra", ", "))),
     )
+    return per_file.select("path", F.when(reason != "", reason).alias("reason")).where(F.col("reason").isNotNull())
 
 
 def csv_value_breaches(spark: SparkSession, area: LandingArea, contract: StructType, start=None) -> DataFrame:
@@ -238,7 +237,7 @@ def csv_value_breaches(spark: SparkSession, area: LandingArea, contract: StructT
     schema = StructType([StructField(f.name, f.dataType, True) for f in contract.fields] + [StructField(corrupt, StringType(), True)])
     rows = (
         spark.read.schema(schema)
-        .option("header", "true")
+        .options(**area.reader_options())
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", corrupt)
         .option("recursiveFileLookup", "true")
@@ -302,9 +301,9 @@ def contract_breaches(
     """Breaching files of a landing area from ``start`` on: ``path, reason``."""
     fmt = area.fmt.lower()
     if fmt == "json":
-        return json_breaches(area.lines(spark, start), contract, multiline=area.multiline)
+        return json_breaches(area.lines(spark, start), contract, multiline=area.multiline, ignore_nullable=ignore_nullable)
     if fmt in ("parquet", "orc", "csv"):
-        found = file_schema_breaches(area.files(spark, start), fmt, contract, ignore_nullable=ignore_nullable, deep=deep)
+        found = file_schema_breaches(area.files(spark, start), fmt, contract, ignore_nullable=ignore_nullable, deep=deep, options=area.reader_options())
         if fmt == "csv":
             found = _combine(found.unionByName(csv_value_breaches(spark, area, contract, start)))
         return found
@@ -368,8 +367,25 @@ def quarantine_files(area: LandingArea, breaches: DataFrame) -> DataFrame:
     )
 
 
-def write_move_log(log: DataFrame, log_path: str, run_id: str) -> DataFrame:
-    """Append the log (this single write triggers the moves) and read this run's rows back."""
-    log.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(log_path)
+def stray_log(spark: SparkSession, area: LandingArea) -> DataFrame:
+    """Log rows of files outside ``year=/month=/day=``: they belong to no day, so they are neither
+    checked, moved nor loaded, but they are named (move status ``STRAY``)."""
+    strays = area.files(spark, include_strays=True).where("is_stray")
+    return strays.select(
+        F.col("path").alias("old_file_path"), F.lit(None).cast("string").alias("new_file_path"),
+        F.lit("outside year=/month=/day=, not loaded").alias("corrupted_message"),
+        F.current_timestamp().alias("inserted_at"), F.lit("STRAY").alias("move_status"),
+    )
+
+
+def write_move_log(log: DataFrame, log_path: str | None, run_id: str, *, table: str | None = None) -> DataFrame:
+    """Append the log to a path or a catalog table (this single write triggers the moves) and read
+    this run's rows back; a run without rows gives an empty frame."""
     spark = log.sparkSession
-    return spark.read.parquet(log_path).where(F.col("run_id") == run_id).drop("run_id")
+    tagged = log.withColumn("run_id", F.lit(run_id))
+    if table is not None:
+        tagged.write.mode("append").saveAsTable(table)
+        return spark.table(table).where(F.col("run_id") == run_id).drop("run_id")
+    own = f"{log_path.rstrip('/')}/run_id={run_id}"
+    log.write.mode("overwrite").parquet(own)  # the folder is this run's: a repeated write replaces it
+    return spark.read.schema(LOG_SCHEMA).parquet(own)

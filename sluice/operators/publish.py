@@ -3,9 +3,10 @@
 Spark cannot overwrite a location it is reading. Instead of materialising the result twice
 (checkpoint, then overwrite), the result is written once to a fresh location that is then switched
 in: a hidden sibling folder and two renames on the driver for paths (metadata only; atomic per
-rename on HDFS and local file systems), a staging table and a rename for catalog tables. Readers
+rename on HDFS and local file systems), a staging table and two renames for catalog tables. Readers
 never see a half-written target, only, for the instant of the switch, no target. The previous
-content is deleted last. Whether the frame reads its target does not need to be known, so no
+content is deleted last, and moved back by the next write if a switch stopped half way (one writer
+per target is assumed). Whether the frame reads its target does not need to be known, so no
 input-file list is ever pulled to the driver.
 """
 
@@ -22,6 +23,26 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Undo a switch that stopped half way: with the target gone, its old content, which lies beside
+    it, is moved back, so that whoever repeats the write starts from what was there before. With the
+    target there, the switch was done and what is left of the old content is deleted."""
+    jvm = spark.sparkContext._jvm
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    fs, target = _fs(spark, path.rstrip("/"))
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(parent)):
+        return
+    left = [st for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(parent)) if st.getPath().getName().startswith(f"_{name}.prev-")]
+    if not left:
+        return
+    newest = max(left, key=lambda st: st.getModificationTime())
+    if not fs.exists(target) and not fs.rename(newest.getPath(), target):
+        raise OSError(f"could not move {newest.getPath().toString()} back to {path}")
+    for st in left:
+        if fs.exists(st.getPath()):
+            fs.delete(st.getPath(), True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)
@@ -33,6 +54,7 @@ def replace_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by=No
     spark = df.sparkSession
     token = uuid.uuid4().hex[:12]
     base = path.rstrip("/")
+    recover(spark, base)
     parent, name = base.rsplit("/", 1)
     # leading underscore: hidden from Spark readers of the parent folder while it exists
     fresh, old = f"{parent}/_{name}.next-{token}", f"{parent}/_{name}.prev-{token}"
@@ -60,21 +82,43 @@ def replace_table(df: DataFrame, name: str) -> DataFrame:
     partitioning and properties stay), then drop the old table and rename the staging table."""
     spark = df.sparkSession
     token = uuid.uuid4().hex[:12]
-    staging = f"{name}__next_{token}"
-    current = spark.table(name).columns if spark.catalog.tableExists(name) else None
+    staging, old = f"{name}__next_{token}", f"{name}__prev_{token}"
+    exists = spark.catalog.tableExists(name)
+    if exists and spark.catalog.getTable(name).tableType == "EXTERNAL":
+        return _replace_external(df, name, token)
+    current = spark.table(name).columns if exists else None
     if current is not None and sorted(c.lower() for c in current) == sorted(c.lower() for c in df.columns):
         # same columns: keep the table's format, partitioning and properties
         spark.sql(f"CREATE TABLE {staging} LIKE {name}")
         df.select(*[f"`{c}`" for c in current]).write.insertInto(staging)
     else:
         df.write.mode("errorifexists").saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if exists:  # the old table is renamed, and dropped last: a stop in between loses nothing
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return spark.table(name)
+
+
+def _replace_external(df: DataFrame, name: str, token: str) -> DataFrame:
+    """An external table stays one: the new content goes to a folder beside the old one, and the table
+    is pointed at it. The old folder is left to its owner."""
+    spark = df.sparkSession
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if "# Partition Information" in detail:
+        raise NotImplementedError("replacing a partitioned external table")
+    place = f"{detail['Location'].rstrip('/')}-{token}"
+    df.select(*[f"`{c}`" for c in spark.table(name).columns]).write.format(detail["Provider"]).save(place)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
 def has_data(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` exists and holds any entry Spark would read (not ``_``/``.`` hidden)."""
+    """True when ``path`` exists and holds any entry Spark would read (not ``_``/``.`` hidden). A
+    switch of the target that stopped half way is undone first: a target is never taken for new
+    because its content was just being replaced."""
+    recover(spark, path)
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return False

@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..operators.contract import contract_breaches, quarantine_files, write_move_log
+from ..operators.contract import contract_breaches, quarantine_files, stray_log, write_move_log
 from ..session import cut_lineage
 from ..sources.landing import LandingArea
 
-# The customer contract of the landing demo (bronze layer schema).
+# The customer contract of the landing demo (bronze layer schema).
 CUSTOMER_CONTRACT = StructType(
     [
         StructField("id", StringType(), False),
@@ -36,22 +36,29 @@ def apply_data_contract(
     spark: SparkSession,
     area: LandingArea,
     contract: StructType,
-    log_path: str,
+    log_path: str | None,
     start=None,
     *,
     ignore_nullable: bool = True,
     deep: bool = False,
     raise_on_failed_moves: bool = True,
+    log_strays: bool = True,
+    log_table: str | None = None,
 ) -> DataFrame:
     """Verify the area's files from ``start`` on, quarantine breaching ones and return this run's
-    movement log (``old_file_path, new_file_path, corrupted_message, inserted_at, move_status``)."""
+    movement log (``old_file_path, new_file_path, corrupted_message, inserted_at, move_status``), written
+    to a path or, with ``log_table``, appended to a table. Files outside the date folders are logged as
+    strays (``log_strays=False`` spares listing the folders before ``start``)."""
     breaches = contract_breaches(spark, area, contract, start, ignore_nullable=ignore_nullable, deep=deep)
     # Materialise the breach list first: a retried move task must not re-scan landing files that
     # an earlier attempt already moved away (the listing scan stats every file it lists).
     breaches = cut_lineage(breaches)
-    log = write_move_log(quarantine_files(area, breaches), log_path, uuid.uuid4().hex)
+    moves = quarantine_files(area, breaches)
+    if log_strays:
+        moves = moves.unionByName(stray_log(spark, area))
+    log = write_move_log(moves, log_path, uuid.uuid4().hex, table=log_table)
     if raise_on_failed_moves:
-        failed = log.where(F.col("move_status") != "OK").limit(1).collect()
+        failed = log.where(~F.col("move_status").isin("OK", "STRAY")).limit(1).collect()
         if failed:
             raise MoveError(f"some files could not be moved, e.g. {failed[0]['old_file_path']}: {failed[0]['move_status']}")
     return log
@@ -90,7 +97,7 @@ def write_customer_drops(
     good = rows.where(F.col("day") != break_day).select(*keep)
     broken = rows.where(F.col("day") == break_day).select(*keep[:4], "city", *keep[4:])
     for part in (good, broken):
-        part.write.option("partitionOverwriteMode", "dynamic").save(area.object_dir, **writer_opts)
+        part.write.options(**area.reader_options()).option("partitionOverwriteMode", "dynamic").save(area.object_dir, **writer_opts)
 
 
 def load_conforming(spark: SparkSession, area: LandingArea, contract: StructType, start=None) -> DataFrame:

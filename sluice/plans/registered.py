@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.checks import DataCheckClause
 from ..operators.checks import apply_data_checks, check_report, good_rows
@@ -22,7 +24,8 @@ from ..operators.merge import MergeTarget
 from ..plans.gold import build_gold, publish
 from ..plans.quality import check_table_from_config
 from ..plans.landing import CUSTOMER_CONTRACT, apply_data_contract, load_conforming, write_customer_drops
-from ..operators.contract import contract_breaches
+from ..operators.contract import contract_breaches, file_schema_breaches
+from ..functions.paths import path_day
 from ..session import cut_lineage, shared_dir
 from ..sources.config import load_data_checks
 from ..sources.landing import LandingArea
@@ -562,11 +565,79 @@ def landing_bronze_rows(spark, sf_dir):
     return load_conforming(spark, area, CUSTOMER_CONTRACT, (2025, 10, 3))
 
 
-@register("landing_quarantine_log")
+def _bronze(spark, sf_dir, fmt):
+    area = _landing(spark, sf_dir, fmt)
+    apply_data_contract(spark, area, CUSTOMER_CONTRACT, f"{area.root}/_movement_log", (2025, 10, 3))
+    return load_conforming(spark, area, CUSTOMER_CONTRACT, (2025, 10, 3))
+
+
+@register("landing_csv_bronze_rows", _DROP_ROWS_SQL + "SELECT * FROM r WHERE day >= 3 AND day <> 6")
+def landing_csv_bronze_rows(spark, sf_dir):
+    return _bronze(spark, sf_dir, "csv")
+
+
+@register("landing_json_bronze_rows", _DROP_ROWS_SQL + "SELECT * FROM r WHERE day >= 3 AND day <> 6")
+def landing_json_bronze_rows(spark, sf_dir):
+    return _bronze(spark, sf_dir, "json")
+
+
+@register(
+    "landing_quarantine_log",
+    _DROP_ROWS_SQL + """
+SELECT DISTINCT day, true AS moved_to_quarantine, 'unexpected columns: city' AS corrupted_message, 'OK' AS move_status,
+       true AS dated FROM r WHERE day = 6""",
+)
 def landing_quarantine_log(spark, sf_dir):
-    """Movement log of one contract run (paths are run-specific: row-count check only)."""
+    """Movement log of one contract run; the run's own paths are reduced to day and folder."""
     area = _landing(spark, sf_dir, "json")
-    return apply_data_contract(spark, area, CUSTOMER_CONTRACT, f"{area.root}/_movement_log", (2025, 10, 1))
+    log = apply_data_contract(spark, area, CUSTOMER_CONTRACT, f"{area.root}/_movement_log", (2025, 10, 1))
+    moved = F.col("new_file_path") == F.replace(F.col("old_file_path"), F.lit("/object=customer/"), F.lit("/object=customer_corrupted/"))
+    return log.select(
+        path_day(F.col("old_file_path")).alias("day"), moved.alias("moved_to_quarantine"), "corrupted_message", "move_status",
+        F.col("inserted_at").isNotNull().alias("dated"),
+    ).distinct()
+
+
+#: Declared contracts, each with one difference from the table as it is.
+TABLE_CONTRACTS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice decimal(12,2), o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string, c_phone string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+
+@register(
+    "schema_breaches",
+    """
+SELECT * FROM (VALUES ('orders', 'type of o_totalprice: expected decimal(12,2), got double'),
+                      ('customer', 'missing column c_phone string'),
+                      ('supplier', 'unexpected column s_acctbal double')) AS v(table_name, reason)
+""",
+)
+def schema_breaches_query(spark, sf_dir):
+    """The given tables' files against declared contracts, from their footers (O-15)."""
+    found = []
+    for name, ddl in TABLE_CONTRACTS.items():
+        files = spark.read.format("binaryFile").load(f"{sf_dir.rstrip('/')}/{name}.parquet").select("path")
+        reasons = file_schema_breaches(files, "parquet", StructType.fromDDL(ddl))
+        found.append(reasons.select(F.lit(name).alias("table_name"), "reason").distinct())
+    return reduce(DataFrame.unionByName, found)
+
+
+@register(
+    "merge_on_with_condition",
+    "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders",
+)
+def merge_on_with_condition(spark, sf_dir):
+    """Two source rows a key, of which the condition leaves one: a match, not a conflict."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    third = orders.where("o_orderkey % 3 = 0")
+    source = third.select("o_orderkey", (F.col("o_totalprice") + 1).alias("price"), F.lit("U").alias("op")).unionByName(
+        third.select("o_orderkey", (F.col("o_totalprice") + 2).alias("price"), F.lit("X").alias("op"))
+    )
+    merge = MergeTarget.forFrame(orders).alias("t").merge(source.alias("s"), "s.op = 'U'", on="o_orderkey")
+    return merge.whenMatchedUpdate(set={"o_totalprice": "s.price"}).result()
 
 
 # ---------------------------------------------------------------- streaming (O-13)

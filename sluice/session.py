@@ -59,7 +59,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     path = f"{checkpoint_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
+    if spark.sparkContext.master.startswith("local") and ("://" not in path or path.startswith("file:")):
         os.makedirs(path.removeprefix("file:"), exist_ok=True)
     return path
 

@@ -43,7 +43,15 @@ class LandingArea:
     root: str
     object_name: str
     fmt: str = "parquet"
-    multiline: bool = False  # JSON files holding one document (object or array) over many lines
+    multiline: bool = False  # JSON documents over many lines; CSV records with quoted line feeds
+    options: tuple = ()  # further reader options as (name, value) pairs, e.g. (("sep", ";"),)
+
+    def reader_options(self) -> dict[str, str]:
+        """The options every read of this area uses: the checks' and the load's."""
+        out = {"header": "true"} if self.fmt.lower() == "csv" else {}
+        if self.multiline and self.fmt.lower() in ("csv", "json"):
+            out["multiLine"] = "true"
+        return out | dict(self.options)
 
     @property
     def object_dir(self) -> str:
@@ -130,8 +138,7 @@ class LandingArea:
         reader = spark.read.format(self.fmt).option("recursiveFileLookup", "true").option(
             "pathGlobFilter", glob_for(self.fmt)
         )
-        if self.multiline:
-            reader = reader.option("multiLine", "true")
+        reader = reader.options(**self.reader_options())
         if schema is not None:
             reader = reader.schema(schema)
         roots = self.roots(spark, start) if self.exists(spark) else []

@@ -20,6 +20,8 @@ def _trigger_kwargs(trigger) -> dict:
         return {"availableNow": True}
     if trigger == "once":
         return {"once": True}
+    if trigger == "continuous" or isinstance(trigger, dict) and "continuous" in trigger:
+        raise ValueError("continuous triggers cannot call a function for each batch")
     if isinstance(trigger, dict):
         return trigger
     return {"processingTime": trigger}
@@ -56,6 +58,8 @@ def stream_checks(
 ) -> StreamingQuery:
     clauses = clauses_of(cfg)
     validate_checks(stream, clauses)
+    if taken := {"status", "batch_id"} & {c.lower() for c in stream.columns}:
+        raise ValueError(f"columns {sorted(taken)} are the output's own folders; rename them in the stream")
     messages = fail_messages(clauses)
     base = out_path.rstrip("/")
 

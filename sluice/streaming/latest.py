@@ -32,9 +32,13 @@ def latest_state(stream: DataFrame, keys, order_by, tie_break=None) -> DataFrame
     best = temp_name(stream, "best")
     sort_fields = [to_col(c).alias(f"o{i}") for i, c in enumerate(orders)]
     row = F.struct(*[F.col(f"`{c}`") for c in stream.columns]).alias("row")
+    if "map<" in stream.schema.simpleString():  # maps have no order: by the sort fields alone
+        newest = F.struct(F.max_by(row, F.struct(*sort_fields)).alias("row"))
+    else:
+        newest = F.max(F.struct(*sort_fields, row))
     return (
         stream.groupBy(*[to_col(k) for k in keys])
-        .agg(F.max(F.struct(*sort_fields, row)).alias(best))
+        .agg(newest.alias(best))
         .select(*[F.col(f"{best}.row.`{c}`").alias(c) for c in stream.columns])
     )
 

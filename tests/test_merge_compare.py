@@ -175,3 +175,33 @@ def test_condition_without_equality_is_refused(spark):
     target = spark.createDataFrame([(1, "x")], "id int, v string")
     with pytest.raises(ValueError, match="equality"):
         MergeTarget.forFrame(target).alias("t").merge(target.alias("s"), "t.id < s.id").whenMatchedUpdateAll().result()
+
+
+def test_frames_of_different_types_are_not_equal(spark):
+    from sluice.operators.compare import frames_equal
+
+    one = spark.createDataFrame([(1,)], "x int")
+    for other in (spark.createDataFrame([(1,)], "x bigint"), spark.createDataFrame([("1",)], "x string")):
+        assert not frames_equal(one, other)
+        with pytest.raises(ValueError, match="types differ"):
+            frame_diff(one, other)
+        with pytest.raises(AssertionError, match="types differ"):
+            assert_frames_equal(one, other)
+
+
+def test_nested_nullability_is_compared_on_request():
+    from pyspark.sql.types import ArrayType
+
+    a = StructType([StructField("x", ArrayType(IntegerType(), False))])
+    b = StructType([StructField("x", ArrayType(IntegerType(), True))])
+    assert schema_breaches(a, b) == []
+    assert [x.kind for x in schema_breaches(a, b, ignore_nullable=False)] == ["nullability"]
+
+
+def test_external_table_stays_external(spark, tmp_dir):
+    spark.sql("DROP TABLE IF EXISTS outside")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string").write.option("path", f"{tmp_dir}/outside").saveAsTable("outside")
+    src = spark.createDataFrame([(2, "B"), (3, "c")], "id int, v string")
+    MergeTarget.forName(spark, "outside").merge(src, on="id").whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
+    assert sorted(tuple(r) for r in spark.table("outside").collect()) == [(1, "a"), (2, "B"), (3, "c")]
+    assert spark.catalog.getTable("outside").tableType == "EXTERNAL"
