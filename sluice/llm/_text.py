@@ -77,18 +77,21 @@ class Words:
     def doc_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.doc_at) - 1), self.counts())
 
-    def hashes(self, lower: bool = False) -> np.ndarray:
-        """One 64-bit hash per word; ``lower`` maps A-Z to a-z first."""
+    def hashes(self, lower: bool = False, ends: np.ndarray | None = None) -> np.ndarray:
+        """One 64-bit hash per word; ``lower`` maps A-Z to a-z first, ``ends`` may cut words shorter."""
         if not len(self.starts):
             return np.zeros(0, np.uint64)
-        lengths = self.ends - self.starts
+        ends = self.ends if ends is None else ends
+        lengths = ends - self.starts
         at = np.zeros(len(self.data), np.int64)
         at[self.starts] = self.starts
         np.maximum.accumulate(at, out=at)
         at = np.arange(len(self.data)) - at
         at[self.blank] = 0
-        value = (_BYTE_LOWER if lower else _BYTE)[self.data] * powers(_BASE, int(lengths.max()))[at]
+        value = (_BYTE_LOWER if lower else _BYTE)[self.data] * powers(_BASE, int((self.ends - self.starts).max()))[at]
         value[self.blank] = 0
+        off = self.ends - ends
+        value[np.repeat(ends - (np.cumsum(off) - off), off) + np.arange(int(off.sum()))] = 0
         return mix(np.add.reduceat(value, self.starts) + lengths.astype(np.uint64))
 
     def word(self, k: int) -> str:

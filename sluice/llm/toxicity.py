@@ -25,6 +25,8 @@ from ._text import _BASE, _BYTE_LOWER, Words, chunk_bounds, mix
 SAMPLE = 6000
 BITS = 18
 BEGINNINGS = (3, 4, 5, 6, 8)
+TIMES = (2, 3, 5)
+LOW = (1 << BITS) - 1
 LEARNT_VOTERS = 6
 LEARNT_EACH = 24
 
@@ -38,75 +40,83 @@ LEXICONS = {
     "other": "idiota imbécil estúpido basura asqueroso idiot dumm abschaum widerlich wertlos crétin stupide ordure minable",
 }
 PATTERNS = ("shouting", "symbols")
+_MARK, _SYMBOL = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[list(b".,;:!?\"')(]}*#$%&|")] = True
+_SYMBOL[list(b"#$%&*|")] = True
 
 
-def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (document, feature) pairs of a chunk: hashes of lower-cased words (ends of 1 to 3 marks
-    such as commas cut off), of their first bytes, and of either together with how often it occurs."""
+def pairs(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(document, feature) of every word of a chunk, repeats included: hashes of the lower-cased words
+    (up to three marks such as commas cut off their ends) and of their first bytes."""
     n = len(words.starts)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     data, ends = words.data, words.ends.copy()
-    mark = np.zeros(256, bool)
-    mark[list(b".,;:!?\"')(]}*#$%&|")] = True
     for _ in range(3):
-        cut = mark[data[ends - 1]] & (ends - words.starts > 1)
+        cut = _MARK[data[ends - 1]] & (ends - words.starts > 1)
         ends[cut] -= 1
     lengths = ends - words.starts
     doc = words.doc_of_word()
-    out = []
+    out = [(doc, words.hashes(lower=True, ends=ends))]
     value = np.zeros(n, np.uint64)
-    done = np.zeros(n, bool)
-    longest = max(BEGINNINGS)
-    for j in range(int(min(lengths.max(), 32))):
-        on = lengths > j
-        value[on] = value[on] * _BASE + _BYTE_LOWER[data[words.starts[on] + j]]
+    for j in range(max(BEGINNINGS)):
+        value = value * _BASE + _BYTE_LOWER[data[np.minimum(words.starts + j, len(data) - 1)]]
         if j + 1 in BEGINNINGS:
             at = np.flatnonzero(lengths > j + 1)
             out.append((doc[at], mix(value[at] + np.uint64(j + 1))))
-        done |= lengths == j + 1
-        if j >= longest and not (lengths > j + 1).any():
-            break
-    out.append((doc, mix(value + np.uint64(97))))
     doc = np.concatenate([d for d, _ in out])
-    feature = np.concatenate([(f >> np.uint64(64 - BITS)).astype(np.int64) for _, f in out])
+    return doc, np.concatenate([(f >> np.uint64(64 - BITS)).astype(np.int64) for _, f in out])
+
+
+def often(feature: np.ndarray, times: int) -> np.ndarray:
+    """Number of the feature that a text holds ``feature`` so many times."""
+    return (feature * 2654435761 + times * 40503) & LOW
+
+
+def distinct(doc: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (document, feature) pairs in order, with those that say a text repeats a feature."""
     both, times = np.unique(doc << BITS | feature, return_counts=True)
-    low = (1 << BITS) - 1
-    often = []
-    for k in (2, 3, 5):  # a feature that a text holds so many times is one more feature
+    more = [both]
+    for k in TIMES:
         at = both[times >= k]
-        often.append(at >> BITS << BITS | ((at & low) * 2654435761 + k * 40503) & low)
-    both = np.unique(np.concatenate([both, *often]))
-    return both >> BITS, both & low
+        more.append(at >> BITS << BITS | often(at & LOW, k))
+    both = np.sort(np.concatenate(more))
+    both = both[np.diff(both, prepend=-1) > 0]
+    return both >> BITS, both & LOW
 
 
 def word_features(lexicon: str) -> np.ndarray:
     """Feature numbers of the whole words of a lexicon."""
-    out = []
-    for word in lexicon.split():
-        value = np.zeros(1, np.uint64)
-        for b in word.encode()[:32]:
-            value = value * _BASE + _BYTE_LOWER[b]
-        out.append(int(mix(value + np.uint64(97))[0] >> np.uint64(64 - BITS)))
-    return np.unique(out)
-
-
-def votes(words: Words, doc: np.ndarray, feature: np.ndarray, lexicons: list[np.ndarray]) -> np.ndarray:
-    """One bit a voter for each document of the chunk."""
-    n = len(words.doc_at) - 1
-    mask = np.zeros(n, np.int64)
-    voter = np.zeros(1 << BITS, np.int64)
-    for k, own in enumerate(lexicons):
-        voter[own] |= 1 << k
-    np.bitwise_or.at(mask, doc, voter[feature])
-    upper = (words.data >= 65) & (words.data <= 90)
-    lower = (words.data >= 97) & (words.data <= 122)
-    symbol = np.isin(words.data, np.frombuffer(b"#$%&*|", np.uint8))
-    rows = [np.add.reduceat(np.append(x, False).astype(np.int64), words.doc_at[:-1]) * (np.diff(words.doc_at) > 0) for x in (upper, lower, symbol)]
-    k = len(lexicons)
-    mask |= (rows[0] > rows[1]).astype(np.int64) << k
-    mask |= (rows[2] > words.counts()).astype(np.int64) << (k + 1)
-    return mask
+    hashes = Words(pa.array([lexicon])).hashes(lower=True)
+    return np.unique((hashes >> np.uint64(64 - BITS)).astype(np.int64))
+
+
+class Voters:
+    """The lexicons' features by voter; only pairs that can matter are sorted."""
+
+    def __init__(self, lexicons: list[np.ndarray]):
+        self.n = len(lexicons)
+        self.voter = np.zeros(1 << BITS, np.int64)
+        for k, own in enumerate(lexicons):
+            self.voter[own] |= 1 << k
+        every = np.arange(1 << BITS)
+        self.matters = self.voter != 0
+        for k in TIMES:
+            self.matters |= self.voter[often(every, k)] != 0
+
+    def votes(self, words: Words, doc: np.ndarray, feature: np.ndarray) -> np.ndarray:
+        """One bit a voter for each document of the chunk, from its pairs."""
+        n = len(words.doc_at) - 1
+        mask = np.zeros(n, np.int64)
+        at = self.matters[feature]
+        own, feature = distinct(doc[at], feature[at])
+        np.bitwise_or.at(mask, own, self.voter[feature])
+        upper = (words.data >= 65) & (words.data <= 90)
+        lower = (words.data >= 97) & (words.data <= 122)
+        rows = [np.diff(np.concatenate(([0], np.cumsum(x)))[words.doc_at]) for x in (upper, lower, _SYMBOL[words.data])]
+        mask |= (rows[0] > rows[1]).astype(np.int64) << self.n
+        mask |= (rows[2] > words.counts()).astype(np.int64) << (self.n + 1)
+        return mask
 
 
 def _each(batches):
@@ -114,13 +124,15 @@ def _each(batches):
         texts = batch.column(1)
         for lo, hi in chunk_bounds(texts):
             words = Words(texts.slice(lo, hi - lo))
-            yield batch.slice(lo, hi - lo), words, *features(words)
+            yield batch.slice(lo, hi - lo), words, *pairs(words)
 
 
 def _sample_rows(batches):
+    none = Voters([])
     for part, words, doc, feature in _each(batches):
+        base = none.votes(words, doc, feature)
+        doc, feature = distinct(doc, feature)
         at = np.searchsorted(doc, np.arange(part.num_rows + 1))
-        base = votes(words, doc, feature, [])
         yield pa.RecordBatch.from_arrays(
             [part.column(2), pa.array(base), pa.array([feature[i:j].astype(np.int32).tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary())], ["toxic", "patterns", "features"]
         )
@@ -128,8 +140,9 @@ def _sample_rows(batches):
 
 def _mask_rows(lexicons):
     def run(batches):
+        voters = Voters(lexicons)
         for part, words, doc, feature in _each(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(votes(words, doc, feature, lexicons))], ["mask"])
+            yield pa.RecordBatch.from_arrays([pa.array(voters.votes(words, doc, feature))], ["mask"])
 
     return run
 
@@ -205,7 +218,7 @@ class Classifier:
     """Logistic regression over votes and distinct hashed features."""
 
     def __init__(self, lexicons, n_voters):
-        self.lexicons, self.n_voters = lexicons, n_voters
+        self.lexicons, self.n_voters, self.voters = lexicons, n_voters, Voters(lexicons)
         self.weights, self.vote_weights, self.bias = np.zeros(1 << BITS), np.zeros(n_voters), 0.0
 
     def fit(self, docs: list[np.ndarray], masks: np.ndarray, target: np.ndarray, rounds: int = 150, decay: float = 2e-3):
@@ -227,9 +240,11 @@ class Classifier:
         self.weights, self.vote_weights = self.weights.astype(np.float32), self.vote_weights.astype(np.float64)
 
     def score(self, words: Words, doc: np.ndarray, feature: np.ndarray) -> np.ndarray:
+        """Scores of a chunk's documents from all its pairs."""
         n = len(words.doc_at) - 1
+        mask = self.voters.votes(words, doc, feature)
+        doc, feature = distinct(doc, feature)
         size = np.bincount(doc, minlength=n)
-        mask = votes(words, doc, feature, self.lexicons)
         z = np.bincount(doc, self.weights[feature], n) / np.sqrt(np.maximum(size, 1))
         z = z + ((mask[:, None] >> np.arange(self.n_voters)) & 1) @ self.vote_weights + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
@@ -277,9 +292,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         model.fit([], np.zeros(0, np.int64), np.zeros(0))
         return model
     label_model = LabelModel(masks, counts, n_voters, start, prior)
-    voter = np.zeros(1 << BITS, np.int64)
-    for k, part in enumerate(lexicons):
-        voter[part] |= 1 << k
+    voter = model.voters.voter
     sample_masks = np.array([int(np.bitwise_or.reduce(voter[x])) if len(x) else 0 for x in own], np.int64) | (np.array([r["patterns"] for r in rows], np.int64) << len(lexicons))
     model.label_model = label_model
     model.fit(own, sample_masks, label_model.posterior(sample_masks) if len(own) else np.zeros(0))
@@ -305,7 +318,7 @@ def drop_toxic(docs: DataFrame, model: Classifier, text_col: str = "text", thres
         for batch in batches:
             for lo, hi in chunk_bounds(batch.column(at)):
                 words = Words(batch.column(at).slice(lo, hi - lo))
-                keep = model.score(words, *features(words)) < threshold
+                keep = model.score(words, *pairs(words)) < threshold
                 yield batch.slice(lo, hi - lo).filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)
