@@ -6,15 +6,15 @@ spaces become U+2581 and one more stands before a text that isn't empty; a chara
 covers falls back to one byte piece for each of its UTF-8 bytes. pyahocorasick finds all pieces that
 end at each character, the longest first.
 
-No piece goes on after a space that follows another character, nor holds a line feed (this is checked
-when the vocabulary is read), so every segmentation has a border there: lattices are made for the
-pieces of text between such borders, once for each distinct one, and the results are put together.
-The stored scores are whole numbers, so sums in double precision are exact and ties are the same.
+Where no piece holds two neighbouring characters side by side, every segmentation has a border.
+Lattices are made for the parts between such borders, once for each distinct part of a chunk, and the
+results are put together. The nodes of all parts of a chunk are filled in by their place in the part,
+first characters first, with array operations. The stored scores are whole numbers, so the best sums in
+double precision are exact and ties are the same as in the whole text.
 """
 
 from __future__ import annotations
 
-import math
 from itertools import chain
 
 import ahocorasick
@@ -25,13 +25,51 @@ from pyspark.sql import functions as F
 
 from ._text import chunk_bounds, mix
 
-SPACE = "▁"
+SPACE = "\u2581"
 #: Stands for a literal U+2581 of a text when decoding has to give it back; no text holds it.
 LITERAL = "\udc81"
-CACHE = 300_000
+#: Stands between parts; no text holds it.
+BETWEEN = "\udc80"
 ALPHA = 0.0005
 
 
+class Edges:
+    """All matches in the distinct parts of a chunk, by the character they end at, longest first."""
+
+    def __init__(self, vocabulary: Vocabulary, parts: list[str]):
+        text = BETWEEN.join(parts) + BETWEEN
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        between = np.flatnonzero(code == ord(BETWEEN))
+        self.size = np.diff(between, prepend=-1) - 1
+        self.first = between - self.size
+        found = np.fromiter(chain.from_iterable(vocabulary.automaton.iter(text)), np.int64).reshape(-1, 2)
+        end, piece = found[:, 0], found[:, 1]
+        single = np.zeros(len(code), bool)
+        single[end[vocabulary.length[piece] == 1]] = True
+        single[between] = True
+        alone = np.flatnonzero(~single)  # no piece for this character alone: its bytes
+        codes = np.where(code[alone] == ord(LITERAL), ord(SPACE), code[alone])
+        order = np.argsort(np.concatenate([end, alone]), kind="stable")
+        self.end = np.concatenate([end, alone])[order]
+        self.emit = np.concatenate([piece, -1 - codes])[order]
+        self.length = np.concatenate([vocabulary.length[piece], np.ones(len(alone), np.int64)])[order]
+        self.score = np.concatenate([vocabulary.score[piece], np.full(len(alone), vocabulary.unknown)])[order]
+        part = np.searchsorted(between, self.end)
+        place = self.end - self.first[part]
+        #: edges by place in their part; within a node as they are
+        self.by_place = np.argsort(place, kind="stable")
+        self.places = np.append(np.flatnonzero(np.diff(place[self.by_place], prepend=-1)), len(place))
+        self.nodes = len(code) + 1
+
+    def steps(self):
+        """For each place: its edges in the order of their nodes, the first edge of each node, and the
+        rank of each edge in its node."""
+        for lo, hi in zip(self.places[:-1], self.places[1:]):
+            at = self.by_place[lo:hi]
+            new = np.flatnonzero(np.diff(self.end[at], prepend=-1))
+            yield at, new, np.arange(len(at)) - np.repeat(new, np.diff(np.append(new, len(at))))
+
+
 class Vocabulary:
     """Pieces, scores and the automaton; read once in each task."""
 
@@ -39,53 +77,47 @@ class Vocabulary:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        n = model.get_piece_size()
         self.keep_literal = keep_literal
         self.automaton = ahocorasick.Automaton()
         self.byte_ids = np.zeros(256, np.int64)
-        self.piece_bytes: list[bytes] = []
+        self.piece_bytes: list[bytes] = [b""] * n
+        self.length, self.score = np.zeros(n, np.int64), np.zeros(n)
         lowest, self.line_border, self.space_border = 0.0, True, True
-        for i in range(model.get_piece_size()):
+        beside = np.zeros((128, 128), bool)  # ASCII characters that some piece holds side by side
+        for i in range(n):
             piece = model.id_to_piece(i)
-            self.piece_bytes.append(b"")
             if model.is_byte(i):
                 b = int(piece[3:5], 16)
                 self.byte_ids[b] = i
                 self.piece_bytes[i] = bytes([b])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
-                score = float(model.get_score(i))
-                self.automaton.add_word(piece, (len(piece), score, i))
+                self.length[i], self.score[i] = len(piece), model.get_score(i)
+                self.automaton.add_word(piece, i)
                 self.piece_bytes[i] = piece.replace(SPACE, " ").encode()
-                lowest = min(lowest, score)
+                lowest = min(lowest, self.score[i])
                 self.line_border &= "\n" not in piece
                 self.space_border &= SPACE not in piece.lstrip(SPACE)
+                for x, y in zip(self.piece_bytes[i], self.piece_bytes[i][1:]):
+                    if x < 128 and y < 128:
+                        beside[x, y] = True
+        self.apart = ~beside
         self.automaton.make_automaton()
         self.unknown = lowest - 10.0
-        self.known: dict = {}
 
     def written(self, text: str) -> str:
         if self.keep_literal:
             text = text.replace(SPACE, LITERAL)
         return text.replace(" ", SPACE)
 
-    def fallback(self, char: str) -> bytes:
-        return (SPACE if char == LITERAL else char).encode()
-
-    def ends(self, text: str) -> list[list[tuple[int, float, int]]]:
-        """For each character the pieces that end there, longest (earliest start) first."""
-        out: list[list] = [[] for _ in text]
-        for end, match in self.automaton.iter(text):
-            out[end].append(match)
-        return out
-
     def parts(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """Distinct parts between borders: part number of each in order, the parts as written, the
         document of each, and its number within its document."""
         texts = texts.fill_null("").cast(pa.large_string())
         n = len(texts)
-        at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
-        at = at - at[0] if n else at
-        start = int(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset]) if n else 0
-        size = int(at[-1]) if n else 0
+        at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1] if n else np.zeros(1, np.int64)
+        start, at = int(at[0]), at - at[0]
+        size = int(at[-1])
         if not size:
             return np.zeros(0, np.int64), [], np.zeros(0, np.int64), np.zeros(0, np.int64)
         data = np.frombuffer(texts.buffers()[2], np.uint8)[start : start + size]
@@ -93,8 +125,10 @@ class Vocabulary:
         data = np.insert(data, at[full], 32)
         first = at[full] + np.arange(len(full))
         cut = np.zeros(len(data) + 1, bool)
-        if self.space_border:
-            cut[1:-1] = (data[1:] == 32) & (data[:-1] != 32)
+        left, right = data[:-1], data[1:]
+        cut[1:-1] = (left < 128) & (right < 128) & self.apart[left & 127, right & 127]
+        if self.space_border:  # a literal U+2581 may count as a space: no border after its last byte
+            cut[1:-1] |= (right == 32) & (left != 32) & (left != 0x81)
         if self.line_border:
             line = np.flatnonzero(data == 10)
             cut[line] = cut[line + 1] = True
@@ -104,74 +138,63 @@ class Vocabulary:
         coded = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         doc = np.searchsorted(first, cuts[:-1], side="right") - 1
         nth = np.arange(len(doc)) - np.searchsorted(doc, doc)
-        return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist(), full[doc], nth
-
-    def lookup(self, names: list[str], make) -> list:
-        if len(self.known) > CACHE:
-            self.known = {}
-        known, out = self.known, []
-        for x in names:
-            had = known.get(x)
-            if had is None:
-                had = known[x] = make(self.written(x))
-            out.append(had)
-        return out
-
-    # ------------------------------------------------------------ Viterbi
-
-    def best_count(self, text: str) -> int:
-        """Number of ids on the best path. Of equal scores the earliest start wins, as in the
-        tokenizer: it goes through starts in order and takes a later one only if it scores more."""
-        score, count = [0.0], [0]
-        for end, matches in enumerate(self.ends(text)):
-            top, n, single = None, 0, False
-            for length, own, _ in matches:
-                value = score[end + 1 - length] + own
-                if top is None or value > top:
-                    top, n = value, count[end + 1 - length] + 1
-                single |= length == 1
-            if not single:
-                value = score[end] + self.unknown
-                if top is None or value > top:
-                    top, n = value, count[end] + len(self.fallback(text[end]))
-            score.append(top)
-            count.append(n)
-        return count[-1]
-
-    # ------------------------------------------------------------ sampling
-
-    def lattice(self, alpha: float):
-        """Maker of a part's edges: for each node (character end) the edges into it, with their share
-        of the node's forward weight as running sums of 2^32."""
-
-        def make(text: str):
-            forward = [0.0]
-            node, share, back, emit = [], [], [], []
-            for end, matches in enumerate(self.ends(text)):
-                edges = [(forward[end + 1 - length] + alpha * own, length, i) for length, own, i in matches]
-                if not any(length == 1 for _, length, _ in edges):
-                    edges.append((forward[end] + alpha * self.unknown, 1, -1))
-                top = max(e[0] for e in edges)
-                weights = [math.exp(e[0] - top) for e in edges]
-                total = sum(weights)
-                forward.append(top + math.log(total))
-                run = 0.0
-                for k, (w, (_, length, i)) in enumerate(zip(weights, edges)):
-                    run += w
-                    node.append(end)
-                    share.append(2**32 if k == len(edges) - 1 else min(2**32, int(run / total * 2**32)))
-                    back.append(length)
-                    if i < 0:
-                        codes = self.fallback(text[end])
-                        i = -1 - int.from_bytes(codes, "little") - (len(codes) << 32)
-                    emit.append(i)
-            return len(text), node, share, back, emit
-
-        return make
-
-
-def _flat(lists, kind) -> np.ndarray:
-    return np.fromiter(chain.from_iterable(lists), kind)
+        return coded.indices.to_numpy().astype(np.int64), [self.written(x) for x in coded.dictionary.to_pylist()], full[doc], nth
+
+
+def code_bytes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of code points: their number, and four columns of which the first ones count."""
+    n = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+    out = np.zeros((len(codes), 4), np.int64)
+    lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])[n]
+    for k in range(4):
+        shift = 6 * np.maximum(n - 1 - k, 0)
+        bits = codes >> shift
+        out[:, k] = np.where(k == 0, lead | bits, 0x80 | (bits & 0x3F))
+    return n, out
+
+
+def best_counts(vocabulary: Vocabulary, parts: list[str]) -> np.ndarray:
+    """Number of ids on the best path of each part. Of equal scores the earliest start wins, as in the
+    tokenizer: it goes through starts in order and takes a later one only if it scores more."""
+    if not parts:
+        return np.zeros(0, np.int64)
+    edges = Edges(vocabulary, parts)
+    ids = np.ones(len(edges.emit), np.int64)
+    low = edges.emit < 0
+    ids[low] = code_bytes(-1 - edges.emit[low])[0]
+    score, count = np.zeros(edges.nodes), np.zeros(edges.nodes, np.int64)
+    for at, new, rank in edges.steps():
+        start = edges.end[at] + 1 - edges.length[at]
+        value, n = score[start] + edges.score[at], count[start] + ids[at]
+        node = edges.end[at[new]] + 1
+        score[node], count[node] = value[new], n[new]
+        for k in range(1, int(rank.max()) + 1):
+            own = np.flatnonzero(rank == k)
+            to = edges.end[at[own]] + 1
+            better = value[own] > score[to]
+            score[to[better]], count[to[better]] = value[own[better]], n[own[better]]
+    return count[edges.first + edges.size]
+
+
+def _shares(edges: Edges, alpha: float) -> np.ndarray:
+    """Forward filter: each edge's share of its node's forward weight, as running sums of 2^32. Sums
+    go edge by edge within a node, so that they don't depend on the other parts of the chunk."""
+    forward, share = np.zeros(edges.nodes), np.zeros(len(edges.end), np.uint64)
+    for at, new, rank in edges.steps():
+        value = forward[edges.end[at] + 1 - edges.length[at]] + alpha * edges.score[at]
+        which = np.cumsum(rank == 0) - 1
+        top = np.maximum.reduceat(value, new)
+        weight = np.exp(value - top[which])
+        total, run = np.zeros(len(new)), np.zeros(len(at))
+        for k in range(int(rank.max()) + 1):
+            own = np.flatnonzero(rank == k)
+            total[which[own]] += weight[own]
+            run[own] = total[which[own]]
+        forward[edges.end[at[new]] + 1] = top + np.log(total)
+        part = np.minimum(run / total[which] * 2.0**32, 2.0**32).astype(np.uint64)
+        part[np.append(new[1:], len(at)) - 1] = 2**32
+        share[at] = part
+    return share
 
 
 def sample(vocabulary: Vocabulary, texts: pa.Array, keys: np.ndarray, seed: int, alpha: float) -> tuple[np.ndarray, np.ndarray]:
@@ -180,16 +203,10 @@ def sample(vocabulary: Vocabulary, texts: pa.Array, keys: np.ndarray, seed: int,
     which, names, doc, nth = vocabulary.parts(texts)
     if not len(which):
         return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-    made = vocabulary.lookup(names, vocabulary.lattice(alpha))
-    sizes = np.array([m[0] for m in made], np.int64)
-    n_edges = np.array([len(m[1]) for m in made], np.int64)
-    base = np.cumsum(sizes) - sizes
-    node = _flat((m[1] for m in made), np.int64) + np.repeat(base, n_edges)
-    share = _flat((m[2] for m in made), np.int64)
-    back = _flat((m[3] for m in made), np.int64)
-    emit = _flat((m[4] for m in made), np.int64)
-    order = (node.astype(np.uint64) << np.uint64(32)) + share.astype(np.uint64)
-    first, now = base[which], base[which] + sizes[which] - 1
+    edges = Edges(vocabulary, names)
+    order = (edges.end.astype(np.uint64) << np.uint64(32)) + _shares(edges, alpha)
+    first = edges.first[which]
+    now = first + edges.size[which] - 1
     draw = mix(mix(keys[doc].astype(np.int64).view(np.uint64) + np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64)) + nth.astype(np.uint64))
     on = np.arange(len(which))
     steps, taken = np.zeros(len(which), np.int64), []
@@ -198,19 +215,21 @@ def sample(vocabulary: Vocabulary, texts: pa.Array, keys: np.ndarray, seed: int,
         edge = np.searchsorted(order, (now[on].astype(np.uint64) << np.uint64(32)) + u, side="right")
         taken.append((on, edge))
         steps[on] += 1
-        now[on] -= back[edge]
+        now[on] -= edges.length[edge]
         on = on[now[on] >= first[on]]
     ends = np.cumsum(steps)
     path = np.zeros(int(ends[-1]), np.int64)
     for k, (at, edge) in enumerate(taken):
         path[ends[at] - 1 - k] = edge
-    ids = emit[path]
-    n = np.where(ids < 0, (-1 - ids) >> 32, 1)
+    ids = edges.emit[path]
+    low = np.flatnonzero(ids < 0)
+    n = np.ones(len(ids), np.int64)
+    n[low], raw = code_bytes(-1 - ids[low])
     at = np.cumsum(n) - n
     out = np.repeat(ids, n)
-    low = out < 0
-    place = np.arange(len(out)) - np.repeat(at, n)
-    out[low] = vocabulary.byte_ids[((-1 - out[low]) >> (8 * place[low])) & 0xFF]
+    for k in range(4):
+        own = low[n[low] > k]
+        out[at[own] + k] = vocabulary.byte_ids[raw[n[low] > k, k]]
     per_part = np.add.reduceat(n, ends - steps)
     return out.astype(np.int32), np.bincount(doc, per_part, len(texts)).astype(np.int64)
 
@@ -240,7 +259,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
         for batch in batches:
             for lo, hi in chunk_bounds(batch.column(1)):
                 which, names, doc, _ = vocabulary.parts(batch.column(1).slice(lo, hi - lo))
-                n = np.array(vocabulary.lookup(names, vocabulary.best_count), np.int64)
+                n = best_counts(vocabulary, names)
                 total = np.bincount(doc, n[which], hi - lo).astype(np.int64) if len(which) else np.zeros(hi - lo, np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(total)], ["doc_id", "n_tokens"])
 

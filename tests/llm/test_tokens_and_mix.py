@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 
 from sluice.llm.mixing import fit, mix_sources, targets, word_count
 from sluice.llm.token_store import Encoder, PerfectHash, build_index, crc32, find, fingerprints, key_hashes, key_rows, read_ids, shard_starts, write_ids
-from sluice.llm.unigram import LITERAL, Vocabulary, decode, decoded, sample, sampled_ids, token_counts
+from sluice.llm.unigram import LITERAL, Edges, Vocabulary, best_counts, decode, decoded, sample, sampled_ids, token_counts
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -88,7 +88,7 @@ def test_viterbi_counts_equal_the_tokenizer():
     v = Vocabulary(PIECES)
     texts = [t for t in TEXTS if "<0x" not in t and "<s>" not in t]  # that library also finds special pieces in a text
     which, names, doc, _ = v.parts(pa.array(texts))
-    got = np.bincount(doc, np.array(v.lookup(names, v.best_count))[which], len(texts)).astype(int).tolist()
+    got = np.bincount(doc, best_counts(v, names)[which], len(texts)).astype(int).tolist()
     assert got == [len(exact.encode("▁" + t.replace(" ", "▁")).ids) if t else 0 for t in texts]
 
 
@@ -98,11 +98,10 @@ def test_equal_scores_take_the_earliest_start():
     v = Vocabulary(PIECES)
     v.automaton = ahocorasick.Automaton()
     for i, (piece, score) in enumerate([("a", -1.0), ("aa", -2.0), ("aaa", -4.0), ("b", -3.0), ("ab", -4.0)]):
-        v.automaton.add_word(piece, (len(piece), score, i))
+        v.automaton.add_word(piece, i)
+        v.length[i], v.score[i] = len(piece), score
     v.automaton.make_automaton()
-    assert v.best_count("aa") == 1  # -2 either way
-    assert v.best_count("aaaa") == 2
-    assert v.best_count("ab") == 1
+    assert best_counts(v, ["aa", "aaaa", "ab"]).tolist() == [1, 2, 1]  # "aa" scores -2 either way
 
 
 def test_counts_and_samples_as_frames(spark):
@@ -123,7 +122,10 @@ def test_sampled_shares_follow_the_path_weights():
     v, alpha = Vocabulary(PIECES, keep_literal=True), 0.0005
     text = "▁then"
     paths = {}
-    ends = v.ends(text)
+    edges = Edges(v, [text])
+    ends = [[] for _ in text]
+    for end, length, own, i in zip(edges.end, edges.length, edges.score, edges.emit):
+        ends[end].append((length, own, int(i)))
 
     def walk(end, ids, score):
         if end == 0:
