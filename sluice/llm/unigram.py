@@ -31,6 +31,8 @@ LITERAL = "\udc81"
 #: Stands between parts; no text holds it.
 BETWEEN = "\udc80"
 ALPHA = 0.0005
+#: Bytes of text to a chunk: more share their parts, some 140 bytes of arrays to a byte of distinct parts.
+CHUNK = 2 << 20
 
 
 class Edges:
@@ -257,7 +259,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     def run(batches):
         vocabulary = Vocabulary(model_path)
         for batch in batches:
-            for lo, hi in chunk_bounds(batch.column(1)):
+            for lo, hi in chunk_bounds(batch.column(1), CHUNK):
                 which, names, doc, _ = vocabulary.parts(batch.column(1).slice(lo, hi - lo))
                 n = best_counts(vocabulary, names)
                 total = np.bincount(doc, n[which], hi - lo).astype(np.int64) if len(which) else np.zeros(hi - lo, np.int64)
@@ -275,7 +277,7 @@ def sampled_ids(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_c
     def run(batches):
         vocabulary = Vocabulary(model_path, keep_literal=True)
         for batch in batches:
-            for lo, hi in chunk_bounds(batch.column(1)):
+            for lo, hi in chunk_bounds(batch.column(1), CHUNK):
                 keys = batch.column(0).slice(lo, hi - lo)
                 ids, n = sample(vocabulary, batch.column(1).slice(lo, hi - lo), keys.fill_null(-1).to_numpy(), seed, alpha)
                 at = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
