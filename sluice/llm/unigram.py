@@ -31,6 +31,7 @@ LITERAL = "\udc81"
 #: Stands between parts; no text holds it.
 BETWEEN = "\udc80"
 ALPHA = 0.0005
+KNOWN = 250_000
 #: Bytes of text to a chunk: more share their parts, some 140 bytes of arrays to a byte of distinct parts.
 CHUNK = 2 << 20
 
@@ -44,8 +45,10 @@ class Edges:
         between = np.flatnonzero(code == ord(BETWEEN))
         self.size = np.diff(between, prepend=-1) - 1
         self.first = between - self.size
-        found = np.fromiter(chain.from_iterable(vocabulary.automaton.iter(text)), np.int64).reshape(-1, 2)
-        end, piece = found[:, 0], found[:, 1]
+        blobs = vocabulary.matches(parts)
+        found = np.frombuffer(b"".join(blobs), np.int32).reshape(-1, 2).astype(np.int64)
+        end = found[:, 0] + np.repeat(self.first, np.fromiter(map(len, blobs), np.int64, len(blobs)) // 8)
+        piece = found[:, 1]
         single = np.zeros(len(code), bool)
         single[end[vocabulary.length[piece] == 1]] = True
         single[between] = True
@@ -59,7 +62,7 @@ class Edges:
         part = np.searchsorted(between, self.end)
         place = self.end - self.first[part]
         #: edges by place in their part; within a node as they are
-        self.by_place = np.argsort(place, kind="stable")
+        self.by_place = np.argsort(place.astype(np.uint16) if place.max() < 1 << 16 else place, kind="stable")
         self.places = np.append(np.flatnonzero(np.diff(place[self.by_place], prepend=-1)), len(place))
         self.nodes = len(code) + 1
 
@@ -104,9 +107,28 @@ class Vocabulary:
                     if x < 128 and y < 128:
                         beside[x, y] = True
         self.apart = ~beside
+        self.known: dict[str, bytes] = {}
         self.automaton.make_automaton()
         self.unknown = lowest - 10.0
 
+    def matches(self, parts: list[str]) -> list[bytes]:
+        """For each part its matches as pairs of 32-bit integers, (last character, piece), in order; those
+        of up to ``KNOWN`` parts are kept for the next chunk."""
+        if len(self.known) > KNOWN:
+            self.known = {}
+        new = [x for x in parts if x not in self.known]
+        if new:
+            text = BETWEEN.join(new) + BETWEEN
+            found = np.fromiter(chain.from_iterable(self.automaton.iter(text)), np.int64).reshape(-1, 2)
+            sizes = np.fromiter(map(len, new), np.int64, len(new))
+            first = np.cumsum(sizes + 1) - sizes - 1
+            part = np.searchsorted(first, found[:, 0], side="right") - 1
+            found[:, 0] -= first[part]
+            data = found.astype(np.int32).tobytes()
+            at = (8 * np.concatenate(([0], np.cumsum(np.bincount(part, minlength=len(new)))))).tolist()
+            self.known.update(zip(new, [data[i:j] for i, j in zip(at, at[1:])]))
+        return [self.known[x] for x in parts]
+
     def written(self, text: str) -> str:
         if self.keep_literal:
             text = text.replace(SPACE, LITERAL)
