@@ -3,7 +3,8 @@
 ``statistics`` counts over whole texts in one pass. The transformed vectors of the rows that pass the
 base rules are then judged by language and source: location and scatter are estimated from the
 three quarters of a group's rows that lie nearest (minimum covariance determinant), and a row whose
-squared Mahalanobis distance exceeds ``CUTOFF`` is rejected.
+squared Mahalanobis distance exceeds ``CUTOFF``, the 0.999 point of the chi-square distribution of
+five dimensions, is rejected.
 
 The estimate covers all rows and is made by concentration steps over Spark aggregates: starting from
 medians and median deviations, each step bins the rows of a group by their distance, sums counts,
@@ -29,12 +30,34 @@ SYMBOLS = b"#*$%&|<>"
 LEAST = 100
 SHARE = 0.75
 STEPS = 6
-CUTOFF = 52.0
 BINS = 4096
-#: Smallest standard deviation of each transformed statistic.
-FLOOR = (0.5, 0.35, 0.7, 1.1, 1.1)
+#: Smallest standard deviation of each transformed statistic. That of duplicate lines lets a quarter
+#: of the lines (at ten words each) pass the cutoff alone, that of repeated words a tenth of the words.
+FLOOR = (0.5, 0.35, 0.7, 0.7, 1.0)
 DIMS = ("x0", "x1", "x2", "x3", "x4")
 
+
+def chi_square(x: float, d: int) -> float:
+    """Share of the chi-square distribution of ``d`` dimensions up to ``x``."""
+    total = term = 2 / d
+    for k in range(1, 1000):
+        term *= x / (d + 2 * k)
+        total += term
+    return total * math.exp(-x / 2 + d / 2 * math.log(x / 2) - math.lgamma(d / 2))
+
+
+def quantile(share: float, d: int) -> float:
+    low, high = 0.0, 200.0
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi_square(mid, d) < share else (low, mid)
+    return high
+
+
+CUTOFF = quantile(0.999, len(DIMS))  # 20.5
+#: Makes up for the quarter left out: the scatter of the nearest rows times this is that of all.
+CONSISTENCY = SHARE / chi_square(quantile(SHARE, len(DIMS)), len(DIMS) + 2)  # 1.41
+
 _STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -93,7 +116,7 @@ def _fit(key, frame: pd.DataFrame) -> pd.DataFrame:
     for i in range(d):
         for j in range(i, d):
             scatter[i, j] = scatter[j, i] = frame[f"p{i}{j}"].to_numpy(np.float64)[:upto].sum() / count - mean[i] * mean[j]
-    scatter = 1.5 * scatter + np.diag(np.square(FLOOR))  # 1.5: makes up for the quarter left out
+    scatter = CONSISTENCY * scatter + np.diag(np.square(FLOOR))
     inverse = np.linalg.inv(scatter)
     return pd.DataFrame({"grp": [key[0]], "rows": [int(n.sum())], "mu": [mean.tolist()], "inv": [inverse.ravel().tolist()]})
 

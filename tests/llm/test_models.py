@@ -1,5 +1,6 @@
 """Operators 1, 5 and 6, and the pipeline."""
 
+import math
 import random
 import re
 import zlib
@@ -13,7 +14,7 @@ from conftest import SF001
 from sluice.llm import queries
 from sluice.llm._tables import stored, table
 from sluice.llm.ann import nearest
-from sluice.llm.outliers import robust_outliers
+from sluice.llm.outliers import CONSISTENCY, CUTOFF, FLOOR, robust_outliers
 from sluice.llm.toxicity import LabelModel, drop_toxic, toxicity_scores, train
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -103,6 +104,35 @@ def test_statistics_and_outliers(spark):
     assert robust_outliers(df.limit(0)).collect() == []
 
 
+def test_repetition_alone_is_an_outlier():
+    assert abs(CUTOFF - 20.515) < 1e-3 and abs(CONSISTENCY - 1.412) < 1e-3
+    for floor, top in zip(FLOOR[3:], (1000, 500)):
+        assert (math.log1p(top) / floor) ** 2 > CUTOFF
+
+
+def test_outliers_in_duplicate_lines_or_repeated_words(spark):
+    rng = random.Random(5)
+    words = [f"{a}{b}{c}{d}" for a in "kltp" for b in "oeiu" for c in ("n", "sing", "m", "rd") for d in "aeiouxyz"]
+    draw = lambda k: rng.sample(words, k)
+    text = lambda lines: "\n".join(" ".join(x) for x in lines)
+    cut = lambda w, n: [w[i : i + n] for i in range(0, len(w), n)]
+    rows = [(k, text(cut(draw(rng.randint(100, 200)), 10))) for k in range(150)]
+    for k in range(5):
+        w = draw(150)
+        short = cut(w[100:120], 1)
+        lines = [y for x, z in zip(short, cut(w[:100], 5)) for y in (x, z)]
+        rows.append((1000 + k, text(lines + [y for x, z in zip(short, cut(w[120:], 1) + cut(draw(10), 1)) for y in (x, z)])))  # duplicate lines alone
+        w = draw(120)
+        rows.append((2000 + k, text(cut(w + w[10:31] + draw(19), 7))))  # repeated words alone
+        lines = cut(draw(90), 10)
+        rows.append((3000 + k, text(lines + lines[:3])))  # a quarter of the lines
+    got = {r.doc_id: r for r in robust_outliers(spark.createDataFrame([(*r, "en", "a") for r in rows], "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(r.base_failed for r in got.values()) and all(got[k].kept for k in range(150))
+    assert all(got[1000 + k].n_dup_lines >= 20 and got[1000 + k].n_repeat_words == 0 for k in range(5))
+    assert all(got[2000 + k].n_dup_lines == 0 and got[2000 + k].n_repeat_words > 40 for k in range(5))
+    assert not any(got[n + k].kept for n in (1000, 2000, 3000) for k in range(5))
+
+
 # ---------------------------------------------------------------- toxicity
 
 
