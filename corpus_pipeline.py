@@ -35,9 +35,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest doc_id."""
+    """One document of each group of near duplicates (similarity of 0.8 or more) stays, the one with the smallest doc_id."""
     key = temp_name(docs, "gone")
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias(key)).distinct()
+    gone = near_duplicates(docs, percent=80).where("NOT kept").select(F.col("doc_id").alias(key)).distinct()
     return docs.join(gone, F.col("doc_id") == F.col(key), "left_anti")
 
 

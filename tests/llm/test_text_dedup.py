@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import corpus_pipeline
 from sluice.llm._text import Words, chunk_bounds
 from sluice.llm.line_dedup import line_dedup
 from sluice.llm.near_dup import half_keys, near_duplicates, shingle_sets
@@ -108,6 +109,22 @@ def test_near_duplicates_in_many_small_blocks(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute_near(rows)
 
 
+def test_pipeline_stage_drops_pairs_from_080(spark):
+    rng = random.Random(8)
+    rows = []
+    for k in range(20):
+        base = [f"u{k}x{j}" for j in range(100)]
+        near = list(base)
+        for p in rng.sample(range(10, 90, 12), 2 if k < 15 else 3):  # 0.81 and 0.73
+            near[p] = f"changed{k}x{p}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(near))]
+    rows += [(900, None), (None, rows[0][1]), (901, rows[4][1])]
+    want, thin = brute_near(rows, 80), brute_near(rows)
+    assert sum(not r[3] for r in want) == 16 and sum(not r[3] for r in thin) == 1
+    got = corpus_pipeline.near_dup(spark, frame(spark, rows), "").collect()
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in got) == [r[0] for r in want if r[3]]
+
+
 def test_half_keys_agree_for_equal_sets_only():
     (_, a), (_, b), (_, c) = shingle_sets(Words(pa.array(["a b c d e f g", "A b c  d e f g", "q r s t u v w"])))
     x, y, z = (half_keys(s, 7, 7).tolist() for s in (a, b, c))
