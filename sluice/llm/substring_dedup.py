@@ -7,9 +7,11 @@ documents share costs one entry a block, not one a document.
 
 1. Each block finds the anchors of its windows: the smallest hash among a window's ``ANCHOR``-word
    grams. Equal windows have equal anchors, and neighbours mostly share one, so a fifth of the words
-   are anchors. The blocks' anchors meet by hash; those of two documents or more are recurring.
+   are anchors. The blocks' anchors meet by hash; those of two documents or more are recurring, and
+   those of over ``BOUND`` segments hot: at the edges of a passage each document adds segments.
 2. Each block cuts out the segments (runs of windows with one recurring anchor) and sends each
-   distinct one, with its smallest and largest id, to a shard by its anchor.
+   distinct one, with its smallest and largest id, to a shard by its anchor. Segments of a hot anchor
+   fall into their windows, which are dealt each by its own words, so no shard gets all of them.
 3. A shard confirms the windows that recur on their actual words, compiles them into one
    Aho-Corasick automaton whose letters are words, and streams all segments through it; for each
    segment it returns the smallest id of every window to the blocks that hold it.
@@ -33,6 +35,7 @@ from ._text import Words, chunk_bounds, grams
 WINDOW = 13
 ANCHOR = 5
 BLOCK_BYTES = 8 << 20
+BOUND = 2048
 NONE = np.int64(2**63 - 1)
 
 
@@ -64,6 +67,16 @@ class Passages:
         self.anchors = runs[self.first, place[begin] - self.first] if len(begin) else np.zeros(0, np.uint64)
         self.doc = doc[self.first]
 
+    def split(self, hot: np.ndarray) -> np.ndarray:
+        """Segments of these anchors become segments of one window each; returns which ones are such."""
+        many = _member(self.anchors, hot)
+        each = np.where(many, self.last - self.first + 1, 1)
+        at = np.repeat(np.arange(len(each)), each)
+        self.first = self.first[at] + np.arange(len(at)) - np.repeat(np.cumsum(each) - each, each)
+        self.last = np.where(many[at], self.first, self.last[at])
+        self.anchors, self.doc = self.anchors[at], self.doc[at]
+        return many[at]
+
     def segments(self, which: np.ndarray) -> list[bytes]:
         """The words of these segments, each joined by one space."""
         data = self.bytes.tobytes()
@@ -95,7 +108,7 @@ def _anchors(buckets: int, window: int, anchor: int):
         table = table.combine_chunks()
         ids = table["doc_id"].to_numpy()
         texts = pa.concat_arrays(table["text"].chunks) if table["text"].num_chunks else pa.array([], pa.string())
-        found, low, high = [], [], []
+        found, low, high, many = [], [], [], []
         for lo, hi in chunk_bounds(texts):
             p = Passages(texts.slice(lo, hi - lo), window, anchor)
             order = np.lexsort((ids[lo:hi][p.doc], p.anchors))
@@ -105,13 +118,14 @@ def _anchors(buckets: int, window: int, anchor: int):
                 found.append(a[begin])
                 low.append(d[begin])
                 high.append(d[np.append(begin[1:], len(a)) - 1])
+                many.append(np.diff(np.append(begin, len(a))))
         a = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        low, high = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (low, high))
+        low, high, many = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (low, high, many))
         order = np.lexsort((a, a % np.uint64(buckets)))
-        a, low, high = a[order], low[order], high[order]
+        a, low, high, many = a[order], low[order], high[order], many[order]
         if len(a):
             begin = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
-            a, low, high = a[begin], np.minimum.reduceat(low, begin), np.maximum.reduceat(high, begin)
+            a, low, high, many = a[begin], np.minimum.reduceat(low, begin), np.maximum.reduceat(high, begin), np.add.reduceat(many, begin)
         bucket = (a % np.uint64(buckets)).astype(np.int64)
         cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(a) else np.zeros(0, np.int64)
         to = np.append(cut[1:], len(a))
@@ -119,34 +133,41 @@ def _anchors(buckets: int, window: int, anchor: int):
         return pa.table(
             {
                 "bucket": pa.array(bucket[cut], pa.int64()), "blk": pa.array([blk] * len(cut), pa.int64()),
-                **{name: pa.array([_blob(x[i:j]) for i, j in zip(cut, to)], pa.binary()) for name, x in (("anchors", a), ("low", low), ("high", high))},
+                **{name: pa.array([_blob(x[i:j]) for i, j in zip(cut, to)], pa.binary()) for name, x in (("anchors", a), ("low", low), ("high", high), ("many", many.astype(np.uint32)))},
             }
         )
 
     return run
 
 
-def _recurring(table: pa.Table) -> pa.Table:
-    """Per block, those of its anchors that two documents or more hold."""
-    blobs = table["anchors"].to_pylist()
-    a = _concat(blobs, np.uint64)
-    low, high = _concat(table["low"].to_pylist(), np.int64), _concat(table["high"].to_pylist(), np.int64)
-    owner = np.repeat(np.arange(len(blobs)), [len(x) // 8 for x in blobs])
-    order = np.argsort(a, kind="stable")
-    begin = np.flatnonzero(np.concatenate(([True], a[order][1:] != a[order][:-1]))) if len(a) else np.zeros(0, np.int64)
-    many = np.minimum.reduceat(low[order], begin) < np.maximum.reduceat(high[order], begin) if len(a) else np.zeros(0, bool)
-    keep = np.zeros(len(a), bool)
-    keep[order] = np.repeat(many, np.diff(np.append(begin, len(a))))
-    blk = table["blk"].to_pylist()
-    sides = np.searchsorted(owner, np.arange(len(blk) + 1))
-    out = [(blk[k], _blob(a[i:j][keep[i:j]])) for k, (i, j) in enumerate(zip(sides[:-1], sides[1:]))]
-    out = [x for x in out if x[1]]
-    return pa.table({"blk": pa.array([x[0] for x in out], pa.int64()), "anchors": pa.array([x[1] for x in out], pa.binary())})
+def _recurring(bound: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Per block, those of its anchors that two documents or more hold, and the hot ones among them."""
+        blobs = table["anchors"].to_pylist()
+        a = _concat(blobs, np.uint64)
+        low, high = _concat(table["low"].to_pylist(), np.int64), _concat(table["high"].to_pylist(), np.int64)
+        many = _concat(table["many"].to_pylist(), np.uint32).astype(np.int64)
+        owner = np.repeat(np.arange(len(blobs)), [len(x) // 8 for x in blobs])
+        order = np.argsort(a, kind="stable")
+        begin = np.flatnonzero(np.concatenate(([True], a[order][1:] != a[order][:-1]))) if len(a) else np.zeros(0, np.int64)
+        keep, hot = np.zeros(len(a), bool), np.zeros(len(a), bool)
+        if len(a):
+            size = np.diff(np.append(begin, len(a)))
+            keep[order] = np.repeat(np.minimum.reduceat(low[order], begin) < np.maximum.reduceat(high[order], begin), size)
+            hot[order] = np.repeat(np.add.reduceat(many[order], begin) > bound, size)
+        blk = table["blk"].to_pylist()
+        sides = np.searchsorted(owner, np.arange(len(blk) + 1))
+        out = [(blk[k], _blob(a[i:j][keep[i:j]]), _blob(a[i:j][keep[i:j] & hot[i:j]])) for k, (i, j) in enumerate(zip(sides[:-1], sides[1:]))]
+        out = [x for x in out if x[1]]
+        return pa.table({"blk": pa.array([x[0] for x in out], pa.int64()), "anchors": pa.array([x[1] for x in out], pa.binary()), "hot": pa.array([x[2] for x in out], pa.binary())})
+
+    return run
 
 
 def _segments(shards: int, window: int, anchor: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         known = np.sort(_concat(right["anchors"].to_pylist(), np.uint64))
+        hot = np.sort(_concat(right["hot"].to_pylist(), np.uint64))
         found: dict[bytes, list] = {}
         if len(known) and left.num_rows:
             left = left.combine_chunks()
@@ -154,23 +175,26 @@ def _segments(shards: int, window: int, anchor: int):
             texts = pa.concat_arrays(left["text"].chunks)
             for lo, hi in chunk_bounds(texts):
                 p = Passages(texts.slice(lo, hi - lo), window, anchor)
+                single = p.split(hot)
                 flagged = np.flatnonzero(_member(p.anchors, known))
                 own = ids[lo + p.doc[flagged]].tolist()
-                for x, anchor_of, doc in zip(p.segments(flagged), p.anchors[flagged].tolist(), own):
+                for x, anchor_of, doc, one in zip(p.segments(flagged), p.anchors[flagged].tolist(), own, single[flagged].tolist()):
                     had = found.get(x)
                     if had is None:
-                        found[x] = [anchor_of, doc, doc]
+                        found[x] = [anchor_of, doc, doc, one]
                     elif doc < had[1]:
                         had[1] = doc
                     elif doc > had[2]:
                         had[2] = doc
         blk = left["blk"][0].as_py() if left.num_rows else 0
         anchors = np.array([x[0] for x in found.values()], np.uint64)
+        dealt = np.array([int.from_bytes(_key(segment)[:8], "little") if x[3] else x[0] for segment, x in found.items()], np.uint64)
         return pa.table(
             {
-                "shard": pa.array((anchors % np.uint64(shards)).astype(np.int64), pa.int64()), "blk": pa.array([blk] * len(found), pa.int64()),
+                "shard": pa.array((dealt % np.uint64(shards)).astype(np.int64), pa.int64()), "blk": pa.array([blk] * len(found), pa.int64()),
                 "anchor": pa.array(anchors.view(np.int64), pa.int64()), "segment": pa.array(list(found), pa.binary()),
                 "low": pa.array([x[1] for x in found.values()], pa.int64()), "high": pa.array([x[2] for x in found.values()], pa.int64()),
+                "hot": pa.array([x[3] for x in found.values()], pa.bool_()),
             }
         )
 
@@ -230,6 +254,7 @@ def _stream(window: int):
             {
                 "blk": table["blk"].combine_chunks().take(pick), "anchor": table["anchor"].combine_chunks().take(pick),
                 "key": pa.array([keys[which[k]] for k in rows], pa.binary()), "least": pa.array([least[which[k]] for k in rows], pa.binary()),
+                "hot": table["hot"].combine_chunks().take(pick),
             }
         )
 
@@ -239,7 +264,9 @@ def _stream(window: int):
 def _mark(window: int, anchor: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         found = dict(zip(right["key"].to_pylist(), right["least"].to_pylist()))
-        known = np.unique(right["anchor"].to_numpy().astype(np.int64).view(np.uint64)) if right.num_rows else np.zeros(0, np.uint64)
+        anchors = right["anchor"].to_numpy().astype(np.int64).view(np.uint64) if right.num_rows else np.zeros(0, np.uint64)
+        known = np.unique(anchors)
+        hot = np.unique(anchors[np.array(right["hot"].to_pylist(), bool)])
         n_words, n_removed, kept = [], [], []
         if left.num_rows:
             left = left.combine_chunks()
@@ -247,6 +274,7 @@ def _mark(window: int, anchor: int):
             texts = pa.concat_arrays(left["text"].chunks)
             for lo, hi in chunk_bounds(texts):
                 p = Passages(texts.slice(lo, hi - lo), window, anchor)
+                p.split(hot)
                 n = len(p.words.starts)
                 flagged = np.flatnonzero(_member(p.anchors, known))
                 blobs = [found.get(_key(x)) for x in p.segments(flagged)]
@@ -276,7 +304,7 @@ def _mark(window: int, anchor: int):
     return run
 
 
-def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR, block_bytes: int = BLOCK_BYTES, bound: int = BOUND) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for every row of ``docs``; kept holds the words that stay,
     joined by one space.
 
@@ -292,9 +320,9 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     shards = max(1, math.ceil(2 * size / block_bytes))
     dealt = texts.withColumn("blk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks).cast("long")))
     by_block = dealt.groupBy("blk")
-    anchors = by_block.applyInArrow(_anchors(buckets, window, anchor), "bucket long, blk long, anchors binary, low binary, high binary")
-    recurring = anchors.groupBy("bucket").applyInArrow(_recurring, "blk long, anchors binary")
-    segments = by_block.cogroup(recurring.groupBy("blk")).applyInArrow(_segments(shards, window, anchor), "shard long, blk long, anchor long, segment binary, low long, high long")
-    places = segments.groupBy("shard").applyInArrow(_stream(window), "blk long, anchor long, key binary, least binary")
+    anchors = by_block.applyInArrow(_anchors(buckets, window, anchor), "bucket long, blk long, anchors binary, low binary, high binary, many binary")
+    recurring = anchors.groupBy("bucket").applyInArrow(_recurring(bound), "blk long, anchors binary, hot binary")
+    segments = by_block.cogroup(recurring.groupBy("blk")).applyInArrow(_segments(shards, window, anchor), "shard long, blk long, anchor long, segment binary, low long, high long, hot boolean")
+    places = segments.groupBy("shard").applyInArrow(_stream(window), "blk long, anchor long, key binary, least binary, hot boolean")
     out = by_block.cogroup(places.groupBy("blk")).applyInArrow(_mark(window, anchor), "doc_id long, n_words long, n_removed long, kept binary")
     return out.select(F.nullif("doc_id", F.lit(int(NONE) - 1)).alias("doc_id"), "n_words", "n_removed", F.col("kept").cast("string").alias("kept"))

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
+from sluice.llm import substring_dedup
 from sluice.llm._text import Words, chunk_bounds
 from sluice.llm.line_dedup import line_dedup
 from sluice.llm.near_dup import half_keys, near_duplicates, shingle_sets
@@ -156,6 +157,27 @@ def test_repeated_passages_match_brute_force(spark, block):
     assert sorted((r.doc_id if r.doc_id is not None else -1, r.n_words, r.n_removed, r.kept) for r in got) == brute_passages(rows)
 
 
+@pytest.mark.parametrize("block", [1 << 30, 2000])
+@pytest.mark.parametrize("bound", [0, 3])
+def test_repeated_passages_with_split_anchors(spark, block, bound):
+    rows = corpus(6)
+    got = remove_repeated_passages(frame(spark, rows), block_bytes=block, bound=bound).collect()
+    assert sorted((r.doc_id if r.doc_id is not None else -1, r.n_words, r.n_removed, r.kept) for r in got) == brute_passages(rows)
+
+
+def test_contexts_of_a_hot_anchor_are_dealt_over_shards():
+    rng = random.Random(9)
+    passage = " ".join(f"p{k}" for k in range(20))
+    texts = [" ".join([*(f"a{rng.random()}" for _ in range(12)), passage, *(f"b{rng.random()}" for _ in range(12))]) for _ in range(400)]
+    left = pa.table({"blk": [0] * 400, "doc_id": list(range(400)), "text": texts})
+    recurring = substring_dedup._recurring(100)(substring_dedup._anchors(1, 13, 5)(left))
+    sent = substring_dedup._segments(64, 13, 5)(left, recurring).to_pandas()
+    per_anchor = sent.groupby("anchor").size()
+    assert per_anchor.max() > 400  # hot
+    assert sent.groupby(["anchor", "shard"]).size().max() < per_anchor.max() / 10
+    assert all(len(x.split(b" ")) == 13 for x in sent.segment[sent.hot])
+
+
 def brute_lines(rows, window=2, divisor=4):
     seen, cut = {}, []
     for i, t in rows:
