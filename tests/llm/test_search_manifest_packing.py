@@ -1,0 +1,289 @@
+"""Operators 11, 12 and 13 against plain versions of their contracts."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sluice.llm.lexical import Best, Shard, Terms, Vocabulary, lexical_search
+from sluice.llm.merkle import FIELDS, entries, fold, folded, leaf_digest, merkle_manifest, proof_digest, proofs
+from sluice.llm.packing import match_large, pack, plan, sequences, token_pieces
+
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms_of(text):
+    return [t.translate(LOWER) for t in TERM.findall(text or "")]
+
+
+# ---------------------------------------------------------------- lexical search
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="aAzZ09@[`{/: éÄ日\x7f\n", max_size=20)), min_size=1, max_size=5))
+def test_terms_are_those_of_the_pattern(texts):
+    found = Terms(pa.array(texts, pa.string()))
+    want = [terms_of(t) for t in texts]
+    assert found.counts.tolist() == [len(w) for w in want]
+    flat = [t for w in want for t in w]
+    names = sorted(set(flat))
+    assert [names[i] for i in Vocabulary(names).find(found.keys())] == flat if names else not len(found.starts)
+    assert (Vocabulary(["nowhere"]).find(found.keys()) == -1).all()
+
+
+def ranked(docs, items, top):
+    """Every document scored for every item."""
+    held = [(i, Counter(terms_of(t))) for i, t in docs]
+    n_docs, n_terms = sum(1 for _, c in held if c), sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    asked = {}
+    for i, t in items:
+        asked.setdefault(i, set()).update(terms_of(t))
+    out = []
+    for item, terms in asked.items():
+        scores = []
+        for i, c in held:
+            m = 10 + (90 * sum(c.values()) * n_docs) // n_terms if n_terms else 10
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m)) for t in terms if c[t])
+            if s > 0:
+                scores.append((-s, i is None, i or 0))
+        out += [(item, r, None if null else i, -s) for r, (s, null, i) in enumerate(sorted(scores)[:top], 1)]
+    return sorted(out, key=str)
+
+
+def some_docs(n, seed=3):
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(60)]
+    docs = [(k, " ".join(rng.choices(words, [1 / (j + 1) for j in range(60)], k=rng.randint(1, 40)))) for k in range(n)]
+    return docs + [(9000, docs[0][1]), (9001, docs[0][1].upper()), (9002, None), (9003, ""), (9004, ".. !"), (None, "w3 w59 w58"), (7, "w2 w59"), (9005, "É日 w59 " + "w1 " * 3000)]
+
+
+@pytest.mark.parametrize("blocks", [{}, {"block_items": 2, "shard_docs": 7}, {"shard_docs": 50, "block_bytes": 30}])
+def test_search_equals_full_evaluation(spark, blocks):
+    docs = some_docs(300)
+    items = [(1, "w0 w59 W59 w7 nothing"), (2, "w0"), (3, "w0 w1 w2 w3 w4 w5 w40 w41"), (4, None), (5, "..."), (None, "w30 w31"), (6, "É日"), (3, "w50")]
+    frame = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], "doc_id long, text string, item string, term int").repartition(3)
+    asked = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, doc_id int")
+    got = lexical_search(frame, asked, top=5, **blocks)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == ranked(docs, items, 5)
+
+
+def test_search_of_empty_tables(spark):
+    docs = spark.createDataFrame(some_docs(5), "doc_id long, text string")
+    items = spark.createDataFrame([(1, "w0")], "item_id long, text string")
+    assert lexical_search(docs.where("false"), items).count() == 0
+    assert lexical_search(docs, items.where("false")).count() == 0
+    assert lexical_search(docs, items).count() > 0
+
+
+def test_long_lists_are_skipped():
+    """Rare and frequent terms together: once ten documents hold the rare one, the frequent lists are only probed."""
+    n = 8000
+    rng = np.random.default_rng(1)
+    lists = [np.sort(rng.choice(n, m, replace=False)) for m in (40, 6000, 5000, 7000)]
+    docs, tfs = np.concatenate(lists).astype(np.int32), np.ones(sum(map(len, lists)), np.int32)
+    starts = np.cumsum([0, *map(len, lists)])
+    shard = Shard(pa.array(np.arange(n)), np.full(n, 50), np.arange(4, dtype=np.int32), starts, docs, tfs, np.array([5000, 40, 50, 20]), n, 50 * n)
+    best = Best(10)
+    touched = shard.search([0, 1, 2, 3], best)
+    assert touched < len(docs) / 2
+    scores = np.zeros(n, np.int64)
+    np.add.at(scores, shard.docs, shard.gain)
+    order = np.lexsort((np.arange(n), -scores))[:10]
+    assert best.ids.tolist() == order.tolist() and best.scores.tolist() == scores[order].tolist()
+
+
+# ---------------------------------------------------------------- merkle manifest
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def tree(leaves):
+    """Root, and for each leaf the siblings with their sides, level by level."""
+    paths, at, level = [[] for _ in leaves], list(range(len(leaves))), list(leaves)
+    while len(level) > 1:
+        for k, p in enumerate(at):
+            if p ^ 1 < len(level):
+                paths[k].append(("L" if p & 1 else "R", level[p ^ 1]))
+            else:
+                paths[k].append(("A", ""))
+        at = [p // 2 for p in at]
+        level = [h(*level[i : i + 2]) for i in range(0, len(level), 2)]
+    return (level[0] if level else None), paths
+
+
+def field(v):
+    return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+
+def manifest(rows):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append((r, h(*[field(r[k]) for k in range(5)])))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    parts = {}
+    for g in names:
+        groups[g].sort(key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1]))
+        parts[g] = tree([leaf for _, leaf in groups[g]])
+    root, tops = tree([parts[g][0] for g in names])
+    return sorted(
+        ((r[0], r[2], leaf, parts[g][0], root, tuple(path + tops[k])) for k, g in enumerate(names) for (r, leaf), path in zip(groups[g], parts[g][1])),
+        key=str,
+    )
+
+
+def rows_of(sizes, seed=5):
+    rng = random.Random(seed)
+    out = []
+    for lang, n in sizes.items():
+        out += [(rng.randrange(10**6), rng.choice(["web", None, "ü"]), lang, rng.choice([None, 5, 2**63 - 1]), rng.choice([None, "", "naïve 日本", "x" * 50])) for _ in range(n)]
+    return out
+
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+@pytest.mark.parametrize("sizes", [{"en": 2600, None: 3, "": 1, "de": 1024, "zz": 1025}, {"en": 1}, {None: 2}, {"a": 1, "b": 1, "c": 1, None: 1}, {f"l{k}": 2 for k in range(1100)}])
+def test_manifest_equals_plain_trees(spark, sizes):
+    rows = rows_of(sizes)
+    if "en" in sizes and sizes["en"] > 1:
+        rows += [rows[0]] * 3 + [(None, None, "en", None, None)] * 2 + [(rows[0][0], "other", "en", 1, "same id")]
+    docs = spark.createDataFrame([(*r, "x", True) for r in rows], SCHEMA + ", tree string, tree_there boolean").repartition(5)
+    got = merkle_manifest(docs).collect()
+    assert sorted(((r.doc_id, r.lang, r.leaf, r.subroot, r.root, tuple(entries(bytes(r.proof)))) for r in got), key=str) == manifest(rows)
+    assert all(fold(r.leaf, bytes(r.proof)) == r.root for r in got)
+
+
+def test_tampered_leaves_do_not_verify(spark):
+    rows = rows_of({"en": 300, None: 40})
+    docs = spark.createDataFrame(rows, SCHEMA)
+    made = merkle_manifest(docs, carry={"other": lambda: leaf_digest([F.lit("t") if c == "source" else F.col(c) for c in FIELDS])})
+    made = made.withColumn("root2", folded("other", "proof")).withColumn("digest", proof_digest("proof"))
+    got = made.collect()
+    assert len(got) == 340 and all((r.root2 == r.root) == (r.other == r.leaf) for r in got) and all(r.other != r.leaf for r in got)
+    assert all(r.digest == h(*[d for _, d in entries(bytes(r.proof))]) for r in got)
+
+
+def test_manifest_of_an_empty_table(spark):
+    got = merkle_manifest(spark.createDataFrame([], SCHEMA))
+    assert got.columns == ["doc_id", "lang", "leaf", "subroot", "root", "proof"] and got.count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 70))
+def test_reversed_sweep_gives_the_proofs(n):
+    leaves = [h(str(k)) for k in range(n)]
+    root, want = tree(leaves)
+    got = proofs(leaves, (n - 1).bit_length(), b"")
+    assert [list(entries(p)) for p in got] == want and {fold(d, p) for d, p in zip(leaves, got)} == {root}
+
+
+# ---------------------------------------------------------------- packing
+
+
+def placed(counts, capacity):
+    lines, bins = plan(counts, capacity), {}
+    for x, n in counts.items():
+        mine = [line for line in lines if line[0] == x]
+        for rank in range(n):
+            _, first, each, b, offset = [line for line in mine if line[1] <= rank][-1]
+            bins.setdefault(b + (rank - first) // each, []).append((offset + x * ((rank - first) % each), x))
+    return bins
+
+
+def one_by_one(counts, capacity):
+    """The method item by item: number of bins."""
+    large = sorted(x for x, n in counts.items() for _ in range(n) if 3 * x > capacity)
+    gaps = []
+    while large:
+        x = large.pop()
+        fits = [i for i, y in enumerate(large) if x + y <= capacity]
+        gaps.append(capacity - x - (large.pop(fits[-1]) if fits else 0))
+    for x in sorted((x for x, n in counts.items() for _ in range(n) if 3 * x <= capacity), reverse=True):
+        fits = [g for g in gaps if g >= x]
+        if fits:
+            gaps.remove(min(fits))
+        gaps.append((min(fits) if fits else capacity) - x)
+    return len(gaps)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sampled_from([3, 10, 30, 64, 100]).flatmap(lambda c: st.tuples(st.just(c), st.dictionaries(st.integers(1, c), st.integers(1, 9), max_size=20))))
+def test_plan_in_bulk_equals_item_by_item(case):
+    capacity, counts = case
+    bins = placed(counts, capacity)
+    assert sorted(bins) == list(range(one_by_one(counts, capacity)))
+    for held in bins.values():
+        at = 0
+        for offset, x in sorted(held):
+            assert offset == at
+            at += x
+        assert at <= capacity
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(34, 100), max_size=9))
+def test_matching_makes_as_many_pairs_as_any(sizes):
+    def most(rest):
+        if len(rest) < 2:
+            return 0
+        x, *rest = rest
+        return max([most(rest), *[1 + most(rest[:i] + rest[i + 1 :]) for i, y in enumerate(rest) if x + y <= 100]])
+
+    assert sum(n for _, y, n in match_large(Counter(sizes), 100) if y) == most(sizes)
+
+
+def test_packing_of_documents(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(BPE)
+    t.encode_special_tokens = True
+    texts = [None, "", "a", "some words here, " * 3, "word " * 90, "x y " * 60, "long é " * 700, "日本 " * 500]
+    rows = [(k, texts[k % len(texts)]) for k in range(120)] + [(None, "null id"), (3, "again"), (3, "again")]
+    docs = spark.createDataFrame([(i, x, 1, "a") for i, x in rows], "doc_id long, text string, length int, ids string").repartition(4)
+    pieces = token_pieces(docs, BPE, capacity=128, with_ids=True)
+    packed = pack(pieces, capacity=128)
+    got = packed.collect()
+    ids = {x: [*t.encode(x or "", add_special_tokens=False).ids, 0] for _, x in rows}
+    want = []
+    for i, x in rows:
+        n, head = len(ids[x]), len(ids[x]) % 128 or 128
+        cuts = [0, *range(head, n + 1, 128)] if n > 128 else [0, n]
+        want += [(i, k, a, b - a, zlib.crc32(np.array(ids[x][a:b], "<u4").tobytes()), ids[x][a:b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32, r.ids) for r in got), key=str) == sorted(want, key=str)
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length, r.ids))
+    assert len(by) == one_by_one(Counter(r.length for r in got), 128)
+    for held in by.values():
+        ends = np.cumsum([n for _, n, _ in sorted(held)])
+        assert [o for o, _, _ in sorted(held)] == [0, *ends[:-1]] and ends[-1] <= 128
+    whole = {r.sequence_id: r.ids for r in sequences(packed).collect()}
+    assert {s: [x for _, _, ids in sorted(held) for x in ids] for s, held in by.items()} == whole
+
+
+def test_packing_edges(spark):
+    items = spark.createDataFrame([(3,), (3,), (4,)], "length long")
+    assert pack(items.where("false"), capacity=10).count() == 0
+    assert pack(items, capacity=10).select("sequence_id").distinct().count() == 1
+    assert token_pieces(spark.createDataFrame([], "doc_id long, text string"), BPE).count() == 0
+    for bad in ([(11,)], [(0,)], [(None,)], [(-1,)]):
+        with pytest.raises(ValueError, match="lengths"):
+            pack(items.union(spark.createDataFrame(bad, "length long")), capacity=10)
+    with pytest.raises(ValueError, match="offset"):
+        pack(items.withColumn("Offset", F.lit(1)), capacity=10)
