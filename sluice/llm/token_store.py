@@ -46,9 +46,8 @@ def open_fs(uri: str):
 class Encoder:
     """Ids of whole texts. A text is cut where the byte-level pattern always begins a token: before a
     single space or line feed between visible characters, after such a line feed, and between an ASCII
-    letter and a mark. The pieces are encoded each on its own, once for each distinct one; the new ones
-    that begin with a space are encoded as one text, whose tokens fall apart at the same places.
-    Bytes that could be part of other white space are never cut at."""
+    letter and a mark. The pieces are encoded once for each distinct one. Bytes that could be part of
+    other white space are never cut at."""
 
     _made: dict[str, Encoder] = {}
 
@@ -69,23 +68,41 @@ class Encoder:
         self.width = 2 if size <= 1 << 16 else 4
         #: bytes of each token: byte-level tokens are written with one character a byte
         self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
+        """Pieces that begin and end with a visible character are encoded together: those with a space
+        before as they are, others with line feeds between; tokens fall apart there as they do in texts."""
         encode, known = self.tokenizer.encode_batch_fast, self.known
-        plain = [x for x in new if len(x) > 1 and x[0] == " " and "!" <= x[1] <= "~" and "!" <= x[-1] <= "~"]
-        for lo in range(0, len(plain), 65536):
-            part = plain[lo : lo + 65536]
-            texts = ["".join(part[i : i + 512]) for i in range(0, len(part), 512)]
-            ids = np.concatenate([np.array(e.ids, np.uint32) for e in encode(texts, add_special_tokens=False)])
-            ends = np.cumsum(self.bytes_of[ids])
-            cut = np.searchsorted(ends, np.cumsum([len(x.encode()) for x in part])) + 1
-            data, at = ids.tobytes(), [0, *(4 * cut).tolist()]
-            known.update(zip(part, [data[i:j] for i, j in zip(at, at[1:])]))
-        rest = [x for x in new if x not in known]
+        spaced, bare, rest = [], [], []
+        for x in new:
+            first, last = x[x[0] == 32 and len(x) > 1], x[-1]
+            ends_visible = 33 <= last <= 126 or (128 <= last <= 191 and 0xC3 <= x[-2] <= 0xDF)
+            if ends_visible and (33 <= first <= 126 or 0xC3 <= first <= 0xDF):
+                (spaced if x[0] == 32 else bare).append(x)
+            else:
+                rest.append(x)
+        for pieces, between in ((spaced, b""), (bare, b"\n")):
+            for lo in range(0, len(pieces), 65536):
+                part = pieces[lo : lo + 65536]
+                texts = [between.join([*part[i : i + 512], b""]).decode() for i in range(0, len(part), 512)]
+                ids = np.concatenate([np.array(e.ids, np.uint32) for e in encode(texts, add_special_tokens=False)])
+                ends = np.cumsum(self.bytes_of[ids])
+                lengths = np.fromiter(map(len, part), np.int64, len(part))
+                at = np.cumsum(lengths + len(between)) - len(between)
+                upto = 4 * (np.searchsorted(ends, at) + 1)
+                since = 4 * np.searchsorted(ends, at - lengths, side="right")
+                data = ids.tobytes()
+                known.update(zip(part, [data[i:j] for i, j in zip(since.tolist(), upto.tolist())]))
         for lo in range(0, len(rest), 4096):
             part = rest[lo : lo + 4096]
-            known.update(zip(part, [np.array(e.ids, np.uint32).tobytes() for e in encode(part, add_special_tokens=False)]))
+            known.update(zip(part, [np.array(e.ids, np.uint32).tobytes() for e in encode([x.decode() for x in part], add_special_tokens=False)]))
+
+    @staticmethod
+    def _names(pieces: pa.Array) -> list[bytes]:
+        at = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1].tolist()
+        data = pieces.buffers()[2].to_pybytes()
+        return [data[i:j] for i, j in zip(at, at[1:])]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and the number of ids of each text."""
@@ -112,7 +129,7 @@ class Encoder:
         cuts = np.flatnonzero(cut)
         pieces = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
         pieces = pieces.dictionary_encode()
-        names, which = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
+        names, which = self._names(pieces.dictionary), pieces.indices.to_numpy()
         if len(self.known) > CACHE_WORDS:
             self.known = {}
         known = self.known
