@@ -19,4 +19,5 @@ from .contract import (
     quarantine_files,
     write_move_log,
 )
-from .publish import replace_path, replace_table
+from .buckets import Buckets, read_bucketed, write_bucketed
+from .publish import recover, recover_table, replace_partitions, replace_path, replace_path_parts, replace_table

@@ -18,8 +18,9 @@ How it runs (no full outer join, which Spark can neither broadcast nor split whe
 * a condition made of ``a.x = b.x`` terms alone is the same as ``on=``; a condition without any
   equality between the sides would compare all pairs and is refused.
 
-Plain parquet has no in-place update, so publishing rewrites the target: the result is written
-once to a fresh folder or staging table that is then switched in (:mod:`.publish`).
+Plain parquet has no in-place update, so publishing writes the result to a fresh place that is then
+switched in (:mod:`.publish`): the whole target, or, where the target is laid out by buckets of its merge
+keys (:mod:`.buckets`), only the buckets that hold a key of the source.
 """
 
 from __future__ import annotations
@@ -31,9 +32,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .._util import as_list, qcol, resolve_names, temp_name
-from .publish import replace_path, replace_table
+from .._util import as_list, qcol, quote, resolve_names, temp_name
+from .buckets import BUCKET, Buckets
+from .publish import recover, recover_table, replace_partitions, replace_path, replace_path_parts, replace_table
 
 
 @dataclass
@@ -70,9 +73,16 @@ class MergeTarget:
     """Merge target. Create with :meth:`forName`, :meth:`forPath` or :meth:`forFrame`."""
 
     def __init__(
-        self, df: DataFrame, name: str | None = None, path: str | None = None, fmt: str = "parquet", partition_by=None
+        self,
+        df: DataFrame,
+        name: str | None = None,
+        path: str | None = None,
+        fmt: str = "parquet",
+        partition_by=None,
+        layout: Buckets | None = None,
     ):
         self._df = df
+        self.layout = layout
         self.name = name
         self.path = path
         self.format = fmt
@@ -81,11 +91,19 @@ class MergeTarget:
 
     @classmethod
     def forName(cls, spark: SparkSession, name: str) -> "MergeTarget":
-        return cls(spark.table(name), name=name)
+        recover_table(spark, name)
+        layout = Buckets.of_table(spark, name)
+        df = spark.table(name)
+        return cls(df.drop(BUCKET) if layout else df, name=name, layout=layout)
 
     @classmethod
     def forPath(cls, spark: SparkSession, path: str, fmt: str = "parquet", partition_by=None) -> "MergeTarget":
-        """``partition_by``: the folder layout to keep when the merged content is written back."""
+        """``partition_by``: the folder layout to keep when the merged content is written back; a layout
+        by buckets is found by itself."""
+        recover(spark, path)
+        layout = Buckets.of_path(spark, path)
+        if layout:
+            return cls(layout.read(spark, path).drop(BUCKET), path=path, fmt=layout.fmt, layout=layout)
         return cls(spark.read.format(fmt).load(path), path=path, fmt=fmt, partition_by=partition_by)
 
     @classmethod
@@ -194,7 +212,7 @@ class MergeBuilder:
         matched_clauses = [c for c in self._clauses if c.kind in ("update", "update_all", "delete")]
         insert_clauses = [c for c in self._clauses if c.kind in ("insert", "insert_all")]
         max_multiplicity = None
-        if "NestedLoopJoin" in (plan := t.join(s, cond)._jdf.queryExecution().sparkPlan().toString()) or "CartesianProduct" in plan:
+        if not self._on and not self._has_equality(cond):
             raise ValueError("a merge condition needs an equality between target and source")
         if matched_clauses and check_duplicates and self._on:
             keys = resolve_names(self._source.columns, self._on)
@@ -261,6 +279,18 @@ class MergeBuilder:
         inserted = unmatched.select(*out_cols)
         return changed.unionByName(inserted)
 
+    def _has_equality(self, cond: Column) -> bool:
+        """Whether Spark finds keys to join by in the condition. The join is planned over stand-ins of the
+        two schemas, so that joins inside the source or target don't count."""
+
+        def stand_in(df: DataFrame, alias: str) -> DataFrame:
+            fields = [F.from_json(F.col("id").cast("string"), StructType([StructField(f.name, f.dataType)]))[f.name].alias(f.name) for f in df.schema.fields]
+            return df.sparkSession.range(1).select(*fields).alias(alias)
+
+        joined = stand_in(self._target._df, self._target._alias).join(stand_in(self._source, self._source_alias), cond)
+        plan = joined._jdf.queryExecution().sparkPlan().toString()
+        return "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
     def _check_single_match(self, target: DataFrame, cond: Column, s: DataFrame, max_multiplicity) -> None:
         """Raise when a target row has several matches under the whole condition. Target rows get an
         id by their place in the scan, so one matched twice shows as a repeated id; with equality
@@ -282,11 +312,38 @@ class MergeBuilder:
         """Compute the new content and publish it over the table/path (frames: just return it).
 
         ``check_duplicates=False`` skips the duplicate-match check when the source is unique on the
-        merge keys by construction (e.g. the output of a ``groupBy`` on them)."""
-        result = self.result(check_duplicates=check_duplicates)
+        merge keys by construction (e.g. the output of a ``groupBy`` on them).
+
+        A target in buckets of columns that are all merge keys is merged bucket by bucket: only those that
+        hold a key of the source are read, written and switched. A clause that moves a row to another
+        bucket is an error there, and nothing changes."""
         tgt = self._target
+        if tgt.layout and {k.lower() for k in tgt.layout.keys} <= {k.lower() for k in self._on}:
+            return self._execute_buckets(check_duplicates)
+        result = self.result(check_duplicates=check_duplicates)
         if tgt.name is None and tgt.path is None:
             return result
+        if tgt.layout:
+            return tgt.layout.replace(result, tgt.path, tgt.name)
         if tgt.path is not None:
             return replace_path(result, tgt.path, tgt.format, tgt.partition_by)
         return replace_table(result, tgt.name)
+
+    def _execute_buckets(self, check_duplicates: bool) -> DataFrame:
+        tgt, layout, spark = self._target, self._target.layout, self._source.sparkSession
+        types = {f.name.lower(): f.dataType for f in tgt._df.schema.fields}
+        names = resolve_names(self._source.columns, layout.keys)
+        keys = [F.col(quote(n)).cast(types[k.lower()]) for n, k in zip(names, layout.keys)]
+        # at most one row a bucket
+        touched = [r[0] for r in self._source.select(layout.bucket(keys).alias(BUCKET)).distinct().collect()]
+        whole = layout.read(spark, tgt.path) if tgt.path is not None else spark.table(tgt.name)
+        part = copy.copy(tgt)
+        part._df = whole.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        builder = copy.copy(self)
+        builder._target = part
+        result = layout.place(builder.result(check_duplicates=check_duplicates))
+        if touched and tgt.path is not None:
+            replace_path_parts(result, tgt.path, BUCKET, touched, layout.fmt)
+        elif touched:
+            replace_partitions(result, tgt.name, [{BUCKET: b} for b in touched])
+        return layout.read(spark, tgt.path).drop(BUCKET) if tgt.path is not None else spark.table(tgt.name).drop(BUCKET)

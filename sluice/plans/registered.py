@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.checks import DataCheckClause
+from ..operators.buckets import read_bucketed, write_bucketed
 from ..operators.checks import apply_data_checks, check_report, good_rows
 from ..operators.compare import frame_diff
 from ..operators.conform import map_column
@@ -479,6 +480,71 @@ def merge_conditional_insert(spark, sf_dir):
     )
 
 
+_ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+
+
+def _order_table(spark, sf_dir, purpose: str, where: str = "true") -> str:
+    """The orders as an external catalog table partitioned by status, in the shared folder."""
+    place = shared_dir(spark, purpose)
+    name = os.path.basename(place).replace("-", "_")
+    orders = table(spark, sf_dir, "orders").where(where)
+    orders.write.partitionBy("o_orderstatus").option("path", f"{place}/table").saveAsTable(name)
+    return name
+
+
+@register(
+    "publish_partitioned_table",
+    """
+SELECT o_orderkey, o_custkey, CASE WHEN o_totalprice > 400000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+       o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderstatus <> 'F'
+""",
+)
+def publish_partitioned_table(spark, sf_dir):
+    """A partitioned table published over from itself (O-11): one partition goes, one comes, the others change."""
+    name = _order_table(spark, sf_dir, "published-orders")
+    rows = spark.table(name).where("o_orderstatus <> 'F'")
+    status = F.when(F.col("o_totalprice") > 400000, "X").otherwise(F.col("o_orderstatus"))
+    publish(rows.withColumn("o_orderstatus", status).withColumn("o_totalprice", F.col("o_totalprice") + 1), table=name)
+    return spark.table(name).select(*_ORDER_COLS.split(", "))
+
+
+@register(
+    "merge_partitioned_table",
+    """
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority
+FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 2 = 0
+""",
+)
+def merge_partitioned_table(spark, sf_dir):
+    """MERGE into a partitioned catalog table by its name (2.1 scan by name, 2.2 table merge)."""
+    name = _order_table(spark, sf_dir, "merged-orders", "o_orderkey % 2 = 0")
+    source = table(spark, sf_dir, "orders").where("o_orderkey % 7 = 0").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    MergeTarget.forName(spark, name).alias("t").merge(source.alias("s"), "t.o_orderkey = s.o_orderkey").whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
+    return spark.table(name).select(*_ORDER_COLS.split(", "))
+
+
+@register(
+    "merge_bucketed_table",
+    """
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 500 = 1 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority
+FROM orders WHERE (o_orderkey % 500 = 1 OR o_orderkey % 2 = 0) AND NOT (o_orderkey % 500 = 2 AND o_totalprice > 200000)
+""",
+)
+def merge_bucketed_table(spark, sf_dir):
+    """MERGE of few keys into a table in buckets of its key: only their buckets are rewritten (O-12)."""
+    place = shared_dir(spark, "bucketed-orders")
+    name = os.path.basename(place).replace("-", "_")
+    orders = table(spark, sf_dir, "orders")
+    write_bucketed(orders.where("o_orderkey % 2 = 0"), "o_orderkey", 16, table=name, location=f"{place}/table")
+    source = orders.where("o_orderkey % 500 IN (1, 2)").withColumn("o_totalprice", F.when(F.expr("o_orderkey % 500 = 1"), F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice")))
+    merge = MergeTarget.forName(spark, name).alias("t").merge(source.alias("s"), on="o_orderkey")
+    merge.whenMatchedDelete(condition="s.o_orderkey % 500 = 2 AND s.o_totalprice > 200000").whenMatchedUpdateAll().whenNotMatchedInsertAll(condition="s.o_orderkey % 500 = 1").execute()
+    return spark.table(name).select(*_ORDER_COLS.split(", "))
+
+
 # ---------------------------------------------------------------- frame equality (O-14)
 
 _LI_COLS = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
@@ -689,9 +755,10 @@ def stream_latest_query(spark, sf_dir):
     q = upsert_latest(
         stream, "user_id", "ts", target, shared_dir(spark, "stream-latest-ckpt"), tie_break="event_id",
         state_partitions=spark.sparkContext.defaultParallelism,  # one state partition per core
+        buckets=8,
     )
     q.awaitTermination()
-    return spark.read.parquet(target)
+    return read_bucketed(spark, target)
 
 
 @register("stream_gold", _GOLD_SQL)
@@ -710,6 +777,7 @@ def stream_gold_query(spark, sf_dir):
     q = upsert_gold_stream(
         stream, mapping, target, shared_dir(spark, "stream-gold-ckpt"), tie_break="event_id",
         state_partitions=spark.sparkContext.defaultParallelism,  # one state partition per core
+        buckets=8,
     )
     q.awaitTermination()
-    return spark.read.parquet(target)
+    return read_bucketed(spark, target)

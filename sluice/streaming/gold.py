@@ -4,6 +4,9 @@ each micro-batch) → MERGE into the target path.
 Batch semantics are kept exactly: when the newest row of a key lacks a required field the key must
 disappear from gold, so the merge deletes it (``whenMatchedDelete``) instead of filtering the row
 out and leaving an older version in place; such rows are never inserted.
+
+With ``buckets`` the target is laid out by buckets of the key, and a micro-batch rewrites only those that
+hold a key of its own.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .._util import as_list, quote
 from ..operators.conform import map_column
 from ..operators.merge import MergeTarget
+from ..operators.buckets import Buckets, write_bucketed
 from ..operators.publish import has_data
 from .checks import _trigger_kwargs, start_query
 from .latest import latest_state, reused_batch
@@ -35,6 +39,7 @@ def upsert_gold_stream(
     trigger="availableNow",
     fmt: str = "parquet",
     state_partitions: int | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     keys = as_list(key)
     latest = latest_state(stream, keys, order_by, tie_break)
@@ -44,8 +49,12 @@ def upsert_gold_stream(
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         enriched = map_column(batch, mapping, column, map_key, map_value)
-        if not has_data(spark, target_path):
-            enriched.alias("src").where(f"NOT ({missing})").write.mode("overwrite").format(fmt).save(target_path)
+        if not has_data(spark, target_path) and Buckets.of_path(spark, target_path) is None:
+            first = enriched.alias("src").where(f"NOT ({missing})")
+            if buckets:
+                write_bucketed(first, keys, buckets, path=target_path, fmt=fmt)
+            else:
+                first.write.mode("overwrite").format(fmt).save(target_path)
             return
         target = MergeTarget.forPath(spark, target_path, fmt)
         (

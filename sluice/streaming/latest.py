@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .._util import as_list, temp_name, to_col
 from ..operators.merge import MergeTarget
+from ..operators.buckets import Buckets, write_bucketed
 from ..operators.publish import has_data
 from .checks import _trigger_kwargs, start_query
 
@@ -69,15 +70,21 @@ def upsert_latest(
     trigger="availableNow",
     fmt: str = "parquet",
     state_partitions: int | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
-    """Keep ``target_path`` equal to the newest row per key of everything the stream has seen."""
+    """Keep ``target_path`` equal to the newest row per key of everything the stream has seen. With
+    ``buckets`` the target is laid out by that many buckets of the keys (read it with
+    :func:`~sluice.operators.read_bucketed`), and a micro-batch rewrites only those that hold a key of its own."""
     keys = as_list(keys)
     latest = latest_state(stream, keys, order_by, tie_break)
 
     @reused_batch
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if not has_data(spark, target_path):
+        if not has_data(spark, target_path) and Buckets.of_path(spark, target_path) is None:
+            if buckets:
+                write_bucketed(batch, keys, buckets, path=target_path, fmt=fmt)
+                return
             batch.write.mode("overwrite").format(fmt).save(target_path)
             return
         target = MergeTarget.forPath(spark, target_path, fmt)
