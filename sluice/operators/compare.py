@@ -12,7 +12,21 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    ByteType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    ShortType,
+    StructType,
+    TimestampNTZType,
+)
 
 from .._util import quote, resolve_names, same_names, temp_name
 
@@ -94,6 +108,30 @@ def _strip_nullability(dt):
     return dt
 
 
+#: narrower to wider whole numbers, with the decimal digits each holds
+_WHOLE = ((ByteType, 3), (ShortType, 5), (IntegerType, 10), (LongType, 19))
+
+
+def fits(actual: DataType, wanted: DataType) -> bool:
+    """Whether every value of type ``actual`` is one of type ``wanted``: the same type, a narrower whole
+    number, float for double, a whole number below bigint for double, a decimal with no more digits on either side
+    of the point, a whole number for a decimal that holds its digits, date for timestamp_ntz."""
+    if _strip_nullability(actual) == _strip_nullability(wanted):
+        return True
+    digits = {t: n for t, n in _WHOLE}
+    order = [t for t, _ in _WHOLE]
+    a, w = type(actual), type(wanted)
+    if a in order:
+        if w in order:
+            return order.index(a) <= order.index(w)
+        if w is DoubleType:
+            return a is not LongType
+        return w is DecimalType and wanted.precision - wanted.scale >= digits[a]
+    if a is DecimalType and w is DecimalType:
+        return wanted.scale >= actual.scale and wanted.precision - wanted.scale >= actual.precision - actual.scale
+    return (a, w) in ((FloatType, DoubleType), (DateType, TimestampNTZType))
+
+
 def schema_breaches(
     actual: StructType,
     contract: StructType,
@@ -101,34 +139,57 @@ def schema_breaches(
     ignore_nullable: bool = True,
     check_order: bool = True,
     case_sensitive: bool = True,
+    widen: bool = False,
 ) -> list[SchemaBreach]:
     """Differences between a schema and a contract: missing, unexpected, wrong type, wrong
-    position and (unless ignored, the default as in PySpark's schema assertion) nullability."""
+    position and (unless ignored, the default as in PySpark's schema assertion) nullability.
+
+    Structs, arrays and maps are compared inside, and a breach names the nested field by its path:
+    ``a.b`` for a field, ``a[]`` for the elements of an array, ``a{key}`` and ``a{value}`` for a map.
+    With ``widen`` a type that :func:`fits` the contract's is no breach."""
+    return list(_struct_breaches(actual, contract, "", ignore_nullable, check_order, case_sensitive, widen))
+
+
+def _struct_breaches(actual: StructType, contract: StructType, prefix: str, *how):
+    ignore_nullable, check_order, case_sensitive, _ = how
 
     def key(name):
         return name if case_sensitive else name.lower()
 
     got = {key(f.name): (i, f) for i, f in enumerate(actual.fields)}
     want = {key(f.name): (i, f) for i, f in enumerate(contract.fields)}
-    out: list[SchemaBreach] = []
     for k, (i, f) in want.items():
+        path = prefix + f.name
         if k not in got:
-            out.append(SchemaBreach("missing", f.name, expected=f.dataType.simpleString()))
+            yield SchemaBreach("missing", path, expected=f.dataType.simpleString())
             continue
         j, g = got[k]
-        et, at = f.dataType.simpleString(), g.dataType.simpleString()
-        if et != at:
-            out.append(SchemaBreach("type", f.name, expected=et, actual=at))
+        inside = list(_type_breaches(g.dataType, f.dataType, path, *how))
+        yield from inside
         if check_order and i != j:
-            out.append(SchemaBreach("position", f.name, expected=str(i), actual=str(j)))
+            yield SchemaBreach("position", path, expected=str(i), actual=str(j))
         if not ignore_nullable and f.nullable != g.nullable:
-            out.append(SchemaBreach("nullability", f.name, expected=str(f.nullable), actual=str(g.nullable)))
-        elif not ignore_nullable and et == at and f.dataType != g.dataType:  # inside a nested type
-            out.append(SchemaBreach("nullability", f.name, expected=f.dataType.json(), actual=g.dataType.json()))
-    for k, (j, g) in got.items():
+            yield SchemaBreach("nullability", path, expected=str(f.nullable), actual=str(g.nullable))
+    for k, (_, g) in got.items():
         if k not in want:
-            out.append(SchemaBreach("unexpected", g.name, actual=g.dataType.simpleString()))
-    return out
+            yield SchemaBreach("unexpected", prefix + g.name, actual=g.dataType.simpleString())
+
+
+def _type_breaches(actual: DataType, wanted: DataType, path: str, *how):
+    ignore_nullable, _, _, widen = how
+    if isinstance(actual, StructType) and isinstance(wanted, StructType):
+        yield from _struct_breaches(actual, wanted, f"{path}.", *how)
+    elif isinstance(actual, ArrayType) and isinstance(wanted, ArrayType):
+        yield from _type_breaches(actual.elementType, wanted.elementType, f"{path}[]", *how)
+        if not ignore_nullable and actual.containsNull != wanted.containsNull:
+            yield SchemaBreach("nullability", f"{path}[]", expected=str(wanted.containsNull), actual=str(actual.containsNull))
+    elif isinstance(actual, MapType) and isinstance(wanted, MapType):
+        yield from _type_breaches(actual.keyType, wanted.keyType, f"{path}{{key}}", *how)
+        yield from _type_breaches(actual.valueType, wanted.valueType, f"{path}{{value}}", *how)
+        if not ignore_nullable and actual.valueContainsNull != wanted.valueContainsNull:
+            yield SchemaBreach("nullability", f"{path}{{value}}", expected=str(wanted.valueContainsNull), actual=str(actual.valueContainsNull))
+    elif actual.simpleString() != wanted.simpleString() and not (widen and fits(actual, wanted)):
+        yield SchemaBreach("type", path, expected=wanted.simpleString(), actual=actual.simpleString())
 
 
 def assert_schema_equal(actual: StructType, contract: StructType, **kw) -> None:

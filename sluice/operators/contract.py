@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from .._util import temp_name
+from .._util import quote, temp_name
+from ..session import cut_lineage
 from ..sources.landing import LandingArea
 from .compare import schema_breaches
 
@@ -32,6 +33,8 @@ from .compare import schema_breaches
 cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
 
 BREACH_SCHEMA = "path string, reason string"
+#: files whose footers or headers one task reads
+FILES_PER_TASK = 256
 MOVE_SCHEMA = "old_file_path string, new_file_path string, corrupted_message string, move_status string"
 
 # The log's five columns, read by whoever watches the landing area.
@@ -91,6 +94,35 @@ def _footer_schema(path: str, fmt: str, deep: bool) -> StructType:
     raise ValueError(f"no footer reader for {fmt}")
 
 
+def _null_counts(path: str, fmt: str, names: list[str]) -> dict[str, int]:
+    """NULLs of top-level columns of one file. Parquet: from the statistics of its row groups, and only
+    where a row group has none from the column itself; orc: from the columns."""
+    fs, local = _arrow_fs(path)
+    counts = dict.fromkeys(names, 0)
+    with fs.open_input_file(local) as fh:
+        if fmt == "parquet":
+            import pyarrow.parquet as pq
+
+            pf = pq.ParquetFile(fh)
+            at = {pf.metadata.schema.column(j).path: j for j in range(pf.metadata.num_columns)}
+            there = set(pf.schema_arrow.names)
+            for name in [n for n in names if n in there]:
+                for i in range(pf.metadata.num_row_groups):
+                    found = pf.metadata.row_group(i).column(at[name]).statistics if name in at else None
+                    if found is not None and found.has_null_count:
+                        counts[name] += found.null_count
+                    else:
+                        counts[name] += pf.read_row_group(i, columns=[name]).column(name).null_count
+        else:
+            import pyarrow.orc as orc
+
+            of = orc.ORCFile(fh)
+            for name in [n for n in names if n in of.schema.names]:
+                for i in range(of.nstripes):
+                    counts[name] += of.read_stripe(i, columns=[name]).column(0).null_count
+    return counts
+
+
 def _csv_header(path: str, options: dict) -> list[str]:
     """The first record of a CSV file, read with the options the loader reads it with."""
     import csv
@@ -113,12 +145,13 @@ def _format_errors() -> tuple:
     return (pa.ArrowInvalid, pa.ArrowNotImplementedError, UnicodeDecodeError, csv.Error)
 
 
-def _file_checker(fmt: str, contract_json: str, ignore_nullable: bool, check_order: bool, deep: bool, options: dict):
+def _file_checker(fmt: str, contract_json: str, ignore_nullable: bool, check_order: bool, deep: bool, options: dict, check_nulls: bool, widen: bool):
     def run(batches):
         import pyarrow as pa
 
         contract = StructType.fromJson(json.loads(contract_json))
         names = [f.name for f in contract.fields]
+        required = [f.name for f in contract.fields if not f.nullable] if check_nulls else []
         for batch in batches:
             paths = batch.column(0).to_pylist()
             reasons = []
@@ -132,9 +165,12 @@ def _file_checker(fmt: str, contract_json: str, ignore_nullable: bool, check_ord
                             reasons.append(f"header {header} does not match contract columns {names}")
                         continue
                     found = schema_breaches(
-                        _footer_schema(p, fmt, deep), contract, ignore_nullable=ignore_nullable, check_order=check_order
+                        _footer_schema(p, fmt, deep), contract, ignore_nullable=ignore_nullable, check_order=check_order, widen=widen
                     )
-                    reasons.append("; ".join(str(b) for b in found) or None)
+                    said = [str(b) for b in found]
+                    if required:
+                        said += [f"column {c}: {n} NULL values" for c, n in _null_counts(p, fmt, required).items() if n]
+                    reasons.append("; ".join(said) or None)
                 except _format_errors() as e:
                     reasons.append(f"cannot read file: {type(e).__name__}: {e}")
             yield pa.RecordBatch.from_arrays(
@@ -153,12 +189,17 @@ def file_schema_breaches(
     check_order: bool = True,
     deep: bool = False,
     options: dict | None = None,
+    check_nulls: bool = False,
+    widen: bool = False,
 ) -> DataFrame:
     """``path, reason`` for each listed file of a self-describing format (or CSV) that breaks the
     contract. Runs as one ``mapInArrow`` over the listing's partitions: no driver loop, no per-file
     job, only footers (or the first CSV record) are read. A file that cannot be decoded is a breach;
-    a file that cannot be fetched fails the task, so that a short outage quarantines nothing."""
-    checker = _file_checker(fmt, contract.json(), ignore_nullable, check_order, deep, dict(options or {}))
+    a file that cannot be fetched fails the task, so that a short outage quarantines nothing.
+    ``check_nulls`` holds NOT NULL columns against the data (:func:`_null_counts`), whatever the footer
+    declares; ``widen`` lets a file have a narrower type than the contract (see
+    :func:`~sluice.operators.compare.fits`)."""
+    checker = _file_checker(fmt, contract.json(), ignore_nullable, check_order, deep, dict(options or {}), check_nulls, widen)
     return files.select("path").mapInArrow(checker, BREACH_SCHEMA).where(F.col("reason").isNotNull())
 
 
@@ -228,12 +269,14 @@ def json_breaches(lines: DataFrame, contract: StructType, *, multiline: bool = F
     return per_file.select("path", F.when(reason != "", reason).alias("reason")).where(F.col("reason").isNotNull())
 
 
-def csv_value_breaches(spark: SparkSession, area: LandingArea, contract: StructType, start=None) -> DataFrame:
-    """``path, reason`` for CSV files with rows that do not fit the contract's types or width."""
+def csv_value_breaches(spark: SparkSession, area: LandingArea, contract: StructType, start=None, *, check_nulls: bool = False) -> DataFrame:
+    """``path, reason`` for CSV files with rows that do not fit the contract's types or width, and with
+    ``check_nulls`` NULLs in NOT NULL columns."""
     roots = area.roots(spark, start) if area.exists(spark) else []
     if not roots:
         return spark.createDataFrame([], BREACH_SCHEMA)
     corrupt = temp_name([f.name for f in contract.fields], "corrupt")
+    required = [f.name for f in contract.fields if not f.nullable] if check_nulls else []
     schema = StructType([StructField(f.name, f.dataType, True) for f in contract.fields] + [StructField(corrupt, StringType(), True)])
     rows = (
         spark.read.schema(schema)
@@ -260,11 +303,12 @@ def csv_value_breaches(spark: SparkSession, area: LandingArea, contract: StructT
                 )
             ).alias("n_bad"),
             F.count("*").alias("n_rows"),
+            *[F.count_if(F.col(corrupt).isNull() & F.col(quote(c)).isNull()).alias(f"n_null{i}") for i, c in enumerate(required)],
         )
     )
-    return per_file.where(F.col("n_bad") > 0).select(
-        "path", F.format_string("%d of %d rows do not fit the contract", F.col("n_bad"), F.col("n_rows")).alias("reason")
-    )
+    said = [F.when(F.col("n_bad") > 0, F.format_string("%d of %d rows do not fit the contract", F.col("n_bad"), F.col("n_rows")))]
+    said += [F.when(F.col(f"n_null{i}") > 0, F.format_string(f"column {c}: %d NULL values", F.col(f"n_null{i}"))) for i, c in enumerate(required)]
+    return per_file.select("path", F.concat_ws("; ", *said).alias("reason")).where("reason <> ''")
 
 
 def _combine(breaches: DataFrame) -> DataFrame:
@@ -297,15 +341,24 @@ def contract_breaches(
     *,
     ignore_nullable: bool = True,
     deep: bool = False,
+    check_nulls: bool = False,
+    widen: bool = False,
 ) -> DataFrame:
-    """Breaching files of a landing area from ``start`` on: ``path, reason``."""
+    """Breaching files of a landing area from ``start`` on: ``path, reason``. Files are dealt to tasks by
+    their number, since a check reads a footer or a header whatever the size of the file. With
+    ``check_nulls`` a NULL in a NOT NULL column is a breach, from file statistics where there are any;
+    ``widen`` allows narrower types than the contract's in parquet and orc files."""
     fmt = area.fmt.lower()
     if fmt == "json":
-        return json_breaches(area.lines(spark, start), contract, multiline=area.multiline, ignore_nullable=ignore_nullable)
+        return json_breaches(area.lines(spark, start), contract, multiline=area.multiline, ignore_nullable=ignore_nullable and not check_nulls)
     if fmt in ("parquet", "orc", "csv"):
-        found = file_schema_breaches(area.files(spark, start), fmt, contract, ignore_nullable=ignore_nullable, deep=deep, options=area.reader_options())
+        files = cut_lineage(area.files(spark, start).select("path"))
+        files = files.repartition(max(1, -(-files.count() // FILES_PER_TASK)))
+        found = file_schema_breaches(
+            files, fmt, contract, ignore_nullable=ignore_nullable, deep=deep, options=area.reader_options(), check_nulls=check_nulls, widen=widen
+        )
         if fmt == "csv":
-            found = _combine(found.unionByName(csv_value_breaches(spark, area, contract, start)))
+            found = _combine(found.unionByName(csv_value_breaches(spark, area, contract, start, check_nulls=check_nulls)))
         return found
     if fmt == "avro":
         raise NotImplementedError(
@@ -314,7 +367,17 @@ def contract_breaches(
     raise ValueError(f"unsupported landing format {area.fmt!r}")
 
 
-def _mover(batches):
+def _mover(again: bool = False):
+    """Moves the files of (old, new, message) rows. ``again``: the rows may have been moved before, so a
+    file that is at both places was moved and then landed anew; that one is the next run's matter."""
+
+    def run(batches):
+        yield from _move_rows(batches, again)
+
+    return run
+
+
+def _move_rows(batches, again):
     import pyarrow as pa
     import pyarrow.fs as pafs
 
@@ -328,7 +391,7 @@ def _mover(batches):
                 _, dst = _arrow_fs(new)
                 src_there = fs.get_file_info(src).type != pafs.FileType.NotFound
                 dst_there = fs.get_file_info(dst).type != pafs.FileType.NotFound
-                if not src_there and dst_there:
+                if dst_there and (again or not src_there):
                     status.append("OK")  # moved by an earlier attempt of this task
                     continue
                 fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
@@ -356,25 +419,33 @@ def quarantine_files(area: LandingArea, breaches: DataFrame) -> DataFrame:
     Lazy: the moves happen when the result is computed, so compute it exactly once (write it, as
     :func:`write_move_log` does). Returns the movement log rows with ``inserted_at``.
     """
-    plan = breaches.select(
+    return moved(planned_moves(area, breaches))
+
+
+def planned_moves(area: LandingArea, breaches: DataFrame) -> DataFrame:
+    """Log rows to be, without an outcome: where each breaching file goes."""
+    return breaches.select(
         F.col("path").alias("old_file_path"),
         area.quarantine_path(F.col("path")).alias("new_file_path"),
         F.col("reason").alias("corrupted_message"),
+        F.lit(None).cast("string").alias("move_status"),
     )
-    moved = plan.mapInArrow(_mover, MOVE_SCHEMA)
-    return moved.select(
-        "old_file_path", "new_file_path", "corrupted_message", F.current_timestamp().alias("inserted_at"), "move_status"
-    )
 
 
-def stray_log(spark: SparkSession, area: LandingArea) -> DataFrame:
+def moved(planned: DataFrame, again: bool = False) -> DataFrame:
+    """Log rows of the ``planned`` ones: those without a move_status are moved when this is computed."""
+    todo = planned.where("move_status IS NULL").select("old_file_path", "new_file_path", "corrupted_message")
+    rows = todo.mapInArrow(_mover(again), MOVE_SCHEMA).unionByName(planned.where("move_status IS NOT NULL"))
+    return rows.select("old_file_path", "new_file_path", "corrupted_message", F.current_timestamp().alias("inserted_at"), "move_status")
+
+
+def planned_strays(spark: SparkSession, area: LandingArea) -> DataFrame:
     """Log rows of files outside ``year=/month=/day=``: they belong to no day, so they are neither
     checked, moved nor loaded, but they are named (move status ``STRAY``)."""
     strays = area.files(spark, include_strays=True).where("is_stray")
     return strays.select(
         F.col("path").alias("old_file_path"), F.lit(None).cast("string").alias("new_file_path"),
-        F.lit("outside year=/month=/day=, not loaded").alias("corrupted_message"),
-        F.current_timestamp().alias("inserted_at"), F.lit("STRAY").alias("move_status"),
+        F.lit("outside year=/month=/day=, not loaded").alias("corrupted_message"), F.lit("STRAY").alias("move_status"),
     )
 
 

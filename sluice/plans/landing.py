@@ -1,8 +1,9 @@
 """Landing → bronze under a schema contract.
 
-detect (listing) → verify (per-file contract) → quarantine (moves on executors) → movement log
-(appended once, then read back) → gate (raise if a move failed, after the log is written) →
-conforming read of the remaining files with the contract schema.
+detect (listing) → verify (per-file contract) → journal (what is to be moved, written down first) →
+quarantine (moves on executors) → movement log → gate (raise if a move failed, after the log is written) →
+conforming read of the remaining files with the contract schema. A run that stopped half way is finished
+by the next one from its journal (:mod:`~sluice.operators.move_journal`).
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..operators.contract import contract_breaches, quarantine_files, stray_log, write_move_log
-from ..session import cut_lineage
+from ..operators.contract import contract_breaches, planned_moves, planned_strays
+from ..operators.move_journal import finish_open_runs, finish_run, note_moves
 from ..sources.landing import LandingArea
 
 # The customer contract of the landing demo (bronze layer schema).
@@ -44,23 +45,24 @@ def apply_data_contract(
     raise_on_failed_moves: bool = True,
     log_strays: bool = True,
     log_table: str | None = None,
+    check_nulls: bool = False,
+    widen: bool = False,
 ) -> DataFrame:
     """Verify the area's files from ``start`` on, quarantine breaching ones and return this run's
     movement log (``old_file_path, new_file_path, corrupted_message, inserted_at, move_status``), written
     to a path or, with ``log_table``, appended to a table. Files outside the date folders are logged as
-    strays (``log_strays=False`` spares listing the folders before ``start``)."""
-    breaches = contract_breaches(spark, area, contract, start, ignore_nullable=ignore_nullable, deep=deep)
-    # Materialise the breach list first: a retried move task must not re-scan landing files that
-    # an earlier attempt already moved away (the listing scan stats every file it lists).
-    breaches = cut_lineage(breaches)
-    moves = quarantine_files(area, breaches)
+    strays (``log_strays=False`` spares listing the folders before ``start``). One run at a time an area."""
+    finish_open_runs(spark, area)
+    breaches = contract_breaches(spark, area, contract, start, ignore_nullable=ignore_nullable, deep=deep, check_nulls=check_nulls, widen=widen)
+    planned = planned_moves(area, breaches)
     if log_strays:
-        moves = moves.unionByName(stray_log(spark, area))
-    log = write_move_log(moves, log_path, uuid.uuid4().hex, table=log_table)
-    if raise_on_failed_moves:
-        failed = log.where(~F.col("move_status").isin("OK", "STRAY")).limit(1).collect()
-        if failed:
-            raise MoveError(f"some files could not be moved, e.g. {failed[0]['old_file_path']}: {failed[0]['move_status']}")
+        planned = planned.unionByName(planned_strays(spark, area))
+    run_id = uuid.uuid4().hex
+    # nothing moves before all listing is done: what is written here is all that the moves read
+    note_moves(spark, area, planned, run_id, log_path, log_table)
+    log, failed = finish_run(spark, area, run_id)
+    if raise_on_failed_moves and failed:
+        raise MoveError(f"some files could not be moved, e.g. {failed}")
     return log
 
 

@@ -26,7 +26,7 @@ from ..plans.gold import build_gold, publish
 from ..plans.quality import check_table_from_config
 from ..plans.landing import CUSTOMER_CONTRACT, apply_data_contract, load_conforming, write_customer_drops
 from ..operators.contract import contract_breaches, file_schema_breaches
-from ..functions.paths import path_day
+from ..functions.paths import path_day, path_month, path_year
 from ..session import cut_lineage, shared_dir
 from ..sources.config import load_data_checks
 from ..sources.landing import LandingArea
@@ -592,33 +592,102 @@ def _landing(spark, sf_dir, fmt):
     return area
 
 
+def _rows_in(listed: DataFrame, area: LandingArea) -> DataFrame:
+    """``listed`` (a frame with ``path``) with the number of rows of each file: a file missed, listed twice
+    or wrongly named changes the sums."""
+    spark = listed.sparkSession
+    if area.fmt == "json":
+        counts = area.lines(spark).groupBy("path").agg(F.count("*").alias("n_rows"))
+    else:
+        rows = spark.read.option("recursiveFileLookup", "true").schema("id string").format(area.fmt).load(area.object_dir)
+        counts = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n_rows"))
+    same = F.regexp_replace("path", "^file:/+", "/")
+    return listed.withColumn("path", same).join(counts.withColumn("path", same), "path")
+
+
+def _breach_days(spark, sf_dir, fmt):
+    area = _landing(spark, sf_dir, fmt)
+    found = contract_breaches(spark, area, CUSTOMER_CONTRACT, (2025, 10, 1))
+    p = F.col("path")
+    return _rows_in(found, area).groupBy(path_year(p).alias("year"), path_month(p).alias("month"), path_day(p).alias("day"), "reason").agg(F.sum("n_rows").alias("n_rows"))
+
+
 @register(
     "landing_detect_files",
-    _DROP_ROWS_SQL + "SELECT DISTINCT year, month, day FROM r WHERE day >= 4",
+    _DROP_ROWS_SQL + "SELECT year, month, day, count(*) AS n_rows FROM r WHERE day >= 4 GROUP BY ALL",
 )
 def landing_detect_files(spark, sf_dir):
     area = _landing(spark, sf_dir, "parquet")
-    return area.files(spark, (2025, 10, 4)).select("year", "month", "day").distinct()
+    found = area.files(spark, (2025, 10, 4)).select("year", "month", "day", "path")
+    return _rows_in(found, area).groupBy("year", "month", "day").agg(F.sum("n_rows").alias("n_rows"))
 
 
 @register(
     "landing_contract_breaches",
-    _DROP_ROWS_SQL + "SELECT DISTINCT year, month, day, 'unexpected column city string' AS reason FROM r WHERE day = 6",
+    _DROP_ROWS_SQL + "SELECT year, month, day, 'unexpected column city string' AS reason, count(*) AS n_rows FROM r WHERE day = 6 GROUP BY ALL",
 )
 def landing_contract_breaches(spark, sf_dir):
-    area = _landing(spark, sf_dir, "parquet")
-    b = contract_breaches(spark, area, CUSTOMER_CONTRACT, (2025, 10, 1))
-    return area.files(spark).join(b, "path").select("year", "month", "day", "reason").distinct()
+    return _breach_days(spark, sf_dir, "parquet")
 
 
 @register(
     "landing_json_breaches",
-    _DROP_ROWS_SQL + "SELECT DISTINCT year, month, day, 'unexpected columns: city' AS reason FROM r WHERE day = 6",
+    _DROP_ROWS_SQL + "SELECT year, month, day, 'unexpected columns: city' AS reason, count(*) AS n_rows FROM r WHERE day = 6 GROUP BY ALL",
 )
 def landing_json_breaches(spark, sf_dir):
-    area = _landing(spark, sf_dir, "json")
-    b = contract_breaches(spark, area, CUSTOMER_CONTRACT, (2025, 10, 1))
-    return area.files(spark).join(b, "path").select("year", "month", "day", "reason").distinct()
+    return _breach_days(spark, sf_dir, "json")
+
+
+@register(
+    "landing_null_breaches",
+    "SELECT CAST(c_custkey % 9 + 1 AS INTEGER) AS day, count(*) FILTER (WHERE c_custkey % 50 = 7) AS n_null, count(*) AS n_rows "
+    "FROM customer GROUP BY ALL HAVING count(*) FILTER (WHERE c_custkey % 50 = 7) > 0",
+)
+def landing_null_breaches(spark, sf_dir):
+    """NULLs in a NOT NULL column, counted by file statistics (O-5)."""
+    area = LandingArea(shared_dir(spark, "landing-nulls"), "customer", "parquet")
+    key = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(
+        F.when(key % 50 != 7, key.cast("string")).alias("id"), F.lit(2025).alias("year"), F.lit(10).alias("month"), (key % 9 + 1).cast("int").alias("day")
+    )
+    rows.write.partitionBy("year", "month", "day").parquet(area.object_dir)
+    contract = StructType.fromDDL("id string not null")
+    found = _rows_in(contract_breaches(spark, area, contract, check_nulls=True), area)
+    n_null = F.regexp_extract("reason", "^column id: (\\d+) NULL values$", 1).cast("long")
+    per_day = found.groupBy(path_day(F.col("path")).alias("day")).agg(F.sum(n_null).alias("n_null"))
+    totals = _rows_in(area.files(spark).select("day", "path"), area).groupBy("day").agg(F.sum("n_rows").alias("n_rows"))
+    return per_day.join(totals, "day")
+
+
+EVENT_CONTRACT = "event_id bigint, payload struct<kind: string, value: double>, tags array<struct<k: string, v: bigint>>"
+
+
+@register(
+    "landing_nested_breaches",
+    """
+SELECT CAST(day(ts) AS INTEGER) AS day,
+       'type of payload.value: expected double, got string; missing column tags[].v bigint; unexpected column tags[].w int' AS reason,
+       count(*) AS n_rows
+FROM events WHERE day(ts) % 3 = 2 GROUP BY ALL
+""",
+)
+def landing_nested_breaches(spark, sf_dir):
+    """Nested drops against a nested contract (O-5, O-15): a third conforms, a third is narrower, a third breaks it."""
+    area = LandingArea(shared_dir(spark, "landing-nested"), "event", "parquet")
+    e = table(spark, sf_dir, "events")
+    when = [F.year("ts").alias("year"), F.month("ts").alias("month"), F.dayofmonth("ts").alias("day")]
+
+    def drop(rest: int, value: str, tag: str) -> None:
+        payload = F.struct(F.col("event_type").alias("kind"), F.col("value").cast(value).alias("value"))
+        tags = F.array(F.expr(f"named_struct('k', event_type, {tag})"))
+        rows = e.where(F.dayofmonth("ts") % 3 == rest).select("event_id", payload.alias("payload"), tags.alias("tags"), *when)
+        rows.write.mode("append").partitionBy("year", "month", "day").parquet(area.object_dir)
+
+    drop(0, "double", "'v', user_id")
+    drop(1, "float", "'v', CAST(user_id % 100 AS INT)")
+    drop(2, "string", "'w', 1")
+    found = contract_breaches(spark, area, StructType.fromDDL(EVENT_CONTRACT), widen=True)
+    return _rows_in(found, area).groupBy(path_day(F.col("path")).alias("day"), "reason").agg(F.sum("n_rows").alias("n_rows"))
 
 
 @register(
@@ -650,18 +719,19 @@ def landing_json_bronze_rows(spark, sf_dir):
 @register(
     "landing_quarantine_log",
     _DROP_ROWS_SQL + """
-SELECT DISTINCT day, true AS moved_to_quarantine, 'unexpected columns: city' AS corrupted_message, 'OK' AS move_status,
-       true AS dated FROM r WHERE day = 6""",
+SELECT day, true AS moved_to_quarantine, 'unexpected columns: city' AS corrupted_message, 'OK' AS move_status,
+       true AS dated, count(*) AS n_rows FROM r WHERE day = 6 GROUP BY ALL""",
 )
 def landing_quarantine_log(spark, sf_dir):
     """Movement log of one contract run; the run's own paths are reduced to day and folder."""
     area = _landing(spark, sf_dir, "json")
     log = apply_data_contract(spark, area, CUSTOMER_CONTRACT, f"{area.root}/_movement_log", (2025, 10, 1))
     moved = F.col("new_file_path") == F.replace(F.col("old_file_path"), F.lit("/object=customer/"), F.lit("/object=customer_corrupted/"))
-    return log.select(
+    there = _rows_in(log.withColumn("path", F.col("new_file_path")), LandingArea(area.root, "customer_corrupted", "json"))
+    return there.groupBy(
         path_day(F.col("old_file_path")).alias("day"), moved.alias("moved_to_quarantine"), "corrupted_message", "move_status",
         F.col("inserted_at").isNotNull().alias("dated"),
-    ).distinct()
+    ).agg(F.sum("n_rows").alias("n_rows"))
 
 
 #: Declared contracts, each with one difference from the table as it is.

@@ -1,15 +1,15 @@
 """Landing areas: ``<root>/object=<name>/year=YYYY/month=MM/day=DD/<drop>/<files>``.
 
-Files are listed as a DataFrame with Spark's ``binaryFile`` source without selecting ``content``,
-so no file is opened: the file index lists the tree (in parallel for large trees) and the scan
-only emits path, size and modification time. The listing is recursive, so files outside the date
-layout are listed too and reported as strays instead of being dropped silently or breaking
-partition discovery. Text-format reads use the same path predicate on ``_metadata.file_path``,
+The driver lists folder names only: years, months and days, from the start date on. The day folders
+are rows of a DataFrame, and tasks list the files below them, so the number of files costs the driver
+nothing. No file is opened. Whatever else lies in the area is listed too where it matters and reported as
+strays instead of being dropped silently. On file systems that tasks cannot open, Spark's ``binaryFile`` source
+lists instead (without ``content``). Reads use the same path predicate on ``_metadata.file_path``,
 which Spark applies to the file index: files before the start date are never opened.
 
 Spark's file index lists every file below its root paths before any filter applies, so with a start
-date the roots are narrowed first: the driver lists only the ``year=`` folders and the ``month=``
-folders of the start year (a few dozen names), and Spark lists just the in-scope folders.
+date the roots of a read are narrowed first: to the ``year=`` folders and the ``month=`` folders of the
+start year (a few dozen names).
 """
 
 from __future__ import annotations
@@ -38,6 +38,43 @@ FILES_SCHEMA = (
 )
 
 
+def _hidden(name: str) -> bool:
+    """Names that Spark's file index leaves out."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+def _lister(glob: str, rows: int = 10_000):
+    """Files of (folder, below) rows, as Spark's file index would list them: hidden ones are left out."""
+
+    def run(batches):
+        import fnmatch
+        from itertools import islice
+
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+
+        from ..operators.contract import _arrow_fs
+
+        def listed():
+            for batch in batches:
+                for folder, below in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    files, base = _arrow_fs(folder)
+                    for info in files.get_file_info(pafs.FileSelector(base, recursive=below, allow_not_found=True)):
+                        parts = info.path[len(base.rstrip("/")) + 1 :].split("/")
+                        if info.type == pafs.FileType.File and fnmatch.fnmatchcase(parts[-1], glob) and not any(map(_hidden, parts)):
+                            yield f"{folder.rstrip('/')}/{'/'.join(parts)}", info.size, info.mtime
+
+        found = listed()
+        while part := list(islice(found, rows)):
+            paths, sizes, times = zip(*part)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array(sizes, pa.int64()), pa.array(times, pa.timestamp("us", "UTC"))],
+                ["path", "length", "modification_time"],
+            )
+
+    return run
+
+
 @dataclass(frozen=True)
 class LandingArea:
     root: str
@@ -92,20 +129,58 @@ class LandingArea:
                     out.append(month_dir.getPath().toString())
         return out
 
-    def files(self, spark: SparkSession, start=None, *, include_strays: bool = False) -> DataFrame:
-        """One row per landing file of this format on or after ``start``:
-        ``path, year, month, day, date_key, length, modification_time, is_stray``
-        (empty when the object folder does not exist yet)."""
-        roots = self.roots(spark, start, include_strays) if self.exists(spark) else []
-        if not roots:
-            return spark.createDataFrame([], FILES_SCHEMA)
-        listing = (
+    def folders(self, spark: SparkSession, start=None, include_strays: bool = False) -> list[tuple[str, bool]]:
+        """Folders to list, and whether with what lies below them: the day folders from ``start`` on, and,
+        for strays or without a start, every other folder and the files beside them."""
+        from ..operators.publish import _fs, _path
+
+        first = date_key(start) or 0
+        others = include_strays or start is None
+        fs, obj = _fs(spark, self.object_dir)
+        level, out = [(fs.makeQualified(obj), 0)], []
+        for name, factor in (("year", 10000), ("month", 100), ("day", 1)):
+            below = []
+            for folder, key in level:
+                loose = False
+                for st in fs.listStatus(folder):
+                    m = re.fullmatch(name + (r"=(\d{4})" if name == "year" else r"=(\d{1,2})"), st.getPath().getName())
+                    if not st.isDirectory():
+                        loose = True
+                    elif m:
+                        at = key + int(m.group(1)) * factor
+                        if at >= first // factor * factor:
+                            below.append((st.getPath(), at))
+                    elif others and not _hidden(st.getPath().getName()):
+                        out.append((st.getPath().toString(), True))
+                if loose and others:
+                    out.append((folder.toString(), False))
+            level = below
+        return out + [(folder.toString(), True) for folder, _ in level]
+
+    def _listed_by_spark(self, spark: SparkSession, start, include_strays: bool) -> DataFrame:
+        return (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", glob_for(self.fmt))
             .option("recursiveFileLookup", "true")
-            .load(roots)
+            .load(self.roots(spark, start, include_strays) or [self.object_dir])
             .select("path", "length", F.col("modificationTime").alias("modification_time"))
         )
+
+    def files(self, spark: SparkSession, start=None, *, include_strays: bool = False) -> DataFrame:
+        """One row per landing file of this format on or after ``start``:
+        ``path, year, month, day, date_key, length, modification_time, is_stray``
+        (empty when the object folder does not exist yet)."""
+        if not self.exists(spark):
+            return spark.createDataFrame([], FILES_SCHEMA)
+        if re.match(r"^(/|(file|hdfs|s3|s3a|s3n|gs|gcs|abfs|abfss):)", self.root):
+            folders = self.folders(spark, start, include_strays)
+            if not folders:
+                return spark.createDataFrame([], FILES_SCHEMA)
+            rows = spark.createDataFrame(folders, "folder string, below boolean")
+            tasks = min(len(folders), 4 * spark.sparkContext.defaultParallelism)
+            listing = rows.repartition(tasks).mapInArrow(_lister(glob_for(self.fmt)), "path string, length bigint, modification_time timestamp")
+        else:
+            listing = self._listed_by_spark(spark, start, include_strays)
         p = F.col("path")
         return listing.where(self._in_scope(p, start, include_strays)).select(
             "path",

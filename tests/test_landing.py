@@ -13,19 +13,15 @@ WITH_CITY = StructType(CUSTOMER_CONTRACT.fields + [StructField("city", StringTyp
 
 
 def make_drops(spark, root, fmt, days=range(1, 10), month=10, break_day=6):
-    """9 drops of 10 rows as in the reference generator, uuid directory per drop."""
+    """One file of ten rows a day; the file of ``break_day`` has one column too many."""
     for day in days:
-        rows = spark.range(10).select(
-            F.expr("uuid()").alias("id"),
-            F.concat(F.lit("name"), F.col("id").cast("string")).alias("name"),
-            (F.lit(18) + F.col("id")).cast("int").alias("age"),
-            F.lit("Japan").alias("country"),
-        )
-        if day == break_day:
-            rows = rows.withColumn("city", F.lit("Tokyo"))
-        rows.coalesce(1).write.format(fmt).mode("overwrite").save(
-            f"{root}/object=customer/year=2025/month={month:02d}/day={day:02d}/{uuid.uuid4()}"
+        n = F.col("id")
+        extra = [F.lit("Lyon").alias("city")] if day == break_day else []
+        rows = spark.range(day * 100, day * 100 + 10).select(
+            n.cast("string").alias("id"), F.format_string("p-%d", n).alias("name"), (n % 60 + 5).cast("int").alias("age"), F.lit("France").alias("country"), *extra
         )
+        folder = f"{root}/object=customer/year=2025/month={month:02d}/day={day:02d}/part-{uuid.uuid4().hex[:6]}"
+        rows.coalesce(1).write.format(fmt).save(folder)
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "json", "orc"])
