@@ -1,9 +1,11 @@
-from .checks import apply_data_checks, bad_rows, check_report, drop_keys_of, good_rows, split_rows, tag_rows
+from .checks import apply_data_checks, bad_rows, check_report, drop_keys_of, good_rows, observe_checks, split_rows, tag_rows
 from .compare import (
     SchemaBreach,
     assert_frames_equal,
     assert_schema_equal,
+    fits,
     frame_diff,
+    frame_diff_by_digest,
     frames_equal,
     schema_breaches,
 )

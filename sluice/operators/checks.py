@@ -7,8 +7,9 @@ which is one anti join against the distinct bad keys.
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .._util import as_list, resolve_names, temp_name, to_col
@@ -135,3 +136,17 @@ def check_report(df: DataFrame, cfg, *, validate: bool = True) -> DataFrame:
         )
     ).alias("r")
     return counts.select(per_check).select("r.*")
+
+
+def observe_checks(df: DataFrame, cfg, *, validate: bool = True) -> tuple[DataFrame, Callable[[], list[tuple[int, str, int]]]]:
+    """``df``, and a function that tells (check_no, message, failed_rows) once an action has run over it:
+    the counts of :func:`check_report` as observed metrics of a job that runs anyway, without a scan of
+    their own. The function waits for that action."""
+    clauses = clauses_of(cfg)
+    if validate:
+        validate_checks(df, clauses)
+    if not clauses:
+        return df, lambda: []
+    seen = Observation()
+    observed = df.observe(seen, *[F.count_if(F.expr(c.sql)).alias(f"n{i}") for i, c in enumerate(clauses)])
+    return observed, lambda: [(i, c.message, seen.get[f"n{i - 1}"]) for i, c in enumerate(clauses, 1)]

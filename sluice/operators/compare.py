@@ -3,7 +3,8 @@
 ``frame_diff`` is the distributed multiset difference (row order and column order ignored): one
 ``groupBy`` over all columns of the union with a signed count, so identical rows are pre-aggregated
 in each task before the shuffle, and a difference is reported once with its multiplicity instead of
-being replicated row by row.
+being replicated row by row. ``frame_diff_by_digest`` does the same for frames that are nearly equal and
+shuffles only the rows of buckets whose digests differ.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from .._util import quote, resolve_names, same_names, temp_name
 
 SIDE = "_side"
 COUNT = "_count"
+_SALT = 0x9E3779B9
 
 
 def type_differences(left: DataFrame, right: DataFrame) -> list[str]:
@@ -67,6 +69,34 @@ def frame_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def digests(df: DataFrame, buckets: int) -> DataFrame:
+    """One row a bucket of rows (by their hash): bucket, rows, and two sums of independent 64-bit row hashes.
+    The sums don't depend on the order of rows and count repeated ones."""
+    cols = [F.col(quote(c)) for c in df.columns]
+    hashed = df.select(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(_SALT), *cols).alias("b"))
+    wide = [F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in ("a", "b")]
+    return hashed.groupBy(F.pmod("a", F.lit(buckets).cast("long")).cast("int").alias("bucket")).agg(F.count("*").alias("n"), *wide)
+
+
+def frame_diff_by_digest(left: DataFrame, right: DataFrame, buckets: int = 4096) -> DataFrame:
+    """:func:`frame_diff` for frames that are nearly equal: the digests of both are compared first, and only
+    rows of differing buckets are read again and shuffled. Both frames are read twice, so they should be
+    tables or files; where most buckets differ, :func:`frame_diff` is the cheaper one. A differing bucket goes
+    unseen only if two pairs of 64-bit hash sums agree by chance."""
+    if not same_names(left.columns, right.columns):
+        raise ValueError(f"column sets differ: {sorted(left.columns)} vs {sorted(right.columns)}")
+    if differ := type_differences(left, right):
+        raise ValueError(f"column types differ: {'; '.join(differ)}")
+    cols = list(left.columns)
+    right = right.select(*[F.col(quote(c)).alias(c) for c in resolve_names(right.columns, cols)])
+    a, b = digests(left, buckets).alias("l"), digests(right, buckets).alias("r")
+    same = F.col("l.n").eqNullSafe(F.col("r.n")) & F.col("l.a").eqNullSafe(F.col("r.a")) & F.col("l.b").eqNullSafe(F.col("r.b"))
+    differing = a.join(b, "bucket", "full").where(~same).select("bucket")
+    found = [r[0] for r in differing.collect()]  # at most one row a bucket
+    where = F.pmod(F.xxhash64(*[F.col(quote(c)) for c in cols]), F.lit(buckets).cast("long")).cast("int").isin(found)
+    return frame_diff(left.where(where), right.where(where))
+
+
 def frames_equal(left: DataFrame, right: DataFrame) -> bool:
     return same_names(left.columns, right.columns) and not type_differences(left, right) and frame_diff(left, right).isEmpty()
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.checks import clauses_of, validate_checks
+from ..functions.checks import any_failed, clauses_of, validate_checks
 from .._util import as_list, resolve_names
-from ..operators.checks import FAIL_COLUMN, apply_data_checks, drop_keys_of, good_rows
+from ..operators.checks import FAIL_COLUMN, apply_data_checks, drop_keys_of, good_rows, observe_checks
 from ..sources.config import load_data_checks
 from .gold import publish
 
@@ -22,8 +24,10 @@ def check_and_publish(
     by: str = "row",
     key=None,
     fmt: str = "parquet",
+    report: Callable[[list[tuple[int, str, int]]], None] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Publish the bad rows (with ``fail_messages``) and the good rows (by row or NULL-safe key).
+    """Publish the bad rows (with ``fail_messages``) and the good rows (by row or NULL-safe key). ``report``
+    is called with (check_no, message, failed_rows) of each check, observed while the bad rows are written.
 
     Two scans of the input: one for the bad rows, with the checks' disjunction pushed to the scan
     where it can be, one for the good rows. The key-level split takes the bad keys from the
@@ -33,7 +37,12 @@ def check_and_publish(
     validate_checks(df, clauses)
     spark: SparkSession = df.sparkSession
     read = (lambda t, p: spark.table(t) if t else spark.read.format(fmt).load(p))
-    publish(apply_data_checks(df, clauses, column=FAIL_COLUMN, validate=False), table=bad_table, path=bad_path, fmt=fmt)
+    failed, counts = df, list
+    if report is not None and clauses:
+        failed, counts = observe_checks(df.where(any_failed(clauses)), clauses, validate=False)
+    publish(apply_data_checks(failed, clauses, column=FAIL_COLUMN, validate=False), table=bad_table, path=bad_path, fmt=fmt)
+    if report is not None:
+        report(counts())
     if by == "key" and clauses:
         keys = resolve_names(df.columns, as_list(key))
         if not keys:

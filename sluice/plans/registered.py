@@ -18,19 +18,19 @@ from pyspark.sql.types import StructType
 from ..functions.checks import DataCheckClause
 from ..operators.buckets import read_bucketed, write_bucketed
 from ..operators.checks import apply_data_checks, check_report, good_rows
-from ..operators.compare import frame_diff
+from ..operators.compare import frame_diff, frame_diff_by_digest
 from ..operators.conform import map_column
 from ..operators.latest import latest_per_key, require_fields
 from ..operators.merge import MergeTarget
 from ..plans.gold import build_gold, publish
-from ..plans.quality import check_table_from_config
+from ..plans.quality import check_and_publish, check_table_from_config
 from ..plans.landing import CUSTOMER_CONTRACT, apply_data_contract, load_conforming, write_customer_drops
 from ..operators.contract import contract_breaches, file_schema_breaches
 from ..functions.paths import path_day, path_month, path_year
 from ..session import cut_lineage, shared_dir
 from ..sources.config import load_data_checks
 from ..sources.landing import LandingArea
-from ..streaming.checks import read_checked, stream_checks
+from ..streaming.checks import read_checked, stream_checks, stream_session
 from ..streaming.gold import upsert_gold_stream
 from ..streaming.latest import upsert_latest
 
@@ -227,6 +227,22 @@ def checks_publish_split(spark, sf_dir):
     return bad.select(*cols, F.lit("bad").alias("status")).unionByName(good.select(*cols, F.lit("good").alias("status")))
 
 
+@register(
+    "checks_observed_report",
+    """
+SELECT 1 AS check_no, 'high discount' AS message, count(*) FILTER (WHERE l_discount > 0.09) AS failed_rows FROM lineitem
+UNION ALL SELECT 2, 'bulk quantity', count(*) FILTER (WHERE l_quantity >= 49) FROM lineitem
+UNION ALL SELECT 3, 'returned but open', count(*) FILTER (WHERE l_returnflag = 'R' AND l_linestatus = 'O') FROM lineitem
+UNION ALL SELECT 4, 'unit price above 2000', count(*) FILTER (WHERE l_extendedprice / l_quantity > 2000) FROM lineitem
+""",
+)
+def checks_observed_report(spark, sf_dir):
+    """The check report as metrics of the check flow's own write of the bad rows."""
+    out, told = shared_dir(spark, "checked-lineitem"), []
+    check_and_publish(table(spark, sf_dir, "lineitem"), LINEITEM_CHECKS, good_path=f"{out}/good", bad_path=f"{out}/bad", report=told.extend)
+    return spark.createDataFrame(told, "check_no int, message string, failed_rows long")
+
+
 # ---------------------------------------------------------------- latest per key (O-8, O-9)
 
 
@@ -577,6 +593,30 @@ def frame_diff_query(spark, sf_dir):
     return frame_diff(a, b)
 
 
+@register(
+    "frame_diff_by_digest",
+    f"""
+WITH a AS (SELECT {_LI_COLS} FROM lineitem),
+     b AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+                  CASE WHEN l_orderkey % 2000 = 1 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+                  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
+           FROM lineitem WHERE l_orderkey % 3000 <> 2
+           UNION ALL SELECT {_LI_COLS} FROM lineitem WHERE l_orderkey % 3000 = 3),
+     lo AS (SELECT * FROM a EXCEPT ALL SELECT * FROM b),
+     ro AS (SELECT * FROM b EXCEPT ALL SELECT * FROM a)
+SELECT *, 'left_only' AS _side, count(*) AS _count FROM lo GROUP BY ALL
+UNION ALL
+SELECT *, 'right_only' AS _side, count(*) AS _count FROM ro GROUP BY ALL
+""",
+)
+def frame_diff_by_digest_query(spark, sf_dir):
+    """Two versions of lineitem that differ in few rows: changed, missing and doubled ones (O-14)."""
+    li = table(spark, sf_dir, "lineitem").select(*[c.strip() for c in _LI_COLS.split(",")])
+    quantity = F.when(F.col("l_orderkey") % 2000 == 1, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    b = li.where("l_orderkey % 3000 <> 2").withColumn("l_quantity", quantity).unionByName(li.where("l_orderkey % 3000 = 3"))
+    return frame_diff_by_digest(li, b)
+
+
 # ---------------------------------------------------------------- landing contracts (O-4 .. O-7, O-16)
 
 _DROP_ROWS_SQL = """
@@ -820,12 +860,27 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, eve
 """,
 )
 def stream_latest_query(spark, sf_dir):
-    stream = _event_stream_source(spark, sf_dir)
+    """State in RocksDB, one state partition per core; the target in buckets of the key."""
+    stream = _event_stream_source(stream_session(spark, spark.sparkContext.defaultParallelism, rocksdb=True), sf_dir)
     target = shared_dir(spark, "stream-latest-target")
+    q = upsert_latest(stream, "user_id", "ts", target, shared_dir(spark, "stream-latest-ckpt"), tie_break="event_id", buckets=8)
+    q.awaitTermination()
+    return read_bucketed(spark, target)
+
+
+@register(
+    "stream_latest_in_target",
+    """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC) = 1
+""",
+)
+def stream_latest_in_target(spark, sf_dir):
+    """Without a state store: the target's rows are what a micro-batch is compared with."""
+    target = shared_dir(spark, "stream-latest-stateless")
     q = upsert_latest(
-        stream, "user_id", "ts", target, shared_dir(spark, "stream-latest-ckpt"), tie_break="event_id",
-        state_partitions=spark.sparkContext.defaultParallelism,  # one state partition per core
-        buckets=8,
+        _event_stream_source(spark, sf_dir), ["user_id", "event_type"], "ts", target, shared_dir(spark, "stream-latest-ckpt"), tie_break="event_id",
+        buckets=8, state="target",
     )
     q.awaitTermination()
     return read_bucketed(spark, target)

@@ -38,6 +38,14 @@ FILES_SCHEMA = (
 )
 
 
+def _has_avro(spark: SparkSession) -> bool:
+    try:
+        spark.read.format("avro").schema("x int").load([])
+    except Exception as e:
+        return "AVRO" not in str(e).upper()
+    return True
+
+
 def _hidden(name: str) -> bool:
     """Names that Spark's file index leaves out."""
     return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
@@ -210,6 +218,8 @@ class LandingArea:
     def read(self, spark: SparkSession, schema: StructType | str | None = None, start=None) -> DataFrame:
         """The in-scope files' rows (read with ``schema`` when given) plus ``year, month, day``
         from the path; the date predicate prunes files through ``_metadata.file_path``."""
+        if self.fmt.lower() == "avro" and not _has_avro(spark):
+            raise NotImplementedError("reading avro rows needs the spark-avro data source on the class path; contracts don't")
         reader = spark.read.format(self.fmt).option("recursiveFileLookup", "true").option(
             "pathGlobFilter", glob_for(self.fmt)
         )

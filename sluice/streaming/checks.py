@@ -7,6 +7,8 @@ of duplicating it: the sink is idempotent per batch id.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,22 +29,44 @@ def _trigger_kwargs(trigger) -> dict:
     return {"processingTime": trigger}
 
 
+_STARTING = threading.Lock()
+#: state in RocksDB: bounded memory, and each batch uploads its changes instead of whole snapshots
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def stream_session(spark, state_partitions: int | None = None, rocksdb: bool = False):
+    """A session of its own for a stateful stream: a query keeps the settings of the session its stream was
+    read in, so building the stream in this one leaves the caller's session as it is."""
+    own = spark.newSession()
+    if state_partitions is not None:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    for k, v in (ROCKSDB if rocksdb else {}).items():
+        own.conf.set(k, v)
+    return own
+
+
 def start_query(writer, spark, state_partitions: int | None = None):
     """``writer.start()``; with ``state_partitions``, the query's shuffle/state partition count.
 
     A streaming query copies the session configuration when it starts and keeps its state partition
     count for its whole life (it is stored with the checkpoint), so the setting is applied only
-    around ``start()`` and the session is left as it was.
+    around ``start()`` and the session is left as it was; starts of this kind wait for each other. A
+    session that other threads plan queries in should not be touched at all: build the stream in
+    :func:`stream_session` and leave ``state_partitions`` out.
     """
     if state_partitions is None:
         return writer.start()
     key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, previous)
+    with _STARTING:
+        previous = spark.conf.get(key)
+        spark.conf.set(key, str(state_partitions))
+        try:
+            return writer.start()
+        finally:
+            spark.conf.set(key, previous)
 
 
 def stream_checks(

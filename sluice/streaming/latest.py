@@ -8,6 +8,11 @@ aggregation runs before the state shuffle, so a hot key costs one row per task p
 
 With ``outputMode("update")`` each batch emits only the keys it changed; :func:`upsert_latest`
 merges them into a target path (update all matched, insert the rest).
+
+The state store grows with the keys ever seen. Where the target holds them all anyway,
+``state="target"`` needs none: a micro-batch is reduced to its newest row per key and merged, and a row
+of the target stays unless the batch has a newer one. No key ever expires, and a batch costs the buckets
+it touches.
 """
 
 from __future__ import annotations
@@ -27,9 +32,7 @@ from .checks import _trigger_kwargs, start_query
 def latest_state(stream: DataFrame, keys, order_by, tie_break=None) -> DataFrame:
     """Streaming (or batch) frame with the newest full row per key."""
     keys = as_list(keys)
-    orders = as_list(order_by) + as_list(tie_break)
-    if not orders:
-        raise ValueError("order_by is required")
+    orders = _orders(order_by, tie_break)
     best = temp_name(stream, "best")
     sort_fields = [to_col(c).alias(f"o{i}") for i, c in enumerate(orders)]
     row = F.struct(*[F.col(f"`{c}`") for c in stream.columns]).alias("row")
@@ -44,6 +47,26 @@ def latest_state(stream: DataFrame, keys, order_by, tie_break=None) -> DataFrame
     )
 
 
+def _orders(order_by, tie_break) -> list:
+    orders = as_list(order_by) + as_list(tie_break)
+    if not orders:
+        raise ValueError("order_by is required")
+    return orders
+
+
+def _newer(frame: DataFrame, orders: list, ours: str, theirs: str):
+    """Whether a row of ``ours`` comes before the row of ``theirs`` in the order of :func:`latest_state`:
+    by the order columns, NULL below any value, and then by the whole row."""
+    columns = [frame.select(to_col(c)).columns[0] for c in orders]
+    if "map<" not in frame.schema.simpleString():
+        columns += frame.columns
+
+    def row(alias):
+        return F.struct(*[F.col(f"{alias}.`{c}`").alias(f"o{i}") for i, c in enumerate(columns)])
+
+    return row(ours) > row(theirs)
+
+
 def reused_batch(fn):
     """Run a ``foreachBatch`` function on the micro-batch persisted, because it acts on it more
     than once (size check, merge) and each action would otherwise re-run the batch's stateful plan.
@@ -71,16 +94,24 @@ def upsert_latest(
     fmt: str = "parquet",
     state_partitions: int | None = None,
     buckets: int | None = None,
+    state: str = "store",
 ) -> StreamingQuery:
     """Keep ``target_path`` equal to the newest row per key of everything the stream has seen. With
     ``buckets`` the target is laid out by that many buckets of the keys (read it with
-    :func:`~sluice.operators.read_bucketed`), and a micro-batch rewrites only those that hold a key of its own."""
-    keys = as_list(keys)
-    latest = latest_state(stream, keys, order_by, tie_break)
+    :func:`~sluice.operators.read_bucketed`), and a micro-batch rewrites only those that hold a key of its own.
+    ``state``: ``"store"`` (Spark's state store) or ``"target"`` (none; order columns are names then)."""
+    if state not in ("store", "target"):
+        raise ValueError("state must be 'store' or 'target'")
+    keys, orders = as_list(keys), _orders(order_by, tie_break)
+    latest = latest_state(stream, keys, order_by, tie_break) if state == "store" else stream
 
     @reused_batch
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        newer = None
+        if state == "target":
+            batch = latest_state(batch, keys, order_by, tie_break)
+            newer = _newer(batch, orders, "src", "trg")
         if not has_data(spark, target_path) and Buckets.of_path(spark, target_path) is None:
             if buckets:
                 write_bucketed(batch, keys, buckets, path=target_path, fmt=fmt)
@@ -88,11 +119,12 @@ def upsert_latest(
             batch.write.mode("overwrite").format(fmt).save(target_path)
             return
         target = MergeTarget.forPath(spark, target_path, fmt)
-        # one row per key by construction (grouped state), so no duplicate-match check is needed
-        target.merge(batch, on=keys).whenMatchedUpdateAll().whenNotMatchedInsertAll().execute(check_duplicates=False)
+        # one row per key by construction (grouped), so no duplicate-match check is needed
+        merge = target.alias("trg").merge(batch.alias("src"), on=keys, source_alias="src")
+        merge.whenMatchedUpdateAll(condition=newer).whenNotMatchedInsertAll().execute(check_duplicates=False)
 
     writer = (
-        latest.writeStream.outputMode("update")
+        latest.writeStream.outputMode("update" if state == "store" else "append")
         .foreachBatch(merge_batch)
         .option("checkpointLocation", checkpoint_location)
         .trigger(**_trigger_kwargs(trigger))

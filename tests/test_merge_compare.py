@@ -1,6 +1,7 @@
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from sluice.operators import (
@@ -205,3 +206,40 @@ def test_external_table_stays_external(spark, tmp_dir):
     MergeTarget.forName(spark, "outside").merge(src, on="id").whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
     assert sorted(tuple(r) for r in spark.table("outside").collect()) == [(1, "a"), (2, "B"), (3, "c")]
     assert spark.catalog.getTable("outside").tableType == "EXTERNAL"
+
+
+def test_digest_diff_equals_the_whole_diff(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from sluice.operators import frame_diff, frame_diff_by_digest
+
+    rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.sampled_from(["a", "b", None]), st.sampled_from([0.0, -0.0, 1.5, float("nan"), None])), max_size=8)
+
+    @settings(max_examples=15, deadline=None)
+    @given(rows, rows, st.sampled_from([1, 3, 64]))
+    def check(left, right, buckets):
+        a, b = (spark.createDataFrame(x, "k int, v string, d double") for x in (left, right))
+        b = b.select("d", "k", "v")  # the order of columns is ignored
+
+        def seen(df):
+            return sorted(map(str, df.collect()))
+
+        assert seen(frame_diff_by_digest(a, b, buckets)) == seen(frame_diff(a, b))
+
+    check()
+
+
+def test_digest_diff_shuffles_differing_buckets_only(spark, tmp_dir):
+    from sluice.operators import frame_diff_by_digest
+    from sluice.operators.compare import COUNT
+
+    spark.range(100_000).selectExpr("id", "id % 7 AS v").write.parquet(f"{tmp_dir}/a")
+    a = spark.read.parquet(f"{tmp_dir}/a")
+    diff = frame_diff_by_digest(a, a.withColumn("v", F.when(F.col("id") == 5, 100).otherwise(F.col("v"))), buckets=1000)
+    assert sorted(tuple(r)[:2] for r in diff.collect()) == [(5, 5), (5, 100)]
+    plan = diff._jdf.queryExecution().executedPlan().toString()
+    assert "pmod(xxhash64(" in plan  # the rows of two buckets at most pass the filter below the exchange
+    assert frame_diff_by_digest(a, a).isEmpty() and COUNT in diff.columns
+    with pytest.raises(ValueError, match="types"):
+        frame_diff_by_digest(a, a.withColumn("v", F.col("v").cast("int")))

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from sluice.operators import apply_data_checks, assert_frames_equal, latest_per_key
 from sluice.streaming.checks import read_checked, stream_checks
@@ -100,3 +102,58 @@ def test_triggers_and_clashing_names(spark, tmp_dir):
 def test_latest_state_with_map_columns(spark):
     df = spark.sql("SELECT * FROM VALUES (1, 1, map('a', 1)), (1, 2, map('b', 2)), (2, 5, map('c', 3)) AS t(k, ts, m)")
     assert {r["k"]: r["m"] for r in latest_state(df, "k", "ts").collect()} == {1: {"b": 2}, 2: {"c": 3}}
+
+
+@pytest.mark.parametrize("state", ["store", "target"])
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_late_and_repeated_rows_do_not_replace_newer_ones(spark, tmp_dir, state, buckets):
+    from sluice.operators import read_bucketed
+    from sluice.streaming import upsert_latest
+
+    schema = "k int, ts int, v string"
+    src, target, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/latest", f"{tmp_dir}/ckpt"
+    batches = [[(1, 5, "a"), (2, 1, "b"), (None, 1, "n")], [(1, 4, "late"), (2, None, "null"), (2, 1, "c"), (3, 1, "d")], [(1, 5, "a"), (None, 2, "m"), (3, 1, "cc"), (4, None, "e")]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        upsert_latest(stream, "k", "ts", target, ckpt, state=state, buckets=buckets, state_partitions=2).awaitTermination()
+    rows = read_bucketed(spark, target) if buckets else spark.read.parquet(target)
+    got = sorted((tuple(r) for r in rows.collect()), key=str)
+    # a null key is no key to a merge: its rows are inserted, one a batch
+    assert [r for r in got if r[0] is not None] == [(1, 5, "a"), (2, 1, "c"), (3, 1, "d"), (4, None, "e")]
+    assert {r for r in got if r[0] is None} == {(None, 1, "n"), (None, 2, "m")}
+    assert os.path.exists(f"{ckpt}/state") == (state == "store")
+
+
+def test_rocksdb_state_stays_small(spark, tmp_dir):
+    """A stream of many rows and few keys: the state folder holds changes of keys, not rows."""
+    from sluice.streaming import stream_session, upsert_latest
+
+    src, target, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/latest", f"{tmp_dir}/ckpt"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for k in range(4):
+        spark.range(k * 20_000, (k + 1) * 20_000).selectExpr("CAST(id % 50 AS int) AS k", "id AS ts", "repeat('x', 200) AS v").coalesce(1).write.mode("append").parquet(src)
+    own = stream_session(spark, 2, rocksdb=True)
+    stream = own.readStream.schema("k int, ts long, v string").option("maxFilesPerTrigger", 1).parquet(src)
+    upsert_latest(stream, "k", "ts", target, ckpt).awaitTermination()
+    assert spark.read.parquet(target).count() == 50 and spark.read.parquet(target).agg({"ts": "min"}).first()[0] == 79_950
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    files = [os.path.join(d, f) for d, _, names in os.walk(f"{ckpt}/state") for f in names]
+    assert any(f.endswith(".changelog") for f in files)
+    assert sum(map(os.path.getsize, files)) < 1_000_000  # the rows hold 16 MB
+
+
+def test_observed_counts_equal_the_report(spark, tmp_dir):
+    from sluice.operators import check_report, observe_checks
+    from sluice.plans.quality import check_and_publish
+
+    df = spark.createDataFrame([(k, None if k % 3 else "x") for k in range(20)], "id int, v string")
+    checks = [("id > 10", "late"), ("v IS NULL", "missing"), ("id < 0", "never"), ("v = 'y'", "null most of the time")]
+    want = [tuple(r) for r in check_report(df, checks).orderBy("check_no").collect()]
+    observed, counts = observe_checks(df, checks)
+    observed.write.parquet(f"{tmp_dir}/o")
+    assert counts() == want
+    for name, frame in (("full", df), ("none", df.where("id < 0")), ("clean", df.where("id = 3"))):
+        told = []
+        check_and_publish(frame, checks, good_path=f"{tmp_dir}/{name}/good", bad_path=f"{tmp_dir}/{name}/bad", report=told.extend)
+        assert told == [tuple(r) for r in check_report(frame, checks).orderBy("check_no").collect()]
