@@ -29,11 +29,12 @@ from pyspark.sql.window import Window
 
 from ._tables import shared_path, stored
 from ._text import chunk_bounds, mix
+from ._worker import kept
 
 SHARD_BYTES = 32 << 20
 PART_KEYS = 20_000
 END_ID = 0
-CACHE_WORDS = 800_000
+CACHE_WORDS = 600_000
 GAMMA = 2.0
 
 
@@ -49,14 +50,10 @@ class Encoder:
     letter and a mark. The pieces are encoded once for each distinct one. Bytes that could be part of
     other white space are never cut at."""
 
-    _made: dict[str, Encoder] = {}
-
     @classmethod
     def get(cls, path: str) -> Encoder:
         """One encoder for each worker process: what it has looked up serves later tasks."""
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+        return kept(("encoder", path), lambda: cls(path))
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -9,12 +9,14 @@ end at each character, the longest first.
 Where no piece holds two neighbouring characters side by side, every segmentation has a border.
 Lattices are made for the parts between such borders, once for each distinct part of a chunk, and the
 results are put together. The nodes of all parts of a chunk are filled in by their place in the part,
-first characters first, with array operations. The stored scores are whole numbers, so the best sums in
-double precision are exact and ties are the same as in the whole text.
+first characters first, with array operations; a part of over ``LONG`` characters is gone through by
+itself, node by node. The stored scores are whole numbers, so the best sums in double precision are exact
+and ties are the same as in the whole text.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import chain
 
 import ahocorasick
@@ -24,16 +26,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._text import chunk_bounds, mix
+from ._worker import kept
 
 SPACE = "\u2581"
 #: Stands for a literal U+2581 of a text when decoding has to give it back; no text holds it.
 LITERAL = "\udc81"
 #: Stands between parts; no text holds it.
 BETWEEN = "\udc80"
+_STEP = np.uint64(0xD6E8FEB86659FD93)
 ALPHA = 0.0005
 KNOWN = 250_000
 #: Bytes of text to a chunk: more share their parts, some 140 bytes of arrays to a byte of distinct parts.
 CHUNK = 2 << 20
+#: Array operations go character by character, so they pay only while many parts are that long.
+LONG = 1024
 
 
 class Edges:
@@ -61,11 +67,18 @@ class Edges:
         self.score = np.concatenate([vocabulary.score[piece], np.full(len(alone), vocabulary.unknown)])[order]
         part = np.searchsorted(between, self.end)
         place = self.end - self.first[part]
-        #: edges by place in their part; within a node as they are
-        self.by_place = np.argsort(place.astype(np.uint16) if place.max() < 1 << 16 else place, kind="stable")
-        self.places = np.append(np.flatnonzero(np.diff(place[self.by_place], prepend=-1)), len(place))
+        self.long = np.flatnonzero(self.size > LONG)
+        short = np.flatnonzero(self.size[part] <= LONG)
+        #: edges of short parts by place in their part; within a node as they are
+        self.by_place = short[np.argsort(place[short].astype(np.uint16), kind="stable")]
+        self.places = np.append(np.flatnonzero(np.diff(place[self.by_place], prepend=-1)), len(short))
         self.nodes = len(code) + 1
 
+    def long_parts(self):
+        """For each long part: its number, and the range of its edges, which lie in the order of their nodes."""
+        for p in self.long.tolist():
+            yield p, *np.searchsorted(self.end, (self.first[p], self.first[p] + self.size[p])).tolist()
+
     def steps(self):
         """For each place: its edges in the order of their nodes, the first edge of each node, and the
         rank of each edge in its node."""
@@ -76,7 +89,12 @@ class Edges:
 
 
 class Vocabulary:
-    """Pieces, scores and the automaton; read once in each task."""
+    """Pieces, scores and the automaton."""
+
+    @classmethod
+    def get(cls, path: str, keep_literal: bool = False) -> Vocabulary:
+        """One for each worker process: the matches it has looked up serve later tasks."""
+        return kept(("vocabulary", path, keep_literal), lambda: cls(path, keep_literal))
 
     def __init__(self, path: str, keep_literal: bool = False):
         import sentencepiece
@@ -197,6 +215,15 @@ def best_counts(vocabulary: Vocabulary, parts: list[str]) -> np.ndarray:
             to = edges.end[at[own]] + 1
             better = value[own] > score[to]
             score[to[better]], count[to[better]] = value[own[better]], n[own[better]]
+    for p, lo, hi in edges.long_parts():
+        first, size = int(edges.first[p]), int(edges.size[p])
+        best, n = [0.0] + [-math.inf] * size, [0] * (size + 1)
+        ends = (edges.end[lo:hi] + 1 - first).tolist()
+        for node, length, gain, more in zip(ends, edges.length[lo:hi].tolist(), edges.score[lo:hi].tolist(), ids[lo:hi].tolist()):
+            value = best[node - length] + gain
+            if value > best[node]:
+                best[node], n[node] = value, n[node - length] + more
+        count[first + size] = n[size]
     return count[edges.first + edges.size]
 
 
@@ -218,9 +245,47 @@ def _shares(edges: Edges, alpha: float) -> np.ndarray:
         part = np.minimum(run / total[which] * 2.0**32, 2.0**32).astype(np.uint64)
         part[np.append(new[1:], len(at)) - 1] = 2**32
         share[at] = part
+    for p, lo, hi in edges.long_parts():
+        share[lo:hi] = _long_shares(edges, p, lo, hi, alpha)
     return share
 
 
+def _long_shares(edges: Edges, p: int, lo: int, hi: int, alpha: float) -> list[int]:
+    log_weight = [0.0] * (int(edges.size[p]) + 1)
+    out = []
+    ends = (edges.end[lo:hi] + 1 - edges.first[p]).tolist()
+    lengths, scores = edges.length[lo:hi].tolist(), edges.score[lo:hi].tolist()
+    i = 0
+    while i < len(ends):
+        node, values = ends[i], []
+        while i < len(ends) and ends[i] == node:
+            values.append(log_weight[node - lengths[i]] + alpha * scores[i])
+            i += 1
+        top, total, runs = max(values), 0.0, []
+        for v in values:
+            total += math.exp(v - top)
+            runs.append(total)
+        log_weight[node] = top + math.log(total)
+        out += [min(int(r / total * 2.0**32), 2**32) for r in runs[:-1]] + [2**32]
+    return out
+
+
+def _long_path(edges: Edges, share: np.ndarray, p: int, lo: int, hi: int, draw: np.ndarray) -> np.ndarray:
+    """The sampled edges of a long part, last one first."""
+    first, size = int(edges.first[p]), int(edges.size[p])
+    u = (mix(draw + np.arange(size, dtype=np.uint64) * _STEP) >> np.uint64(32)).tolist()
+    begin = np.searchsorted(edges.end[lo:hi], first + np.arange(size)).tolist()
+    shares, lengths = share[lo:hi].tolist(), edges.length[lo:hi].tolist()
+    now, out = size - 1, []
+    while now >= 0:
+        edge = begin[now]
+        while shares[edge] <= u[len(out)]:
+            edge += 1
+        out.append(lo + edge)
+        now -= lengths[edge]
+    return np.array(out, np.int64)
+
+
 def sample(vocabulary: Vocabulary, texts: pa.Array, keys: np.ndarray, seed: int, alpha: float) -> tuple[np.ndarray, np.ndarray]:
     """Ids of one sampled segmentation of each text (flat) and their number by text. Each draw is a hash
     of seed, row key, part and step, so it doesn't depend on how rows are dealt out."""
@@ -228,14 +293,20 @@ def sample(vocabulary: Vocabulary, texts: pa.Array, keys: np.ndarray, seed: int,
     if not len(which):
         return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
     edges = Edges(vocabulary, names)
-    order = (edges.end.astype(np.uint64) << np.uint64(32)) + _shares(edges, alpha)
+    share = _shares(edges, alpha)
+    order = (edges.end.astype(np.uint64) << np.uint64(32)) + share
     first = edges.first[which]
     now = first + edges.size[which] - 1
     draw = mix(mix(keys[doc].astype(np.int64).view(np.uint64) + np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64)) + nth.astype(np.uint64))
-    on = np.arange(len(which))
+    on = np.flatnonzero(edges.size[which] <= LONG)
     steps, taken = np.zeros(len(which), np.int64), []
+    apart = {}
+    for p, lo, hi in edges.long_parts():
+        for k in np.flatnonzero(which == p).tolist():
+            apart[k] = _long_path(edges, share, p, lo, hi, draw[k])
+            steps[k] = len(apart[k])
     while len(on):
-        u = mix(draw[on] + steps[on].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)
+        u = mix(draw[on] + steps[on].astype(np.uint64) * _STEP) >> np.uint64(32)
         edge = np.searchsorted(order, (now[on].astype(np.uint64) << np.uint64(32)) + u, side="right")
         taken.append((on, edge))
         steps[on] += 1
@@ -245,6 +316,8 @@ def sample(vocabulary: Vocabulary, texts: pa.Array, keys: np.ndarray, seed: int,
     path = np.zeros(int(ends[-1]), np.int64)
     for k, (at, edge) in enumerate(taken):
         path[ends[at] - 1 - k] = edge
+    for k, edge in apart.items():
+        path[ends[k] - len(edge) : ends[k]] = edge[::-1]
     ids = edges.emit[path]
     low = np.flatnonzero(ids < 0)
     n = np.ones(len(ids), np.int64)
@@ -279,7 +352,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     text has none; a text of spaces has those of its spaces. Other columns are not read."""
 
     def run(batches):
-        vocabulary = Vocabulary(model_path)
+        vocabulary = Vocabulary.get(model_path)
         for batch in batches:
             for lo, hi in chunk_bounds(batch.column(1), CHUNK):
                 which, names, doc, _ = vocabulary.parts(batch.column(1).slice(lo, hi - lo))
@@ -297,7 +370,7 @@ def sampled_ids(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_c
     id counts as -1). Equal rows get equal ids. A null or empty text has no ids."""
 
     def run(batches):
-        vocabulary = Vocabulary(model_path, keep_literal=True)
+        vocabulary = Vocabulary.get(model_path, keep_literal=True)
         for batch in batches:
             for lo, hi in chunk_bounds(batch.column(1), CHUNK):
                 keys = batch.column(0).slice(lo, hi - lo)
@@ -313,7 +386,7 @@ def decoded(rows: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame
     """(doc_id, ids) to (doc_id, ids, text): the text of each id sequence, byte for byte the encoded one."""
 
     def run(batches):
-        vocabulary = Vocabulary(model_path)
+        vocabulary = Vocabulary.get(model_path, keep_literal=True)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)

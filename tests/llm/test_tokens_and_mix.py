@@ -199,3 +199,38 @@ def test_mix_of_awkward_rows(spark):
         assert own[0].target == pytest.approx(want)
         assert abs(sum(r.size * r.copies for r in own) - want) <= 5
     assert mix_sources(docs.limit(0), "size").collect() == []
+
+
+def test_long_texts_without_borders(monkeypatch):
+    """Parts of over LONG characters go node by node: the same results, and time in proportion to the text."""
+    import time
+
+    import sluice.llm.unigram as unigram
+
+    words, literal = Vocabulary(PIECES), Vocabulary(PIECES, keep_literal=True)
+    texts = pa.array(["", "the theatre, athéné 日本の本 ", "ab" * 40, "é" * 50 + "的" * 30, "th" * 3 + " ▁ x"] * 4)
+    found = []
+    for long in (3, 1024):
+        monkeypatch.setattr(unigram, "LONG", long)
+        which, names, _, _ = words.parts(texts)
+        found.append((best_counts(words, names)[which].tolist(), [x.tolist() for x in sample(literal, texts, np.arange(len(texts)), 3, 0.1)]))
+    assert found[0] == found[1]
+    text = "".join(chr(0x4E00 + k * 37 % 256) for k in range(350_000))  # 1 MB without a border
+    begin = time.time()
+    which, names, _, _ = words.parts(pa.array([text]))
+    assert max(map(len, names)) > 300_000 and best_counts(words, names)[which].sum() > 0
+    ids, n = sample(literal, pa.array([text]), np.array([5]), 3, 0.1)
+    assert decode(literal, ids, n) == [text] and time.time() - begin < 60
+
+
+def test_a_worker_keeps_its_encoder_from_task_to_task(spark):
+    def run(batches):
+        for batch in batches:
+            encoder = Encoder.get(BPE)
+            seen = len(encoder.known)
+            encoder.encode(pa.array([f"word{k}" for k in range(10)]))
+            yield pa.RecordBatch.from_pydict({"seen": [seen]})
+
+    frame = spark.range(0, 64, 1, 64).mapInArrow(run, "seen long")
+    frame.collect()
+    assert any(r.seen for r in frame.collect())
