@@ -73,6 +73,8 @@ class Edges:
         self.by_place = short[np.argsort(place[short].astype(np.uint16), kind="stable")]
         self.places = np.append(np.flatnonzero(np.diff(place[self.by_place], prepend=-1)), len(short))
         self.nodes = len(code) + 1
+        #: the first edge that ends at each character
+        self.node_first = np.concatenate(([0], np.cumsum(np.bincount(self.end, minlength=self.nodes))))
 
     def long_parts(self):
         """For each long part: its number, and the range of its edges, which lie in the order of their nodes."""
@@ -147,10 +149,14 @@ class Vocabulary:
             self.known.update(zip(new, [data[i:j] for i, j in zip(at, at[1:])]))
         return [self.known[x] for x in parts]
 
-    def written(self, text: str) -> str:
+    def written(self, texts: pa.Array) -> list[str]:
+        """Texts as the tokenizer sees them; all at once, with a byte between that no text holds."""
+        at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.insert(np.frombuffer(texts.buffers()[2], np.uint8)[at[0] : at[-1]], at[1:-1] - at[0], 255)
+        text = data.tobytes().decode("utf-8", "surrogateescape")
         if self.keep_literal:
             text = text.replace(SPACE, LITERAL)
-        return text.replace(" ", SPACE)
+        return text.replace(" ", SPACE).split("\udcff")
 
     def parts(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """Distinct parts between borders: part number of each in order, the parts as written, the
@@ -180,7 +186,7 @@ class Vocabulary:
         coded = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         doc = np.searchsorted(first, cuts[:-1], side="right") - 1
         nth = np.arange(len(doc)) - np.searchsorted(doc, doc)
-        return coded.indices.to_numpy().astype(np.int64), [self.written(x) for x in coded.dictionary.to_pylist()], full[doc], nth
+        return coded.indices.to_numpy().astype(np.int64), self.written(coded.dictionary), full[doc], nth
 
 
 def code_bytes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -294,7 +300,6 @@ def sample(vocabulary: Vocabulary, texts: pa.Array, keys: np.ndarray, seed: int,
         return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
     edges = Edges(vocabulary, names)
     share = _shares(edges, alpha)
-    order = (edges.end.astype(np.uint64) << np.uint64(32)) + share
     first = edges.first[which]
     now = first + edges.size[which] - 1
     draw = mix(mix(keys[doc].astype(np.int64).view(np.uint64) + np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64)) + nth.astype(np.uint64))
@@ -307,7 +312,11 @@ def sample(vocabulary: Vocabulary, texts: pa.Array, keys: np.ndarray, seed: int,
             steps[k] = len(apart[k])
     while len(on):
         u = mix(draw[on] + steps[on].astype(np.uint64) * _STEP) >> np.uint64(32)
-        edge = np.searchsorted(order, (now[on].astype(np.uint64) << np.uint64(32)) + u, side="right")
+        edge = edges.node_first[now[on]]
+        behind = np.flatnonzero(share[edge] <= u)  # nodes have few edges; the last one's share is above all draws
+        while len(behind):
+            edge[behind] += 1
+            behind = behind[share[edge[behind]] <= u[behind]]
         taken.append((on, edge))
         steps[on] += 1
         now[on] -= edges.length[edge]
