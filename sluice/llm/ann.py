@@ -1,12 +1,13 @@
 """Approximate nearest neighbours by collision counting (operator 1).
 
-The vectors are dealt to shards of about ``SHARD`` rows by the hash of their id. A shard keeps, for
-each of ``PROJECTIONS`` random projections, its vectors in the order of their projected value: nothing
-but sorted arrays. A query takes the window centred on its own projected value in each of them, and
-widens all windows step by step (virtual rehashing: the same arrays serve every radius). A vector that
-falls into the windows of ``THRESHOLD`` of all projections collides often enough and is verified, by its
-inner product with the query in double precision. Widening ends when the shard has verified ``ENOUGH``
-vectors, or all.
+The vectors are dealt to shards of about ``SHARD`` rows by the hash of their id. A shard sorts its
+vectors by each of ``PROJECTIONS`` random projections and keeps the sorted values and, for each vector,
+its place in the sorted array in 256ths. A query takes the window centred on its own projected value in
+each array, and widens all windows step by step (virtual rehashing: the same arrays serve every radius)
+until enough vectors lie in the windows of ``THRESHOLD`` of all projections. Those that collide most often
+are verified, by their inner product with the query in double precision: ``VERIFIED`` of the shard, or
+``EACH`` times as many as are asked for, or all there are. Windows of a block of queries are counted at
+once, one array operation a projection.
 
 Largest inner product becomes nearest distance by one more component, sqrt(M^2 - |x|^2) with M the
 largest norm (0 for queries). Queries are a stated set, compared with all rows in blocks: every task
@@ -28,11 +29,14 @@ from ._tables import stored
 
 SHARD = 16384
 QUERIES = 1024
-PROJECTIONS = 120
+#: Collisions are counted in a byte, so at most 255.
+PROJECTIONS = 240
 THRESHOLD = 0.6
-ENOUGH = 500
+VERIFIED, EACH = 0.07, 25
 #: First half width of a window, in parts of the projected values' deviation, and its growth.
-WIDTH, GROWTH = 0.72, 1.2
+WIDTH, GROWTH = 1.0, 1.1
+#: Queries whose windows are counted at once.
+TOGETHER = 8
 
 
 class SortedProjections:
@@ -42,43 +46,51 @@ class SortedProjections:
         rng = np.random.default_rng([seed, vectors.shape[1]])
         self.directions = rng.standard_normal((vectors.shape[1] + 1, projections))
         self.largest = largest
-        norms = np.einsum("ij,ij->i", vectors, vectors)
-        values = self._values(vectors, np.sqrt(np.maximum(largest**2 - norms, 0)))
-        self.order = np.argsort(values, axis=0, kind="stable").T.ravel()
         self.n = len(vectors)
-        # the sorted arrays stand one after the other, each lifted above the one before, so that all
-        # windows of a query are found in one search
-        self.edge = float(np.abs(values).max()) + 1.0
-        self.lift = 4 * self.edge * np.arange(projections)
-        self.values = (np.sort(values, axis=0) + self.lift).T.ravel()
-        self.spread = float(values.std(axis=0).mean()) or 1.0
-
-    def _values(self, vectors, extra):
-        return vectors @ self.directions[:-1] + extra[:, None] * self.directions[-1]
-
-    def candidates(self, query: np.ndarray, enough: int, share: float) -> np.ndarray:
-        """Rows that collide with the query in ``share`` of the projections, as soon as there are
-        ``enough`` (or all rows). The query is scaled to the largest norm, which keeps its ranking."""
-        size = math.sqrt(float(query @ query))
-        centre = query * (self.largest / size) @ self.directions[:-1]
-        need = math.ceil(share * len(centre))
-        low = high = np.searchsorted(self.values, np.clip(centre, -self.edge, self.edge) + self.lift)
-        seen = np.zeros(self.n, np.uint16)
-        half = WIDTH * self.spread
-        while True:
-            lo = np.searchsorted(self.values, np.clip(centre - half, -self.edge, self.edge) + self.lift)
-            hi = np.searchsorted(self.values, np.clip(centre + half, -self.edge, self.edge) + self.lift, side="right")
-            for i, j in zip(np.concatenate((lo, high)).tolist(), np.concatenate((low, hi)).tolist()):
-                if j > i:
-                    seen[self.order[i:j]] += 1  # a vector stands once in each array
-            low, high = lo, hi
-            found = np.flatnonzero(seen >= need)
-            if len(found) >= min(enough, self.n):
-                return found
-            half *= GROWTH
-
-
-def _search(k: int, seed: int, enough: int, share: float):
+        norms = np.einsum("ij,ij->i", vectors, vectors)
+        values = (vectors @ self.directions[:-1] + np.sqrt(np.maximum(largest**2 - norms, 0))[:, None] * self.directions[-1]).T
+        order = np.argsort(values, axis=1, kind="stable")
+        self.values = np.take_along_axis(values, order, axis=1)
+        self.cells = np.empty(values.shape, np.uint8)
+        np.put_along_axis(self.cells, order, self._cell(np.arange(self.n)).astype(np.uint8)[None, :], axis=1)
+        self.spread = float(values.std(axis=1).mean()) or 1.0
+
+    def _cell(self, place: np.ndarray) -> np.ndarray:
+        return place * 256 // self.n
+
+    def collisions(self, centres: np.ndarray, half: np.ndarray) -> np.ndarray:
+        """In how many windows of each query (a row of ``centres``) each vector lies."""
+        counts = np.zeros((len(centres), self.n), np.uint8)
+        for p, (values, cells) in enumerate(zip(self.values, self.cells)):
+            low = np.minimum(np.searchsorted(values, centres[:, p] - half), self.n - 1)
+            high = np.maximum(np.searchsorted(values, centres[:, p] + half, side="right") - 1, low)
+            first = self._cell(low)
+            # bytes wrap around: a cell before the window is as far from its start as one behind it
+            counts += cells - first.astype(np.uint8)[:, None] <= (self._cell(high) - first).astype(np.uint8)[:, None]
+        return counts
+
+    def candidates(self, queries: np.ndarray, enough: int, share: float) -> list[np.ndarray]:
+        """For each query the rows that collide most often with it: at least ``enough`` (or all), each in
+        ``share`` of the projections or more. Queries are scaled to the largest norm, which keeps their ranking."""
+        sizes = np.sqrt(np.einsum("ij,ij->i", queries, queries))
+        centres = (queries * (self.largest / sizes)[:, None]) @ self.directions[:-1]
+        need, enough = math.ceil(share * centres.shape[1]), min(enough, self.n)
+        half = np.full(len(queries), WIDTH * self.spread)
+        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
+        left = np.arange(len(queries))
+        while len(left):
+            counts = self.collisions(centres[left], half[left])
+            for row, k in zip(counts, left.tolist()):
+                having = np.bincount(row, minlength=256)[::-1].cumsum()[::-1]  # vectors of so many collisions or more
+                if having[need] >= enough:
+                    out[k] = np.flatnonzero(row >= np.flatnonzero(having >= enough)[-1])
+                    half[k] = 0
+            left = left[half[left] > 0]
+            half[left] *= GROWTH
+        return out
+
+
+def _search(k: int, seed: int, verified: float, share: float):
     empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
 
     def run(key, asked: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
@@ -87,22 +99,23 @@ def _search(k: int, seed: int, enough: int, share: float):
         ids = shard["vec_id"].to_numpy(np.int64)
         vectors = np.stack(shard["v"].to_numpy()).astype(np.float64)
         index = SortedProjections(vectors, float(shard["largest"].iloc[0]), seed)
+        queries, query_ids = np.stack(asked["v"].to_numpy()).astype(np.float64), asked["vec_id"].to_numpy(np.int64)
+        enough = max(math.ceil(verified * len(ids)), EACH * k) + 1  # one more: the query itself
         asked_ids, found_ids, found_scores = [], [], []
-        for query_id, query in zip(asked["vec_id"].to_numpy(np.int64), asked["v"]):
-            query = np.asarray(query, np.float64)
-            found = index.candidates(query, enough, share)
-            found = found[ids[found] != query_id]
-            scores = (vectors[found] * query).sum(axis=1)
-            best = np.lexsort((ids[found], -scores))[:k]
-            asked_ids.append(np.full(len(best), query_id))
-            found_ids.append(ids[found][best])
-            found_scores.append(scores[best])
+        for lo in range(0, len(queries), TOGETHER):
+            for query_id, query, found in zip(query_ids[lo : lo + TOGETHER], queries[lo : lo + TOGETHER], index.candidates(queries[lo : lo + TOGETHER], enough, share)):
+                found = found[ids[found] != query_id]
+                scores = (vectors[found] * query).sum(axis=1)
+                best = np.lexsort((ids[found], -scores))[:k]
+                asked_ids.append(np.full(len(best), query_id))
+                found_ids.append(ids[found][best])
+                found_scores.append(scores[best])
         return pd.DataFrame({"query_id": np.concatenate(asked_ids), "vec_id": np.concatenate(found_ids), "score": np.concatenate(found_scores)})
 
     return run
 
 
-def nearest(rows: DataFrame, asked: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, seed: int = 17, enough: int = ENOUGH, share: float = THRESHOLD) -> DataFrame:
+def nearest(rows: DataFrame, asked: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, seed: int = 17, verified: float = VERIFIED, share: float = THRESHOLD) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``asked`` the ``k`` nearest found among ``rows``.
 
     Vectors that are null, zero, or hold a null or non-finite component take no part, on either side,
@@ -125,6 +138,6 @@ def nearest(rows: DataFrame, asked: DataFrame, id_col: str = "vec_id", vector_co
     data = rows.join(plan, "dim").select("dim", F.pmod(F.xxhash64("vec_id"), "shards").alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "vec_id", "v", "largest")
     ask = asked.join(plan, "dim").select("dim", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"), F.pmod(F.xxhash64("vec_id"), "blocks").alias("block"), "vec_id", "v")
     on = ["dim", "shard", "block"]
-    found = ask.groupBy(*on).cogroup(data.groupBy(*on)).applyInPandas(_search(k, seed, enough, share), "query_id long, vec_id long, score double")
+    found = ask.groupBy(*on).cogroup(data.groupBy(*on)).applyInPandas(_search(k, seed, verified, share), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -59,6 +59,30 @@ def test_recall_against_brute_force(spark):
     assert hits / len(r) >= 0.9
 
 
+def test_recall_and_work_on_full_shards(spark):
+    """Two full shards, made of the given vectors with noise; also more neighbours than usual."""
+    from sluice.llm import ann
+
+    t = table(spark, "/root/testdata/sf0.1", "embeddings").toPandas().sort_values("vec_id")
+    base = np.stack(t["embedding"]).astype(np.float64)
+    rng = np.random.default_rng(4)
+    x = np.concatenate([base + rng.normal(0, 0.05, base.shape) for _ in range(16)])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = rows.where("vec_id % 800 = 3")
+    for k, least in ((20, 0.95), (400, 0.9)):
+        got = nearest(rows, asked, k=k).toPandas()
+        hits = 0
+        for q, g in got.groupby("query_id"):
+            s = x @ x[q]
+            s[q] = -np.inf
+            hits += len(set(g["vec_id"]) & set(np.argsort(-s)[:k].tolist()))
+            assert len(g) == k
+        assert hits / len(got) >= least and len(got) == 40 * k
+    index = ann.SortedProjections(x[:16000], float(np.sqrt((x**2).sum(axis=1).max())), 17)
+    found = index.candidates(x[16000:16020], int(ann.VERIFIED * 16000), ann.THRESHOLD)
+    assert np.mean([len(f) for f in found]) < 0.09 * 16000
+
+
 # ---------------------------------------------------------------- quality rules
 
 
