@@ -9,8 +9,10 @@ five dimensions, is rejected.
 The estimate covers all rows and is made by concentration steps over Spark aggregates: starting from
 medians and median deviations, each step bins the rows of a group by their distance, sums counts,
 vectors and products by group and bin (partially aggregated, so that a hot group ships one row a bin
-and task), and takes the nearest bins that hold three quarters of the rows. Groups with fewer than
-``LEAST`` rows use the estimate of their language, and below that the one of all rows.
+and task), and takes the nearest bins that hold three quarters of the rows. A row meets the estimates of
+its group, its language and all rows by group and salt, so a hot group is spread over tasks. One rule
+serves groups of all sizes: with n rows, location and scatter of a group count n / (n + ``BLEND``), and
+those of its language the rest; a language's are blended with those of all rows in the same way.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ from ._tables import stored
 from ._text import Words, chunk_bounds, grams, mix
 
 SYMBOLS = b"#*$%&|<>"
-LEAST = 100
+BLEND = 100
+SALT = 64
 SHARE = 0.75
 STEPS = 6
 BINS = 4096
@@ -118,7 +121,35 @@ def _fit(key, frame: pd.DataFrame) -> pd.DataFrame:
             scatter[i, j] = scatter[j, i] = frame[f"p{i}{j}"].to_numpy(np.float64)[:upto].sum() / count - mean[i] * mean[j]
     scatter = CONSISTENCY * scatter + np.diag(np.square(FLOOR))
     inverse = np.linalg.inv(scatter)
-    return pd.DataFrame({"grp": [key[0]], "rows": [int(n.sum())], "mu": [mean.tolist()], "inv": [inverse.ravel().tolist()]})
+    return pd.DataFrame({"grp": [key[0]], "rows": [int(n.sum())], "mu": [mean.tolist()], "inv": [inverse.ravel().tolist()], "cov": [scatter.ravel().tolist()]})
+
+
+def blend(rows: float, own: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    return (rows * own + BLEND * parent) / (rows + BLEND)
+
+
+def _blended(all_mu: list[float], all_cov: list[float]):
+    """Estimates of the groups, from their own, their language's and the one of all rows."""
+
+    def run(frames):
+        d = len(DIMS)
+        for f in frames:
+            mu, inv = [], []
+            for r in f.itertuples(index=False):
+                m, c = (blend(r.lang_rows, np.array(own), np.array(of_all)) for own, of_all in ((r.lang_mu, all_mu), (r.lang_cov, all_cov)))
+                m, c = blend(r.rows, np.array(r.mu), m), blend(r.rows, np.array(r.cov), c)
+                mu.append(m.tolist())
+                inv.append(np.linalg.inv(c.reshape(d, d)).ravel().tolist())
+            yield pd.DataFrame({"grp": f["grp"], "mu": mu, "inv": inv})
+
+    return run
+
+
+def _meet(rows: DataFrame, estimates: DataFrame, grp: str = "grp") -> DataFrame:
+    """``rows`` with the estimate of their group, dealt by group and salt."""
+    salts = estimates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*DIMS), F.lit(SALT)).cast("int"))
+    return salted.join(salts.withColumnRenamed("grp", grp), [grp, "salt"], "left").drop("salt")
 
 
 def _distance() -> F.Column:
@@ -151,28 +182,30 @@ def robust_outliers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own. Repeated rows count each. Other columns of ``docs`` are not read; an empty table gives no rows.
     """
     rows = stored(statistics(docs, id_col, text_col, lang_col, source_col), "stats")
-    both, lang = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
-    judged = rows.where("NOT base_failed").select(*DIMS, F.explode(F.array(F.concat(F.lit("2"), both), F.concat(F.lit("1"), lang), F.lit("0"))).alias("grp"))
+    both, lang = F.concat(F.lit("2"), F.to_json(F.struct("lang", "source"))), F.concat(F.lit("1"), F.to_json(F.struct("lang")))
+    passed = rows.where("NOT base_failed")
+    judged = passed.select(*DIMS, F.explode(F.array(both, lang, F.lit("0"))).alias("grp"))
+    parents = passed.select(both.alias("grp"), lang.alias("lang_grp")).distinct()
     medians = judged.groupBy("grp").agg(F.count("*").alias("rows"), *[F.percentile_approx(x, 0.5, 10000).alias(f"m{i}") for i, x in enumerate(DIMS)])
-    off = judged.join(medians, "grp").select("grp", "rows", *[f"m{i}" for i in range(len(DIMS))], *[F.abs(F.col(x) - F.col(f"m{i}")).alias(x) for i, x in enumerate(DIMS)])
+    off = _meet(judged, medians).select("grp", "rows", *[f"m{i}" for i in range(len(DIMS))], *[F.abs(F.col(x) - F.col(f"m{i}")).alias(x) for i, x in enumerate(DIMS)])
     spread = off.groupBy("grp").agg(F.first("rows").alias("rows"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(len(DIMS))], *[F.percentile_approx(x, 0.5, 10000).alias(x) for x in DIMS])
     diagonal = [(1 / (F.pow(1.4826 * F.col(x), F.lit(2)) + FLOOR[i] ** 2) if i == j else F.lit(0.0)) for i, x in enumerate(DIMS) for j in range(len(DIMS))]
     fits = stored(spread.select("grp", "rows", F.array(*[F.col(f"m{i}").cast("double") for i in range(len(DIMS))]).alias("mu"), F.array(*diagonal).alias("inv")), "fit")
     pairs = [(i, j) for i in range(len(DIMS)) for j in range(i, len(DIMS))]
     for _ in range(steps):
-        near = judged.join(fits, "grp").withColumn("bin", F.least(F.floor(64 * F.log1p(_distance())), F.lit(BINS - 1)).cast("int"))
+        near = _meet(judged, fits).withColumn("bin", F.least(F.floor(64 * F.log1p(_distance())), F.lit(BINS - 1)).cast("int"))
         sums = near.groupBy("grp", "bin").agg(
             F.count("*").alias("n"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(DIMS)],
             *[F.sum(F.col(DIMS[i]) * F.col(DIMS[j])).alias(f"p{i}{j}") for i, j in pairs],
         )
-        fits = stored(sums.groupBy("grp").applyInPandas(_fit, "grp string, rows long, mu array<double>, inv array<double>"), "fit")
-    level = lambda n: fits.where(F.substring("grp", 1, 1) == n).where(F.lit(n == "0") | (F.col("rows") >= LEAST))
-    chosen = rows.withColumn("g2", F.concat(F.lit("2"), both)).withColumn("g1", F.concat(F.lit("1"), lang)).withColumn("g0", F.lit("0"))
-    for k in ("2", "1", "0"):
-        chosen = chosen.join(level(k).select(F.col("grp").alias(f"g{k}"), F.struct("mu", "inv").alias(f"f{k}")), f"g{k}", "left")
-    chosen = chosen.withColumn("f", F.coalesce("f2", "f1", "f0")).withColumn("mu", F.col("f.mu")).withColumn("inv", F.col("f.inv"))
-    distance = F.when(~F.col("base_failed"), _distance())
-    return chosen.withColumn("distance", distance).select(
+        fits = stored(sums.groupBy("grp").applyInPandas(_fit, "grp string, rows long, mu array<double>, inv array<double>, cov array<double>"), "fit")
+    overall = fits.where("grp = '0'").select("mu", "cov").first()
+    of_lang = fits.select(F.col("grp").alias("lang_grp"), F.col("rows").alias("lang_rows"), F.col("mu").alias("lang_mu"), F.col("cov").alias("lang_cov"))
+    own = fits.select("grp", "rows", "mu", "cov").join(parents, "grp").join(of_lang, "lang_grp")
+    mu, cov = (list(x) for x in overall) if overall else ([], [])
+    estimates = stored(own.mapInPandas(_blended(mu, cov), "grp string, mu array<double>, inv array<double>"), "fit")
+    judged = _meet(rows.withColumn("grp", both), estimates).withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"), "distance",
     )

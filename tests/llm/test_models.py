@@ -14,7 +14,7 @@ from conftest import SF001
 from sluice.llm import queries
 from sluice.llm._tables import stored, table
 from sluice.llm.ann import nearest
-from sluice.llm.outliers import CONSISTENCY, CUTOFF, FLOOR, robust_outliers
+from sluice.llm.outliers import CONSISTENCY, CUTOFF, FLOOR, SHARE, STEPS, blend, robust_outliers
 from sluice.llm.toxicity import LabelModel, drop_toxic, toxicity_scores, train
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -157,6 +157,40 @@ def test_outliers_in_duplicate_lines_or_repeated_words(spark):
     assert not any(got[n + k].kept for n in (1000, 2000, 3000) for k in range(5))
 
 
+def plain_mcd(x):
+    """Concentration steps on the exact distances: location and scatter of the nearest three quarters."""
+    floor = np.diag(np.square(FLOOR))
+    mu = np.median(x, axis=0)
+    cov = np.diag((1.4826 * np.median(np.abs(x - mu), axis=0)) ** 2) + floor
+    for _ in range(STEPS):
+        d = np.einsum("ij,jk,ik->i", x - mu, np.linalg.inv(cov), x - mu)
+        near = x[np.argsort(d, kind="stable")[: math.ceil(SHARE * len(x))]]
+        mu = near.mean(axis=0)
+        cov = CONSISTENCY * ((near - mu).T @ (near - mu) / len(near)) + floor
+    return mu, cov
+
+
+def test_verdicts_against_a_plain_estimate(spark):
+    """Groups of 1 to 700 rows, half of one group in one language; distances and verdicts as by numpy."""
+    docs = table(spark, "/root/testdata/sf0.1", "documents").where("doc_id % 3 = 0 OR source = 'src1'")
+    got = robust_outliers(docs.select("doc_id", "text", "lang", F.when(F.col("doc_id") % 2 == 0, "hot").otherwise(F.col("source")).alias("source"))).toPandas().set_index("doc_id")
+    rows = docs.select("doc_id", "lang", F.when(F.col("doc_id") % 2 == 0, "hot").otherwise(F.col("source")).alias("source")).toPandas().join(got, on="doc_id")
+    rows = rows[~rows.base_failed].fillna({"lang": "?", "source": "?"})
+    n = rows.n_words
+    x = np.stack([np.log1p(n), rows.word_chars / n, *[np.log1p(1000 * rows[c] / n) for c in ("n_symbols", "n_dup_lines", "n_repeat_words")]], axis=1)
+    whole = plain_mcd(x)
+    langs = {k: (len(i), plain_mcd(x[i])) for k, i in rows.reset_index(drop=True).groupby("lang").indices.items()}
+    far, worst = 0, []
+    for (lang, _), i in rows.reset_index(drop=True).groupby(["lang", "source"]).indices.items():
+        own = plain_mcd(x[i])
+        mu, cov = (blend(len(i), own[k], blend(langs[lang][0], langs[lang][1][k], whole[k])) for k in (0, 1))
+        want = np.einsum("ij,jk,ik->i", x[i] - mu, np.linalg.inv(cov), x[i] - mu)
+        have = rows.distance.to_numpy()[i]
+        far += ((want <= CUTOFF) != rows.kept.to_numpy()[i]).sum()
+        worst += (np.abs(want - have) / (1 + want)).tolist()
+    assert len(rows) > 2000 and far <= 0.01 * len(rows) and np.quantile(worst, 0.95) < 0.1
+
+
 # ---------------------------------------------------------------- toxicity
 
 
