@@ -8,9 +8,10 @@ are linked in a tree (largest mutual information), each depending on its parent
 voters which repeat each other don't count twice. A text's posterior under that model is the label
 a linear classifier over hashed words, word beginnings and votes is trained on.
 
-What is learnt from: votes of all documents (at most 2^V rows of counts reach the driver), and a
-bounded, seeded sample of ``SAMPLE`` labelled training rows for the learnt lexicons, the label model's
-start and the classifier. Scores use the text alone.
+What is learnt from: votes of all documents (at most 2^V rows of counts reach the driver); the counts of
+every feature by label over all labelled training rows (at most 2^18 rows reach it), which choose the
+learnt lexicons, the prior and the features that three texts or more hold; and, for the classifier alone, a
+bounded, seeded sample of ``SAMPLE`` labelled training ids with those features. Scores use the text alone.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ TIMES = (2, 3, 5)
 LOW = (1 << BITS) - 1
 LEARNT_VOTERS = 6
 LEARNT_EACH = 24
+#: Part of the toxic training texts that hold a learnt feature, at least.
+SUPPORT = 0.01
 
 #: Fixed lists of common insults and slurs on a person's worth, a voter each.
 LEXICONS = {
@@ -127,15 +130,32 @@ def _each(batches):
             yield batch.slice(lo, hi - lo), words, *pairs(words)
 
 
-def _sample_rows(batches):
-    none = Voters([])
+def _count_rows(batches):
+    """How many toxic and other texts hold each feature; feature -1 counts the texts."""
+    total = np.zeros((2, (1 << BITS) + 1), np.int64)
     for part, words, doc, feature in _each(batches):
-        base = none.votes(words, doc, feature)
+        toxic = part.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
         doc, feature = distinct(doc, feature)
-        at = np.searchsorted(doc, np.arange(part.num_rows + 1))
-        yield pa.RecordBatch.from_arrays(
-            [part.column(2), pa.array(base), pa.array([feature[i:j].astype(np.int32).tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary())], ["toxic", "patterns", "features"]
-        )
+        for label in (0, 1):
+            total[label, 1:] += np.bincount(feature[toxic[doc] == label], minlength=1 << BITS)
+            total[label, 0] += (toxic == label).sum()
+    held = np.flatnonzero(total.any(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(held - 1, pa.int64()), pa.array(total[1, held]), pa.array(total[0, held])], ["feature", "toxic", "other"])
+
+
+def _sample_rows(lexicons, wanted):
+    def run(batches):
+        voters = Voters(lexicons)
+        for part, words, doc, feature in _each(batches):
+            mask = voters.votes(words, doc, feature)
+            doc, feature = distinct(doc, feature)
+            own = wanted[feature]
+            doc, feature = doc[own], feature[own].astype(np.int32)
+            at = np.searchsorted(doc, np.arange(part.num_rows + 1))
+            blobs = [feature[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(mask), pa.array(blobs, pa.binary())], ["doc_id", "toxic", "mask", "features"])
+
+    return run
 
 
 def _mask_rows(lexicons):
@@ -224,8 +244,8 @@ class Classifier:
     def fit(self, docs: list[np.ndarray], masks: np.ndarray, target: np.ndarray, rounds: int = 150, decay: float = 2e-3):
         n = len(docs)
         sizes = np.array([len(x) for x in docs], np.int64)
-        column = np.concatenate(docs) if n else np.zeros(0, np.int64)
-        row = np.repeat(np.arange(n), sizes)
+        column = np.concatenate(docs) if n else np.zeros(0, np.int32)
+        row = np.repeat(np.arange(n, dtype=np.int32), sizes)
         scale = 1 / np.sqrt(np.maximum(sizes, 1))
         vote = ((masks[:, None] >> np.arange(self.n_voters)) & 1).astype(np.float64)
         self.bias = float(np.log(max(target.mean(), 1e-4) / max(1 - target.mean(), 1e-4))) if n else -3.0
@@ -250,14 +270,13 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def learnt_lexicons(docs: list[np.ndarray], toxic: np.ndarray) -> list[np.ndarray]:
+def learnt_lexicons(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) -> list[np.ndarray]:
     """Features that go with toxic training texts most surely (log-odds over its deviation), dealt to
-    ``LEARNT_VOTERS`` voters in turn."""
-    count = [np.bincount(np.concatenate([x for x, t in zip(docs, toxic) if t == label] or [np.zeros(0, np.int64)]), minlength=1 << BITS) for label in (0, 1)]
-    n = [max(int((toxic == label).sum()), 1) for label in (0, 1)]
-    odds = np.log((count[1] + 0.05) / (n[1] - count[1] + 1)) - np.log((count[0] + 0.05) / (n[0] - count[0] + 1))
-    surety = odds / np.sqrt(1 / (count[1] + 0.5) + 1 / (count[0] + 0.5))
-    sure = np.flatnonzero((count[1] >= 5) & (count[1] * n[0] > 25 * count[0] * n[1]))
+    ``LEARNT_VOTERS`` voters in turn; from the number of toxic and other texts that hold each feature."""
+    n = max(n_toxic, 1), max(n_other, 1)
+    odds = np.log((toxic + 0.05) / (n[0] - toxic + 1)) - np.log((other + 0.05) / (n[1] - other + 1))
+    surety = odds / np.sqrt(1 / (toxic + 0.5) + 1 / (other + 0.5))
+    sure = np.flatnonzero((toxic >= max(5, SUPPORT * n_toxic)) & (toxic * n[1] > 25 * other * n[0]))
     sure = sure[np.argsort(-surety[sure], kind="stable")][: LEARNT_VOTERS * LEARNT_EACH]
     return [sure[k::LEARNT_VOTERS] for k in range(LEARNT_VOTERS)]
 
@@ -272,28 +291,34 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     so; null labels and labels without a document don't count. Without any label only the written
     lexicons and patterns vote; without any document every score is low."""
     known = labels.where(F.col("toxic").isNotNull() & ~held_out("doc_id")).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    chosen = known.orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").mapInArrow(_sample_rows, "toxic int, patterns long, features binary").limit(2 * sample).collect()
-    rows = sorted(rows, key=lambda r: (bytes(r["features"]), r["toxic"]))
-    own = [np.frombuffer(bytes(r["features"]), np.int32).astype(np.int64) for r in rows]
-    toxic = np.array([r["toxic"] for r in rows], np.int64)
-    lexicons = [word_features(x) for x in LEXICONS.values()] + learnt_lexicons(own, toxic)
+    labelled = texts.join(known, "doc_id").select("doc_id", "text", "toxic")
+    found = labelled.mapInArrow(_count_rows, "feature long, toxic long, other long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    found = found.where("feature < 0 OR toxic + other >= 3").toPandas()  # at most 2^BITS rows
+    count = np.zeros((2, (1 << BITS) + 1), np.int64)
+    count[:, found["feature"].to_numpy(np.int64) + 1] = found["toxic"], found["other"]
+    (n_toxic, n_other), count = count[:, 0].tolist(), count[:, 1:]
+    lexicons = [word_features(x) for x in LEXICONS.values()] + learnt_lexicons(*count, n_toxic, n_other)
     n_voters = len(lexicons) + len(PATTERNS)
+    chosen = known.orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(sample)
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")  # at most ``sample`` ids
+    rows = rows.mapInArrow(_sample_rows(lexicons, count.sum(axis=0) >= 3), f"doc_id {dict(texts.dtypes)['doc_id']}, toxic int, mask long, features binary")
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("features", "mask", "toxic")).alias("r")).select("r.*").collect()  # one text an id
+    rows = sorted(rows, key=lambda r: (bytes(r["features"]), r["mask"], r["toxic"]))
+    own = [np.frombuffer(bytes(r["features"]), np.int32) for r in rows]
     counted = texts.mapInArrow(_mask_rows(lexicons), "mask long").groupBy("mask").count().collect()  # at most 2^n_voters rows
     masks = np.array([r["mask"] for r in counted], np.int64)
     counts = np.array([r["count"] for r in counted], np.int64)
     lexical = (1 << len(lexicons)) - 1
     fired = np.bitwise_count(masks & lexical).astype(np.float64)
     start = 1 / (1 + np.exp(-(2 * fired - 3)))
-    prior = float(np.clip(toxic.mean(), 0.01, 0.5)) if len(toxic) else 0.05
+    prior = float(np.clip(n_toxic / (n_toxic + n_other), 0.01, 0.5)) if n_toxic + n_other else 0.05
     model = Classifier(lexicons, n_voters)
     if not len(masks):
         model.fit([], np.zeros(0, np.int64), np.zeros(0))
         return model
     label_model = LabelModel(masks, counts, n_voters, start, prior)
-    voter = model.voters.voter
-    sample_masks = np.array([int(np.bitwise_or.reduce(voter[x])) if len(x) else 0 for x in own], np.int64) | (np.array([r["patterns"] for r in rows], np.int64) << len(lexicons))
+    sample_masks = np.array([r["mask"] for r in rows], np.int64)
     model.label_model = label_model
     model.fit(own, sample_masks, label_model.posterior(sample_masks) if len(own) else np.zeros(0))
     if not len(own):  # nothing to train on: the label model's own votes
