@@ -16,10 +16,11 @@ from sluice.llm.line_dedup import line_dedup
 from sluice.llm.mixing import mix_sources, word_count
 from sluice.llm.near_dup import near_duplicates
 from sluice.llm.toxicity import drop_toxic, train
-from sluice.llm.unigram import sampled_ids
+from sluice.llm.unigram import decoded, sampled_ids
 
 MODEL = "piece_bpe_32k.model"
-#: Sampling and an iterative label model can't be put in SQL; tests/llm holds a brute-force version.
+#: Sampling and an iterative label model can't be put in SQL; tests/llm/test_pipeline.py compares every
+#: stage's rows with a brute-force version.
 ORACLE_SQL = None
 
 
@@ -50,8 +51,10 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids, n_pieces of one sampled segmentation of each document."""
-    return sampled_ids(docs, public_tokenizers.path(MODEL)).withColumn("n_pieces", F.size("ids").cast("long"))
+    """doc_id, ids and n_pieces of one sampled segmentation of each document, and its digest after decoding."""
+    path = public_tokenizers.path(MODEL)
+    rows = decoded(sampled_ids(docs, path), path)
+    return rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.sha2("text", 256).alias("text_sha256"))
 
 
 STAGES = [("toxicity", toxicity), ("line_dedup", lines), ("near_dup", near_dup), ("mixing", mixing), ("sentencepiece", sentencepiece)]
