@@ -373,10 +373,11 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     return rows.mapInArrow(run, "doc_id long, n_tokens long")
 
 
-def sampled_ids(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", seed: int = 3, alpha: float = ALPHA) -> DataFrame:
+def sampled_ids(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", seed: int = 3, alpha: float = ALPHA, with_text: bool = False) -> DataFrame:
     """(doc_id, ids): one segmentation of every whole text drawn with probability proportional to
     exp(alpha x its score), forward filtering and backward sampling, seeded by the row's doc_id (a null
-    id counts as -1). Equal rows get equal ids. A null or empty text has no ids."""
+    id counts as -1). Equal rows get equal ids. A null or empty text has no ids. ``with_text`` adds the
+    text that the ids decode to, made by the same task (:func:`decoded` does it for ids read from elsewhere)."""
 
     def run(batches):
         vocabulary = Vocabulary.get(model_path, keep_literal=True)
@@ -385,10 +386,13 @@ def sampled_ids(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_c
                 keys = batch.column(0).slice(lo, hi - lo)
                 ids, n = sample(vocabulary, batch.column(1).slice(lo, hi - lo), keys.fill_null(-1).to_numpy(), seed, alpha)
                 at = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(pa.array(at), pa.array(ids))], ["doc_id", "ids"])
+                columns, names = [keys, pa.ListArray.from_arrays(pa.array(at), pa.array(ids))], ["doc_id", "ids"]
+                if with_text:
+                    columns, names = [*columns, pa.array(decode(vocabulary, ids, n), pa.string())], [*names, "text"]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return rows.mapInArrow(run, "doc_id long, ids array<int>" + (", text string" if with_text else ""))
 
 
 def decoded(rows: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:
