@@ -16,7 +16,7 @@ from sluice.llm.line_dedup import line_dedup
 from sluice.llm.mixing import mix_sources, word_count
 from sluice.llm.near_dup import near_duplicates
 from sluice.llm.toxicity import drop_toxic, train
-from sluice.llm.unigram import decoded, sampled_ids
+from sluice.llm.unigram import sampled_ids
 
 MODEL = "piece_bpe_32k.model"
 #: Sampling and an iterative label model can't be put in SQL; tests/llm/test_pipeline.py compares every
@@ -52,8 +52,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids and n_pieces of one sampled segmentation of each document, and its digest after decoding."""
-    path = public_tokenizers.path(MODEL)
-    rows = decoded(sampled_ids(docs, path), path)
+    rows = sampled_ids(docs, public_tokenizers.path(MODEL), with_text=True)
     return rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.sha2("text", 256).alias("text_sha256"))
 
 
