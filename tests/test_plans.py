@@ -53,10 +53,13 @@ def test_merge_hints_no_broadcast_and_shuffles_distinct_target_keys(spark):
 
 def test_listing_reads_no_file_content(spark, tmp_dir):
     spark.range(10).coalesce(1).write.parquet(f"{tmp_dir}/object=o/year=2025/month=1/day=2/d")
-    files = LandingArea(tmp_dir, "o", "parquet").files(spark)
+    area = LandingArea(tmp_dir, "o", "parquet")
+    files = area.files(spark)
     plan = physical(spark, files)
-    assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in plan
+    assert "MapInArrow" in plan and "FileScan" not in plan  # folder rows, listed in tasks
     assert files.count() == 1
+    plan = physical(spark, area._listed_by_spark(spark, None, False))
+    assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in plan
 
 
 def test_json_lines_scan_prunes_files_before_start(spark, tmp_dir):
