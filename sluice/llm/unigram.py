@@ -95,9 +95,14 @@ class Vocabulary:
 
     @classmethod
     def get(cls, path: str, keep_literal: bool = False) -> Vocabulary:
-        """One for each worker process: the matches it has looked up serve later tasks."""
+        """One for each worker process."""
         return kept(("vocabulary", path, keep_literal), lambda: cls(path, keep_literal))
 
+    def forget(self) -> None:
+        """After a task: idle workers share the executor's memory with those that work."""
+        self.known = {}
+        pa.default_memory_pool().release_unused()
+
     def __init__(self, path: str, keep_literal: bool = False):
         import sentencepiece
 
@@ -368,6 +373,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
                 n = best_counts(vocabulary, names)
                 total = np.bincount(doc, n[which], hi - lo).astype(np.int64) if len(which) else np.zeros(hi - lo, np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(total)], ["doc_id", "n_tokens"])
+        vocabulary.forget()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long")
@@ -390,6 +396,7 @@ def sampled_ids(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_c
                 if with_text:
                     columns, names = [*columns, pa.array(decode(vocabulary, ids, n), pa.string())], [*names, "text"]
                 yield pa.RecordBatch.from_arrays(columns, names)
+        vocabulary.forget()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>" + (", text string" if with_text else ""))
