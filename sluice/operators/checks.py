@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .._util import as_list, resolve_names, temp_name, to_col
-from ..functions.checks import _inlinable, _plain, any_failed, clauses_of, empty_messages, fail_messages, validate_checks
+from ..functions.checks import _inlinable, _plain, clauses_of, empty_messages, validate_checks
+from ..functions.ordered_checks import OrderedChecks
 
 FAIL_COLUMN = "fail_messages"
 WIDE_CHECK_SET = 50
@@ -37,7 +38,8 @@ def apply_data_checks(df: DataFrame, cfg, *, column: str = FAIL_COLUMN, validate
 
     Original columns are kept; an existing ``column`` is replaced. The disjunction of the checks
     is applied first as a filter, so simple checks reach the parquet scan as pushed filters and
-    clean rows never pay for the message array.
+    clean rows never pay for the message array. Eight or more checks that compare one expression with
+    constants are judged together by a binary search (:class:`OrderedChecks`).
     """
     clauses = clauses_of(cfg)
     if validate:
@@ -45,7 +47,8 @@ def apply_data_checks(df: DataFrame, cfg, *, column: str = FAIL_COLUMN, validate
     _warn_if_wide(df, clauses)
     if not clauses:
         return df.where(F.lit(False)).withColumn(column, empty_messages())
-    return df.where(any_failed(clauses)).withColumn(column, fail_messages(clauses))
+    checks = OrderedChecks(df, clauses)
+    return checks.with_messages(df.where(checks.any_failed()), column)
 
 
 bad_rows = apply_data_checks
@@ -56,7 +59,7 @@ def tag_rows(df: DataFrame, cfg, *, column: str = FAIL_COLUMN, validate: bool =
     clauses = clauses_of(cfg)
     if validate:
         validate_checks(df, clauses)
-    return df.withColumn(column, fail_messages(clauses))
+    return OrderedChecks(df, clauses).with_messages(df, column)
 
 
 def good_rows(df: DataFrame, cfg, *, by: str = "row", key=None, validate: bool = True) -> DataFrame:
@@ -71,7 +74,8 @@ def good_rows(df: DataFrame, cfg, *, by: str = "row", key=None, validate: bool =
         validate_checks(df, clauses)
     if not clauses:
         return df
-    clean = ~F.coalesce(any_failed(clauses), F.lit(False))
+    failed = OrderedChecks(df, clauses).any_failed()
+    clean = ~F.coalesce(failed, F.lit(False))
     if by == "row":
         return df.where(clean)
     if by != "key":
@@ -79,7 +83,7 @@ def good_rows(df: DataFrame, cfg, *, by: str = "row", key=None, validate: bool =
     keys = resolve_names(df.columns, as_list(key))
     if not keys:
         raise ValueError("by='key' needs key columns")
-    return drop_keys_of(df, df.where(any_failed(clauses)), keys)
+    return drop_keys_of(df, df.where(failed), keys)
 
 
 def drop_keys_of(df: DataFrame, bad: DataFrame, keys) -> DataFrame:

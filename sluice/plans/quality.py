@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.checks import any_failed, clauses_of, validate_checks
+from ..functions.checks import clauses_of, validate_checks
+from ..functions.ordered_checks import OrderedChecks
 from .._util import as_list, resolve_names
 from ..operators.checks import FAIL_COLUMN, apply_data_checks, drop_keys_of, good_rows, observe_checks
 from ..sources.config import load_data_checks
@@ -39,7 +40,7 @@ def check_and_publish(
     read = (lambda t, p: spark.table(t) if t else spark.read.format(fmt).load(p))
     failed, counts = df, list
     if report is not None and clauses:
-        failed, counts = observe_checks(df.where(any_failed(clauses)), clauses, validate=False)
+        failed, counts = observe_checks(df.where(OrderedChecks(df, clauses).any_failed()), clauses, validate=False)
     publish(apply_data_checks(failed, clauses, column=FAIL_COLUMN, validate=False), table=bad_table, path=bad_path, fmt=fmt)
     if report is not None:
         report(counts())

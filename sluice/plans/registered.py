@@ -166,6 +166,42 @@ def checks_lineitem_bad_rows(spark, sf_dir):
     return flat(bad.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "fail_messages"))
 
 
+def rule_ladders(n: int) -> list[tuple[str, str]]:
+    """``n`` rules for lineitem, as a configuration that grew: thresholds of every kind in no order."""
+    kinds = [
+        lambda j: f"l_quantity > {(j * 37) % 50}",
+        lambda j: f"l_quantity <= {(j * 11) % 40} + 0.5",
+        lambda j: f"l_extendedprice * (1 - l_discount) >= {(j * 7919) % 100000}",
+        lambda j: f"{(j * 13) % 90} * 1000 > l_extendedprice",
+        lambda j: f"l_partkey = {j + 1}",
+    ]
+    return [(kinds[i % len(kinds)](i // len(kinds)), f"rule {i}") for i in range(n)]
+
+
+_RULES = rule_ladders(300)
+
+
+@register(
+    "checks_hundreds_of_rules",
+    f"""
+SELECT l_orderkey, l_linenumber, n_failed, md5(fail_messages) AS messages_md5
+FROM (SELECT l_orderkey, l_linenumber,
+             {" + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for c, _ in _RULES)} AS n_failed,
+             concat_ws('|', {", ".join(f"CASE WHEN {c} THEN '{m}' END" for c, m in _RULES)}) AS fail_messages
+      FROM lineitem)
+WHERE n_failed > 0
+""",
+)
+def checks_hundreds_of_rules(spark, sf_dir):
+    bad = apply_data_checks(table(spark, sf_dir, "lineitem"), _RULES)
+    return bad.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.size("fail_messages").alias("n_failed"),
+        F.md5(F.array_join("fail_messages", "|")).alias("messages_md5"),
+    )
+
+
 _ORDERS_CONFIG_SQL = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
        concat_ws('|', CASE WHEN o_totalprice > 400000 THEN 'Total price above 400000' END,

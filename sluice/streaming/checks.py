@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.checks import clauses_of, fail_messages, validate_checks
+from ..functions.checks import clauses_of, validate_checks
+from ..functions.ordered_checks import OrderedChecks
 from ..operators.checks import FAIL_COLUMN
 
 
@@ -84,11 +85,11 @@ def stream_checks(
     validate_checks(stream, clauses)
     if taken := {"status", "batch_id"} & {c.lower() for c in stream.columns}:
         raise ValueError(f"columns {sorted(taken)} are the output's own folders; rename them in the stream")
-    messages = fail_messages(clauses)
+    checks = OrderedChecks(stream, clauses)
     base = out_path.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        tagged = batch.withColumn(column, messages).withColumn(
+        tagged = checks.with_messages(batch, column).withColumn(
             "status", F.when(F.size(column) > 0, F.lit("bad")).otherwise(F.lit("good"))
         )
         tagged.write.mode("overwrite").partitionBy("status").format(fmt).save(f"{base}/batch_id={batch_id}")
