@@ -214,6 +214,13 @@ class LabelModel:
 # ---------------------------------------------------------------- classifier
 
 
+def _blocks(sizes: np.ndarray, most: int = 1 << 21) -> list[tuple[int, int]]:
+    """Ranges of texts with about ``most`` features, so that work space does not grow with the sample."""
+    block = np.cumsum(sizes) // most
+    border = np.flatnonzero(np.diff(block)) + 1
+    return list(zip([0, *border.tolist()], [*border.tolist(), len(sizes)])) if len(sizes) else []
+
+
 class Classifier:
     """Logistic regression over votes and distinct hashed features."""
 
@@ -224,16 +231,19 @@ class Classifier:
     def fit(self, docs: list[np.ndarray], masks: np.ndarray, target: np.ndarray, rounds: int = 150, decay: float = 2e-3):
         n = len(docs)
         sizes = np.array([len(x) for x in docs], np.int64)
-        column = np.concatenate(docs) if n else np.zeros(0, np.int64)
-        row = np.repeat(np.arange(n), sizes)
         scale = 1 / np.sqrt(np.maximum(sizes, 1))
+        parts = [(slice(lo, hi), np.concatenate(docs[lo:hi])) for lo, hi in _blocks(sizes)]
         vote = ((masks[:, None] >> np.arange(self.n_voters)) & 1).astype(np.float64)
         self.bias = float(np.log(max(target.mean(), 1e-4) / max(1 - target.mean(), 1e-4))) if n else -3.0
         speed = [np.zeros_like(self.weights), np.zeros_like(self.vote_weights), 0.0]
         for k in range(rounds if n else 0):
-            z = np.bincount(row, self.weights[column], n) * scale + vote @ self.vote_weights + self.bias
-            error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - target) / n
-            slope = [np.bincount(column, (error * scale)[row], 1 << BITS) + decay * 0.01 * self.weights, vote.T @ error + decay * self.vote_weights, error.sum()]
+            error, pull = np.zeros(n), decay * 0.01 * self.weights
+            for at, column in parts:
+                row = np.repeat(np.arange(at.stop - at.start), sizes[at])
+                z = np.bincount(row, self.weights[column], at.stop - at.start) * scale[at] + vote[at] @ self.vote_weights + self.bias
+                error[at] = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - target[at]) / n
+                pull = pull + np.bincount(column, (error * scale)[at][row], 1 << BITS)
+            slope = [pull, vote.T @ error + decay * self.vote_weights, error.sum()]
             rate = 8.0
             speed = [0.9 * s - rate * g for s, g in zip(speed, slope)]
             self.weights, self.vote_weights, self.bias = self.weights + speed[0], self.vote_weights + speed[1], self.bias + speed[2]
@@ -253,7 +263,11 @@ class Classifier:
 def learnt_lexicons(docs: list[np.ndarray], toxic: np.ndarray) -> list[np.ndarray]:
     """Features that go with toxic training texts most surely (log-odds over its deviation), dealt to
     ``LEARNT_VOTERS`` voters in turn."""
-    count = [np.bincount(np.concatenate([x for x, t in zip(docs, toxic) if t == label] or [np.zeros(0, np.int64)]), minlength=1 << BITS) for label in (0, 1)]
+    count = np.zeros((2, 1 << BITS), np.int64)
+    for label in (0, 1):
+        own = [x for x, t in zip(docs, toxic) if t == label]
+        for lo, hi in _blocks(np.array([len(x) for x in own], np.int64)):
+            count[label] += np.bincount(np.concatenate(own[lo:hi]), minlength=1 << BITS)
     n = [max(int((toxic == label).sum()), 1) for label in (0, 1)]
     odds = np.log((count[1] + 0.05) / (n[1] - count[1] + 1)) - np.log((count[0] + 0.05) / (n[0] - count[0] + 1))
     surety = odds / np.sqrt(1 / (count[1] + 0.5) + 1 / (count[0] + 0.5))
@@ -269,14 +283,16 @@ def held_out(id_col: str):
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Classifier:
     """Fit voters, label model and classifier. A row labelled twice counts as toxic if one label says
-    so; null labels and labels without a document don't count. Without any label only the written
+    so, and an id with several texts gives its least one to the sample; null labels and labels without a
+    document don't count. Without any label only the written
     lexicons and patterns vote; without any document every score is low."""
     known = labels.where(F.col("toxic").isNotNull() & ~held_out("doc_id")).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = known.orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").mapInArrow(_sample_rows, "toxic int, patterns long, features binary").limit(2 * sample).collect()
+    single = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # at most ``sample`` rows
+    rows = single.select("doc_id", "text", "toxic").mapInArrow(_sample_rows, "toxic int, patterns long, features binary").collect()
     rows = sorted(rows, key=lambda r: (bytes(r["features"]), r["toxic"]))
-    own = [np.frombuffer(bytes(r["features"]), np.int32).astype(np.int64) for r in rows]
+    own = [np.frombuffer(r["features"], np.int32) for r in rows]
     toxic = np.array([r["toxic"] for r in rows], np.int64)
     lexicons = [word_features(x) for x in LEXICONS.values()] + learnt_lexicons(own, toxic)
     n_voters = len(lexicons) + len(PATTERNS)

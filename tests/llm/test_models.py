@@ -247,6 +247,16 @@ def test_toxicity_learns_nothing_from_held_out_labels(spark):
     assert a == b
 
 
+def test_an_id_with_many_texts_gives_one_to_the_sample(spark):
+    docs, labels = toxic_table(spark)
+    more = docs.unionByName(docs.where("doc_id = 3").crossJoin(spark.range(500)).withColumn("text", F.concat("text", F.lit(" copy "), "id")).drop("id"))
+    sample = labels.count()
+    a, b = (train(x, labels, sample=sample) for x in (more, more.repartition(7, F.rand(1))))
+    np.testing.assert_array_equal(a.weights, b.weights)
+    got = [{r.doc_id: r.predicted for r in toxicity_scores(docs, train(x, labels)).collect()} for x in (docs, more)]
+    assert sum(got[0][k] != got[1][k] for k in got[0]) <= 0.01 * len(got[0])
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs, labels = toxic_table(spark)
     got = {r.doc_id: r.predicted for r in toxicity_scores(docs, train(docs, labels.limit(0))).collect()}
