@@ -66,6 +66,12 @@ def check_condition(clause: DataCheckClause) -> Column:
 
 
 _EMPTY_SQL = "cast(array() as array<string>)"
+#: with this many checks, their code is kept out of whole-stage methods
+WIDE_CHECK_SET = 50
+#: An empty array of strings by a higher-order function. Whole-stage code generation leaves an operator that holds one
+#: alone, so its other expressions are compiled into many small methods. In one whole-stage method, hundreds of
+#: checks pass the 8000 bytes above which HotSpot doesn't compile but interprets, many times slower.
+APART_SQL = f"filter({_EMPTY_SQL}, x -> true)"
 
 
 def _plain(message: str) -> bool:
@@ -91,12 +97,16 @@ def fail_messages(cfg) -> Column:
         return empty_messages()
     if all(_plain(c.message) and _inlinable(c.sql) for c in clauses):
         parts = ", ".join(f"CASE WHEN ({c.sql}) THEN array('{c.message}') ELSE {_EMPTY_SQL} END" for c in clauses)
-        return F.expr(f"concat({_EMPTY_SQL}, {parts})")
+        return F.expr(f"concat({_apart_or_empty(clauses)}, {parts})")
     parts = [
         F.when(check_condition(c), F.array(F.lit(c.message))).otherwise(empty_messages())
         for c in clauses
     ]
-    return F.concat(empty_messages(), *parts)
+    return F.concat(F.expr(_apart_or_empty(clauses)), *parts)
+
+
+def _apart_or_empty(clauses) -> str:
+    return APART_SQL if len(clauses) >= WIDE_CHECK_SET else _EMPTY_SQL
 
 
 def any_failed(cfg) -> Column:
@@ -109,8 +119,10 @@ def any_failed(cfg) -> Column:
     if not clauses:
         return F.lit(False)
     if all(_inlinable(c.sql) for c in clauses):
-        return F.expr(" OR ".join(f"({c.sql})" for c in clauses))
-    return reduce(lambda a, b: a | b, (check_condition(c) for c in clauses))
+        failed = F.expr(" OR ".join(f"({c.sql})" for c in clauses))
+    else:
+        failed = reduce(lambda a, b: a | b, (check_condition(c) for c in clauses))
+    return failed & F.expr(f"size({APART_SQL}) = 0") if len(clauses) >= WIDE_CHECK_SET else failed
 
 
 def validate_checks(df: DataFrame, cfg) -> None:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .._util import quote, temp_name
-from .checks import _EMPTY_SQL, _inlinable, _plain, any_failed, clauses_of, fail_messages
+from .checks import _EMPTY_SQL, APART_SQL, WIDE_CHECK_SET, _inlinable, _plain, any_failed, clauses_of, fail_messages
 
 #: a ladder of fewer checks than this is no faster than their own terms
 LADDER_LEAST = 8
@@ -145,15 +145,19 @@ class OrderedChecks:
     def with_messages(self, df: DataFrame, column: str) -> DataFrame:
         """``df`` with ``column``: the ``array<string>`` of the messages of all checks that are TRUE, in
         configuration order. Each projection names what the one before has made several times, so the optimizer
-        keeps them apart: counts of the ladders, then words of bits, then messages of four bits at a time."""
+        keeps them apart: counts of the ladders, then words of bits, then messages of four bits at a time. In a wide
+        set each of them holds ``APART_SQL``, which adds nothing, so that none becomes one huge method."""
         if not self.ladders:
             return df.withColumn(column, fail_messages(self.clauses))
         n_words = -(-len(self.clauses) // WORD)
         counts = [temp_name(df, f"failed{n}") for n in range(len(self.ladders))]
         words = [temp_name(df, f"word{n}") for n in range(n_words)]
-        counted = [f"{self._failed(x, 0, len(x))} AS {c}" for x, c in zip(self.ladders, counts)]
-        bits = [f"{self._word(n, counts)} AS {w}" for n, w in enumerate(words)]
-        texts = [self._texts(i, words[i // WORD], i % WORD) for i in range(0, len(self.clauses), 4)]
+        wide = len(self.clauses) >= WIDE_CHECK_SET
+        none = f"size({APART_SQL})" if wide else ""
+        counted = [f"{self._failed(x, 0, len(x))}{none and f' + {none}'} AS {c}" for x, c in zip(self.ladders, counts)]
+        bits = [f"{self._word(n, counts)}{none and f' | {none}'} AS {w}" for n, w in enumerate(words)]
+        texts = [APART_SQL] * wide
+        texts += [self._texts(i, words[i // WORD], i % WORD) for i in range(0, len(self.clauses), 4)]
         out = df.selectExpr("*", *counted).selectExpr("*", *bits)
         made = f"concat({', '.join(texts)}) AS {quote(column)}"
         kept = [made if c.lower() == column.lower() else quote(c) for c in df.columns]

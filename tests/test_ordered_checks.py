@@ -121,3 +121,21 @@ def test_any_set_equals_the_plain_form(spark, checks, values):
     clauses = clauses_of([(f"{left} {op} {c}", f"m{i}") for i, (left, op, c) in enumerate(checks)])
     ordered = OrderedChecks(df, clauses, least=2)
     assert rows(ordered.with_messages(df.where(ordered.any_failed()), "fail_messages")) == rows(plain(df, clauses))
+
+
+def largest_method(df):
+    """Bytes of the largest method that whole-stage code generation makes for ``df``."""
+    stages = df._jdf.queryExecution().debug().codegenToSeq()
+    return max((stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())), default=0)
+
+
+@pytest.mark.parametrize("checks", [
+    [(f"{kind} {op} {(i * 37) % 200}", f"m{i}") for i in range(70) for kind, op in (("d", ">"), ("b", "<="), ("n + d", ">="), ("n", "="))],
+    [(f"n = {i} OR s = 'x{i}'", f"m{i}") for i in range(300)],
+])
+def test_hundreds_of_checks_make_no_method_too_large_to_be_compiled(special, checks):
+    df = special.sparkSession.createDataFrame(SPECIAL, SCHEMA)
+    assert largest_method(df.where(F.expr(" OR ".join(f"({s})" for s, _ in checks * 2)))) > 8000
+    for made in (apply_data_checks(df, checks), tag_rows(df, checks), good_rows(df, checks)):
+        assert largest_method(made.select("id", *[F.array_join(c, "|") for c in made.columns if c == "fail_messages"])) <= 8000
+    assert rows(apply_data_checks(special, checks)) == rows(plain(special, checks))
