@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable
 
+import pyarrow as pa
+
 _HELD = "sluice_worker"
 
 
@@ -16,3 +19,12 @@ def kept(key: tuple, make: Callable):
     if key not in held:
         held[key] = make()
     return held[key]
+
+
+def release() -> None:
+    """After a task: give freed memory back. Idle workers share the executor's memory with those that work, and
+    what glibc keeps of large arrays that are gone would count as theirs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ._tables import stored
 from ._text import Words, chunk_bounds, grams, mix, sequence_key
+from ._worker import release
 from .components import components
 
 SHINGLE = 5
@@ -80,6 +81,7 @@ def _sketches(halves: int, seed: int):
                     [ids.slice(lo, hi - lo).cast(pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
                     ["doc_id", "class_a", "class_b", "n_shingles", "halves"],
                 )
+        release()
 
     return run
 
@@ -90,6 +92,7 @@ def _sets(batches):
         for lo, hi in chunk_bounds(texts):
             blobs = [shingles.tobytes() for _, shingles in shingle_sets(Words(texts.slice(lo, hi - lo)))]
             yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo).cast(pa.int64()), pa.array(blobs, pa.binary())], ["doc", "shingles"])
+    release()
 
 
 def _confirm(percent: int):
@@ -103,6 +106,7 @@ def _confirm(percent: int):
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
+        release()
 
     return run
 

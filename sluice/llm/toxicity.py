@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._text import _BASE, _BYTE_LOWER, Words, chunk_bounds, mix
+from ._worker import release
 
 SAMPLE = 6000
 BITS = 18
@@ -336,5 +337,6 @@ def drop_toxic(docs: DataFrame, model: Classifier, text_col: str = "text", thres
                 words = Words(batch.column(at).slice(lo, hi - lo))
                 keep = model.score(words, *pairs(words)) < threshold
                 yield batch.slice(lo, hi - lo).filter(pa.array(keep))
+        release()
 
     return docs.mapInArrow(run, docs.schema)

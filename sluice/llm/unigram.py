@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._text import chunk_bounds, mix
-from ._worker import kept
+from ._worker import kept, release
 
 SPACE = "\u2581"
 #: Stands for a literal U+2581 of a text when decoding has to give it back; no text holds it.
@@ -35,9 +35,9 @@ LITERAL = "\udc81"
 BETWEEN = "\udc80"
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 ALPHA = 0.0005
-KNOWN = 250_000
-#: Bytes of text to a chunk: more share their parts, some 140 bytes of arrays to a byte of distinct parts.
-CHUNK = 2 << 20
+KNOWN = 150_000
+#: Bytes of text to a chunk: more share their parts, but their arrays take more memory.
+CHUNK = 1 << 20
 #: Array operations go character by character, so they pay only while many parts are that long.
 LONG = 1024
 
@@ -47,28 +47,35 @@ class Edges:
 
     def __init__(self, vocabulary: Vocabulary, parts: list[str]):
         text = BETWEEN.join(parts) + BETWEEN
-        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int32)
         between = np.flatnonzero(code == ord(BETWEEN))
         self.size = np.diff(between, prepend=-1) - 1
         self.first = between - self.size
         blobs = vocabulary.matches(parts)
-        found = np.frombuffer(b"".join(blobs), np.int32).reshape(-1, 2).astype(np.int64)
-        end = found[:, 0] + np.repeat(self.first, np.fromiter(map(len, blobs), np.int64, len(blobs)) // 8)
-        piece = found[:, 1]
+        found = np.frombuffer(b"".join(blobs), np.int32).reshape(-1, 2)
+        end = found[:, 0] + np.repeat(self.first.astype(np.int32), np.fromiter(map(len, blobs), np.int64, len(blobs)) // 8)
+        piece = found[:, 1].copy()
+        del blobs, found
         single = np.zeros(len(code), bool)
         single[end[vocabulary.length[piece] == 1]] = True
         single[between] = True
-        alone = np.flatnonzero(~single)  # no piece for this character alone: its bytes
+        alone = np.flatnonzero(~single).astype(np.int32)  # no piece for this character alone: its bytes
         codes = np.where(code[alone] == ord(LITERAL), ord(SPACE), code[alone])
-        order = np.argsort(np.concatenate([end, alone]), kind="stable")
-        self.end = np.concatenate([end, alone])[order]
-        self.emit = np.concatenate([piece, -1 - codes])[order]
-        self.length = np.concatenate([vocabulary.length[piece], np.ones(len(alone), np.int64)])[order]
-        self.score = np.concatenate([vocabulary.score[piece], np.full(len(alone), vocabulary.unknown)])[order]
-        part = np.searchsorted(between, self.end)
-        place = self.end - self.first[part]
+        if len(alone):
+            order = np.argsort(np.concatenate([end, alone]), kind="stable").astype(np.int32)
+            end = np.concatenate([end, alone])[order]
+            piece = np.concatenate([piece, (-1 - codes).astype(np.int32)])[order]
+            del order
+        self.end, self.emit = end, piece
+        low, known = piece < 0, np.maximum(piece, 0)
+        self.length = np.where(low, np.int32(1), vocabulary.length.astype(np.int32)[known])
+        self.score = np.where(low, vocabulary.unknown, vocabulary.score[known])
+        del low, known
+        part = np.searchsorted(between.astype(np.int32), end).astype(np.int32)
+        place = end - self.first.astype(np.int32)[part]
         self.long = np.flatnonzero(self.size > LONG)
-        short = np.flatnonzero(self.size[part] <= LONG)
+        short = np.flatnonzero((self.size <= LONG)[part]).astype(np.int32)
+        del part
         #: edges of short parts by place in their part; within a node as they are
         self.by_place = short[np.argsort(place[short].astype(np.uint16), kind="stable")]
         self.places = np.append(np.flatnonzero(np.diff(place[self.by_place], prepend=-1)), len(short))
@@ -101,7 +108,7 @@ class Vocabulary:
     def forget(self) -> None:
         """After a task: idle workers share the executor's memory with those that work."""
         self.known = {}
-        pa.default_memory_pool().release_unused()
+        release()
 
     def __init__(self, path: str, keep_literal: bool = False):
         import sentencepiece
