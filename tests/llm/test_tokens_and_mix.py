@@ -234,3 +234,17 @@ def test_a_worker_keeps_its_encoder_from_task_to_task(spark):
     frame = spark.range(0, 64, 1, 64).mapInArrow(run, "seen long")
     frame.collect()
     assert any(r.seen for r in frame.collect())
+
+
+def test_the_edges_of_a_chunk_take_little_memory():
+    import tracemalloc
+
+    v = Vocabulary(PIECES, keep_literal=True)
+    parts = [f"▁word{n}of\U0001f600{'many' * (n % 7)}" for n in range(2000)]
+    v.matches(parts)
+    tracemalloc.start()
+    edges = Edges(v, parts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 * len(edges.emit)
+    assert (edges.emit == -1 - 0x1F600).sum() == len(parts)
